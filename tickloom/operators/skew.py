@@ -3,9 +3,8 @@
 from __future__ import annotations
 
 from collections.abc import Sequence
-from functools import reduce
 
-from pyspark.sql import Column, DataFrame, Window, functions as F
+from pyspark.sql import DataFrame, functions as F
 
 from tickloom.session import stage
 
@@ -13,11 +12,6 @@ SALTS = 16
 _POSITION_BITS = 33  # monotonically_increasing_id keeps the row position in its low 33 bits
 
 
-def null_safe(left: DataFrame, right: DataFrame, pairs: Sequence[tuple[str, str]]) -> Column:
-    """Conjunction of ``<=>`` comparisons, so rows with a null key keep their partner."""
-    return reduce(lambda a, b: a & b, (left[l].eqNullSafe(right[r]) for l, r in pairs))
-
-
 def attach(
     rows: DataFrame,
     stats: DataFrame,
@@ -31,14 +25,17 @@ def attach(
     hot key never lands in one task. Where Spark measures ``stats`` below its broadcast threshold
     it drops the shuffle by itself; no broadcast is forced here.
     """
-    right = stats.select(
-        *[F.col(k).alias(f"__{k}") for k in keys],
-        *[c for c in stats.columns if c not in keys],
-    ).withColumn("__salt_r", F.explode(F.sequence(F.lit(0), F.lit(salts - 1))))
-    spread = [F.col(c) for c, t in rows.dtypes if not t.startswith(("map", "variant"))]
-    left = rows.withColumn("__salt_l", F.pmod(F.xxhash64(*spread), F.lit(salts)).cast("int"))
-    on = null_safe(left, right, [(k, f"__{k}") for k in keys] + [("__salt_l", "__salt_r")])
-    return left.join(right, on, how).drop("__salt_l", "__salt_r", *[f"__{k}" for k in keys])
+    added = [f"`{c}`" for c in stats.columns if c not in keys]
+    right = stats.selectExpr(
+        *[f"`{k}` as `__{k}`" for k in keys],
+        *added,
+        f"explode(sequence(0, {salts - 1})) as __salt_r",
+    )
+    hashed = ", ".join(f"`{c}`" for c, t in rows.dtypes if not t.startswith(("map", "variant")))
+    left = rows.selectExpr("*", f"cast(pmod(xxhash64({hashed}), {salts}) as int) as __salt_l")
+    same_key = " and ".join(f"`{k}` <=> `__{k}`" for k in keys)
+    joined = left.join(right, F.expr(f"__salt_l = __salt_r and {same_key}"), how)
+    return joined.selectExpr(*[f"`{c}`" for c in rows.columns], *added)
 
 
 def with_row_index(
@@ -60,23 +57,19 @@ def with_row_index(
         .sortWithinPartitions(*sort)
         .withColumn("__at", F.monotonically_increasing_id()),
         "row-index",
-    ).withColumn("__part", F.shiftright("__at", _POSITION_BITS))
+    ).selectExpr("*", f"shiftright(__at, {_POSITION_BITS}) as __part")
     runs = placed.groupBy(*keys, "__part").agg(F.min("__at").alias("__first"), F.count("*").alias("__n"))
     # at most one row per key and partition, so the running total is over a bounded group
-    before = Window.partitionBy(*(keys or [F.lit(0)])).orderBy("__part").rowsBetween(
-        Window.unboundedPreceding, -1
-    )
-    starts = runs.withColumn("__start", F.coalesce(F.sum("__n").over(before), F.lit(0))).select(
-        *[F.col(k).alias(f"__{k}") for k in keys],
-        F.col("__part").alias("__run"),
-        "__first",
-        "__start",
+    grouping = ", ".join(f"`{k}`" for k in keys) or "0"
+    starts = runs.selectExpr(
+        *[f"`{k}` as `__{k}`" for k in keys],
+        "__part as __run",
+        f"""__first - coalesce(sum(__n) over (partition by {grouping} order by __part
+            rows between unbounded preceding and 1 preceding), 0) as __shift""",
     )
-    on = null_safe(placed, starts, [(k, f"__{k}") for k in keys] + [("__part", "__run")])
-    return (
-        placed.join(starts, on)
-        .withColumn(name, F.col("__at") - F.col("__first") + F.col("__start"))
-        .select(*df.columns, name)
+    same_run = " and ".join([f"`{k}` <=> `__{k}`" for k in keys] + ["__part = __run"])
+    return placed.join(starts, F.expr(same_run)).selectExpr(
+        *[f"`{c}`" for c in df.columns], f"__at - __shift as `{name}`"
     )
 
 

@@ -122,11 +122,43 @@ def return_rate(spark: SparkSession, folder: str) -> DataFrame:
 
 
 def survey_table(spark: SparkSession, folder: str) -> DataFrame:
-    """Indicators and both per-customer rates, joined on the nation key."""
-    return (
-        survey_means(spark, folder)
-        .join(supplier_rate(spark, folder), "k")
-        .join(return_rate(spark, folder), "k")
+    """Indicators and both per-customer rates per nation, from one pass over each table.
+
+    Line items are summed per order, orders per customer, customers per nation, so each join meets
+    rows that are already reduced to one per key.
+    """
+    returned = (
+        read_table(spark, folder, "lineitem")
+        .groupBy(F.col("l_orderkey").alias("o_orderkey"))
+        .agg(F.sum(F.when(F.col("l_returnflag") == "R", 1).otherwise(0)).alias("returned"))
+    )
+    per_customer = (
+        order_indicators(spark, folder)
+        .join(returned, "o_orderkey", "left")
+        .groupBy(F.col("o_custkey").alias("c_custkey"))
+        .agg(*[F.sum(y).alias(y) for y in INDICATORS], F.count("*").alias("answers"), F.sum("returned").alias("returned"))
+    )
+    per_nation = (
+        read_table(spark, folder, "customer")
+        .select("c_custkey", "c_nationkey")
+        .join(per_customer, "c_custkey", "left")
+        .groupBy(F.col("c_nationkey").alias("k"))
+        .agg(
+            *[(F.sum(y) / F.sum("answers")).alias(y) for y in INDICATORS],
+            F.count("*").alias("pop"),
+            F.coalesce(F.sum("returned"), F.lit(0)).alias("returned"),
+            F.sum("answers").alias("answers"),
+        )
+        .filter("answers > 0")
+    )
+    staff = read_table(spark, folder, "supplier").groupBy(F.col("s_nationkey").alias("k")).agg(
+        F.count("*").alias("staff")
+    )
+    return per_nation.join(staff, "k").select(
+        "k",
+        *INDICATORS,
+        (F.col("staff") / F.col("pop")).alias("x1"),
+        (F.col("returned").cast("double") / F.col("pop")).alias("x2"),
     )
 
 
