@@ -5,11 +5,11 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from tickloom.functions.values import rounded
-from tickloom.operators import knn, rows
+from tickloom.operators import aggregate, knn, linear, rows
 from tickloom.plans.checking_sql import BARS, HOUR, r
 from tickloom.plans.registry import query
 from tickloom.session import stage
-from tickloom.sources.tables import event_bars, hour_number
+from tickloom.sources.tables import PRICE_COLUMNS, event_bars, hour_number
 
 FEATURES = ["open", "high", "low", "volume"]
 NEIGHBOURS = 3
@@ -72,3 +72,96 @@ def knn_errors(spark: SparkSession, folder: str) -> DataFrame:
     parts = split_bars(spark, folder)
     table = _predicted(parts.filter(~F.col("is_test")), parts.filter("is_test"))
     return knn.knn_errors(table, ["symbol"], "close", NEIGHBOURS).select("symbol", "k", rounded("mse", 4).alias("mse"))
+
+
+def _select_k_rows(errors: DataFrame, chosen_by: str) -> DataFrame:
+    return errors.select("symbol", F.lit(chosen_by).alias("part"), "k", "mse")
+
+
+@query(
+    "knn_select_k",
+    f"""with {_PARTS}, test_errors as (select * from (with {_neighbour_sql('train', 'test')}
+   select symbol, k, avg((close - pred) * (close - pred)) as mse from predicted group by 1, 2)),
+ validation_errors as (select * from (with {_neighbour_sql('fitting', 'validation')}
+   select symbol, k, avg((close - pred) * (close - pred)) as mse from predicted group by 1, 2)),
+ chosen as (select symbol, 'validation' as chosen_on, k from validation_errors
+   qualify row_number() over (partition by symbol order by mse, k) = 1
+   union all select symbol, 'test', k from test_errors
+   qualify row_number() over (partition by symbol order by mse, k) = 1)
+ select symbol, chosen_on, k, {r('mse', 4)} as test_mse from chosen join test_errors using (symbol, k)""",
+)
+def knn_select_k(spark: SparkSession, folder: str) -> DataFrame:
+    """Neighbour count with the least error, chosen on a validation part or, as first done, on the test part."""
+    return knn_choice(split_bars(spark, folder)).select(
+        "symbol", "chosen_on", "k", rounded("test_mse", 4).alias("test_mse")
+    )
+
+
+def knn_choice(parts: DataFrame) -> DataFrame:
+    train, test = parts.filter(~F.col("is_test")), parts.filter("is_test")
+    in_fitting = hour_number() % 10 < 5
+    on_test = stage(knn.knn_errors(_predicted(train, test), ["symbol"], "close", NEIGHBOURS), "knn-errors")
+    on_validation = knn.knn_errors(
+        _predicted(train.filter(in_fitting), train.filter(~in_fitting)), ["symbol"], "close", NEIGHBOURS
+    )
+    chosen = None
+    for name, errors in (("validation", on_validation), ("test", on_test)):
+        best = aggregate.argmin_first(errors, ["symbol"], "k", "mse").select("symbol", F.lit(name).alias("chosen_on"), "k")
+        chosen = best if chosen is None else chosen.unionByName(best)
+    return chosen.join(on_test.withColumnRenamed("mse", "test_mse"), ["symbol", "k"])
+
+
+# --- linear models, components, sequence ----------------------------------------------------
+
+
+def _rounded_metrics(metrics: DataFrame, digits: int = 4) -> DataFrame:
+    return metrics.select("symbol", "model", "metric", "param", rounded("value", digits).alias("value"))
+
+
+@query("elastic_net_close")
+def elastic_net_close(spark: SparkSession, folder: str) -> DataFrame:
+    parts = rows.split_holdout(event_bars(spark, folder), hour_number() % 10)
+    return _rounded_metrics(linear.elastic_net(parts, ["symbol"], FEATURES, "close"))
+
+
+@query("l1_path_cv")
+def l1_path_cv(spark: SparkSession, folder: str) -> DataFrame:
+    parts = rows.split_holdout(event_bars(spark, folder), hour_number() % 10)
+    folds = rows.kfold(parts, hour_number() % 7, 5)
+    return _rounded_metrics(linear.l1_path_cv(folds, ["symbol"], FEATURES, "close"))
+
+
+@query(
+    "pca_covariance",
+    f"with {BARS} "
+    + " union all ".join(
+        f"select symbol, '{a}' as a, '{b}' as b, {r(f'covar_samp({a}, {b})', 4)} as covariance, "
+        f"{r(f'corr({a}, {b})')} as correlation from bars group by 1"
+        for i, a in enumerate(PRICE_COLUMNS)
+        for b in PRICE_COLUMNS[i:]
+    ),
+)
+def pca_covariance(spark: SparkSession, folder: str) -> DataFrame:
+    table = linear.covariance(event_bars(spark, folder), ["symbol"], PRICE_COLUMNS)
+    return table.select(
+        "symbol", "a", "b", rounded("covariance", 4).alias("covariance"), rounded("correlation").alias("correlation")
+    )
+
+
+@query("pca_features")
+def pca_features(spark: SparkSession, folder: str) -> DataFrame:
+    table = stage(event_bars(spark, folder), "bars")
+    fit = stage(linear.pca_fit(table, ["symbol"], PRICE_COLUMNS, 2), "pca")
+    return linear.pca_scores(table, fit, ["symbol"], PRICE_COLUMNS, 2)
+
+
+@query("pca_loadings")
+def pca_loadings(spark: SparkSession, folder: str) -> DataFrame:
+    fit = linear.pca_fit(event_bars(spark, folder), ["symbol"], PRICE_COLUMNS, 2)
+    return fit.select("symbol", "component", "explained", "loading")
+
+
+@query("sequence_forecast")
+def sequence_forecast(spark: SparkSession, folder: str) -> DataFrame:
+    forecast = linear.sequence_forecast(event_bars(spark, folder), ["symbol"], ["date"], "close")
+    return _rounded_metrics(linear.forecast_errors(forecast, ["symbol"], "close"))
