@@ -56,3 +56,8 @@ def padded_tag(tag: Column | str, value: Column | str, width: int = 25) -> Colum
 
 def day_month_year(moment: Column | str) -> Column:
     return F.date_format(moment, "dd/MM/yyyy HH:mm:ss")
+
+
+def fill_missing_int(text: Column | str) -> Column:
+    """Integer from text with thousands commas; missing text counts as 0."""
+    return F.coalesce(to_int(text), F.lit(0))

@@ -6,7 +6,7 @@ import functools
 
 from pyspark.sql import DataFrame, SparkSession
 
-from tickloom.plans import model_queries, regression_queries, table_queries  # noqa: F401  (each registers its queries)
+from tickloom.plans import file_queries, model_queries, regression_queries, table_queries  # noqa: F401  (each registers its queries)
 from tickloom.plans.registry import ORACLES, QUERIES, Query
 
 
