@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from tickloom.functions.values import rounded
-from tickloom.operators import aggregate, knn, linear, rows
+from tickloom.operators import aggregate, knn, linear, rows, trees
 from tickloom.plans.checking_sql import BARS, HOUR, r
 from tickloom.plans.registry import query
 from tickloom.session import stage
@@ -127,7 +127,7 @@ def elastic_net_close(spark: SparkSession, folder: str) -> DataFrame:
 @query("l1_path_cv")
 def l1_path_cv(spark: SparkSession, folder: str) -> DataFrame:
     parts = rows.split_holdout(event_bars(spark, folder), hour_number() % 10)
-    folds = rows.kfold(parts, hour_number() % 7, 5)
+    folds = rows.kfold(parts, F.floor(hour_number() / 10), 5)
     return _rounded_metrics(linear.l1_path_cv(folds, ["symbol"], FEATURES, "close"))
 
 
@@ -165,3 +165,19 @@ def pca_loadings(spark: SparkSession, folder: str) -> DataFrame:
 def sequence_forecast(spark: SparkSession, folder: str) -> DataFrame:
     forecast = linear.sequence_forecast(event_bars(spark, folder), ["symbol"], ["date"], "close")
     return _rounded_metrics(linear.forecast_errors(forecast, ["symbol"], "close"))
+
+
+# --- boosted trees --------------------------------------------------------------------------
+
+
+def folded_bars(spark: SparkSession, folder: str) -> DataFrame:
+    return rows.kfold(split_bars(spark, folder), F.floor(hour_number() / 10), 5)
+
+
+@query("boosted_trees_l1")
+def boosted_trees_l1(spark: SparkSession, folder: str) -> DataFrame:
+    """All 21 leaf penalties and five folds, with small trees to keep the run short."""
+    found = trees.boosted_trees_l1(
+        folded_bars(spark, folder), ["symbol"], FEATURES, "close", trees=3, depth=2
+    )
+    return _rounded_metrics(found)

@@ -43,7 +43,8 @@ def scan_csv_infer(spark: SparkSession, path: str) -> DataFrame:
 
 def _header_lines(spark: SparkSession, path: str, skip_lines: int, most: int = 50) -> int:
     """Physical lines of the header record, which may hold line breaks inside quotes."""
-    head = [row[0] for row in spark.read.text(path).limit(skip_lines + most).collect()][skip_lines:]
+    start = spark.read.text(path).filter("_metadata.file_block_start = 0").limit(skip_lines + most)
+    head = [row[0] for row in start.collect()][skip_lines:]
     quotes = 0
     for count, line in enumerate(head, start=1):
         quotes += line.count('"')
