@@ -12,6 +12,9 @@ from functools import reduce
 
 import numpy as np
 import pandas as pd
+from pyspark.ml.evaluation import RegressionEvaluator
+from pyspark.ml.feature import VectorAssembler
+from pyspark.ml.regression import LinearRegression
 from pyspark.sql import DataFrame, functions as F, types as T
 
 from tickloom.operators.features import apply_minmax, fit_minmax, lag_window_features, mark_temporal
@@ -111,6 +114,34 @@ def penalised_line(data: Moments, penalty: float, mix: float) -> tuple[np.ndarra
     return coefficients, float(data.mean[-1] - coefficients @ data.mean[:-1])
 
 
+def elastic_net_mllib(
+    rows: DataFrame,
+    features: Sequence[str],
+    label: str,
+    penalty: float = ELASTIC_NET_PENALTY,
+    mix: float = ELASTIC_NET_MIX,
+    max_iter: int = 10,
+) -> list[tuple[str, str, str, float]]:
+    """MLlib's fit for the rows of one symbol, stopped after ``max_iter`` steps like the original program.
+
+    ``elastic_net`` is the converged solution of the same problem for all symbols in one job.
+    Returns metric rows ``(model, metric, param, value)``.
+    """
+    data = VectorAssembler(inputCols=list(features), outputCol="features", handleInvalid="skip").transform(
+        rows.select(*features, label, "is_test")
+    )
+    model = LinearRegression(
+        featuresCol="features", labelCol=label, maxIter=max_iter, regParam=penalty, elasticNetParam=mix
+    ).fit(data.filter("not is_test"))
+    judge = RegressionEvaluator(labelCol=label, metricName="mse")
+    name = f"elastic_net_{max_iter}"
+    out = [(name, "coefficient", f, float(c)) for f, c in zip(features, model.coefficients)]
+    out.append((name, "intercept", "", float(model.intercept)))
+    out.append((name, "train_mse", "", float(model.summary.meanSquaredError)))
+    out.append((name, "test_mse", "", float(judge.evaluate(model.transform(data.filter("is_test"))))))
+    return out
+
+
 def _per_group(parts: DataFrame, keys: Sequence[str], solve) -> DataFrame:
     """Run ``solve`` on the moment rows of each group (one per part) and emit metric rows."""
     key_fields = [parts.schema[k] for k in keys]
@@ -189,7 +220,8 @@ def l1_path_cv(
                 others = pooled(f for i, f in enumerate(folds) if i != held)
                 errors.append(fold.error(*penalised_line(others, penalty, 1.0)))
             scores.append(abs(float(np.mean(errors))))
-        best = int(np.argmin(scores))
+        # errors that agree to six digits are equal, and then the first penalty is kept
+        best = int(np.argmin(np.round(scores, 6)))
         train = pooled(folds)
         line = penalised_line(train, penalties[best], 1.0)
         out = [("l1_path", "cv_error", f"{p:.0e}", s) for p, s in zip(penalties, scores)]

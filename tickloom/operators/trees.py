@@ -55,9 +55,9 @@ def _best_splits(
     places = ", ".join(f"{i}, bin[{i}]" for i in range(features))
     histogram = (
         state.filter("in_train and node is not null")
-        .selectExpr(*config, "node", "n * pred - sy as g", "n", f"stack({features}, {places}) as (f, b)")
+        .selectExpr(*config, "node", "n * pred - sy as __g", "n", f"stack({features}, {places}) as (f, b)")
         .groupBy(*config, "node", "f", "b")
-        .agg(F.sum("g").alias("g"), F.sum("n").alias("h"))
+        .agg(F.sum("__g").alias("__g"), F.sum("n").alias("__h"))
     )
     # at most one row per bin in each window
     sides = histogram.selectExpr(
@@ -65,28 +65,28 @@ def _best_splits(
         "node",
         "f",
         "b",
-        f"sum(g) over (partition by {node}, f order by b) as gl",
-        f"sum(h) over (partition by {node}, f order by b) as hl",
-        f"sum(g) over (partition by {node}, f) as ga",
-        f"sum(h) over (partition by {node}, f) as ha",
-    ).filter("hl < ha")
-    gain = f"{_score('gl', 'hl', ridge)} + {_score('(ga - gl)', '(ha - hl)', ridge)} - {_score('ga', 'ha', ridge)}"
+        f"sum(__g) over (partition by {node}, f order by b) as __gl",
+        f"sum(__h) over (partition by {node}, f order by b) as __hl",
+        f"sum(__g) over (partition by {node}, f) as __ga",
+        f"sum(__h) over (partition by {node}, f) as __ha",
+    ).filter("__hl < __ha")
+    gain = f"{_score('__gl', '__hl', ridge)} + {_score('(__ga - __gl)', '(__ha - __hl)', ridge)} - {_score('__ga', '__ha', ridge)}"
     choice = sides.selectExpr(
         *config,
         "node",
         "f",
         "b",
         f"round({gain}, 9) as gain",
-        f"{_leaf('gl', 'hl', ridge, rate)} as left_weight",
-        f"{_leaf('(ga - gl)', '(ha - hl)', ridge, rate)} as right_weight",
+        f"{_leaf('__gl', '__hl', ridge, rate)} as left_weight",
+        f"{_leaf('(__ga - __gl)', '(__ha - __hl)', ridge, rate)} as right_weight",
     ).filter(f"gain > {MIN_GAIN!r}")
     best = F.expr("max_by(struct(f, b, left_weight, right_weight), struct(gain, -f, -b))")
     return choice.groupBy(*config, "node").agg(best.alias("best")).select(*config, "node", "best.*")
 
 
 def _root_weights(state: DataFrame, config: Sequence[str], ridge: float, rate: float) -> DataFrame:
-    totals = state.filter("in_train").groupBy(*config).agg(F.expr("sum(n * pred - sy) as g"), F.expr("sum(n) as h"))
-    return totals.selectExpr(*config, f"{_leaf('g', 'h', ridge, rate)} as root_weight")
+    totals = state.filter("in_train").groupBy(*config).agg(F.expr("sum(n * pred - sy) as __g"), F.expr("sum(n) as __h"))
+    return totals.selectExpr(*config, f"{_leaf('__g', '__h', ridge, rate)} as root_weight")
 
 
 def boosted_trees_l1(

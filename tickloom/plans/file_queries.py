@@ -2,10 +2,9 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession, Window, functions as F, types as T
+from pyspark.sql import DataFrame, SparkSession, functions as F, types as T
 
 from tickloom.functions.values import fill_missing_int, rounded
-from tickloom.operators import aggregate
 from tickloom.plans.checking_sql import BARS, PRICES, r
 from tickloom.plans.registry import query
 from tickloom.session import staging_path
@@ -166,14 +165,14 @@ def write_model_report(spark: SparkSession, folder: str) -> DataFrame:
 # --- streams --------------------------------------------------------------------------------
 
 
-def _event_stream(spark: SparkSession, folder: str) -> DataFrame:
+def event_stream(spark: SparkSession, folder: str) -> DataFrame:
     schema = read_table(spark, folder, "events").schema
     return streaming.stream_files(spark, folder, schema, "parquet", "events.parquet")
 
 
 @query("stream_count_by_date", "select cast(ts as date) as date, count(*) as count from events group by 1")
 def stream_count_by_date(spark: SparkSession, folder: str) -> DataFrame:
-    return streaming.run_counts(streaming.count_by_date(_event_stream(spark, folder), "ts"))
+    return streaming.run_counts(streaming.count_by_date(event_stream(spark, folder), "ts"))
 
 
 @query(
@@ -183,7 +182,7 @@ def stream_count_by_date(spark: SparkSession, folder: str) -> DataFrame:
 def stream_count_by_timestamp(spark: SparkSession, folder: str) -> DataFrame:
     """Keyed by the full bar time, as the reference declares it."""
     hour = F.date_trunc("hour", F.col("ts")).cast("timestamp_ntz")
-    return streaming.run_counts(streaming.count_by_date(_event_stream(spark, folder), "ts", hour))
+    return streaming.run_counts(streaming.count_by_date(event_stream(spark, folder), "ts", hour))
 
 
 @query(
@@ -193,13 +192,13 @@ def stream_count_by_timestamp(spark: SparkSession, folder: str) -> DataFrame:
 )
 def stream_count_watermark(spark: SparkSession, folder: str) -> DataFrame:
     """Days that the watermark (one day behind the newest event) has closed."""
-    return streaming.run_append(streaming.count_by_date(_event_stream(spark, folder), "ts", delay="1 day"))
+    return streaming.run_append(streaming.count_by_date(event_stream(spark, folder), "ts", delay="1 day"))
 
 
 @query("is_streaming", "select count(*) > 0 as is_streaming from events")
 def is_streaming(spark: SparkSession, folder: str) -> DataFrame:
     """Whether the declared count is a streaming plan, beside a proof that the batch table has rows."""
-    flag = streaming.count_by_date(_event_stream(spark, folder), "ts").isStreaming
+    flag = streaming.count_by_date(event_stream(spark, folder), "ts").isStreaming
     return read_table(spark, folder, "events").agg((F.count("*") > 0).alias("n")).select(
         (F.col("n") & F.lit(flag)).alias("is_streaming")
     )

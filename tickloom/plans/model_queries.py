@@ -2,14 +2,19 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable
+from concurrent.futures import ThreadPoolExecutor
+
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from tickloom.functions.values import rounded
 from tickloom.operators import aggregate, knn, linear, rows, trees
 from tickloom.plans.checking_sql import BARS, HOUR, r
+from tickloom.plans.file_queries import event_stream
 from tickloom.plans.registry import query
 from tickloom.session import stage
 from tickloom.sources.tables import PRICE_COLUMNS, event_bars, hour_number
+from tickloom.streaming.bars import count_by_date
 
 FEATURES = ["open", "high", "low", "volume"]
 NEIGHBOURS = 3
@@ -118,13 +123,97 @@ def _rounded_metrics(metrics: DataFrame, digits: int = 4) -> DataFrame:
     return metrics.select("symbol", "model", "metric", "param", rounded("value", digits).alias("value"))
 
 
-@query("elastic_net_close")
+_COLUMNS = [*FEATURES, "close"]
+_NO_HELD = -1
+
+
+def _descent_sql(train: str, keys: str, penalty: str, mix: float, rounds: int = 600) -> str:
+    """Coordinate descent written as a recursive query; ``train`` has the key columns and the bars' columns."""
+    p = len(FEATURES)
+    size = range(1, p + 2)
+    moments = ", ".join(
+        [f"avg({c}) as m{i}" for i, c in enumerate(_COLUMNS, 1)]
+        + [f"covar_pop({_COLUMNS[i - 1]}, {_COLUMNS[j - 1]}) as c{i}_{j}" for i in size for j in size if i <= j]
+    )
+
+    def c(i: int, j: int) -> str:
+        return f"c{min(i, j)}_{max(i, j)}"
+
+    unit = ", ".join(
+        [f"{c(i, j)} / sqrt({c(i, i)} * {c(j, j)}) as a{i}_{j}" for i in size for j in size if i != j]
+        + [f"sqrt({c(i, i)}) as s{i}" for i in size]
+    )
+    source = "(select * from descent join unit using (" + keys + ") where step < " + str(rounds) + ")"
+    for i in range(1, p + 1):
+        others = " - ".join(f"a{i}_{j} * {'n' if j < i else 'b'}{j}" for j in range(1, p + 1) if j != i)
+        pull = f"(a{i}_{p + 1} - {others})"
+        source = (
+            f"(select *, sign({pull}) * greatest(abs({pull}) - {penalty} * {mix!r}::double / s{p + 1}, 0) "
+            f"/ (1 + {penalty} * {1 - mix!r}::double / s{p + 1}) as n{i} from {source} q{i})"
+        )
+    new = ", ".join(f"n{i} as b{i}" for i in range(1, p + 1))
+    slopes = ", ".join(f"b{i} * s{p + 1} / s{i} as w{i}" for i in range(1, p + 1))
+    return f"""moments as materialized (select {keys}, count(*) as n, {moments} from {train} group by all),
+ unit as materialized (select *, {unit} from moments),
+ descent as (select {keys}, 0 as step, {", ".join(f"0e0 as b{i}" for i in range(1, p + 1))} from unit
+   union all select {keys}, step + 1, {new} from {source} q),
+ slopes as (select {keys}, m1, m2, m3, m4, m5, {slopes} from descent join unit using ({keys}) where step = {rounds}),
+ line as materialized (select *, m5 - {" - ".join(f"w{i} * m{i}" for i in range(1, p + 1))} as w0 from slopes)"""
+
+
+_ERROR = f"(close - w0 - {' - '.join(f'w{i} * {f}' for i, f in enumerate(FEATURES, 1))})"
+_MARKED = f"""{BARS}, marked as materialized (
+  select *, {HOUR} % 10 >= 7 as is_test, ({HOUR} // 10) % 5 as fold from bars)"""
+
+
+def _line_rows_sql(model: str, line: str, train: str, test: str) -> str:
+    """Metric rows of a fitted line per symbol."""
+    parts = [
+        f"select symbol, '{model}' as model, 'coefficient' as metric, '{f}' as param, {r(f'w{i}', 4)} as value from {line}"
+        for i, f in enumerate(FEATURES, 1)
+    ]
+    parts.append(f"select symbol, '{model}', 'intercept', '', {r('w0', 4)} from {line}")
+    parts.append(f"select symbol, '{model}', 'train_mse', '', {r(f'avg({_ERROR} * {_ERROR})', 4)} from {train} join {line} using (symbol) group by 1")
+    parts.append(
+        f"select symbol, '{model}', 'train_r2', '', {r(f'1 - avg({_ERROR} * {_ERROR}) / var_pop(close)', 4)} "
+        f"from {train} join {line} using (symbol) group by 1"
+    )
+    parts.append(f"select symbol, '{model}', 'test_mse', '', {r(f'avg({_ERROR} * {_ERROR})', 4)} from {test} join {line} using (symbol) group by 1")
+    return " union all ".join(parts)
+
+
+@query(
+    "elastic_net_close",
+    f"""with recursive {_MARKED}, train as (select * from marked where not is_test),
+ test as (select * from marked where is_test),
+ {_descent_sql("train", "symbol", repr(linear.ELASTIC_NET_PENALTY) + "::double", linear.ELASTIC_NET_MIX)}
+ {_line_rows_sql("elastic_net", "line", "train", "test")}""",
+)
 def elastic_net_close(spark: SparkSession, folder: str) -> DataFrame:
     parts = rows.split_holdout(event_bars(spark, folder), hour_number() % 10)
     return _rounded_metrics(linear.elastic_net(parts, ["symbol"], FEATURES, "close"))
 
 
-@query("l1_path_cv")
+_PENALTIES_SQL = ", ".join(f"({p!r}::double, '{p:.0e}')" for p in linear.PENALTIES)
+
+
+@query(
+    "l1_path_cv",
+    f"""with recursive {_MARKED}, tried(penalty, label) as (values {_PENALTIES_SQL}),
+ held(held) as (values ({_NO_HELD}), (0), (1), (2), (3), (4)),
+ train as (select penalty, held, marked.* from marked, tried, held where not is_test and fold <> held),
+ {_descent_sql("train", "symbol, penalty, held", "penalty", 1.0)},
+ fold_errors as (select symbol, penalty, held, avg({_ERROR} * {_ERROR}) as mse
+   from marked join line using (symbol) where not is_test and fold = held group by all),
+ scores as materialized (select symbol, penalty, abs(avg(mse)) as cv_error from fold_errors group by all),
+ best as materialized (select symbol, penalty from scores
+   qualify row_number() over (partition by symbol order by round(cv_error, 6), penalty) = 1),
+ chosen as materialized (select line.* from line join best using (symbol, penalty) where held = {_NO_HELD}),
+ all_train as (select * from marked where not is_test), test as (select * from marked where is_test)
+ select symbol, 'l1_path' as model, 'cv_error' as metric, label as param, {r('cv_error', 4)} as value from scores join tried using (penalty)
+ union all select symbol, 'l1_path', 'best_penalty', '', {r('penalty', 4)} from best
+ union all {_line_rows_sql("l1_path", "chosen", "all_train", "test")}""",
+)
 def l1_path_cv(spark: SparkSession, folder: str) -> DataFrame:
     parts = rows.split_holdout(event_bars(spark, folder), hour_number() % 10)
     folds = rows.kfold(parts, F.floor(hour_number() / 10), 5)
@@ -167,6 +256,29 @@ def sequence_forecast(spark: SparkSession, folder: str) -> DataFrame:
     return _rounded_metrics(linear.forecast_errors(forecast, ["symbol"], "close"))
 
 
+# --- one MLlib fit per symbol ---------------------------------------------------------------
+
+
+def _fit_each_symbol(parts: DataFrame, fit: Callable[[DataFrame], list[tuple]]) -> DataFrame:
+    """Metric rows of a model that MLlib fits one symbol at a time; the fits run side by side."""
+    symbols = [row[0] for row in parts.select("symbol").distinct().collect()]
+
+    def run(symbol: str) -> list[tuple]:
+        return [(symbol, *metric) for metric in fit(parts.filter(F.col("symbol") == symbol))]
+
+    with ThreadPoolExecutor(max_workers=4) as pool:
+        found = [row for part in pool.map(run, symbols) for row in part]
+    schema = "symbol string, model string, metric string, param string, value double"
+    return parts.sparkSession.createDataFrame(found, schema)
+
+
+@query("elastic_net_ten_steps")
+def elastic_net_ten_steps(spark: SparkSession, folder: str) -> DataFrame:
+    """The ten-step fit of the original program."""
+    parts = split_bars(spark, folder)
+    return _rounded_metrics(_fit_each_symbol(parts, lambda part: linear.elastic_net_mllib(part, FEATURES, "close")))
+
+
 # --- boosted trees --------------------------------------------------------------------------
 
 
@@ -181,3 +293,51 @@ def boosted_trees_l1(spark: SparkSession, folder: str) -> DataFrame:
         folded_bars(spark, folder), ["symbol"], FEATURES, "close", trees=3, depth=2
     )
     return _rounded_metrics(found)
+
+
+@query("boosted_trees_cv")
+def boosted_trees_cv(spark: SparkSession, folder: str) -> DataFrame:
+    """MLlib's trees with cross-validated minimum gain, small to keep the run short."""
+    return _rounded_metrics(
+        _fit_each_symbol(
+            folded_bars(spark, folder),
+            lambda part: trees.boosted_trees_cv(part, FEATURES, "close", (0.0, 30.0, 300.0), trees=3, depth=3),
+        )
+    )
+
+
+# --- all models together --------------------------------------------------------------------
+
+
+def all_metrics(spark: SparkSession, folder: str) -> DataFrame:
+    """Metric rows of the four model families for every symbol, from one written bar table."""
+    parts = folded_bars(spark, folder)
+    linear_rows = linear.elastic_net(parts, ["symbol"], FEATURES, "close")
+    neighbour = knn_choice(parts).filter("chosen_on = 'validation'").selectExpr(
+        "symbol", "'knn' as model", "stack(2, 'best_k', double(k), 'test_mse', test_mse) as (metric, value)"
+    ).selectExpr("symbol", "model", "metric", "'' as param", "value")
+    boosted = trees.boosted_trees_l1(parts, ["symbol"], FEATURES, "close", trees=3, depth=2)
+    sequence = linear.forecast_errors(
+        linear.sequence_forecast(parts, ["symbol"], ["date"], "close"), ["symbol"], "close"
+    )
+    return linear_rows.unionByName(neighbour).unionByName(boosted).unionByName(sequence)
+
+
+@query("per_symbol_report")
+def per_symbol_report(spark: SparkSession, folder: str) -> DataFrame:
+    return _rounded_metrics(all_metrics(spark, folder))
+
+
+@query("model_comparison")
+def model_comparison(spark: SparkSession, folder: str) -> DataFrame:
+    """Test errors side by side, the model with the least error, and whether the counts are streamed."""
+    models = ["elastic_net", "knn", "boosted_trees", "sequence"]
+    metrics = stage(
+        all_metrics(spark, folder).filter((F.col("metric") == "test_mse") & F.col("model").isin(models)), "metrics"
+    )
+    best = aggregate.argmin_first(metrics, ["symbol"], "model", "value").select("symbol", F.col("model").alias("best"))
+    streamed = count_by_date(event_stream(spark, folder), "ts").isStreaming
+    wide = metrics.groupBy("symbol").pivot("model", models).agg(F.first("value"))
+    return wide.join(best, "symbol").select(
+        "symbol", F.lit(streamed).alias("streaming"), *[rounded(m, 4).alias(m) for m in models], "best"
+    )

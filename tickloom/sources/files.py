@@ -149,10 +149,11 @@ def scan_flat_table(spark: SparkSession, path: str) -> DataFrame:
     numbered = attach(tokens.select("file", "block", "line", "token"), starts, ["file", "block"]).selectExpr(
         "file", "start + line as place", "token"
     )
-    # a comma at the very end of the file closes one more, empty token
-    length = per_block.groupBy("file").agg(
-        (F.sum("n") + (F.sum("bytes") == F.max("file_size")).cast("int")).alias("length")
-    )
+    # a comma at the very end of the file is followed by one more, empty token
+    closed = F.sum("bytes") == F.max("file_size")
+    length = per_block.groupBy("file").agg((F.sum("n") + closed.cast("int")).alias("length"), closed.alias("closed"))
+    numbered = numbered.unionByName(length.filter("closed").selectExpr("file", "length - 1 as place", "'' as token"))
+    length = length.drop("closed")
     width = numbered.filter("place = 0").selectExpr("file", "cast(token as int) as width")
     shaped = attach(numbered, stage(width.join(length, "file"), "flat-shape"), ["file"])
     headers = shaped.filter("place between 1 and width").selectExpr(
