@@ -9,7 +9,7 @@ from pyspark.sql import Column, DataFrame, Window, functions as F
 from tickloom.functions.values import nan_to_null
 
 # fixed value: sketch size of the approximate percentiles; ranks are exact up to about half as many rows per group
-PERCENTILE_ACCURACY = 100_000
+PERCENTILE_ACCURACY = 10_000
 
 
 def group_mean(df: DataFrame, key: str, columns: Sequence[str]) -> DataFrame:

@@ -50,11 +50,10 @@ def lag_window_features(
     """
     indexed = df if "row_idx" in df.columns else with_row_index(df, order_by, keys)
     blocks = windowed_blocks(indexed, lags, block_rows)
-    past = Window.partitionBy(*keys, "block").orderBy("row_idx").rowsBetween(-lags, -1)
-    # wrapped in a struct, because collect_list leaves out bare nulls
-    values = F.collect_list(F.struct(F.col(value).alias("v"))).over(past)
+    order = Window.partitionBy(*keys, "block").orderBy("row_idx")
+    past = F.array(*[F.lag(value, n).over(order) for n in range(lags, 0, -1)])
     return (
-        blocks.withColumn("window", values["v"])
+        blocks.withColumn("window", past)
         .filter(~F.col("is_halo") & (F.col("row_idx") >= lags))
         .drop("block", "is_halo")
     )

@@ -164,7 +164,7 @@ def nearest_neighbours(
         bounded = attach(bounded, nodes, space.node).select(
             *asked.columns, path.alias("path"), F.least("bound", reach).alias("bound")
         )
-    home = attach(bounded, cells.filter("piece = 0").drop("piece"), space.node, how="left")
+    home = attach(bounded, cells.filter("piece = 0").drop("piece"), space.node, how="left", salts=4)
     kth = F.get(_nearest(space, k), F.lit(k - 1))["d2"]
     bounded = stage(
         home.withColumn("bound", F.least("bound", kth) * _SLACK).drop("points", "path"), "knn-bounds"
@@ -184,7 +184,7 @@ def nearest_neighbours(
             visits = visits.selectExpr(*bounded.columns, "path", piece)
 
     found = (
-        attach(visits, cells, [*space.node, "piece"])
+        attach(visits, cells, [*space.node, "piece"], salts=4)
         .select(*keys, *features, F.explode(_nearest(space, k)).alias("hit"))
         .select(*keys, *features, "hit.*")
     )

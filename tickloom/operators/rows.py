@@ -6,7 +6,7 @@ from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
-from tickloom.operators.skew import with_row_index
+from tickloom.operators.skew import attach, with_row_index
 
 
 def rename_positional(df: DataFrame, names: Sequence[str]) -> DataFrame:
@@ -63,8 +63,9 @@ def filter_threshold(df: DataFrame, value: str, limit: float = 3.0) -> DataFrame
 
 
 def filter_isin(df: DataFrame, wanted: DataFrame, keys: Sequence[str]) -> DataFrame:
-    """Rows whose key occurs in ``wanted`` (reduced to its distinct keys first)."""
-    return df.join(wanted.select(*keys).distinct(), list(keys), "left_semi")
+    """Rows whose key occurs in ``wanted`` (reduced to its distinct keys first); null is in no list."""
+    listed = wanted.select(*keys).dropna().distinct()
+    return attach(df, listed, keys, how="left_semi")
 
 
 def add_constant(df: DataFrame, name: str = "const") -> DataFrame:

@@ -28,12 +28,12 @@ def staging_root(spark: SparkSession) -> str:
     """Folder named by ``spark.checkpoint.dir``; a temporary one only in local mode."""
     context = spark.sparkContext
     configured = spark.conf.get("spark.checkpoint.dir", None) or context.getCheckpointDir()
-    if configured:
-        return configured.rstrip("/")
-    if not context.master.startswith("local"):
-        raise ValueError("set spark.checkpoint.dir to a folder that every executor can reach")
-    spark.conf.set("spark.checkpoint.dir", tempfile.mkdtemp(prefix="tickloom-"))
-    return spark.conf.get("spark.checkpoint.dir")
+    if not configured:
+        if not context.master.startswith("local"):
+            raise ValueError("set spark.checkpoint.dir to a folder that every executor can reach")
+        context.setCheckpointDir(tempfile.mkdtemp(prefix="tickloom-"))
+        configured = context.getCheckpointDir()
+    return configured.rstrip("/")
 
 
 def staging_path(spark: SparkSession, label: str) -> str:
