@@ -2,9 +2,9 @@
 
 Training rows are split into small cells by repeated quantile cuts, one feature after the other.
 A query first looks into its own cell, which bounds the distance of its k-th neighbour, and then
-visits only the cells that its bound reaches. Cuts and cell boxes are small written tables; rows of
-a cell travel as one array of at most about ``cell_rows`` points. Copies of one point are reduced
-to the ``k`` with the smallest ids, as no others can be among the neighbours.
+visits only the cells that its bound reaches; pairs beyond the bound are dropped inside that join.
+Cuts and cell boxes are small written tables. Copies of one point are reduced to the ``k`` with the
+smallest ids, as no others can be among the neighbours.
 """
 
 from __future__ import annotations
@@ -19,6 +19,7 @@ from tickloom.operators.skew import attach
 from tickloom.session import stage
 
 _GRID = 64  # most cuts made at one level
+_FEW_PARTS = 8  # parts per level below which a node is cut along fewer features
 _SLACK = 1.0 + 1e-9  # keeps rounding from excluding a cell at the exact distance
 
 
@@ -36,7 +37,8 @@ class _Space:
         return " + ".join(f"{s} * {s}" for s in scaled)
 
     def distance_sq(self, point: str) -> str:
-        return self._squares(f"@ - {point}.@")
+        """``point`` is the column name of a feature of the training point, ``@`` standing for the feature."""
+        return self._squares(f"@ - {point}")
 
     def box_nearest_sq(self) -> str:
         return self._squares("greatest(@__min - @, @ - @__max, 0e0)")
@@ -48,11 +50,14 @@ class _Space:
 def _describe_nodes(points: DataFrame, space: _Space, depth: int, cell_rows: int) -> DataFrame:
     """Row count, box and cut values of every node of one level."""
     feature = space.features[depth % len(space.features)]
-    left = max(len(space.features) - depth, 1)
+    ahead = max(len(space.features) - depth, 1)
     boxes = [m(f).alias(f"{f}__{n}") for f in space.features for n, m in (("min", F.min), ("max", F.max))]
     quantiles = F.percentile_approx(feature, [i / _GRID for i in range(1, _GRID)], 10_000)
     nodes = points.groupBy(*space.node).agg(F.count("*").alias("n"), *boxes, quantiles.alias("grid"))
-    parts = F.least(F.lit(_GRID), F.ceil(F.pow(F.col("n") / cell_rows, F.lit(1.0 / left)))).cast("int")
+    # a node far too large is cut a little along each feature ahead, a smaller one more along fewer
+    wanted = f"(n / {cell_rows})"
+    levels = f"greatest(1, least({ahead}, ceil(ln({wanted}) / ln({_FEW_PARTS}))))"
+    parts = F.expr(f"cast(least({_GRID}, ceil(power({wanted}, 1e0 / {levels}))) as int)")
     chosen = F.expr(
         f"transform(sequence(1, parts - 1), i -> grid[cast(ceil(i * {_GRID} / parts) as int) - 1])"
     )
@@ -95,12 +100,6 @@ def _build_cells(points: DataFrame, space: _Space, cell_rows: int) -> tuple[Data
         )
 
 
-def _nearest(space: _Space, k: int) -> Column:
-    """The k nearest of the points array, as sorted ``(d2, id, label)``."""
-    scored = f"transform(points, p -> struct({space.distance_sq('p')} as d2, p.id, p.label))"
-    return F.expr(f"slice(array_sort({scored}), 1, {k})")
-
-
 def nearest_neighbours(
     train: DataFrame,
     queries: DataFrame,
@@ -109,7 +108,7 @@ def nearest_neighbours(
     train_id: str,
     label: str,
     k: int,
-    cell_rows: int = 256,
+    cell_rows: int = 64,
 ) -> DataFrame:
     """The k nearest training rows of every distinct query point, ``rank`` from 1.
 
@@ -142,16 +141,15 @@ def nearest_neighbours(
     )
     points, levels = _build_cells(points, space, cell_rows)
 
-    # points of each cell; a cell that no cut could divide comes in several pieces
-    sizes = levels[-1].select(*space.node, F.ceil(F.col("n") / cell_rows).alias("pieces"))
-    pieces = attach(points, sizes, space.node).withColumn(
-        "piece", F.pmod(F.xxhash64("id", "label"), F.col("pieces"))
-    )
-    cells = stage(
-        pieces.groupBy(*space.node, "piece").agg(
-            F.collect_list(F.struct(*features, "id", "label")).alias("points")
-        ),
-        "knn-cells",
+    # up to about cell_rows points of each cell, all of them unless no cut could divide it; they
+    # only bound the k-th distance
+    sizes = levels[-1].selectExpr(*space.node, f"ceil(n / {cell_rows}) as pieces")
+    sample = stage(
+        attach(points, sizes, space.node)
+        .filter("pmod(xxhash64(id, label), pieces) = 0")
+        .groupBy(*space.node)
+        .agg(F.collect_list(F.struct(*features)).alias("sample")),
+        "knn-sample",
     )
 
     asked = stage(
@@ -164,10 +162,12 @@ def nearest_neighbours(
         bounded = attach(bounded, nodes, space.node).select(
             *asked.columns, path.alias("path"), F.least("bound", reach).alias("bound")
         )
-    home = attach(bounded, cells.filter("piece = 0").drop("piece"), space.node, how="left", salts=4)
-    kth = F.get(_nearest(space, k), F.lit(k - 1))["d2"]
+    seen = f"array_sort(transform(sample, p -> {space.distance_sq('p.@')}))"
     bounded = stage(
-        home.withColumn("bound", F.least("bound", kth) * _SLACK).drop("points", "path"), "knn-bounds"
+        attach(bounded, sample, space.node, how="left", salts=4)
+        .withColumn("bound", F.expr(f"least(bound, get({seen}, {k - 1})) * {_SLACK!r}"))
+        .drop("sample", "path"),
+        "knn-bounds",
     )
 
     visits = bounded.withColumn("path", F.lit(""))
@@ -178,15 +178,14 @@ def nearest_neighbours(
             reach = f"sqrt(bound) * {f}__range * {_SLACK!r}"
             slabs = f"sequence({_slab(f'{f} - {reach}')}, {_slab(f'{f} + {reach}')})"
             visits = visits.selectExpr("*", f"explode({slabs}) as slab").withColumn("path", _child("slab"))
-            visits = visits.select(*bounded.columns, "path")
-        else:
-            piece = f"explode(sequence(0, ceil(n / {cell_rows}) - 1)) as piece"
-            visits = visits.selectExpr(*bounded.columns, "path", piece)
+        visits = visits.select(*bounded.columns, "path")
 
+    distance = space.distance_sq("@__point")
+    candidates = points.selectExpr(*space.node, "id", "label", *[f"{f} as {f}__point" for f in features])
     found = (
-        attach(visits, cells, [*space.node, "piece"], salts=4)
-        .select(*keys, *features, F.explode(_nearest(space, k)).alias("hit"))
-        .select(*keys, *features, "hit.*")
+        attach(visits, candidates, space.node, salts=4)
+        .filter(f"{distance} <= bound")
+        .selectExpr(*keys, *features, f"{distance} as d2", "id", "label")
     )
     order = Window.partitionBy(*keys, *features).orderBy("d2", "id")
     return found.withColumn("rank", F.row_number().over(order)).filter(F.col("rank") <= k)
@@ -200,7 +199,7 @@ def knn_predict(
     train_id: str,
     label: str,
     k: int,
-    cell_rows: int = 256,
+    cell_rows: int = 64,
 ) -> DataFrame:
     """Query rows with the mean label of their 1, 2, ... k nearest as ``pred_1`` ... ``pred_k``."""
     hits = nearest_neighbours(train, queries, keys, features, train_id, label, k, cell_rows)
