@@ -117,7 +117,9 @@ def boosted_trees_l1(
     )
     start = cells.selectExpr("*", f"explode(array({held})) as held").filter("not is_test and fold <> held")
     base = stage(start.groupBy(*keys, "held").agg(F.expr("sum(sy) / sum(n) as pred")), "tree-base")
-    state = stage(attach(spread, base, [*keys, "held"]), "tree-state")
+    # cells of one configuration lie together, in a few pieces, so histograms combine before they move
+    pieces = [*config, F.expr("pmod(hash(bin), 4)")]
+    state = stage(attach(spread, base, [*keys, "held"]).repartition(*pieces), "tree-state")
     carried = state.columns
     for _ in range(trees):
         roots = stage(_root_weights(state, config, ridge, rate), "tree-roots")
