@@ -50,10 +50,9 @@ def with_row_index(
     takes its position inside its partition, and one small table of rows per (key, partition)
     gives the start of each run. ``order_by`` must identify a row within its key.
     """
-    partitions = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     sort = [*keys, *order_by]
     placed = stage(
-        df.repartitionByRange(partitions, *sort)
+        df.repartitionByRange(*sort)
         .sortWithinPartitions(*sort)
         .withColumn("__at", F.monotonically_increasing_id()),
         "row-index",

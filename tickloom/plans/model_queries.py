@@ -237,17 +237,82 @@ def pca_covariance(spark: SparkSession, folder: str) -> DataFrame:
     )
 
 
-@query("pca_features")
+def _power_sql(components: int = 2, rounds: int = 400) -> str:
+    """Leading eigenvectors of the correlation matrix by power iteration, taking each off the matrix in turn."""
+    size = range(len(PRICE_COLUMNS))
+
+    def cell(i: int, j: int) -> str:
+        return f"a{min(i, j)}_{max(i, j)}"
+
+    cells = [(i, j) for i in size for j in size if i <= j]
+    parts = [
+        "m1 as materialized (select symbol, "
+        + ", ".join(f"corr({PRICE_COLUMNS[i]}, {PRICE_COLUMNS[j]}) as a{i}_{j}" for i, j in cells)
+        + " from bars group by 1)"
+    ]
+    for c in range(1, components + 1):
+        times = [" + ".join(f"{cell(i, j)} * v{j}" for j in size) for i in size]
+        step = ", ".join(f"{t} as w{i}" for i, t in enumerate(times))
+        norm = "sqrt(" + " + ".join(f"w{i} * w{i}" for i in size) + ")"
+        start = ", ".join(f"{1.0 + i}::double as v{i}" for i in size)
+        parts.append(
+            f"p{c} as (select symbol, 0 as step, {start} from m{c} union all "
+            f"select symbol, step + 1, {', '.join(f'w{i} / {norm} as v{i}' for i in size)} "
+            f"from (select symbol, step, {step} from p{c} join m{c} using (symbol) where step < {rounds}) q)"
+        )
+        largest = f"greatest({', '.join(f'abs(v{i})' for i in size)})"
+        sign = "case " + " ".join(f"when abs(v{i}) = {largest} then sign(v{i})" for i in size) + " end"
+        value = " + ".join(f"v{i} * ({t})" for i, t in enumerate(times))
+        parts.append(
+            f"e{c} as materialized (select symbol, {', '.join(f'v{i} * ({sign}) as v{i}' for i in size)}, {value} as eigenvalue "
+            f"from p{c} join m{c} using (symbol) where step = {rounds})"
+        )
+        rest = ", ".join(f"a{i}_{j} - eigenvalue * v{i} * v{j} as a{i}_{j}" for i, j in cells)
+        parts.append(f"m{c + 1} as materialized (select symbol, {rest} from m{c} join e{c} using (symbol))")
+    return ", ".join(parts)
+
+
+def _scores_sql() -> str:
+    units = ", ".join(f"avg({c}) as mean_{c}, stddev_samp({c}) as sd_{c}" for c in PRICE_COLUMNS)
+    score = " + ".join(f"({c} - mean_{c}) / sd_{c} * v{i}" for i, c in enumerate(PRICE_COLUMNS))
+    first = f"one as (select symbol, date, {score} as pc_1 from bars join units using (symbol) join e1 using (symbol))"
+    second = f"two as (select symbol, date, {score} as pc_2 from bars join units using (symbol) join e2 using (symbol))"
+    return (
+        f"units as (select symbol, {units} from bars group by 1), {first}, {second} "
+        f"select symbol, date, {r('pc_1', 4)} as pc_1, {r('pc_2', 4)} as pc_2 from one join two using (symbol, date)"
+    )
+
+
+@query("pca_features", f"with recursive {BARS}, {_power_sql()}, {_scores_sql()}")
 def pca_features(spark: SparkSession, folder: str) -> DataFrame:
+    """Scores of every bar on the first two components."""
     table = stage(event_bars(spark, folder), "bars")
     fit = stage(linear.pca_fit(table, ["symbol"], PRICE_COLUMNS, 2), "pca")
-    return linear.pca_scores(table, fit, ["symbol"], PRICE_COLUMNS, 2)
+    scores = linear.pca_scores(table, fit, ["symbol"], PRICE_COLUMNS, 2)
+    return scores.select("symbol", "date", *[rounded(c, 4).alias(c) for c in ("pc_1", "pc_2")])
 
 
-@query("pca_loadings")
+@query(
+    "pca_loadings",
+    f"with recursive {BARS}, {_power_sql()} "
+    + " union all ".join(
+        f"select symbol, {c} as component, '{name}' as price, {r(f'v{i}', 4)} as loading, "
+        f"{r(f'eigenvalue / {len(PRICE_COLUMNS)}', 4)} as explained from e{c}"
+        for c in (1, 2)
+        for i, name in enumerate(PRICE_COLUMNS)
+    ),
+)
 def pca_loadings(spark: SparkSession, folder: str) -> DataFrame:
     fit = linear.pca_fit(event_bars(spark, folder), ["symbol"], PRICE_COLUMNS, 2)
-    return fit.select("symbol", "component", "explained", "loading")
+    names = F.array(*[F.lit(c) for c in PRICE_COLUMNS])
+    long = fit.select("symbol", "component", "explained", F.explode(F.arrays_zip(names.alias("price"), "loading")).alias("z"))
+    return long.select(
+        "symbol",
+        "component",
+        F.col("z.price").alias("price"),
+        rounded("z.loading", 4).alias("loading"),
+        rounded("explained", 4).alias("explained"),
+    )
 
 
 @query("sequence_forecast")
