@@ -4,12 +4,18 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
+from pyspark.ml.feature import VectorAssembler
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from tickloom.functions.values import minmax, minmax_inverse
 from tickloom.operators.skew import attach, windowed_blocks, with_row_index
 
 
+def assemble(df: DataFrame, columns: Sequence[str], name: str = "features") -> DataFrame:
+    """Vector column for MLlib; rows with a null among ``columns`` are left out."""
+    return VectorAssembler(inputCols=list(columns), outputCol=name, handleInvalid="skip").transform(df)
+
+
 def fit_minmax(
     df: DataFrame, keys: Sequence[str], columns: Sequence[str], where: Column | None = None
 ) -> DataFrame:

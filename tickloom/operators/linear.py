@@ -13,11 +13,10 @@ from functools import reduce
 import numpy as np
 import pandas as pd
 from pyspark.ml.evaluation import RegressionEvaluator
-from pyspark.ml.feature import VectorAssembler
 from pyspark.ml.regression import LinearRegression
 from pyspark.sql import DataFrame, functions as F, types as T
 
-from tickloom.operators.features import apply_minmax, fit_minmax, lag_window_features, mark_temporal
+from tickloom.operators.features import apply_minmax, assemble, fit_minmax, lag_window_features, mark_temporal
 from tickloom.operators.skew import attach, windowed_blocks, with_row_index
 from tickloom.session import stage
 
@@ -155,9 +154,7 @@ def elastic_net_mllib(
     ``elastic_net`` is the converged solution of the same problem for all symbols in one job.
     Returns metric rows ``(model, metric, param, value)``.
     """
-    data = VectorAssembler(inputCols=list(features), outputCol="features", handleInvalid="skip").transform(
-        rows.select(*features, label, "is_test")
-    )
+    data = assemble(rows.select(*features, label, "is_test"), features)
     model = LinearRegression(
         featuresCol="features", labelCol=label, maxIter=max_iter, regParam=penalty, elasticNetParam=mix
     ).fit(data.filter("not is_test"))
@@ -222,6 +219,22 @@ def elastic_net(
     return _per_group(parts, keys, solve)
 
 
+def predict(rows: DataFrame, metrics: DataFrame, keys: Sequence[str], features: Sequence[str]) -> DataFrame:
+    """Adds ``prediction`` of a linear model given by its metric rows."""
+
+    def pick(metric: str, param: str) -> str:
+        return f"max(case when metric = '{metric}' and param = '{param}' then value end)"
+
+    line = metrics.groupBy(*keys).agg(
+        F.expr(pick("intercept", "")).alias("__intercept"),
+        *[F.expr(pick("coefficient", f)).alias(f"__weight_{i}") for i, f in enumerate(features)],
+    )
+    terms = " + ".join(["__intercept", *[f"__weight_{i} * `{f}`" for i, f in enumerate(features)]])
+    return attach(rows, stage(line, "line"), keys).selectExpr(
+        *[f"`{c}`" for c in rows.columns], f"{terms} as prediction"
+    )
+
+
 def l1_path_cv(
     rows: DataFrame,
     keys: Sequence[str],

@@ -12,11 +12,11 @@ from __future__ import annotations
 from collections.abc import Sequence
 
 from pyspark.ml.evaluation import RegressionEvaluator
-from pyspark.ml.feature import VectorAssembler
 from pyspark.ml.regression import GBTRegressor
 from pyspark.ml.tuning import CrossValidator, ParamGridBuilder
 from pyspark.sql import DataFrame, functions as F
 
+from tickloom.operators.features import assemble
 from tickloom.operators.linear import PENALTIES
 from tickloom.operators.skew import attach
 from tickloom.session import stage
@@ -175,9 +175,7 @@ def boosted_trees_cv(
     MLlib has no leaf penalty, so this tunes its nearest relative; ``boosted_trees_l1`` searches the
     penalty itself. Returns metric rows ``(model, metric, param, value)``.
     """
-    data = VectorAssembler(inputCols=list(features), outputCol="features", handleInvalid="skip").transform(
-        rows.select(*features, label, "is_test", "fold")
-    )
+    data = assemble(rows.select(*features, label, "is_test", "fold"), features)
     train, test = data.filter("not is_test").cache(), data.filter("is_test")
     trainer = GBTRegressor(labelCol=label, maxIter=trees, maxDepth=depth, seed=42)
     grid = ParamGridBuilder().addGrid(trainer.minInfoGain, list(min_gains)).build()

@@ -162,6 +162,17 @@ def write_model_report(spark: SparkSession, folder: str) -> DataFrame:
     return table.select("symbol", "model", "metric", "param", rounded("value", 4).alias("value"))
 
 
+@query(
+    "write_text_report",
+    f"with {BARS} select symbol || ' bars: ' || cast(count(*) as varchar) as line from bars group by symbol",
+)
+def write_text_report(spark: SparkSession, folder: str) -> DataFrame:
+    path = staging_path(spark, "report")
+    counts = event_bars(spark, folder).groupBy("symbol").agg(F.count("*").alias("n"))
+    files.write_text_report(counts.select(F.concat("symbol", F.lit(" bars: "), "n").alias("line")), path)
+    return files.scan_text_lines(spark, path)
+
+
 # --- streams --------------------------------------------------------------------------------
 
 
@@ -170,6 +181,14 @@ def event_stream(spark: SparkSession, folder: str) -> DataFrame:
     return streaming.stream_files(spark, folder, schema, "parquet", "events.parquet")
 
 
+@query("stream_bars", f"with {BARS} select date, {_PRICES_SQL} from bars")
+def stream_bars(spark: SparkSession, folder: str) -> DataFrame:
+    """All bars through a CSV file stream, one file per micro-batch."""
+    stream = streaming.stream_files(spark, _bar_file(spark, folder), files.BAR_SCHEMA, pattern="*.csv")
+    table = streaming.run_append(stream.select("date", *PRICES), "streamed-bars")
+    return table.withColumn("date", F.col("date").cast("timestamp_ntz"))
+
+
 @query("stream_count_by_date", "select cast(ts as date) as date, count(*) as count from events group by 1")
 def stream_count_by_date(spark: SparkSession, folder: str) -> DataFrame:
     return streaming.run_counts(streaming.count_by_date(event_stream(spark, folder), "ts"))

@@ -9,7 +9,8 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from tickloom.functions.values import rounded
 from tickloom.operators import aggregate, knn, linear, rows, trees
-from tickloom.plans.checking_sql import BARS, HOUR, r
+from tickloom.operators.skew import attach
+from tickloom.plans.checking_sql import BARS, HOUR, PARTED, r
 from tickloom.plans.file_queries import event_stream
 from tickloom.plans.registry import query
 from tickloom.session import stage
@@ -67,6 +68,25 @@ def knn_regress(spark: SparkSession, folder: str) -> DataFrame:
     )
 
 
+@query(
+    "nearest_neighbour_join",
+    f"""with {_PARTS}, ranges as (select symbol, {_RANGES} from train group by 1)
+ select q.symbol, q.date, t.date as neighbour, {r('t.close')} as label, {r(_DISTANCE)} as distance_sq,
+   cast(row_number() over (partition by q.symbol, q.date order by {_DISTANCE}, t.date) as integer) as rank
+ from test q join train t using (symbol) join ranges using (symbol) qualify rank <= {NEIGHBOURS}""",
+)
+def nearest_neighbour_join(spark: SparkSession, folder: str) -> DataFrame:
+    """The three nearest training bars of every test bar."""
+    parts = split_bars(spark, folder)
+    test = parts.filter("is_test")
+    hits = knn.nearest_neighbours(
+        parts.filter(~F.col("is_test")), test, ["symbol"], FEATURES, "date", "close", NEIGHBOURS
+    ).withColumnRenamed("id", "neighbour")
+    return attach(test.select("symbol", "date", *FEATURES), hits, ["symbol", *FEATURES]).select(
+        "symbol", "date", "neighbour", rounded("label").alias("label"), rounded("d2").alias("distance_sq"), "rank"
+    )
+
+
 @query(
     "knn_errors",
     f"with {_PARTS}, {_neighbour_sql('train', 'test')} select symbol, k, {r('avg((close - pred) * (close - pred))', 4)} as mse "
@@ -194,6 +214,21 @@ def elastic_net_close(spark: SparkSession, folder: str) -> DataFrame:
     return _rounded_metrics(linear.elastic_net(parts, ["symbol"], FEATURES, "close"))
 
 
+@query(
+    "predict",
+    f"""with recursive {_MARKED}, train as (select * from marked where not is_test),
+ {_descent_sql("train", "symbol", repr(linear.ELASTIC_NET_PENALTY) + "::double", linear.ELASTIC_NET_MIX)}
+ select symbol, date, {r('close')} as close, {r(f'close - {_ERROR}', 4)} as prediction
+ from marked join line using (symbol) where is_test""",
+)
+def predict(spark: SparkSession, folder: str) -> DataFrame:
+    """Elastic-net predictions of the test bars."""
+    parts = split_bars(spark, folder)
+    fitted = linear.elastic_net(parts, ["symbol"], FEATURES, "close")
+    table = linear.predict(parts.filter("is_test"), fitted, ["symbol"], FEATURES)
+    return table.select("symbol", "date", rounded("close").alias("close"), rounded("prediction", 4).alias("prediction"))
+
+
 _PENALTIES_SQL = ", ".join(f"({p!r}::double, '{p:.0e}')" for p in linear.PENALTIES)
 
 
@@ -321,6 +356,24 @@ def sequence_forecast(spark: SparkSession, folder: str) -> DataFrame:
     return _rounded_metrics(linear.forecast_errors(forecast, ["symbol"], "close"))
 
 
+@query(
+    "sequence_forecast_one_lag",
+    f"""with {PARTED}, lagged as (select *, lag(close) over (partition by symbol order by date) as previous from parted),
+ line as (select symbol, regr_slope(close, previous) as b, regr_intercept(close, previous) as a
+   from lagged where not is_test and row_idx >= 1 group by 1),
+ scored as (select symbol, row_idx - first_test as step, close - (a + b * previous) as e, close - previous as p
+   from lagged join line using (symbol) where is_test)
+ select symbol, 'sequence' as model, 'test_mse' as metric, '' as param, {r('avg(e * e) filter (where step < 20)', 4)} as value from scored group by 1
+ union all select symbol, 'sequence', 'test_mse_all', '', {r('avg(e * e)', 4)} from scored group by 1
+ union all select symbol, 'persistence', 'test_mse', '', {r('avg(p * p) filter (where step < 20)', 4)} from scored group by 1
+ union all select symbol, 'persistence', 'test_mse_all', '', {r('avg(p * p)', 4)} from scored group by 1""",
+)
+def sequence_forecast_one_lag(spark: SparkSession, folder: str) -> DataFrame:
+    """The forecast with one lag, which has a closed form to check against."""
+    forecast = linear.sequence_forecast(event_bars(spark, folder), ["symbol"], ["date"], "close", lags=1)
+    return _rounded_metrics(linear.forecast_errors(forecast, ["symbol"], "close"))
+
+
 # --- one MLlib fit per symbol ---------------------------------------------------------------
 
 

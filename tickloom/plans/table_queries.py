@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from pyspark.ml.functions import vector_to_array
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 from tickloom.functions.values import (
@@ -447,6 +448,15 @@ def tail_with_context(spark: SparkSession, folder: str) -> DataFrame:
     return tail.select("symbol", "date", "close", *_window_columns())
 
 
+@query("assemble", f"with {BARS} select symbol, date, open, high, low, volume, 4 as width from bars")
+def assemble(spark: SparkSession, folder: str) -> DataFrame:
+    """The four features as one vector, shown as columns again."""
+    names = ["open", "high", "low", "volume"]
+    table = features.assemble(event_bars(spark, folder), names)
+    values = table.select("symbol", "date", vector_to_array("features").alias("v"))
+    return values.select("symbol", "date", *[F.col("v")[i].alias(c) for i, c in enumerate(names)], F.size("v").alias("width"))
+
+
 # --- scalar functions -----------------------------------------------------------------------
 
 
@@ -454,7 +464,7 @@ def tail_with_context(spark: SparkSession, folder: str) -> DataFrame:
     "scalar_text",
     r"""select page_id, coalesce(list_extract(regexp_extract_all(url, '[^/.](\.[^./]*)$', 1), 1), '') as extension,
   trim(split_part(url, '/', 3)) as host, len(string_split(url, '/')) as parts,
-  concat(rpad('page', 25, ' '), ': ', url) as line from pages""",
+  concat(rpad('page', 25, ' '), ': ', url) as line, decode(encode(html)) as decoded, trim(url, 'htps:/') as bare from pages""",
 )
 def scalar_text(spark: SparkSession, folder: str) -> DataFrame:
     pages = read_table(spark, folder, "pages")
@@ -465,6 +475,8 @@ def scalar_text(spark: SparkSession, folder: str) -> DataFrame:
         F.coalesce(F.trim(F.get(parts, F.lit(2))), F.lit("")).alias("host"),
         F.size(parts).cast("bigint").alias("parts"),
         padded_tag(F.lit("page"), F.col("url")).alias("line"),
+        F.decode(F.encode("html", "UTF-8"), "UTF-8").alias("decoded"),
+        F.btrim("url", F.lit("htps:/")).alias("bare"),
     )
 
 
