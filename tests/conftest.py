@@ -20,4 +20,4 @@ def spark():
 
 @pytest.fixture(scope="session")
 def tables() -> str:
-    return os.environ.get("TICKLOOM_TABLES", "/root/testdata/sf0.001")
+    return os.environ.get("TICKLOOM_TABLES", "/root/testdata/sf0.01")
