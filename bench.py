@@ -11,7 +11,7 @@ import os
 import time
 
 from tickloom import plans
-from tickloom.session import local_session
+from tickloom.session import clear_staged, local_session
 
 HEADLINE = [
     "bars",
@@ -51,6 +51,7 @@ def main() -> None:
             start = time.perf_counter()
             run[name](spark, folder).write.format("noop").mode("overwrite").save()
             times.append(time.perf_counter() - start)
+            clear_staged(spark)
         seconds[name] = round(min(times), 3)
     total = round(sum(seconds.values()), 3)
     scale = os.path.basename(folder.rstrip("/")).removeprefix("sf")

@@ -7,7 +7,7 @@ import pytest
 
 sys.path[:0] = [os.path.dirname(os.path.dirname(os.path.abspath(__file__))), os.path.dirname(os.path.abspath(__file__))]
 
-from tickloom.session import local_session  # noqa: E402
+from tickloom.session import clear_staged, local_session  # noqa: E402
 
 
 @pytest.fixture(scope="session")
@@ -15,6 +15,7 @@ def spark():
     session = local_session("8")
     session.sparkContext.setLogLevel("ERROR")
     yield session
+    clear_staged(session)
     session.stop()
 
 

@@ -121,6 +121,21 @@ def test_describe_matches_summary(spark):
     assert np.isclose(row["stddev"], text["stddev"]) and row["p25"] == text["25%"]
 
 
+def test_exact_median_of_large_and_small_groups(spark, monkeypatch):
+    monkeypatch.setattr(aggregate, "MEDIAN_ACCURACY", 100)
+    rng = np.random.default_rng(2)
+    data = pd.concat(
+        [
+            pd.DataFrame({"k": "odd", "v": rng.normal(size=5001)}),
+            pd.DataFrame({"k": "even", "v": rng.exponential(size=4000)}),
+            pd.DataFrame({"k": "ties", "v": np.repeat([1.0, 2.0, 3.0], [1500, 900, 600])}),
+            pd.DataFrame({"k": "small", "v": [4.0, 1.0, 2.0, 3.0]}),
+        ]
+    )
+    got = aggregate.exact_median(spark.createDataFrame(data), ["k"], "v").toPandas().set_index("k")["median"]
+    assert np.allclose(got[["odd", "even", "ties", "small"]], data.groupby("k")["v"].median()[["odd", "even", "ties", "small"]], atol=0)
+
+
 # --- files ----------------------------------------------------------------------------------
 
 _FIVE = "5,\nHigh, Low, Pred, Error, MSE,\n2, 3, 4, 5, 6,\n2, 2, 4, 6, 6,\n2, 9, 4, 5, 6,\n2, 3, 8, 4, 6"

@@ -7,9 +7,13 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from tickloom.functions.values import nan_to_null
+from tickloom.operators.skew import attach
+from tickloom.session import stage
 
-# fixed value: sketch size of the approximate percentiles; ranks are exact up to about half as many rows per group
+# fixed values: sketch sizes; ranks are exact up to half as many rows per group, beyond that they are
+# off by at most the rows divided by the size
 PERCENTILE_ACCURACY = 10_000
+MEDIAN_ACCURACY = 200_000
 
 
 def group_mean(df: DataFrame, key: str, columns: Sequence[str]) -> DataFrame:
@@ -61,6 +65,42 @@ def describe_columns(df: DataFrame, keys: Sequence[str], columns: Sequence[str])
     )
 
 
+def exact_median(rows: DataFrame, keys: Sequence[str], value: str) -> DataFrame:
+    """Median per key, the mean of both middle values for an even count.
+
+    A sketch gives the median of groups up to half its size. For larger groups it gives two values
+    that surely enclose the middle; rows below them are only counted, and the few between, about one
+    in 25,000, are ranked.
+    """
+    known = rows.filter(F.col(value).isNotNull()).select(*keys, F.col(value).alias("__v"))
+    margin = 4.0 / MEDIAN_ACCURACY
+    # just above one half, for the upper of two middle values
+    marks = [0.5 - margin, 0.5, 0.5 + 1e-9, 0.5 + margin]
+    sketch = stage(
+        known.groupBy(*keys).agg(
+            F.count("*").alias("__n"), F.percentile_approx("__v", marks, MEDIAN_ACCURACY).alias("q")
+        ),
+        "median-sketch",
+    )
+    is_small = f"__n <= {MEDIAN_ACCURACY // 2}"
+    medians = sketch.filter(is_small).selectExpr(*keys, "(q[1] + q[2]) / 2 as median")
+    large = sketch.filter(f"not {is_small}").selectExpr(*keys, "__n", "q[0] as __low", "q[3] as __high")
+    if large.isEmpty():
+        return medians
+    counted = (
+        attach(known, large, keys)
+        .filter("__v <= __high")
+        .selectExpr(*keys, "__n", "if(__v >= __low, __v, null) as __v")
+        .groupBy(*keys, "__n", "__v")
+        .agg(F.count("*").alias("__c"))
+    )
+    order = ", ".join(f"`{k}`" for k in keys) or "0"
+    ranked = counted.selectExpr("*", f"sum(__c) over (partition by {order} order by __v nulls first) as __upto")
+    middle = [f"min(if(__upto >= {rank}, __v, null))" for rank in ("(__n + 1) div 2", "__n div 2 + 1")]
+    exact = ranked.groupBy(*keys).agg(F.expr(f"({' + '.join(middle)}) / 2").alias("median"))
+    return stage(medians.unionByName(exact), "medians")
+
+
 def summary_table(df: DataFrame, columns: Sequence[str]) -> DataFrame:
     """Spark's own summary layout: one text row per statistic, one column per input column."""
     return df.select(*columns).summary()

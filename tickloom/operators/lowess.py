@@ -15,11 +15,10 @@ import numpy as np
 import pandas as pd
 from pyspark.sql import Column, DataFrame, functions as F, types as T
 
+from tickloom.operators.aggregate import exact_median
 from tickloom.operators.skew import attach, with_row_index
 from tickloom.session import stage
 
-# fixed value: the median is exact below about half as many rows per group
-MEDIAN_ACCURACY = 200_000
 _SUMS = ["s0", "s1", "s2", "t0", "t1"]
 
 
@@ -148,14 +147,7 @@ def lowess_smooth(
     fits = stage(_fit_knots(_knot_sums(spread, keys, F.lit(1.0)), keys), "lowess-fit")
     for _ in range(iterations):
         errors = scored(fits).withColumn("error", F.abs(F.col("y") - F.col("fitted")))
-        # both middle values, so an even group gets their mean
-        middle = F.percentile_approx("error", [0.5, 0.5 + 1e-9], MEDIAN_ACCURACY)
-        scale = stage(
-            errors.groupBy(*group).agg(middle.alias("m")).select(
-                *group, (6 * (F.col("m")[0] + F.col("m")[1]) / 2).alias("scale")
-            ),
-            "lowess-scale",
-        )
+        scale = exact_median(errors, group, "error").selectExpr(*group, "6 * median as scale")
         u = F.col("error") / F.col("scale")
         weight = F.when(u > 0.999, 0.0).when(u < 0.001, 1.0).otherwise((1 - u * u) * (1 - u * u))
         weighted = attach(errors, scale.filter("scale > 0"), group).withColumn("robust", weight)

@@ -272,7 +272,7 @@ def pca_covariance(spark: SparkSession, folder: str) -> DataFrame:
     )
 
 
-def _power_sql(components: int = 2, rounds: int = 400) -> str:
+def _power_sql(components: int = 2, rounds: int = 2000) -> str:
     """Leading eigenvectors of the correlation matrix by power iteration, taking each off the matrix in turn."""
     size = range(len(PRICE_COLUMNS))
 

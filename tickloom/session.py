@@ -36,8 +36,22 @@ def staging_root(spark: SparkSession) -> str:
     return configured.rstrip("/")
 
 
+_written: list[str] = []
+
+
 def staging_path(spark: SparkSession, label: str) -> str:
-    return f"{staging_root(spark)}/{label}-{uuid.uuid4().hex}"
+    """New path in the shared folder, remembered for ``clear_staged``."""
+    path = f"{staging_root(spark)}/{label}-{uuid.uuid4().hex}"
+    _written.append(path)
+    return path
+
+
+def clear_staged(spark: SparkSession) -> None:
+    """Delete what this program wrote to the shared folder; results that still read it become invalid."""
+    hadoop = spark.sparkContext._jvm.org.apache.hadoop.fs.Path
+    while _written:
+        path = hadoop(_written.pop())
+        path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(path, True)
 
 
 def stage(df: DataFrame, label: str) -> DataFrame:
