@@ -128,10 +128,9 @@ def lowess_smooth(
     known = rows.filter(F.col("x").isNotNull() & F.col("y").isNotNull()).withColumns(
         {"x": F.col("x").cast("double"), "y": F.col("y").cast("double")}
     )
-    spread = _binned(known, keys, max_knots).withColumn(
-        "frac", F.explode(F.array(*[F.lit(float(s)) for s in spans]))
-    )
-    spread = stage(spread, "lowess-rows")
+    # written once; the spans multiply the rows only while a pass reads them
+    binned = stage(_binned(known, keys, max_knots), "lowess-rows")
+    spread = binned.withColumn("frac", F.explode(F.array(*[F.lit(float(s)) for s in spans])))
     group = [*keys, "frac"]
     dx = F.col("x") - F.col("knot_x")
     fitted = F.col("fit") + dx * F.when(dx < 0, F.col("slope_left")).otherwise(F.col("slope_right"))

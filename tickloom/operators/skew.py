@@ -8,23 +8,29 @@ from pyspark.sql import DataFrame, functions as F
 
 from tickloom.session import stage
 
-SALTS = 16
 _POSITION_BITS = 33  # monotonically_increasing_id keeps the row position in its low 33 bits
 
 
+def salt_count(df: DataFrame) -> int:
+    """Tasks to spread one key over: grows with the shuffle partitions, from 16 to 200."""
+    partitions = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    return max(16, min(200, partitions // 8))
+
+
 def attach(
     rows: DataFrame,
     stats: DataFrame,
     keys: Sequence[str],
     how: str = "inner",
-    salts: int = SALTS,
+    salts: int | None = None,
 ) -> DataFrame:
-    """Add the columns of ``stats`` (one row per key) to every row.
+    """Add the columns of ``stats`` (one row, or a few, per key) to every row.
 
-    Rows of one key are spread over ``salts`` tasks and the one-row-per-key side is repeated, so a
-    hot key never lands in one task. Where Spark measures ``stats`` below its broadcast threshold
-    it drops the shuffle by itself; no broadcast is forced here.
+    Rows of one key are spread over ``salts`` tasks by a hash of the whole row and the small side is
+    repeated, so a hot key never lands in one task. Where Spark measures ``stats`` below its
+    broadcast threshold it drops the shuffle by itself; no broadcast is forced here.
     """
+    salts = salts or salt_count(rows)
     added = [f"`{c}`" for c in stats.columns if c not in keys]
     right = stats.selectExpr(
         *[f"`{k}` as `__{k}`" for k in keys],

@@ -199,7 +199,7 @@ def stream_count_by_date(spark: SparkSession, folder: str) -> DataFrame:
     "select date_trunc('hour', ts) as date, count(*) as count from events group by 1",
 )
 def stream_count_by_timestamp(spark: SparkSession, folder: str) -> DataFrame:
-    """Keyed by the full bar time, as the reference declares it."""
+    """Keyed by the full bar time, as first declared."""
     hour = F.date_trunc("hour", F.col("ts")).cast("timestamp_ntz")
     return streaming.run_counts(streaming.count_by_date(event_stream(spark, folder), "ts", hour))
 

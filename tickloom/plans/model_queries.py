@@ -93,7 +93,7 @@ def nearest_neighbour_join(spark: SparkSession, folder: str) -> DataFrame:
     "from predicted group by 1, 2",
 )
 def knn_errors(spark: SparkSession, folder: str) -> DataFrame:
-    """Test error of every neighbour count, the table the reference picks its k from."""
+    """Test error of every neighbour count."""
     parts = split_bars(spark, folder)
     table = _predicted(parts.filter(~F.col("is_test")), parts.filter("is_test"))
     return knn.knn_errors(table, ["symbol"], "close", NEIGHBOURS).select("symbol", "k", rounded("mse", 4).alias("mse"))
@@ -379,6 +379,7 @@ def sequence_forecast_one_lag(spark: SparkSession, folder: str) -> DataFrame:
 
 def _fit_each_symbol(parts: DataFrame, fit: Callable[[DataFrame], list[tuple]]) -> DataFrame:
     """Metric rows of a model that MLlib fits one symbol at a time; the fits run side by side."""
+    parts = stage(parts, "bars-by-symbol", ["symbol"])
     symbols = [row[0] for row in parts.select("symbol").distinct().collect()]
 
     def run(symbol: str) -> list[tuple]:
@@ -393,7 +394,7 @@ def _fit_each_symbol(parts: DataFrame, fit: Callable[[DataFrame], list[tuple]])
 @query("elastic_net_ten_steps")
 def elastic_net_ten_steps(spark: SparkSession, folder: str) -> DataFrame:
     """The ten-step fit of the original program."""
-    parts = split_bars(spark, folder)
+    parts = rows.split_holdout(event_bars(spark, folder), hour_number() % 10)
     return _rounded_metrics(_fit_each_symbol(parts, lambda part: linear.elastic_net_mllib(part, FEATURES, "close")))
 
 
@@ -418,7 +419,9 @@ def boosted_trees_cv(spark: SparkSession, folder: str) -> DataFrame:
     """MLlib's trees with cross-validated minimum gain, small to keep the run short."""
     return _rounded_metrics(
         _fit_each_symbol(
-            folded_bars(spark, folder),
+            rows.kfold(
+                rows.split_holdout(event_bars(spark, folder), hour_number() % 10), F.floor(hour_number() / 10), 5
+            ),
             lambda part: trees.boosted_trees_cv(part, FEATURES, "close", (0.0, 30.0, 300.0), trees=3, depth=3),
         )
     )

@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import tempfile
 import uuid
+from collections.abc import Sequence
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -54,13 +55,14 @@ def clear_staged(spark: SparkSession) -> None:
         path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(path, True)
 
 
-def stage(df: DataFrame, label: str) -> DataFrame:
+def stage(df: DataFrame, label: str, partition_by: Sequence[str] = ()) -> DataFrame:
     """Write ``df`` as parquet in the shared folder and read it back.
 
     Cuts the lineage, survives lost executors, keeps column pruning, and gives the planner the
     measured size, so Spark's own broadcast threshold decides about joins with the result.
+    ``partition_by`` lets later filters on these columns skip the other folders.
     """
     spark = df.sparkSession
     path = staging_path(spark, label)
-    df.write.parquet(path)
-    return spark.read.schema(df.schema).parquet(path)
+    df.write.partitionBy(*partition_by).parquet(path)
+    return spark.read.schema(df.schema).parquet(path).select(*df.columns)
