@@ -93,6 +93,7 @@ def tail_with_context(
 
     ``windows`` keeps the first so many test rows per key, the ones the forecast is scored on.
     """
-    parted = split_temporal(df, keys, order_by)
-    rows = lag_window_features(parted, keys, order_by, value, lags).filter("is_test")
-    return rows if windows is None else rows.filter(F.col("row_idx") < F.col("first_test") + windows)
+    late = split_temporal(df, keys, order_by).filter(F.col("row_idx") >= F.col("first_test") - lags)
+    if windows is not None:
+        late = late.filter(F.col("row_idx") < F.col("first_test") + windows)
+    return lag_window_features(late, keys, order_by, value, lags).filter("is_test")

@@ -408,7 +408,8 @@ def sequence_forecast(
     target = f"{value}_scaled"
     blocks = windowed_blocks(scaled, lags, block_rows)
     weights = stage(_solve_products(_window_products(blocks, keys, target, lags), keys, lags), "series-weights")
-    windows = lag_window_features(scaled, keys, order_by, target, lags, block_rows).filter("is_test")
+    late = scaled.filter(F.col("row_idx") >= F.col("first_test") - lags)
+    windows = lag_window_features(late, keys, order_by, target, lags, block_rows).filter("is_test")
     back = f"* (`{value}__hi` - `{value}__lo`) + `{value}__lo`"
     product = "aggregate(zip_with(window, weights, (v, w) -> v * w), 0e0, (s, v) -> s + v)"
     return attach(windows, weights, keys).selectExpr(
