@@ -165,6 +165,17 @@ def test_lowess_with_fewer_knots_than_values_stays_close(spark):
     assert np.abs(exact["fitted"].to_numpy() - knots["fitted"].to_numpy()).max() < 0.01
 
 
+def test_radius_is_the_distance_to_the_kth_row():
+    rng = np.random.default_rng(9)
+    for _ in range(200):
+        x = np.unique(np.round(rng.normal(size=rng.integers(1, 30)), 2))
+        count = rng.integers(1, 5, len(x))
+        k = int(rng.integers(1, count.sum() + 1))
+        rows = np.repeat(x, count)
+        expected = [np.sort(np.abs(rows - c))[k - 1] for c in x]
+        assert np.allclose(lowess._neighbour_radius(x, count, k), expected)
+
+
 def test_lowess_keeps_a_perfect_line(spark):
     rows = spark.createDataFrame([("l", i, float(i), 3.0 * i) for i in range(30)], "g string, id int, x double, y double")
     got = lowess.lowess_smooth(rows, ["g"], [1 / 3]).toPandas()

@@ -23,30 +23,38 @@ _SUMS = ["s0", "s1", "s2", "t0", "t1"]
 
 
 def _neighbour_radius(x: np.ndarray, count: np.ndarray, k: int) -> np.ndarray:
-    """Distance from each knot to its k-th nearest row, rows of a knot counting at the knot."""
-    radius = np.empty(len(x))
-    for i, centre in enumerate(x):
-        distance = np.abs(x - centre)
-        nearest = np.argsort(distance, kind="stable")
-        reached = np.searchsorted(np.cumsum(count[nearest]), k)
-        radius[i] = distance[nearest[min(reached, len(x) - 1)]]
-    return radius
+    """Distance from each knot to its k-th nearest row, rows of a knot counting at the knot.
+
+    The nearest rows are neighbours in order, so it is the best of the shortest runs of at least k
+    rows: the last one whose middle lies left of the knot, or the next.
+    """
+    upto = np.cumsum(count)
+    last = np.searchsorted(upto, upto - count + k)
+    first = np.flatnonzero(last < len(x))
+    left, right = x[first], x[last[first]]
+    place = np.searchsorted(left + right, 2.0 * x)
+    before, after = (np.clip(p, 0, len(first) - 1) for p in (place - 1, place))
+    return np.minimum(
+        np.maximum(x - left[before], right[before] - x), np.maximum(x - left[after], right[after] - x)
+    )
 
 
 def _local_fits(group: pd.DataFrame, frac: float) -> np.ndarray:
     """Weighted line through the neighbourhood of each knot, evaluated at the knot."""
     x, count = group["knot_x"].to_numpy(), group["n"].to_numpy()
-    s0, s1, s2, t0, t1 = (group[c].to_numpy() for c in _SUMS)
+    sums = group[_SUMS].to_numpy()
     k = int(frac * count.sum() + 1e-10)
     radius = _neighbour_radius(x, count, max(k, 1))
+    start, stop = np.searchsorted(x, x - radius, "left"), np.searchsorted(x, x + radius, "right")
     fits = np.empty(len(x))
     for i in range(len(x)):
-        shift = x - x[i]
+        near = slice(start[i], stop[i])
+        shift, h = x[near] - x[i], radius[i]
         distance = np.abs(shift)
-        h = radius[i]
         with np.errstate(divide="ignore", invalid="ignore"):
             weight = (1.0 - (distance / h) ** 3) ** 3
         weight = np.where(distance <= 0.001 * h, 1.0, np.where(distance > 0.999 * h, 0.0, weight))
+        s0, s1, s2, t0, t1 = sums[near].T
         a0 = weight @ s0
         a1 = weight @ (s1 + shift * s0)
         a2 = weight @ (s2 + 2.0 * shift * s1 + shift * shift * s0)
@@ -122,7 +130,7 @@ def lowess_smooth(
     keys: Sequence[str],
     spans: Sequence[float] = (1 / 3,),
     iterations: int = 3,
-    max_knots: int = 2048,
+    max_knots: int = 20_000,
 ) -> DataFrame:
     """Smoothed ``fitted`` for every row and span (column ``frac``), sorted output left to the caller."""
     known = rows.filter(F.col("x").isNotNull() & F.col("y").isNotNull()).withColumns(

@@ -267,7 +267,7 @@ def lowess_lineitem(spark: SparkSession, folder: str) -> DataFrame:
 
 @query("lowess_orders")
 def lowess_orders(spark: SparkSession, folder: str) -> DataFrame:
-    """Total price against time for every order: more distinct x than knots, so interpolated."""
+    """Total price against time for every order, nearly all with their own x."""
     orders = read_table(spark, folder, "orders").select(
         F.col("o_orderstatus").alias("pair"),
         "o_orderkey",
