@@ -130,7 +130,7 @@ def lowess_smooth(
     keys: Sequence[str],
     spans: Sequence[float] = (1 / 3,),
     iterations: int = 3,
-    max_knots: int = 20_000,
+    max_knots: int = 5_000,
 ) -> DataFrame:
     """Smoothed ``fitted`` for every row and span (column ``frac``), sorted output left to the caller."""
     known = rows.filter(F.col("x").isNotNull() & F.col("y").isNotNull()).withColumns(
