@@ -220,3 +220,17 @@ def test_mllib_trees_report_every_gain(spark):
     found = trees.boosted_trees_cv(rows.filter("g = 'a'"), FEATURES, "label", (0.0, 50.0), folds=5, trees=2, depth=2)
     assert [m for _, m, _, _ in found] == ["cv_error", "cv_error", "best_min_gain", "train_mse", "test_mse"]
     assert all(value >= 0 for *_, value in found)
+
+
+def test_task_helpers_need_no_installed_package(tmp_path):
+    import subprocess
+    import sys
+
+    from pyspark import cloudpickle
+
+    from tickloom.operators import lowess
+
+    path = tmp_path / "helpers"
+    path.write_bytes(cloudpickle.dumps([linear.penalised_line, linear.Moments, lowess._local_fits]))
+    code = "import pickle; pickle.load(open('helpers', 'rb'))"
+    subprocess.run([sys.executable, "-c", code], cwd=tmp_path, check=True)
