@@ -7,7 +7,6 @@ import pandas as pd
 import pytest
 from pyspark.ml.feature import VectorAssembler
 from pyspark.ml.regression import LinearRegression
-from pyspark.sql import functions as F
 
 from tickloom.operators import knn, linear, trees
 

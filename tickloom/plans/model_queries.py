@@ -99,10 +99,6 @@ def knn_errors(spark: SparkSession, folder: str) -> DataFrame:
     return knn.knn_errors(table, ["symbol"], "close", NEIGHBOURS).select("symbol", "k", rounded("mse", 4).alias("mse"))
 
 
-def _select_k_rows(errors: DataFrame, chosen_by: str) -> DataFrame:
-    return errors.select("symbol", F.lit(chosen_by).alias("part"), "k", "mse")
-
-
 @query(
     "knn_select_k",
     f"""with {_PARTS}, test_errors as (select * from (with {_neighbour_sql('train', 'test')}

@@ -15,7 +15,6 @@ from tickloom.functions.values import (
     to_int,
 )
 from tickloom.operators import aggregate, features, joins, rows
-from tickloom.operators.skew import with_row_index
 from tickloom.plans.checking_sql import BARS, HOUR, INDEXED, PARTED, PRICES, SURVEY, r
 from tickloom.plans.registry import query
 from tickloom.sources.tables import (
