@@ -6,10 +6,16 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from tickloom.llm import weak_rules
+from tickloom.llm import simhash, weak_rules
 from tickloom.llm.common import read
 
 
+def op5_simhash(spark: SparkSession, folder: str) -> DataFrame:
+    """Fingerprint and component of every document: three-word shingles, at most three differing bits."""
+    found = simhash.near_duplicates(read(spark, folder, "documents"))
+    return found.select("doc_id", F.lpad(F.lower(F.hex("fp")), 16, "0").alias("fingerprint"), "component_id")
+
+
 def op9_quality_rules(spark: SparkSession, folder: str) -> DataFrame:
     """Base measures of every document and the verdict of the weighted rules."""
     judged = weak_rules.judge(read(spark, folder, "documents"), keep_row=False)
@@ -19,7 +25,10 @@ def op9_quality_rules(spark: SparkSession, folder: str) -> DataFrame:
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {"op9_quality_rules": op9_quality_rules}
+    return {
+        "op5_simhash": op5_simhash,
+        "op9_quality_rules": op9_quality_rules,
+    }
 
 
 def oracle_sql() -> dict[str, str]:
