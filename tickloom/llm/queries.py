@@ -6,8 +6,49 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from tickloom.llm import simhash, weak_rules
-from tickloom.llm.common import read
+from tickloom.llm import simhash, weak_rules, winnowing
+from tickloom.llm.common import read, sha256_hex
+
+
+def op2_decontamination(spark: SparkSession, folder: str) -> DataFrame:
+    """Words of every document inside a ten-word window of a benchmark item, and the items found."""
+    documents = read(spark, folder, "documents").select("doc_id", "text")
+    found = winnowing.decontaminate(documents, read(spark, folder, "benchmark"))
+    return found.select(
+        "row.doc_id",
+        "n_words",
+        "n_hit",
+        F.size("item_ids").cast("long").alias("n_items"),
+        sha256_hex(F.array_join("item_ids", ",")).alias("items_sha256"),
+        (F.col("n_hit") > 0).alias("contaminated"),
+    )
+
+
+OP2_SQL = r"""
+with d as (
+  select doc_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+    '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+') as words from documents),
+b as (
+  select item_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+    '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+') as words from benchmark),
+bw as (
+  select distinct item_id, least(len(words), 10) as width, array_to_string(words[i : i + least(len(words), 10) - 1], ' ') as win
+  from (select *, unnest(range(1, len(words) - least(len(words), 10) + 2)) as i from b where len(words) > 0)),
+widths as (select distinct width from bw),
+dw as (
+  select doc_id, width, i, array_to_string(words[i : i + width - 1], ' ') as win
+  from (select doc_id, width, words, unnest(range(1, len(words) - width + 2)) as i from d, widths where len(words) >= width)),
+hits as (select distinct doc_id, i, width, item_id from dw join bw using (width, win)),
+hit_words as (
+  select doc_id, count(*) as n_hit
+  from (select distinct doc_id, unnest(range(i, i + width)) as at from (select distinct doc_id, i, width from hits)) group by doc_id),
+hit_items as (
+  select doc_id, count(*) as n_items, string_agg(item, ',' order by item) as items
+  from (select distinct doc_id, cast(item_id as varchar) as item from hits) group by doc_id)
+select d.doc_id, cast(len(words) as bigint) as n_words, coalesce(n_hit, 0) as n_hit, coalesce(n_items, 0) as n_items,
+  sha256(coalesce(items, '')) as items_sha256, coalesce(n_hit, 0) > 0 as contaminated
+from d left join hit_words using (doc_id) left join hit_items using (doc_id)
+"""
 
 
 def op5_simhash(spark: SparkSession, folder: str) -> DataFrame:
@@ -26,10 +67,11 @@ def op9_quality_rules(spark: SparkSession, folder: str) -> DataFrame:
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {
+        "op2_decontamination": op2_decontamination,
         "op5_simhash": op5_simhash,
         "op9_quality_rules": op9_quality_rules,
     }
 
 
 def oracle_sql() -> dict[str, str]:
-    return {}
+    return {"op2_decontamination": OP2_SQL}
