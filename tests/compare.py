@@ -30,13 +30,13 @@ def normalised(rows: list[tuple]) -> list[tuple]:
     return sorted(tuple(cell(v) for v in row) for row in rows)
 
 
-def differences(spark: SparkSession, folder: str, name: str) -> list[str]:
+def differences(spark: SparkSession, folder: str, name: str, registry=plans) -> list[str]:
     """Empty when names, types of the columns and all values agree."""
-    result = plans.queries()[name](spark, folder)
+    result = registry.queries()[name](spark, folder)
     columns = sorted(result.columns)
     actual = normalised([tuple(row) for row in result.select(*[f"`{c}`" for c in columns]).collect()])
     connection = oracle_connection(folder)
-    relation = connection.sql(plans.oracle_sql()[name])
+    relation = connection.sql(registry.oracle_sql()[name])
     if sorted(relation.columns) != columns:
         return [f"columns {columns} against {sorted(relation.columns)}"]
     expected = normalised(relation.select(*[duckdb.ColumnExpression(c) for c in columns]).fetchall())
