@@ -4,12 +4,30 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
+import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from tickloom.llm import simhash, weak_rules, winnowing
+from tickloom.llm import bpe, secrets, simhash, weak_rules, winnowing
 from tickloom.llm.common import read, sha256_hex
 
 
+def multilingual_ranks() -> str:
+    return public_tokenizers.path("byte_bpe_multi_50k.tiktoken")
+
+
+def op1_bpe(spark: SparkSession, folder: str) -> DataFrame:
+    """Every document encoded and decoded again, as counts and digests."""
+    path = multilingual_ranks()
+    documents = read(spark, folder, "documents")
+    tokens = documents.select("doc_id", bpe.encode(F.col("text"), path)["ids"].alias("ids"))
+    return tokens.select(
+        "doc_id",
+        F.size("ids").cast("long").alias("n_tokens"),
+        sha256_hex(F.array_join(F.col("ids").cast("array<string>"), ",")).alias("ids_sha256"),
+        sha256_hex(bpe.decode(F.col("ids"), path)).alias("decoded_sha256"),
+    )
+
+
 def op2_decontamination(spark: SparkSession, folder: str) -> DataFrame:
     """Words of every document inside a ten-word window of a benchmark item, and the items found."""
     documents = read(spark, folder, "documents").select("doc_id", "text")
@@ -57,6 +75,23 @@ def op5_simhash(spark: SparkSession, folder: str) -> DataFrame:
     return found.select("doc_id", F.lpad(F.lower(F.hex("fp")), 16, "0").alias("fingerprint"), "component_id")
 
 
+def _joined(found, kinds: tuple[str, ...]):
+    kept = F.filter(found, lambda s: s["kind"].isin(*kinds))
+    return F.array_join(F.transform(kept, lambda s: F.concat_ws(":", s["kind"], s["first"], s["past"])), ",")
+
+
+def op7_secrets(spark: SparkSession, folder: str) -> DataFrame:
+    """Secret spans of every document; the digest covers the fixed patterns alone."""
+    found = secrets.spans(F.col("text"), multilingual_ranks(), public_tokenizers.PATTERN)
+    scanned = read(spark, folder, "documents").select("doc_id", found.alias("found"))
+    return scanned.select(
+        "doc_id",
+        *[F.expr(f"cast(size(filter(found, s -> s.kind = '{k}')) as bigint)").alias(f"n_{k}") for k in secrets.KINDS],
+        sha256_hex(_joined(F.col("found"), secrets.KINDS[:3])).alias("base_sha256"),
+        _joined(F.col("found"), secrets.KINDS).alias("spans"),
+    )
+
+
 def op9_quality_rules(spark: SparkSession, folder: str) -> DataFrame:
     """Base measures of every document and the verdict of the weighted rules."""
     judged = weak_rules.judge(read(spark, folder, "documents"), keep_row=False)
@@ -67,8 +102,10 @@ def op9_quality_rules(spark: SparkSession, folder: str) -> DataFrame:
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {
+        "op1_bpe": op1_bpe,
         "op2_decontamination": op2_decontamination,
         "op5_simhash": op5_simhash,
+        "op7_secrets": op7_secrets,
         "op9_quality_rules": op9_quality_rules,
     }
 
