@@ -7,7 +7,7 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from tickloom.llm import bpe, secrets, simhash, weak_rules, winnowing
+from tickloom.llm import bpe, chat, ranking, secrets, simhash, weak_rules, winnowing
 from tickloom.llm.common import read, sha256_hex
 
 
@@ -69,6 +69,32 @@ from d left join hit_words using (doc_id) left join hit_items using (doc_id)
 """
 
 
+def op4_chat(spark: SparkSession, folder: str) -> DataFrame:
+    """Every turn of every conversation, rendered once for each of its speakers."""
+    return chat.rotate(read(spark, folder, "conversations"))
+
+
+OP4_SQL = r"""
+with t as (
+  select conv_id, turn, coalesce(nullif(role, ''), 'unknown') as speaker, coalesce(text, '') as content from conversations),
+n as (
+  select *, row_number() over (partition by conv_id order by turn nulls first, speaker, content) - 1 as place from t),
+v as (select distinct conv_id, speaker as perspective from t where speaker <> 'system'),
+r as (
+  select n.conv_id, perspective, place, content,
+    case when speaker = 'system' then 'system' when speaker = perspective then 'assistant' else 'user' end as role,
+    case when speaker not in ('system', perspective) then speaker end as name
+  from n join v on n.conv_id is not distinct from v.conv_id),
+h as (select *, '<|im_start|>' || role || coalesce(' name=' || name, '') || chr(10) as head from r),
+s as (select *, head || content || '<|im_end|>' || chr(10) as segment from h),
+o as (select *, sum(length(segment)) over (partition by conv_id, perspective order by place) as past from s)
+select conv_id, perspective, place, role, name, segment, cast(past - length(segment) as bigint) as first, cast(past as bigint) as past,
+  cast(case when role = 'assistant' then past - length(segment) + length(head) end as bigint) as loss_first,
+  cast(case when role = 'assistant' then past - 1 end as bigint) as loss_past
+from o
+"""
+
+
 def op5_simhash(spark: SparkSession, folder: str) -> DataFrame:
     """Fingerprint and component of every document: three-word shingles, at most three differing bits."""
     found = simhash.near_duplicates(read(spark, folder, "documents"))
@@ -92,6 +118,13 @@ def op7_secrets(spark: SparkSession, folder: str) -> DataFrame:
     )
 
 
+def op8_ranking(spark: SparkSession, folder: str) -> DataFrame:
+    """Quality score of every document, learned from three quarters of the labelled ids."""
+    train = F.crc32(F.col("doc_id").cast("string")) % 4 != 2
+    scored = ranking.score(read(spark, folder, "documents"), read(spark, folder, "labels"), train)
+    return scored.select("doc_id", (~F.col("train")).alias("held_out"), "score", (F.col("score") >= ranking.CUT).cast("int").alias("predicted"))
+
+
 def op9_quality_rules(spark: SparkSession, folder: str) -> DataFrame:
     """Base measures of every document and the verdict of the weighted rules."""
     judged = weak_rules.judge(read(spark, folder, "documents"), keep_row=False)
@@ -104,11 +137,13 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {
         "op1_bpe": op1_bpe,
         "op2_decontamination": op2_decontamination,
+        "op4_chat": op4_chat,
         "op5_simhash": op5_simhash,
         "op7_secrets": op7_secrets,
+        "op8_ranking": op8_ranking,
         "op9_quality_rules": op9_quality_rules,
     }
 
 
 def oracle_sql() -> dict[str, str]:
-    return {"op2_decontamination": OP2_SQL}
+    return {"op2_decontamination": OP2_SQL, "op4_chat": OP4_SQL}
