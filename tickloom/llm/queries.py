@@ -7,7 +7,7 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from tickloom.llm import bpe, chat, ranking, secrets, simhash, weak_rules, winnowing
+from tickloom.llm import bpe, chat, html_crf, ranking, secrets, simhash, weak_rules, winnowing
 from tickloom.llm.common import read, sha256_hex
 
 
@@ -133,6 +133,13 @@ def op9_quality_rules(spark: SparkSession, folder: str) -> DataFrame:
     )
 
 
+def op10_html(spark: SparkSession, folder: str) -> DataFrame:
+    """Main text of every page."""
+    pages = read(spark, folder, "pages")
+    text = html_crf.main_text(F.col("html"), html_crf.train(pages))
+    return pages.select("page_id", "url", text.alias("text")).withColumn("n_chars", F.length("text").cast("long"))
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {
         "op1_bpe": op1_bpe,
@@ -142,6 +149,7 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "op7_secrets": op7_secrets,
         "op8_ranking": op8_ranking,
         "op9_quality_rules": op9_quality_rules,
+        "op10_html": op10_html,
     }
 
 
