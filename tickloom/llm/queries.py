@@ -7,7 +7,7 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from tickloom.llm import bpe, chat, html_crf, ranking, secrets, simhash, weak_rules, winnowing
+from tickloom.llm import bpe, chat, html_crf, phrases, ranking, secrets, simhash, weak_rules, winnowing
 from tickloom.llm.common import read, sha256_hex
 
 
@@ -101,6 +101,26 @@ def op5_simhash(spark: SparkSession, folder: str) -> DataFrame:
     return found.select("doc_id", F.lpad(F.lower(F.hex("fp")), 16, "0").alias("fingerprint"), "component_id")
 
 
+def op6_phrases(spark: SparkSession, folder: str) -> DataFrame:
+    """Words of every document inside a 13-word window that a document of smaller id has too."""
+    kept = phrases.remove_repeats(read(spark, folder, "documents").select("doc_id", "text"))
+    return kept.select("doc_id", "n_words", "n_removed", sha256_hex("kept").alias("kept_sha256"))
+
+
+OP6_SQL = r"""
+with d as (select doc_id, list_filter(regexp_split_to_array(coalesce(text, ''), '[\x20\x09-\x0D]+'), lambda x: x <> '') as words from documents),
+w as (select doc_id, i, array_to_string(words[i : i + 12], ' ') as win
+  from (select *, unnest(range(1, len(words) - 11)) as i from d where len(words) >= 13)),
+f as (select win, min(doc_id) as low from w group by win),
+hit as (select distinct doc_id, unnest(range(i, i + 13)) as spot from (select doc_id, i from w join f using (win) where low < doc_id)),
+gone as (select doc_id, list(spot) as places, count(*) as n from hit group by doc_id)
+select d.doc_id, cast(len(words) as bigint) as n_words, coalesce(n, 0) as n_removed,
+  sha256(array_to_string(case when n is null then words
+    else list_filter(words, lambda x, j: not list_contains(places, j)) end, ' ')) as kept_sha256
+from d left join gone using (doc_id)
+"""
+
+
 def _joined(found, kinds: tuple[str, ...]):
     kept = F.filter(found, lambda s: s["kind"].isin(*kinds))
     return F.array_join(F.transform(kept, lambda s: F.concat_ws(":", s["kind"], s["first"], s["past"])), ",")
@@ -146,6 +166,7 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "op2_decontamination": op2_decontamination,
         "op4_chat": op4_chat,
         "op5_simhash": op5_simhash,
+        "op6_phrases": op6_phrases,
         "op7_secrets": op7_secrets,
         "op8_ranking": op8_ranking,
         "op9_quality_rules": op9_quality_rules,
@@ -154,4 +175,4 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
 
 
 def oracle_sql() -> dict[str, str]:
-    return {"op2_decontamination": OP2_SQL, "op4_chat": OP4_SQL}
+    return {"op2_decontamination": OP2_SQL, "op4_chat": OP4_SQL, "op6_phrases": OP6_SQL}
