@@ -30,8 +30,7 @@ def op1_bpe(spark: SparkSession, folder: str) -> DataFrame:
 
 def op2_decontamination(spark: SparkSession, folder: str) -> DataFrame:
     """Words of every document inside a ten-word window of a benchmark item, and the items found."""
-    documents = read(spark, folder, "documents").select("doc_id", "text")
-    found = winnowing.decontaminate(documents, read(spark, folder, "benchmark"))
+    found = winnowing.decontaminate(read(spark, folder, "documents"), read(spark, folder, "benchmark"), carry=["doc_id"])
     return found.select(
         "row.doc_id",
         "n_words",

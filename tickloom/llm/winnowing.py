@@ -17,6 +17,8 @@ with equal texts are all listed; rows with equal texts get equal results; null i
 
 from __future__ import annotations
 
+from collections.abc import Sequence
+
 from pyspark.sql import Column, DataFrame, functions as F
 
 from tickloom.llm.common import ascii_lower, let, matches, packed, text_key
@@ -154,12 +156,16 @@ def hit_words(hits: DataFrame) -> DataFrame:
     return grouped.select(*KEYS, "spans", merged(F.col("spans")).alias("n_hit"), "item_ids")
 
 
-def decontaminate(docs: DataFrame, items: DataFrame, text: str = "text", **options) -> DataFrame:
-    """Every row as ``row``, with ``n_words``, ``n_hit``, ``spans`` and ``item_ids`` of its text."""
+def decontaminate(docs: DataFrame, items: DataFrame, text: str = "text", carry: Sequence[str] | None = None, **options) -> DataFrame:
+    """Every row as ``row``, with ``n_words``, ``n_hit``, ``spans`` and ``item_ids`` of its text.
+
+    Rows travel to their hits; ``carry`` names the columns that ``row`` then holds, all by default.
+    """
     content = F.col(f"`{text}`")
     found = stage(hit_words(window_hits(docs, items, text, **options)), "benchmark-hits")
     keys = dict(zip(KEYS, text_key(content)))
-    rows = packed(docs, n_words=F.size(plain_words(content)).cast("long"), **keys)
+    carried = F.struct(*[docs[f"`{c}`"] for c in carry or docs.columns]).alias("row")
+    rows = docs.select(carried, F.size(plain_words(content)).cast("long").alias("n_words"), *[c.alias(n) for n, c in keys.items()])
     return rows.join(found, KEYS, "left").select(
         "row",
         "n_words",
