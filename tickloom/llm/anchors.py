@@ -92,16 +92,57 @@ def sliding_least(values: np.ndarray, size: int) -> np.ndarray:
     return np.minimum(values[:-rest], values[rest:]) if rest and len(values) > rest else values if not rest else values[:0]
 
 
-def runs(values: np.ndarray, text: np.ndarray, window: int, gram: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+def sliding_leftmost(values: np.ndarray, size: int) -> tuple[np.ndarray, np.ndarray]:
+    """Least of every ``size`` consecutive values, and the place of the leftmost of them, by doubling."""
+    place = np.arange(len(values), dtype=np.int32 if len(values) < 1 << 31 else np.int64)
+    width = 1
+    while width < size:
+        step = min(width, size - width)
+        n = max(len(values) - step, 0)
+        later = values[step : step + n] < values[:n]
+        values = np.where(later, values[step : step + n], values[:n])
+        place = np.where(later, place[step : step + n], place[:n])
+        width += step
+    return values, place
+
+
+def _inside(text: np.ndarray, windows: int, window: int) -> np.ndarray:
+    return np.flatnonzero(text[:windows] == text[window - 1 :][:windows])
+
+
+def _cut(change: np.ndarray, inside: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Where runs begin among the windows, and their lengths; ``change`` compares each window with the one before."""
+    at = np.flatnonzero(np.concatenate([[True], change | (inside[1:] != inside[:-1] + 1)]))
+    return at, np.diff(np.concatenate([at, [len(inside)]]))
+
+
+def runs(gram_hashes: np.ndarray, text: np.ndarray, window: int, gram: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """Runs of neighbouring windows of one text with one least gram hash: anchor, first window, windows.
 
-    ``values`` are the hashes of the elements, ``text`` says to which text each belongs, in order.
+    ``text`` says to which text each element belongs, in order.
     """
-    least = sliding_least(grams(values, gram), window - gram + 1)
-    inside = np.flatnonzero(text[: len(least)] == text[window - 1 :][: len(least)])
+    least = sliding_least(gram_hashes, window - gram + 1)
+    inside = _inside(text, len(least), window)
+    if not len(inside):
+        return np.zeros(0, np.uint64), inside, inside
     least = least[inside]
+    at, count = _cut((least[1:] != least[:-1]) | (text[inside[1:]] != text[inside[:-1]]), inside)
+    return least[at], inside[at], count
+
+
+def runs_by_place(gram_hashes: np.ndarray, text: np.ndarray, window: int, gram: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """As ``runs``, but a run has one place of its least gram, so equal windows of one text are in two runs."""
+    least, place = sliding_leftmost(gram_hashes, window - gram + 1)
+    inside = _inside(text, len(least), window)
     if not len(inside):
         return np.zeros(0, np.uint64), inside, inside
-    new = np.concatenate([[True], (least[1:] != least[:-1]) | (inside[1:] != inside[:-1] + 1) | (text[inside[1:]] != text[inside[:-1]])])
-    at = np.flatnonzero(new)
-    return least[at], inside[at], np.diff(np.concatenate([at, [len(inside)]]))
+    place = place[inside]
+    at, count = _cut((place[1:] != place[:-1]) | (text[inside[1:]] != text[inside[:-1]]), inside)
+    return least[inside[at]], inside[at], count
+
+
+def listed(anchor: np.ndarray, text: np.ndarray, lists: pa.Array) -> np.ndarray:
+    """Runs whose anchor is in the list of their text; by hash, so a rare one too many may be selected."""
+    held = lists.flatten().to_numpy(zero_copy_only=False).view(np.uint64)
+    owners = np.repeat(np.arange(len(lists), dtype=np.uint64), lists.value_lengths().fill_null(0).to_numpy(zero_copy_only=False))
+    return np.flatnonzero(np.isin(mix(anchor ^ mix(text.astype(np.uint64))), mix(held ^ mix(owners))))

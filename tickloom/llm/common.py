@@ -7,6 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 UPPER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ"
+LAST = (1 << 63) - 1  # stands for a null id: larger than any other
 WHITE = r"\x20\x09-\x0D"
 
 
@@ -47,5 +48,11 @@ def packed(rows: DataFrame, **named: Column) -> DataFrame:
     return rows.select(F.struct(*[rows[f"`{c}`"] for c in rows.columns]).alias("row"), *[c.alias(n) for n, c in named.items()])
 
 
+def identified(docs: DataFrame, text: str) -> DataFrame:
+    """``id`` (null as ``LAST``), ``key`` (hash of the text) and ``content`` of every row."""
+    content = F.col(f"`{text}`")
+    return docs.select(F.coalesce(F.col("doc_id").cast("long"), F.lit(LAST)).alias("id"), F.xxhash64(content).alias("key"), content.alias("content"))
+
+
 def sha256_hex(value: Column) -> Column:
     return F.sha2(value, 256)

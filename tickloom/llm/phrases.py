@@ -23,24 +23,19 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, functions as F
 
 from tickloom.llm import anchors
+from tickloom.llm.common import LAST, identified
 from tickloom.session import stage
 
 WINDOW = 13
 GRAM = 4
 SHARD_SEGMENTS = 20_000
-LAST = (1 << 63) - 1
-
-
-def _identified(docs: DataFrame, text: str) -> DataFrame:
-    content = F.col(f"`{text}`")
-    return docs.select(F.coalesce(F.col("doc_id").cast("long"), F.lit(LAST)).alias("id"), F.xxhash64(content).alias("key"), content.alias("content"))
 
 
 def _text_runs(texts: pa.Array, window: int, gram: int):
     """For each chunk: anchors, first windows, windows, the row of each run, and the words' bytes and spans."""
     for row, octets, offsets in anchors.chunks(texts):
         first, past, text = anchors.words(octets, offsets)
-        anchor, start, count = anchors.runs(anchors.span_hashes(octets, first, past), text, window, gram)
+        anchor, start, count = anchors.runs(anchors.grams(anchors.span_hashes(octets, first, past), gram), text, window, gram)
         yield anchor, start, count, text[start] if len(start) else start, row, octets, offsets, first, past
 
 
@@ -58,14 +53,7 @@ def _segment_rows(batches: Iterator[pa.RecordBatch], window: int, gram: int) ->
         ids, keys = (batch.column(c).to_numpy(zero_copy_only=False) for c in ("id", "key"))
         wanted = batch.column("anchors")
         for anchor, start, count, text, row, octets, offsets, first, past in _text_runs(batch.column("content"), window, gram):
-            part = wanted.slice(row, len(offsets) - 1)
-            lists = part.flatten().to_numpy(zero_copy_only=False)
-            owners = np.repeat(np.arange(len(part)), part.value_lengths().fill_null(0).to_numpy(zero_copy_only=False))
-            pairs = np.empty(len(lists), [("text", np.int64), ("anchor", np.int64)])
-            pairs["text"], pairs["anchor"] = owners, lists
-            own = np.empty(len(anchor), pairs.dtype)
-            own["text"], own["anchor"] = text, anchor.view(np.int64)
-            hit = np.flatnonzero(np.isin(own, pairs))
+            hit = anchors.listed(anchor, text, wanted.slice(row, len(offsets) - 1))
             text_first = np.searchsorted(first, offsets[:-1])  # number of a text's first word
             raw = octets.tobytes()
             cut = [b" ".join(raw[a:b].split()).decode() for a, b in zip(first[start[hit]].tolist(), past[start[hit] + count[hit] + window - 2].tolist())]
@@ -148,7 +136,7 @@ def _locate(batches: Iterator[pd.DataFrame], window: int, limit: int) -> Iterato
 
 def repeated_windows(docs: DataFrame, text: str = "text", window: int = WINDOW, gram: int = GRAM) -> DataFrame:
     """``(id, key, starts)``: for each text the first words of its windows that a smaller id has."""
-    held = _identified(docs, text)
+    held = identified(docs, text)
     found = held.mapInArrow(lambda b: _anchor_rows(b, window, gram), "anchor long, id long")
     again = found.groupBy("anchor").agg(F.count("*").alias("n")).filter("n > 1").select("anchor")
     lists = found.join(again, "anchor").groupBy("id").agg(F.collect_set("anchor").alias("anchors"))
@@ -183,6 +171,6 @@ def kept_words(text: Column, starts: Column, window: int = WINDOW) -> Column:
 def remove_repeats(docs: DataFrame, text: str = "text", window: int = WINDOW, gram: int = GRAM) -> DataFrame:
     """``doc_id``, ``n_words``, ``n_removed`` and the ``kept`` text of every row."""
     found = stage(repeated_windows(docs, text, window, gram), "repeated-windows")
-    held = _identified(docs, text)
+    held = identified(docs, text)
     marked = held.join(found, ["id", "key"], "left").select("id", kept_words(F.col("content"), F.col("starts"), window).alias("k"))
     return marked.select(F.expr(f"nullif(id, {LAST}L)").alias("doc_id"), "k.*")

@@ -7,7 +7,7 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from tickloom.llm import bpe, chat, html_crf, phrases, ranking, secrets, simhash, weak_rules, winnowing
+from tickloom.llm import bpe, chat, html_crf, phrases, ranking, secrets, simhash, suffix_dedup, weak_rules, winnowing
 from tickloom.llm.common import read, sha256_hex
 
 
@@ -68,6 +68,12 @@ from d left join hit_words using (doc_id) left join hit_items using (doc_id)
 """
 
 
+def op3_suffix_dedup(spark: SparkSession, folder: str) -> DataFrame:
+    """Bytes of every document inside a 400-byte string that also starts elsewhere."""
+    kept = suffix_dedup.remove_repeats(read(spark, folder, "documents").select("doc_id", "text"))
+    return kept.select("doc_id", "n_bytes", "n_removed", "n_spans", sha256_hex("kept").alias("kept_sha256"))
+
+
 def op4_chat(spark: SparkSession, folder: str) -> DataFrame:
     """Every turn of every conversation, rendered once for each of its speakers."""
     return chat.rotate(read(spark, folder, "conversations"))
@@ -163,6 +169,7 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {
         "op1_bpe": op1_bpe,
         "op2_decontamination": op2_decontamination,
+        "op3_suffix_dedup": op3_suffix_dedup,
         "op4_chat": op4_chat,
         "op5_simhash": op5_simhash,
         "op6_phrases": op6_phrases,
