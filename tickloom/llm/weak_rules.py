@@ -108,62 +108,61 @@ def votes(rules: tuple[Rule, ...] = RULES) -> list[Column]:
 
 #: First belief: how often a rule that votes says bad of good documents, of bad ones of its kind, of other bad ones.
 BELIEF = (0.005, 0.95, 0.1)
+GOOD = "good"
 
 
-def _log_rate(rule: str, rate: float) -> str:
-    return f"case vote_{rule} when -1 then {math.log(rate)!r}D when 1 then {math.log1p(-rate)!r}D else 0D end"
+def _belief(kind: str, rule: str) -> float:
+    return BELIEF[0] if kind == GOOD else BELIEF[1] if kind == rule else BELIEF[2]
 
 
 def _likelihoods(model: dict, rules: tuple[Rule, ...]) -> list[Column]:
-    """Columns ``l_good`` and ``l_<rule>``: how likely the votes are together with each class."""
-
-    def joint(share: float, terms: list[str]) -> Column:
-        return F.expr(f"exp({math.log(share)!r}D + {' + '.join(terms)})")
-
-    good = joint(model["good"], [_log_rate(r.name, model[r.name][0]) for r in rules])
-    kinds = [
-        joint(model[f"share:{k.name}"], [_log_rate(r.name, model[r.name][1 if r is k else 2]) for r in rules]).alias(f"l_{k.name}")
-        for k in rules
-    ]
-    return [good.alias("l_good"), *kinds]
+    """Columns ``l_<class>``: how likely the votes are together with each class."""
+    found = []
+    for kind, (share, rates) in model.items():
+        terms = [f"{math.log(share)!r}D"]
+        for r in rules:
+            bad, good = math.log(rates[r.name]), math.log1p(-rates[r.name])
+            terms.append(f"case vote_{r.name} when -1 then {bad!r}D when 1 then {good!r}D else 0D end")
+        found.append(F.expr(f"exp({' + '.join(terms)})").alias(f"l_{kind}"))
+    return found
 
 
 def _p_good(rows: DataFrame, model: dict, rules: tuple[Rule, ...]) -> DataFrame:
-    total = " + ".join(["l_good", *(f"l_{r.name}" for r in rules)])
-    scored = rows.select("*", *_likelihoods(model, rules)).withColumn("l_all", F.expr(total))
-    return scored.withColumn("p_good", F.expr("l_good / l_all"))
+    scored = rows.select("*", *_likelihoods(model, rules)).withColumn("l_all", F.expr(" + ".join(f"l_{kind}" for kind in model)))
+    return scored.withColumn("p_good", F.expr(f"l_{GOOD} / l_all"))
 
 
 def estimate(counts: DataFrame, rules: tuple[Rule, ...] = RULES, rounds: int = 12, tolerance: float = 1e-3, max_false_alarm: float = 0.01) -> dict:
-    """EM over vote patterns and their ``n``: class shares, and how often each rule says *bad* by class.
+    """EM over vote patterns and their ``n``: by class, its share and how often each rule says *bad*.
 
     The classes are *good* and one kind of *bad* for each rule, because bad documents mostly fail in
     one way only: shouting is rarely a table of symbols as well, so votes on bad documents are not
-    independent. A rule has rates of its own on good documents, on bad ones of its kind, and on all
-    other bad ones; where it abstains it says nothing about the class. Whoever writes a rule vouches
-    that it calls at most ``max_false_alarm`` of the good documents bad; without that bound, a kind of
-    bad that one rule alone sees could as well be a habit of good documents. Ten pseudo-documents of
-    ``BELIEF`` keep all rates inside (0, 1).
+    independent. Each class has its own rate for every rule; where a rule abstains it says nothing
+    about the class. Whoever writes a rule vouches that it calls at most ``max_false_alarm`` of the good
+    documents bad; without that bound, a kind of bad that one rule alone sees could as well be a habit
+    of good documents. Ten pseudo-documents of ``BELIEF`` keep all rates inside (0, 1).
     """
     weight = 10.0
-    model: dict = {"good": 0.8} | {f"share:{r.name}": 0.2 / len(rules) for r in rules} | {r.name: BELIEF for r in rules}
+    kinds = [GOOD, *(r.name for r in rules)]
+    start = {kind: 0.8 if kind == GOOD else 0.2 / len(rules) for kind in kinds}
+    model = {kind: (start[kind], {r.name: _belief(kind, r.name) for r in rules}) for kind in kinds}
     for _ in range(rounds):
-        scored = _p_good(counts, model, rules)
-        sums = [F.sum("n").alias("n"), F.sum(F.expr("n * p_good")).alias("good")]
-        for r in rules:
-            sums.append(F.sum(F.expr(f"n * l_{r.name} / l_all")).alias(r.name))
-            for what, votes_seen in (("bad", f"vote_{r.name} = -1"), ("any", f"vote_{r.name} <> 0")):
-                own = f"l_{r.name} / l_all"
-                for c, part in enumerate(("p_good", own, f"1 - p_good - {own}")):
-                    sums.append(F.sum(F.expr(f"case when {votes_seen} then n * ({part}) end")).alias(f"{r.name}:{what}:{c}"))
-        got = {k: float(x or 0) for k, x in scored.agg(*sums).first().asDict().items()}
-        new: dict = {"good": (got["good"] + 0.8 * weight) / (got["n"] + weight)}
-        for r in rules:
-            new[f"share:{r.name}"] = (got[r.name] + 0.2 / len(rules) * weight) / (got["n"] + weight)
-            bad, voted = ([max(0.0, got[f"{r.name}:{what}:{c}"]) for c in range(3)] for what in ("bad", "any"))
-            rates = [(bad[c] + weight * BELIEF[c]) / (voted[c] + weight) for c in range(3)]
-            new[r.name] = (min(rates[0], max_false_alarm), rates[1], rates[2])
-        change = max(abs(new["good"] - model["good"]), *(abs(new[r.name][c] - model[r.name][c]) for r in rules for c in range(3)))
+        sums = [F.sum("n").alias("n")]
+        for kind in kinds:
+            part = f"n * l_{kind} / l_all"
+            sums.append(F.sum(F.expr(part)).alias(kind))
+            for r in rules:
+                sums.append(F.sum(F.expr(f"case when vote_{r.name} = -1 then {part} end")).alias(f"{kind}:{r.name}:bad"))
+                sums.append(F.sum(F.expr(f"case when vote_{r.name} <> 0 then {part} end")).alias(f"{kind}:{r.name}:any"))
+        got = {k: float(x or 0) for k, x in _p_good(counts, model, rules).agg(*sums).first().asDict().items()}
+        new = {}
+        for kind in kinds:
+            rates = {}
+            for r in rules:
+                rate = (got[f"{kind}:{r.name}:bad"] + weight * _belief(kind, r.name)) / (got[f"{kind}:{r.name}:any"] + weight)
+                rates[r.name] = min(rate, max_false_alarm) if kind == GOOD else rate
+            new[kind] = ((got[kind] + weight * start[kind]) / (got["n"] + weight), rates)
+        change = max(max(abs(new[k][0] - model[k][0]), *(abs(new[k][1][r.name] - model[k][1][r.name]) for r in rules)) for k in kinds)
         model = new
         if change < tolerance:
             break
