@@ -38,8 +38,9 @@ FRESH, IN_LETTERS, IN_NUMBERS, IN_OTHERS, AFTER_SPACE, IN_GAP, ONE_LEFT, TWO_LEF
 STATES = 8
 
 BLOCK = 64
-CHUNK_BYTES = 4 << 20  # texts are pre-tokenised together up to this size; one larger text goes alone
-CACHE_SLICES = 500_000
+CHUNK_BYTES = 1 << 20  # texts are pre-tokenised together up to this size; one larger text goes alone
+CACHE_SLICES = 200_000
+CHUNK_IDS = 1 << 16  # ids decoded at once
 SHORT = 48  # slices up to this many bytes are merged by plain search, longer ones with a heap
 
 
@@ -221,9 +222,16 @@ class Vocabulary:
         return (starts - np.repeat(base, counts)).astype(np.int32)
 
     def decode(self, ids: np.ndarray) -> np.ndarray:
-        sizes = self.lengths[ids]
-        shift = self.places[ids] - (np.cumsum(sizes) - sizes)
-        return self.octets[np.arange(sizes.sum()) + np.repeat(shift, sizes)]
+        found = np.empty(int(self.lengths[ids].sum()), np.uint8)
+        done = 0
+        for at in range(0, len(ids), CHUNK_IDS):
+            part = ids[at : at + CHUNK_IDS]
+            sizes = self.lengths[part]
+            total = int(sizes.sum())
+            shift = self.places[part] - (np.cumsum(sizes) - sizes)
+            found[done : done + total] = self.octets[np.arange(total) + np.repeat(shift, sizes)]
+            done += total
+        return found
 
 
 @functools.cache
