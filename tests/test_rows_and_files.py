@@ -8,6 +8,7 @@ import zlib
 import numpy as np
 import pandas as pd
 import pytest
+from pyspark.errors import StreamingQueryException
 from pyspark.sql import functions as F, types as T
 
 from tickloom.functions.values import fill_missing_int, minmax, nan_to_null, padded_tag, to_int
@@ -234,7 +235,7 @@ def test_image_catalog(spark, tmp_path):
     catalog = files.image_catalog(spark, str(tmp_path))
     got = {(r["width"], r["height"], r["nChannels"], r["extension"]) for r in catalog.collect()}
     assert got == {(4, 3, 3, ".png"), (7, 2, 3, ".png")}
-    assert {r["line"] for r in files.image_report(catalog).collect()} >= {"Image Width: 4", "Image Height:3"}
+    assert {r["line"] for r in files.image_report(catalog).collect()} >= {"width 4", "height 3"}
     routed = spark.createDataFrame([("x/a.txt",), ("x/b.png",), ("x/none",)], "p string").select(files.route_by_extension("p"))
     assert [r[0] for r in routed.collect()] == ["table", "image", "image"]
 
@@ -290,3 +291,60 @@ def test_bars_combine_before_the_shuffle(spark, tables):
 
     plan = _plan(plans.queries()["bars"](spark, tables))
     assert plan.count("Exchange") == 1 and "partial_max" in plan
+
+
+def test_attach_broadcasts_no_salted_copies(spark):
+    stats = spark.range(300_000).selectExpr("id as k", "id as s")
+    staged = skew.stage(stats, "large-side")
+    rows_ = spark.range(100).selectExpr("id as k")
+    before = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "1m")
+    try:
+        plan = skew.attach(rows_, staged, ["k"], salts=16)._jdf.queryExecution().executedPlan().toString()
+        assert "BuildRight" not in plan
+        small = skew.attach(rows_, staged.limit(5), ["k"])._jdf.queryExecution().optimizedPlan().toString()
+        assert "__salt" not in small
+        assert skew.attach(rows_, staged, ["k"], salts=16).count() == 100
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", before)
+
+
+def test_preamble_scan_moves_no_line(spark, tmp_path):
+    for name in ("a", "b"):
+        lines = ["title", "x", *[f"h{i}" for i in range(1)], *[f"{i},{name}" for i in range(3_000)]]
+        (tmp_path / f"{name}.csv").write_text("\n".join(lines))
+    schema = T.StructType([T.StructField("n", T.LongType()), T.StructField("s", T.StringType())])
+    table = files.scan_csv_preamble(spark, str(tmp_path), schema, skip_lines=2)
+    assert "Exchange" not in table._jdf.queryExecution().executedPlan().toString()
+    assert sorted(map(tuple, table.collect())) == sorted((i, s) for i in range(3_000) for s in "ab")
+
+
+def _bar_lines(header, days):
+    cells = {"date": "2024-01-0{} 10:00:00", "TradeDate": "2024-01-0{}", "time": "10:00:00"}
+    return "\n".join([",".join(header), *[",".join(cells.get(h, "1.0").format(d) for h in header) for d in days]]) + "\n"
+
+
+def test_stream_goes_on_after_a_restart(spark, tmp_path):
+    names = [n for n, _ in files.BAR_FIELDS]
+    source, state = tmp_path / "in", str(tmp_path / "state")
+    source.mkdir()
+
+    def counts():
+        stream = streaming.stream_files(spark, str(source), files.BAR_SCHEMA)
+        return {str(r["date"]): r["count"] for r in streaming.run_counts(streaming.count_by_date(stream), state).collect()}
+
+    (source / "a.csv").write_text(_bar_lines(names, [1, 1, 2]))
+    (source / "b.csv").write_text(_bar_lines(names, [2]))
+    assert counts() == {"2024-01-01": 2, "2024-01-02": 2}
+    assert counts() == {"2024-01-01": 2, "2024-01-02": 2}
+    (source / "c.csv").write_text(_bar_lines(names, [1, 3]))
+    assert counts() == {"2024-01-01": 3, "2024-01-02": 2, "2024-01-03": 1}
+
+
+def test_stream_with_another_header_raises(spark, tmp_path):
+    names = [n for n, _ in files.BAR_FIELDS]
+    swapped = [names[0], names[4], *names[2:4], names[1], *names[5:]]
+    (tmp_path / "a.csv").write_text(_bar_lines(swapped, [1]))
+    stream = streaming.stream_files(spark, str(tmp_path), files.BAR_SCHEMA)
+    with pytest.raises(StreamingQueryException):
+        streaming.run_append(stream)

@@ -115,6 +115,10 @@ def test_degenerate_fits_are_null(spark):
     assert np.isclose(table.loc["line", "slope"], 2.0)
     scored = ols.studentized_residuals(rows, fit, ["pair"]).toPandas()
     assert scored.loc[scored["pair"].isin(["same_x", "few", "line"]), "t"].isna().all()
+    inference = ols.ols_inference(fit, ["pair"]).toPandas().set_index("pair")
+    assert inference.loc["same_x", ["p_slope", "p_intercept", "p_f"]].isna().all()
+    assert pd.isna(inference.loc["line", "p_slope"])
+    assert 0 < inference.loc["few", "p_slope"] < 1
 
 
 def _direct_lowess(x: np.ndarray, y: np.ndarray, frac: float, iterations: int = 3) -> np.ndarray:
@@ -156,13 +160,23 @@ def test_lowess_equals_direct_loop(spark, ties):
         assert np.allclose(mine["fitted"], _direct_lowess(data["x"].to_numpy(), data["y"].to_numpy(), span), atol=1e-9)
 
 
-def test_lowess_with_fewer_knots_than_values_stays_close(spark):
-    data = _wave(1500)
+def test_lowess_in_chunks_is_the_same(spark, monkeypatch):
+    data = pd.concat([_wave(700), _wave(500, seed=6, ties=True).assign(g="ties")])
     rows = spark.createDataFrame(data)
-    exact = lowess.lowess_smooth(rows, ["g"], [1 / 5]).toPandas().sort_values("id")
-    knots = lowess.lowess_smooth(rows, ["g"], [1 / 5], max_knots=150).toPandas().sort_values("id")
-    assert len(knots) == len(data)
-    assert np.abs(exact["fitted"].to_numpy() - knots["fitted"].to_numpy()).max() < 0.01
+    whole = lowess.lowess_smooth(rows, ["g"], [1 / 5]).toPandas().sort_values(["g", "id"])
+    monkeypatch.setattr(lowess, "CHUNK_KNOTS", 37)
+    cut = lowess.lowess_smooth(rows, ["g"], [1 / 5]).toPandas().sort_values(["g", "id"])
+    assert np.allclose(whole["fitted"], cut["fitted"], atol=1e-9)
+
+
+def test_lowess_without_weight_keeps_the_value(spark):
+    rng = np.random.default_rng(4)
+    y = rng.normal(size=60) * 0.01
+    y[20:40] = np.where(np.arange(20) % 2 == 0, 100.0, -100.0)
+    rows = spark.createDataFrame([("a", i, float(i), float(v)) for i, v in enumerate(y)], "g string, id int, x double, y double")
+    for iterations in (1, 3):
+        got = lowess.lowess_smooth(rows, ["g"], [1 / 5], iterations).toPandas()
+        assert got["fitted"].notna().all()
 
 
 def test_radius_is_the_distance_to_the_kth_row():
@@ -176,7 +190,8 @@ def test_radius_is_the_distance_to_the_kth_row():
         assert np.allclose(lowess._neighbour_radius(x, count, k), expected)
 
 
-def test_lowess_keeps_a_perfect_line(spark):
+@pytest.mark.parametrize("parts", [1, 8])
+def test_lowess_keeps_a_perfect_line(spark, parts):
     rows = spark.createDataFrame([("l", i, float(i), 3.0 * i) for i in range(30)], "g string, id int, x double, y double")
-    got = lowess.lowess_smooth(rows, ["g"], [1 / 3]).toPandas()
+    got = lowess.lowess_smooth(rows.repartition(parts), ["g"], [1 / 3]).toPandas()
     assert np.allclose(got["fitted"], got["y"])

@@ -90,10 +90,10 @@ def apply_steps(df: DataFrame, steps: Steps) -> DataFrame:
 
 
 def two_sided_p(t: str, df: str) -> Column:
-    """Two-sided p-value of Student's t by the incomplete beta function on the JVM."""
+    """Two-sided p-value of Student's t by the incomplete beta function on the JVM; null for a null t."""
     return F.expr(
-        "cast(reflect('org.apache.commons.math3.special.Beta', 'regularizedBeta', "
-        f"{df} / ({df} + {t} * {t}), {df} / 2e0, 5e-1) as double)"
+        f"case when {t} is not null then cast(reflect('org.apache.commons.math3.special.Beta', 'regularizedBeta', "
+        f"{df} / ({df} + coalesce({t} * {t}, 0e0)), {df} / 2e0, 5e-1) as double) end"
     )
 
 

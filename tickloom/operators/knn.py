@@ -159,12 +159,12 @@ def nearest_neighbours(
     for depth, nodes in enumerate(levels):
         reach = F.expr(f"case when n >= {k} then {space.box_farthest_sq()} end")
         path = _child(_slab(features[depth % len(features)])) if depth < len(levels) - 1 else F.col("path")
-        bounded = attach(bounded, nodes, space.node).select(
+        bounded = attach(bounded, nodes, space.node, salts=1).select(
             *asked.columns, path.alias("path"), F.least("bound", reach).alias("bound")
         )
     seen = f"array_sort(transform(sample, p -> {space.distance_sq('p.@')}))"
     bounded = stage(
-        attach(bounded, sample, space.node, how="left", salts=4)
+        attach(bounded, sample, space.node, how="left", salts=1)
         .withColumn("bound", F.expr(f"least(bound, get({seen}, {k - 1})) * {_SLACK!r}"))
         .drop("sample", "path"),
         "knn-bounds",
@@ -172,7 +172,7 @@ def nearest_neighbours(
 
     visits = bounded.withColumn("path", F.lit(""))
     for depth, nodes in enumerate(levels):
-        visits = attach(visits, nodes, space.node).filter(f"{space.box_nearest_sq()} <= bound")
+        visits = attach(visits, nodes, space.node, salts=1).filter(f"{space.box_nearest_sq()} <= bound")
         if depth < len(levels) - 1:
             f = features[depth % len(features)]
             reach = f"sqrt(bound) * {f}__range * {_SLACK!r}"
@@ -183,7 +183,7 @@ def nearest_neighbours(
     distance = space.distance_sq("@__point")
     candidates = points.selectExpr(*space.node, "id", "label", *[f"{f} as {f}__point" for f in features])
     found = (
-        attach(visits, candidates, space.node, salts=4)
+        attach(visits, candidates, space.node, salts=1)
         .filter(f"{distance} <= bound")
         .selectExpr(*keys, *features, f"{distance} as d2", "id", "label")
     )
@@ -207,7 +207,7 @@ def knn_predict(
         F.avg(F.when(F.col("rank") <= j, F.col("label"))).alias(f"pred_{j}") for j in range(1, k + 1)
     ]
     by_point = hits.groupBy(*keys, *features).agg(*means)
-    return attach(queries, by_point, [*keys, *features], how="left")
+    return attach(queries, by_point, [*keys, *features], how="left", salts=1)
 
 
 def knn_errors(predicted: DataFrame, keys: Sequence[str], label: str, k: int) -> DataFrame:

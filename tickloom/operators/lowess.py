@@ -1,10 +1,10 @@
-"""Robust locally weighted regression (Cleveland 1979) for many groups at once.
+"""Robust locally weighted regression (Cleveland 1979) for many groups at once, exact for every group.
 
-Rows with the same x share one local fit, so each group is first reduced to *knots*. A group with
-at most ``max_knots`` distinct x has one knot per x and the result is exact for any number of rows.
-A larger group gets ``max_knots`` knots of equal row count: all rows still weigh in through the
-sums of their knot, the fit is taken at the knots, and rows between knots are interpolated.
-Only knots, at most ``max_knots`` per group, ever meet in one task.
+Rows with the same x share one local fit, so each group is first reduced to *knots*, one per distinct
+x with the sums of its rows. The fits of a group are dealt out in chunks of neighbouring knots, each
+with the knots that its neighbourhoods can reach: a neighbourhood is a span of the group's rows, so a
+chunk holds its own knots and up to ``frac`` of the group's rows to either side. The work grows with
+distinct x times neighbours; for very many distinct x, round x first.
 """
 
 from __future__ import annotations
@@ -13,13 +13,14 @@ from collections.abc import Sequence
 
 import numpy as np
 import pandas as pd
-from pyspark.sql import Column, DataFrame, functions as F, types as T
+from pyspark.sql import Column, DataFrame, Window, functions as F, types as T
 
 from tickloom.operators.aggregate import exact_median
-from tickloom.operators.skew import attach, with_row_index
+from tickloom.operators.skew import attach
 from tickloom.session import stage
 
-_SUMS = ["s0", "s1", "s2", "t0", "t1"]
+CHUNK_KNOTS = 2_000
+ROUNDING = 1e-12  # of the largest |y|: errors below it are rounding, not scatter
 
 
 def _neighbour_radius(x: np.ndarray, count: np.ndarray, k: int) -> np.ndarray:
@@ -39,89 +40,69 @@ def _neighbour_radius(x: np.ndarray, count: np.ndarray, k: int) -> np.ndarray:
     )
 
 
-def _local_fits(group: pd.DataFrame, frac: float) -> np.ndarray:
-    """Weighted line through the neighbourhood of each knot, evaluated at the knot."""
-    x, count = group["knot_x"].to_numpy(), group["n"].to_numpy()
-    sums = group[_SUMS].to_numpy()
-    k = int(frac * count.sum() + 1e-10)
-    radius = _neighbour_radius(x, count, max(k, 1))
+def _local_fits(knots: pd.DataFrame, k: int) -> np.ndarray:
+    """Weighted line through the neighbourhood of each own knot, evaluated there; NaN without any weight."""
+    x, count = knots["x"].to_numpy(), knots["n"].to_numpy()
+    weights, values = knots["s"].to_numpy(), knots["t"].to_numpy()
+    radius = _neighbour_radius(x, count, k)
     start, stop = np.searchsorted(x, x - radius, "left"), np.searchsorted(x, x + radius, "right")
-    fits = np.empty(len(x))
-    for i in range(len(x)):
+    own = np.flatnonzero(knots["own"].to_numpy())
+    fits = np.empty(len(own))
+    for at, i in enumerate(own):
         near = slice(start[i], stop[i])
         shift, h = x[near] - x[i], radius[i]
         distance = np.abs(shift)
         with np.errstate(divide="ignore", invalid="ignore"):
             weight = (1.0 - (distance / h) ** 3) ** 3
         weight = np.where(distance <= 0.001 * h, 1.0, np.where(distance > 0.999 * h, 0.0, weight))
-        s0, s1, s2, t0, t1 = sums[near].T
-        a0 = weight @ s0
-        a1 = weight @ (s1 + shift * s0)
-        a2 = weight @ (s2 + 2.0 * shift * s1 + shift * shift * s0)
-        b0 = weight @ t0
-        b1 = weight @ (t1 + shift * t0)
+        s, t = weight * weights[near], weight * values[near]
+        a0, a1, a2 = s.sum(), s @ shift, s @ (shift * shift)
+        b0, b1 = t.sum(), t @ shift
         spread = a0 * a2 - a1 * a1
         if a0 <= 0.0:
-            fits[i] = np.nan
+            fits[at] = np.nan
         elif spread > 1e-12 * a0 * a2:
-            fits[i] = (a2 * b0 - a1 * b1) / spread
+            fits[at] = (a2 * b0 - a1 * b1) / spread
         else:
-            fits[i] = b0 / a0
+            fits[at] = b0 / a0
     return fits
 
 
 def _fit_knots(knots: DataFrame, keys: Sequence[str]) -> DataFrame:
-    """Local fit per knot with the segment to either neighbour, for interpolation."""
-    fields = [f for f in knots.schema.fields if f.name in [*keys, "frac", "bin", "knot_x"]]
-    added = ["fit", "slope_left", "slope_right"]
-    schema = T.StructType(fields + [T.StructField(c, T.DoubleType()) for c in added])
-
-    def fit(group: pd.DataFrame) -> pd.DataFrame:
-        group = group.sort_values("knot_x", kind="stable")
-        x, fits = group["knot_x"].to_numpy(), _local_fits(group, float(group["frac"].iloc[0]))
-        with np.errstate(divide="ignore", invalid="ignore"):
-            steps = np.where(np.diff(x) > 0, np.diff(fits) / np.diff(x), 0.0)
-        inner = np.concatenate([steps[:1], steps, steps[-1:]]) if len(steps) else np.zeros(2)
-        return group[[f.name for f in fields]].assign(
-            fit=fits, slope_left=inner[:-1], slope_right=inner[1:]
-        )
-
-    return knots.groupBy(*keys, "frac").applyInPandas(fit, schema)
+    """Local fit per knot; null where no weight is left around it."""
+    group = [*keys, "frac"]
+    order = Window.partitionBy(*group).orderBy("x")
+    whole = Window.partitionBy(*group)
+    placed = (
+        knots.withColumn("past", F.sum("n").over(order.rowsBetween(Window.unboundedPreceding, 0)))
+        .withColumn("total", F.sum("n").over(whole))
+        .withColumn("most", F.max("n").over(whole))
+        .withColumn("chunks", F.ceil(F.count("*").over(whole) / CHUNK_KNOTS))
+        .withColumn("size", F.ceil(F.col("total") / F.col("chunks")))
+        .withColumn("k", F.greatest(F.floor(F.col("frac") * F.col("total") + 1e-10), F.lit(1)))
+        .withColumn("home", F.expr("(past - n) div size"))
+    )
+    # chunks that a knot's rows can reach: at most k rows, and the rows of one tied knot, away
+    reach = placed.withColumn(
+        "chunk",
+        F.expr("explode(sequence(greatest(0, (past - n - k - most) div size - 1), least(chunks - 1, (past + k) div size)))"),
+    ).withColumn("own", F.col("home") == F.col("chunk"))
+    fields = [f for f in knots.schema.fields if f.name in [*group, "x"]]
 
+    def fit(part: pd.DataFrame) -> pd.DataFrame:
+        part = part.sort_values("x", kind="stable")
+        fits = _local_fits(part, int(part["k"].iloc[0]))
+        return part.loc[part["own"], [f.name for f in fields]].assign(fit=fits)
 
-def _binned(rows: DataFrame, keys: Sequence[str], max_knots: int) -> DataFrame:
-    """Adds ``bin`` (the knot of the row within its group) and ``knot_x``."""
-    distinct = rows.groupBy(*keys, "x").agg(F.count("*").alias("n"))
-    sizes = stage(
-        distinct.groupBy(*keys).agg(F.count("*").alias("distinct_x"), F.sum("n").alias("rows_in_group")),
-        "lowess-sizes",
-    )
-    large = F.col("distinct_x") > max_knots
-    if sizes.filter(large).isEmpty():
-        return rows.withColumn("bin", F.col("x")).withColumn("knot_x", F.col("x"))
-    order = [c for c in ["x", *rows.columns] if c not in keys]
-    ranked = attach(with_row_index(rows, list(dict.fromkeys(order)), keys), sizes, keys)
-    by_rank = F.floor(F.col("row_idx") * max_knots / F.col("rows_in_group")).cast("double")
-    binned = ranked.withColumn("is_large", large).withColumn(
-        "bin", F.when(F.col("is_large"), by_rank).otherwise(F.col("x"))
-    )
-    centres = binned.groupBy(*keys, "bin").agg(
-        F.when(F.first("is_large"), F.avg("x")).otherwise(F.min("x")).alias("knot_x")
-    )
-    return attach(binned, stage(centres, "lowess-knots"), [*keys, "bin"]).select(
-        *rows.columns, "bin", "knot_x"
-    )
+    columns = [*group, "x", "n", "s", "t", "k", "chunk", "own"]
+    schema = T.StructType([*fields, T.StructField("fit", T.DoubleType())])
+    fitted = reach.select(*columns).groupBy(*group, "chunk").applyInPandas(fit, schema)
+    return fitted.withColumn("fit", F.nanvl("fit", F.lit(None).cast("double")))
 
 
 def _knot_sums(rows: DataFrame, keys: Sequence[str], weight: Column) -> DataFrame:
-    dx = F.col("x") - F.col("knot_x")
-    return rows.groupBy(*keys, "frac", "bin", "knot_x").agg(
-        F.count("*").alias("n"),
-        F.sum(weight).alias("s0"),
-        F.sum(weight * dx).alias("s1"),
-        F.sum(weight * dx * dx).alias("s2"),
-        F.sum(weight * F.col("y")).alias("t0"),
-        F.sum(weight * dx * F.col("y")).alias("t1"),
+    return rows.groupBy(*keys, "frac", "x").agg(
+        F.count("*").alias("n"), F.sum(weight).alias("s"), F.sum(weight * F.col("y")).alias("t")
     )
 
 
@@ -130,36 +111,38 @@ def lowess_smooth(
     keys: Sequence[str],
     spans: Sequence[float] = (1 / 3,),
     iterations: int = 3,
-    max_knots: int = 5_000,
 ) -> DataFrame:
-    """Smoothed ``fitted`` for every row and span (column ``frac``), sorted output left to the caller."""
+    """Smoothed ``fitted`` for every row and span (column ``frac``), sorted output left to the caller.
+
+    A row around which the robust passes leave no weight keeps its own value. A group whose median
+    error is no more than rounding keeps the fit it has.
+    """
     known = rows.filter(F.col("x").isNotNull() & F.col("y").isNotNull()).withColumns(
         {"x": F.col("x").cast("double"), "y": F.col("y").cast("double")}
     )
     # written once; the spans multiply the rows only while a pass reads them
-    binned = stage(_binned(known, keys, max_knots), "lowess-rows")
-    spread = binned.withColumn("frac", F.explode(F.array(*[F.lit(float(s)) for s in spans])))
+    spread = stage(known, "lowess-rows").withColumn("frac", F.explode(F.array(*[F.lit(float(s)) for s in spans])))
     group = [*keys, "frac"]
-    dx = F.col("x") - F.col("knot_x")
-    fitted = F.col("fit") + dx * F.when(dx < 0, F.col("slope_left")).otherwise(F.col("slope_right"))
 
     def scored(fits: DataFrame) -> DataFrame:
-        lines = fits.select(*group, "bin", "fit", "slope_left", "slope_right")
-        return attach(spread, lines, [*group, "bin"]).withColumn(
-            "fitted",
-            # no weight left around this knot: the row keeps its own value
-            F.when(F.isnan("fit"), F.col("y")).when(dx == 0, F.col("fit")).otherwise(fitted),
-        )
+        return attach(spread, fits, [*group, "x"]).withColumn("fitted", F.coalesce("fit", "y"))
 
     fits = stage(_fit_knots(_knot_sums(spread, keys, F.lit(1.0)), keys), "lowess-fit")
     for _ in range(iterations):
-        errors = scored(fits).withColumn("error", F.abs(F.col("y") - F.col("fitted")))
-        scale = exact_median(errors, group, "error").selectExpr(*group, "6 * median as scale")
+        errors = stage(
+            scored(fits).select(*group, "x", "y", F.abs(F.col("y") - F.col("fitted")).alias("error")), "lowess-errors"
+        )
+        sizes = errors.groupBy(*group).agg(F.max(F.abs("y")).alias("largest"))
+        scale = (
+            exact_median(errors, group, "error")
+            .join(sizes.select(*[F.col(c).alias(f"__{c}") for c in group], "largest"), F.expr(" and ".join(f"{c} <=> __{c}" for c in group)))
+            .selectExpr(*group, f"case when median > {ROUNDING!r}D * largest then 6 * median end as scale")
+        )
         u = F.col("error") / F.col("scale")
         weight = F.when(u > 0.999, 0.0).when(u < 0.001, 1.0).otherwise((1 - u * u) * (1 - u * u))
-        weighted = attach(errors, scale.filter("scale > 0"), group).withColumn("robust", weight)
-        # a group whose median error is 0 keeps the fit it has
-        settled = attach(fits, scale.filter("scale = 0"), group, salts=1).drop("scale")
+        scale = stage(scale, "lowess-scale")
+        weighted = attach(errors, scale.filter("scale is not null"), group).withColumn("robust", weight)
+        settled = attach(fits, scale.filter("scale is null"), group, salts=1).drop("scale")
         refit = _fit_knots(_knot_sums(weighted, keys, F.col("robust")), keys)
         fits = stage(refit.unionByName(settled), "lowess-fit")
     return scored(fits).select(*rows.columns, "frac", "fitted")

@@ -65,7 +65,7 @@ def filter_threshold(df: DataFrame, value: str, limit: float = 3.0) -> DataFrame
 def filter_isin(df: DataFrame, wanted: DataFrame, keys: Sequence[str]) -> DataFrame:
     """Rows whose key occurs in ``wanted`` (reduced to its distinct keys first); null is in no list."""
     listed = wanted.select(*keys).dropna().distinct()
-    return attach(df, listed, keys, how="left_semi")
+    return df.join(listed, list(keys), "left_semi")
 
 
 def add_constant(df: DataFrame, name: str = "const") -> DataFrame:

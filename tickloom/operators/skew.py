@@ -17,6 +17,17 @@ def salt_count(df: DataFrame) -> int:
     return max(16, min(200, partitions // 8))
 
 
+def _broadcast_limit(df: DataFrame) -> int:
+    text = df.sparkSession.conf.get("spark.sql.autoBroadcastJoinThreshold").strip().lower()
+    units = {"k": 1 << 10, "m": 1 << 20, "g": 1 << 30}
+    digits = text.rstrip("b")
+    return int(digits[:-1]) * units[digits[-1]] if digits[-1:] in units else int(digits)
+
+
+def _planned_bytes(df: DataFrame) -> int:
+    return int(str(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()))
+
+
 def attach(
     rows: DataFrame,
     stats: DataFrame,
@@ -26,20 +37,21 @@ def attach(
 ) -> DataFrame:
     """Add the columns of ``stats`` (one row, or a few, per key) to every row.
 
-    Rows of one key are spread over ``salts`` tasks by a hash of the whole row and the small side is
-    repeated, so a hot key never lands in one task. Where Spark measures ``stats`` below its
-    broadcast threshold it drops the shuffle by itself; no broadcast is forced here.
+    A plain join where Spark expects ``stats`` below its broadcast threshold, so that no row is
+    moved, and where ``salts`` is 1. Otherwise rows of one key are spread over ``salts`` tasks by a
+    hash of the whole row and ``stats`` is repeated, so a hot key never lands in one task. The
+    planner's estimate does not see the repetition, so the salted side is kept from broadcast.
     """
     salts = salts or salt_count(rows)
     added = [f"`{c}`" for c in stats.columns if c not in keys]
-    right = stats.selectExpr(
-        *[f"`{k}` as `__{k}`" for k in keys],
-        *added,
-        f"explode(sequence(0, {salts - 1})) as __salt_r",
-    )
+    same_key = " and ".join(f"`{k}` <=> `__{k}`" for k in keys)
+    renamed = [f"`{k}` as `__{k}`" for k in keys]
+    if salts == 1 or _planned_bytes(stats) <= _broadcast_limit(rows):
+        joined = rows.join(stats.selectExpr(*renamed, *added), F.expr(same_key), how)
+        return joined.selectExpr(*[f"`{c}`" for c in rows.columns], *added)
+    right = stats.selectExpr(*renamed, *added, f"explode(sequence(0, {salts - 1})) as __salt_r").hint("merge")
     hashed = ", ".join(f"`{c}`" for c, t in rows.dtypes if not t.startswith(("map", "variant")))
     left = rows.selectExpr("*", f"cast(pmod(xxhash64({hashed}), {salts}) as int) as __salt_l")
-    same_key = " and ".join(f"`{k}` <=> `__{k}`" for k in keys)
     joined = left.join(right, F.expr(f"__salt_l = __salt_r and {same_key}"), how)
     return joined.selectExpr(*[f"`{c}`" for c in rows.columns], *added)
 

@@ -82,7 +82,7 @@ def nearest_neighbour_join(spark: SparkSession, folder: str) -> DataFrame:
     hits = knn.nearest_neighbours(
         parts.filter(~F.col("is_test")), test, ["symbol"], FEATURES, "date", "close", NEIGHBOURS
     ).withColumnRenamed("id", "neighbour")
-    return attach(test.select("symbol", "date", *FEATURES), hits, ["symbol", *FEATURES]).select(
+    return attach(test.select("symbol", "date", *FEATURES), hits, ["symbol", *FEATURES], salts=1).select(
         "symbol", "date", "neighbour", rounded("label").alias("label"), rounded("d2").alias("distance_sq"), "rank"
     )
 
@@ -112,7 +112,7 @@ def knn_errors(spark: SparkSession, folder: str) -> DataFrame:
  select symbol, chosen_on, k, {r('mse', 4)} as test_mse from chosen join test_errors using (symbol, k)""",
 )
 def knn_select_k(spark: SparkSession, folder: str) -> DataFrame:
-    """Neighbour count with the least error, chosen on a validation part or, as first done, on the test part."""
+    """Neighbour count with the least error, chosen on a validation part or on the test part."""
     return knn_choice(split_bars(spark, folder)).select(
         "symbol", "chosen_on", "k", rounded("test_mse", 4).alias("test_mse")
     )
@@ -378,8 +378,8 @@ def _fit_each_symbol(parts: DataFrame, fit: Callable[[DataFrame], list[tuple]])
     parts = stage(parts, "bars-by-symbol", ["symbol"])
     symbols = [row[0] for row in parts.select("symbol").distinct().collect()]
 
-    def run(symbol: str) -> list[tuple]:
-        return [(symbol, *metric) for metric in fit(parts.filter(F.col("symbol") == symbol))]
+    def run(symbol: str | None) -> list[tuple]:
+        return [(symbol, *metric) for metric in fit(parts.filter(F.col("symbol").eqNullSafe(symbol)))]
 
     with ThreadPoolExecutor(max_workers=4) as pool:
         found = [row for part in pool.map(run, symbols) for row in part]
@@ -389,7 +389,7 @@ def _fit_each_symbol(parts: DataFrame, fit: Callable[[DataFrame], list[tuple]])
 
 @query("elastic_net_ten_steps")
 def elastic_net_ten_steps(spark: SparkSession, folder: str) -> DataFrame:
-    """The ten-step fit of the original program."""
+    """The fit stopped after ten steps."""
     parts = rows.split_holdout(event_bars(spark, folder), hour_number() % 10)
     return _rounded_metrics(_fit_each_symbol(parts, lambda part: linear.elastic_net_mllib(part, FEATURES, "close")))
 

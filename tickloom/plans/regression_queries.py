@@ -4,13 +4,6 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from tickloom.functions.formulas import (
-    COEFFICIENT_STEPS,
-    FIT_STEPS,
-    RESIDUAL_STEPS,
-    STUDENT_STEPS,
-    Steps,
-)
 from tickloom.functions.values import rounded
 from tickloom.operators import lowess, ols
 from tickloom.plans.checking_sql import PAIRS, r
@@ -26,19 +19,14 @@ SUMMARY = [
 ]
 
 
-def _steps_sql(source: str, steps: Steps) -> str:
-    """The same named steps as nested selects."""
-    for name, expression in steps:
-        source = f"(select *, {expression} as {name} from {source})"
-    return source
+# The checking SQL is written out by itself and takes other routes than the operators where there are any.
 
 
 def _fit_sql(rows: str, keys: str) -> str:
-    moments = (
-        f"(select {keys}, count(*) as n, avg(x) as mx, avg(y) as my, regr_sxx(y, x) as sxx, "
-        f"regr_syy(y, x) as syy, regr_sxy(y, x) as sxy from {rows} group by all)"
+    return (
+        f"(select {keys}, count(*) as n, regr_slope(y, x) as slope, regr_intercept(y, x) as intercept, "
+        f"regr_r2(y, x) as r2 from {rows} group by all)"
     )
-    return _steps_sql(moments, FIT_STEPS)
 
 
 def survey_pairs(spark: SparkSession, folder: str) -> DataFrame:
@@ -58,7 +46,7 @@ def line_items(spark: SparkSession, folder: str) -> DataFrame:
 
 
 _LINES = """lines as (select l_returnflag as pair, l_orderkey, l_linenumber, l_quantity as x,
-  l_extendedprice as y from lineitem)"""
+  l_extendedprice as y, l_tax from lineitem)"""
 _FITTED = f"with {PAIRS}, fit as (select * from {_fit_sql('pairs', 'pair')} s)"
 _LINE_FITTED = f"with {_LINES}, fit as (select * from {_fit_sql('lines', 'pair')} s)"
 
@@ -86,20 +74,43 @@ def ols_fit_lineitem(spark: SparkSession, folder: str) -> DataFrame:
     )
 
 
-_RESIDUAL_SQL = """, residuals as (
-  select pair, row_key, y - (intercept + slope * x) as e,
-    y - (intercept + slope * x) - lag(y - (intercept + slope * x)) over (partition by pair order by row_key) as step
-  from pairs join fit using (pair)),
- tested as (select f.*, m2, m3, m4, sum_step_sq from fit f join (
-  select pair, avg(e * e) as m2, avg(e * e * e) as m3, avg(e * e * e * e) as m4, sum(step * step) as sum_step_sq
-  from residuals group by 1) m using (pair))"""
+# errors by the textbook forms from raw sums; condition number from the eigenvalues of [[n, Sx], [Sx, Sxx]]
+_SUMMARY_SQL = """, e as (
+  select pair, row_key, x, y, y - (intercept + slope * x) as e from pairs join fit using (pair)),
+ steps as (select pair, sum(power(d, 2)) as steps from (
+   select pair, e - lag(e) over (partition by pair order by row_key) as d from e) q group by 1),
+ s as (
+  select pair, count(*) as cases, sum(x) as sx, sum(x * x) as sx2, var_pop(x) * count(*) as dx, var_pop(y) * count(*) as dy,
+    sum(e * e) as ss, sqrt(count(*)) * sum(power(e, 3)) / power(sum(e * e), 15e-1) as skew,
+    count(*) * sum(power(e, 4)) / power(sum(e * e), 2) as kurtosis from e group by 1),
+ a as (
+  select *, sqrt(ss / (n - 2) / dx) as se_slope, sqrt(ss / (n - 2) / dx) * sqrt(sx2 / n) as se_intercept,
+    1 - (ss / (n - 2)) / (dy / (n - 1)) as adj_r2, (dy - ss) / (ss / (n - 2)) as f_value,
+    -n / 2e0 * ln(2 * pi()) - n / 2e0 * ln(ss / n) - n / 2e0 as log_likelihood, steps / ss as durbin_watson,
+    n + sx2 as diagonal, sqrt(power(n - sx2, 2) + 4 * sx * sx) as apart
+  from fit join s using (pair) join steps using (pair)),
+ k as (
+  select *, slope / se_slope as t_slope, intercept / se_intercept as t_intercept,
+    2 * 2 - 2 * log_likelihood as aic, 2 * ln(n) - 2 * log_likelihood as bic,
+    sqrt((diagonal + apart) / (diagonal - apart)) as condition_number,
+    n * (power(skew, 2) / 6 + power(kurtosis - 3, 2) / 24) as jarque_bera,
+    -- skewness test: normal score through an inverse hyperbolic sine
+    sqrt(-1 + sqrt(2 * (3e0 * (n * n + 27 * n - 70) * (n + 1) * (n + 3) / ((n - 2e0) * (n + 5) * (n + 7) * (n + 9)) - 1))) as w,
+    skew * sqrt((n + 1e0) * (n + 3) / (6e0 * (n - 2))) as score,
+    -- kurtosis test: normal score through a cube root of a chi-squared with ``free`` degrees of freedom
+    (kurtosis - 3e0 * (n - 1) / (n + 1)) / sqrt(24e0 * n * (n - 2) * (n - 3) / (power(n + 1e0, 2) * (n + 3) * (n + 5))) as excess,
+    6e0 * (n * n - 5 * n + 2) / ((n + 7e0) * (n + 9)) * sqrt(6e0 * (n + 3) * (n + 5) / (n * (n - 2e0) * (n - 3))) as beta
+  from a),
+ z as (
+  select *, asinh(score * sqrt((w * w - 1) / 2)) / sqrt(ln(w)) as z1, 6 + 8 / beta * (2 / beta + sqrt(1 + 4 / power(beta, 2))) as free from k),
+ tested as (
+  select *, exp(-jarque_bera / 2) as prob_jarque_bera, exp(-omnibus / 2) as prob_omnibus from (
+   select *, z1 * z1 + power((1 - 2 / (9 * free) - cbrt((1 - 2 / free) / (1 + excess * sqrt(2 / (free - 4))))) * sqrt(9 * free / 2), 2) as omnibus from z) q)"""
 
 
 @query(
     "ols_summary",
-    f"{_FITTED}{_RESIDUAL_SQL} select pair, n, "
-    + ", ".join(f"{r(c, 4)} as {c}" for c in SUMMARY[1:])
-    + f" from {_steps_sql('tested', COEFFICIENT_STEPS + RESIDUAL_STEPS)} s",
+    f"{_FITTED}{_SUMMARY_SQL} select pair, n, " + ", ".join(f"{r(c, 4)} as {c}" for c in SUMMARY[1:]) + " from tested",
 )
 def ols_summary(spark: SparkSession, folder: str) -> DataFrame:
     rows = survey_pairs(spark, folder)
@@ -124,16 +135,16 @@ _P_SERIES = f"""weights as (
    select j, exp(sum(case when j = 0 then 0 else ln(2e0 * j / (2 * j + 1)) end) over (order by j)) as odd_weight,
      exp(sum(case when j = 0 then 0 else ln((2e0 * j - 1) / (2 * j)) end) over (order by j)) as even_weight
    from generate_series(0, 200) as g(j)),
- tested as (select pair, df, t_slope, t_intercept,
+ series as (select pair, df, t_slope, t_intercept,
    {_series('t_slope', 'odd')} as odd_slope, {_series('t_slope', 'even')} as even_slope,
    {_series('t_intercept', 'odd')} as odd_intercept, {_series('t_intercept', 'even')} as even_intercept
-   from {_steps_sql('fit', COEFFICIENT_STEPS)} f, weights group by all)"""
+   from (select pair, n - 2 as df, t_slope, t_intercept from k) f, weights group by all)"""
 
 
 @query(
     "ols_p_values",
-    f"{_FITTED}, {_P_SERIES} select pair, df, {r(_p_value_sql('t_slope', 'odd_slope', 'even_slope'))} as p_slope, "
-    f"{r(_p_value_sql('t_intercept', 'odd_intercept', 'even_intercept'))} as p_intercept from tested",
+    f"{_FITTED}{_SUMMARY_SQL}, {_P_SERIES} select pair, df, {r(_p_value_sql('t_slope', 'odd_slope', 'even_slope'))} as p_slope, "
+    f"{r(_p_value_sql('t_intercept', 'odd_intercept', 'even_intercept'))} as p_intercept from series",
 )
 def ols_p_values(spark: SparkSession, folder: str) -> DataFrame:
     table = ols.ols_inference(ols.ols_fit(fit_pairs(survey_table(spark, folder)), ["pair"]), ["pair"])
@@ -157,10 +168,19 @@ def ols_predict(spark: SparkSession, folder: str) -> DataFrame:
     return table.select("pair", "row_key", rounded("fitted").alias("fitted"), rounded("residual").alias("residual"))
 
 
-_STUDENT_SQL = _steps_sql("(select * from pairs join fit using (pair))", STUDENT_STEPS)
+def _left_out_sql(rows: str) -> str:
+    """``t`` of every row by fitting the line without it: its sums are the whole sums less its own, about the means."""
+    return f"""(
+  select *, gap / sqrt(left_sse / (m - 2) * (1 + 1e0 / m + power(u - left_u, 2) / left_uu)) as t from (
+   select *, (v - left_v) - left_uv / left_uu * (u - left_u) as gap, left_vv - left_uv * left_uv / left_uu as left_sse from (
+    select *, -u / m as left_u, -v / m as left_v, suu - u * u - u * u / m as left_uu,
+      svv - v * v - v * v / m as left_vv, suv - u * v - u * v / m as left_uv
+    from (select d.*, c.n - 1 as m, x - mx as u, y - my as v, suu, svv, suv from {rows} d join (
+      select pair, count(*) as n, avg(x) as mx, avg(y) as my, regr_sxx(y, x) as suu, regr_syy(y, x) as svv, regr_sxy(y, x) as suv
+      from {rows} group by 1) c using (pair)) a) b) e)"""
 
 
-@query("studentized_residuals", f"{_FITTED} select pair, row_key, {r('t')} as t from {_STUDENT_SQL} s")
+@query("studentized_residuals", f"with {PAIRS} select pair, row_key, {r('t')} as t from {_left_out_sql('pairs')} s")
 def studentized_residuals(spark: SparkSession, folder: str) -> DataFrame:
     rows = survey_pairs(spark, folder)
     table = ols.studentized_residuals(rows, ols.ols_fit(rows, ["pair"]), ["pair"])
@@ -169,7 +189,7 @@ def studentized_residuals(spark: SparkSession, folder: str) -> DataFrame:
 
 @query(
     "studentized_outliers",
-    f"{_FITTED} select pair, row_key, {r('x')} as x, {r('y')} as y, {r('t')} as t from {_STUDENT_SQL} s where t > 3 or t < -3",
+    f"with {PAIRS} select pair, row_key, {r('x')} as x, {r('y')} as y, {r('t')} as t from {_left_out_sql('pairs')} s where abs(t) > 3",
 )
 def studentized_outliers(spark: SparkSession, folder: str) -> DataFrame:
     rows = survey_pairs(spark, folder)
@@ -179,15 +199,20 @@ def studentized_outliers(spark: SparkSession, folder: str) -> DataFrame:
 
 @query(
     "studentized_outliers_lineitem",
-    f"{_LINE_FITTED} select pair, l_orderkey, l_linenumber, {r('t', 4)} as t from "
-    + _steps_sql("(select * from lines join fit using (pair))", STUDENT_STEPS)
-    + " s where t > 2 or t < -2",
+    f"""with {_LINES}, taxed as (select pair, l_orderkey, l_linenumber, x, y * l_tax as y from lines)
+ select pair, l_orderkey, l_linenumber, {r('t', 4)} as t from {_left_out_sql('taxed')} s where abs(t) > 3""",
 )
 def studentized_outliers_lineitem(spark: SparkSession, folder: str) -> DataFrame:
-    """At limit 2, as these prices have no residual beyond 3."""
-    rows = line_items(spark, folder)
+    """Line items whose tax amount lies far off the line over quantity; about one in two hundred does."""
+    rows = read_table(spark, folder, "lineitem").select(
+        F.col("l_returnflag").alias("pair"),
+        "l_orderkey",
+        "l_linenumber",
+        F.col("l_quantity").alias("x"),
+        (F.col("l_extendedprice") * F.col("l_tax")).alias("y"),
+    )
     fit = stage(ols.ols_fit(rows, ["pair"]), "line-fit")
-    table = ols.studentized_outliers(rows, fit, ["pair"], limit=2.0)
+    table = ols.studentized_outliers(rows, fit, ["pair"])
     return table.select("pair", "l_orderkey", "l_linenumber", rounded("t", 4).alias("t"))
 
 

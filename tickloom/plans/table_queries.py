@@ -17,6 +17,7 @@ from tickloom.functions.values import (
 from tickloom.operators import aggregate, features, joins, rows
 from tickloom.plans.checking_sql import BARS, HOUR, INDEXED, PARTED, PRICES, SURVEY, r
 from tickloom.plans.registry import query
+from tickloom.session import stage
 from tickloom.sources.tables import (
     INDICATORS,
     PRICE_COLUMNS,
@@ -24,9 +25,9 @@ from tickloom.sources.tables import (
     hour_number,
     order_indicators,
     read_table,
-    return_rate,
     supplier_rate,
     survey_means,
+    survey_table,
 )
 
 _PRICES_SQL = ", ".join(PRICES)
@@ -45,11 +46,6 @@ def project(spark: SparkSession, folder: str) -> DataFrame:
     return read_table(spark, folder, "events").select("event_id", "event_type", "value")
 
 
-@query("scan_csv_usecols", f"with {BARS} select symbol, close, volume from bars")
-def scan_csv_usecols(spark: SparkSession, folder: str) -> DataFrame:
-    return event_bars(spark, folder).select("symbol", "close", "volume")
-
-
 @query("drop_columns", f"with {BARS} select symbol, {_PRICES_SQL} from bars")
 def drop_columns(spark: SparkSession, folder: str) -> DataFrame:
     return event_bars(spark, folder).drop("date")
@@ -327,10 +323,10 @@ def positional_concat(spark: SparkSession, folder: str) -> DataFrame:
 )
 def keyed_state_join(spark: SparkSession, folder: str) -> DataFrame:
     crosswalk = read_table(spark, folder, "nation").select(F.col("n_name").alias("state"), F.col("n_nationkey").alias("k"))
-    means = survey_means(spark, folder).join(crosswalk, "k").drop("k")
-    joined = joins.keyed_state_join(
-        means, "state", [supplier_rate(spark, folder), return_rate(spark, folder)], crosswalk, "k"
-    )
+    # one pass over each table; the three parts are joined as separate tables would be
+    survey = stage(survey_table(spark, folder), "survey")
+    means = survey.join(crosswalk, "k").select("state", *INDICATORS)
+    joined = joins.keyed_state_join(means, "state", [survey.select("k", "x1"), survey.select("k", "x2")], crosswalk, "k")
     return joined.select("state", "k", *[rounded(c).alias(c) for c in [*INDICATORS, "x1", "x2"]])
 
 

@@ -2,8 +2,10 @@
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Iterator, Sequence
 
+import numpy as np
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F, types as T
 
 from tickloom.functions.values import file_extension
@@ -53,17 +55,21 @@ def _header_lines(spark: SparkSession, path: str, skip_lines: int, most: int = 5
     raise ValueError(f"no complete header within {most} lines after the preamble of {path}")
 
 
-def _numbered_lines(lines: DataFrame) -> DataFrame:
-    """Adds ``line``, the place within the file split a row comes from, and the split's start ``block``.
+def _without_first_lines(lines: DataFrame, count: int) -> DataFrame:
+    """Lines of the files' first splits without the first ``count`` of each file; counted inside each task."""
 
-    A split is at most ``spark.sql.files.maxPartitionBytes`` long, so its rows fit one task.
-    """
-    return lines.selectExpr(
-        "*",
-        "_metadata.file_path as file",
-        "_metadata.file_block_start as block",
-        "monotonically_increasing_id() as at",
-    ).selectExpr("*", "row_number() over (partition by file, block order by at) - 1 as line").drop("at")
+    def skip(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        seen: dict[str, int] = {}
+        for batch in batches:
+            coded = batch.column("file").dictionary_encode()
+            codes, keep = coded.indices.to_numpy(zero_copy_only=False), np.ones(len(batch), bool)
+            for code, file in enumerate(coded.dictionary.to_pylist()):
+                places = np.flatnonzero(codes == code)
+                keep[places[: max(0, count - seen.get(file, 0))]] = False
+                seen[file] = seen.get(file, 0) + len(places)
+            yield pa.RecordBatch.from_arrays([batch.column("value").filter(pa.array(keep))], ["value"])
+
+    return lines.select("value", F.col("_metadata.file_path").alias("file")).mapInArrow(skip, "value string")
 
 
 def scan_csv_preamble(
@@ -71,8 +77,9 @@ def scan_csv_preamble(
 ) -> DataFrame:
     """CSV files with ``skip_lines`` lines before the header, all columns named by position.
 
-    The header may span lines. Files are read in splits; with ``multiline_cells`` data cells may
-    span lines too, and then each file is read as one value.
+    The header may span lines. Files are read in splits, and only the first split of each looks for
+    the header, so no line is moved between tasks; with ``multiline_cells`` data cells may span lines
+    too, and then each file is read as one value.
     """
     header = _header_lines(spark, path, skip_lines)
     if multiline_cells:
@@ -82,8 +89,9 @@ def scan_csv_preamble(
         whole = spark.read.text(path, wholetext=True)
         records = whole.select(F.posexplode(found).alias("place", "value")).filter("place > 0")
     else:
-        first_block = (F.col("block") == 0) & (F.col("line") < skip_lines + header)
-        records = _numbered_lines(spark.read.text(path)).filter(~first_block & (F.trim("value") != ""))
+        lines, starts_file = spark.read.text(path), F.col("_metadata.file_block_start") == 0
+        body = _without_first_lines(lines.filter(starts_file), skip_lines + header)
+        records = lines.filter(~starts_file).select("value").union(body).filter(F.trim("value") != "")
     options = {"multiLine": "true", "mode": "FAILFAST"}
     fields = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in schema)
     return records.select(F.from_csv("value", fields, options).alias("r")).select("r.*")
@@ -120,17 +128,15 @@ def scan_flat_table(spark: SparkSession, path: str) -> DataFrame:
     """Self-describing comma tables: column count, that many headers, then the cells row by row.
 
     Long form ``(file, row, col, header, value)``, blank cells null. The comma is the record
-    delimiter of the scan, so a file of any length is read in splits; token numbers come from the
-    number of tokens in the splits before. A file has ``tokens div columns - 1`` rows, hence a last
+    delimiter of the scan, so a file of any length is read in splits; token numbers come from
+    the written place of a token within its split and the number of tokens in the splits before. A file has ``tokens div columns - 1`` rows, hence a last
     row that lacks one cell is kept and a shorter one is not.
     """
     tokens = stage(
-        _numbered_lines(
-            spark.read.option("lineSep", ",").text(path).selectExpr("value", "_metadata")
-        ).selectExpr(
-            "file",
-            "block",
-            "line",
+        spark.read.option("lineSep", ",").text(path).selectExpr(
+            "_metadata.file_path as file",
+            "_metadata.file_block_start as block",
+            "monotonically_increasing_id() as at",
             r"regexp_replace(value, '^\\s+|\\s+$', '') as token",
             "octet_length(value) + 1 as bytes",
             "_metadata.file_size as file_size",
@@ -138,16 +144,16 @@ def scan_flat_table(spark: SparkSession, path: str) -> DataFrame:
         "flat-tokens",
     )
     per_block = tokens.groupBy("file", "block").agg(
-        F.count("*").alias("n"), F.sum("bytes").alias("bytes"), F.max("file_size").alias("file_size")
+        F.count("*").alias("n"), F.sum("bytes").alias("bytes"), F.max("file_size").alias("file_size"), F.min("at").alias("first")
     )
     starts = per_block.selectExpr(
         "file",
         "block",
         """coalesce(sum(n) over (partition by file order by block
-           rows between unbounded preceding and 1 preceding), 0) as start""",
+           rows between unbounded preceding and 1 preceding), 0) - first as shift""",
     )
-    numbered = attach(tokens.select("file", "block", "line", "token"), starts, ["file", "block"]).selectExpr(
-        "file", "start + line as place", "token"
+    numbered = attach(tokens.select("file", "block", "at", "token"), starts, ["file", "block"]).selectExpr(
+        "file", "shift + at as place", "token"
     )
     width = numbered.filter("place = 0").selectExpr("file", "cast(token as int) as width")
     # a comma at the very end of the file is followed by one more, empty token
@@ -167,7 +173,7 @@ def scan_flat_table(spark: SparkSession, path: str) -> DataFrame:
         "length div width - 1 as rows",
     )
     kept = cells.filter("row < rows").drop("rows")
-    return attach(kept, stage(headers, "flat-headers"), ["file", "col"]).select(
+    return attach(kept, stage(headers, "flat-headers"), ["file", "col"], salts=1).select(
         "file", "row", "col", "header", "value"
     )
 
@@ -212,8 +218,8 @@ def image_report(catalog: DataFrame) -> DataFrame:
         "file",
         F.explode(
             F.array(
-                F.concat(F.lit("Image Width: "), F.col("width")),
-                F.concat(F.lit("Image Height:"), F.col("height")),
+                F.concat(F.lit("width "), F.col("width")),
+                F.concat(F.lit("height "), F.col("height")),
             )
         ).alias("line"),
     )

@@ -99,28 +99,6 @@ def supplier_rate(spark: SparkSession, folder: str) -> DataFrame:
     return people.join(staff, "k").select("k", (F.col("staff") / F.col("pop")).alias("x1"))
 
 
-def return_rate(spark: SparkSession, folder: str) -> DataFrame:
-    """Returned line items per customer by nation, summed along order and customer first."""
-    customer = read_table(spark, folder, "customer").select("c_custkey", "c_nationkey")
-    returned = (
-        read_table(spark, folder, "lineitem")
-        .groupBy("l_orderkey")
-        .agg(F.sum(F.when(F.col("l_returnflag") == "R", 1).otherwise(0)).alias("returned"))
-    )
-    per_customer = (
-        read_table(spark, folder, "orders")
-        .select("o_orderkey", "o_custkey")
-        .join(returned, F.col("o_orderkey") == F.col("l_orderkey"))
-        .groupBy("o_custkey")
-        .agg(F.sum("returned").alias("returned"))
-    )
-    return (
-        customer.join(per_customer, F.col("c_custkey") == F.col("o_custkey"), "left")
-        .groupBy(F.col("c_nationkey").alias("k"))
-        .agg((F.sum(F.coalesce("returned", F.lit(0))).cast("double") / F.count("*")).alias("x2"))
-    )
-
-
 def survey_table(spark: SparkSession, folder: str) -> DataFrame:
     """Indicators and both per-customer rates per nation, from one pass over each table.
 

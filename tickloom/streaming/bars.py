@@ -22,7 +22,8 @@ def stream_files(
         .option("maxFilesPerTrigger", files_per_trigger)
     )
     if file_format == "csv":
-        reader = reader.option("header", True)
+        # a header with other names, order or count raises
+        reader = reader.option("header", True).option("enforceSchema", False)
     if pattern:
         reader = reader.option("pathGlobFilter", pattern)
     return reader.load(folder)
@@ -48,17 +49,39 @@ def count_by_date(
     )
 
 
-def run_counts(counts: DataFrame, label: str = "counts") -> DataFrame:
+def _snapshots(spark: SparkSession, root: str) -> list[int]:
+    """Batch numbers of the written snapshots, ascending."""
+    path = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(f"{root}/counts")
+    system = path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+    if not system.exists(path):
+        return []
+    return sorted(int(f.getPath().getName().removeprefix("batch=")) for f in system.listStatus(path))
+
+
+def _forget(spark: SparkSession, root: str, batch: int) -> None:
+    path = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(f"{root}/counts/batch={batch}")
+    path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(path, True)
+
+
+def run_counts(counts: DataFrame, path: str | None = None) -> DataFrame:
     """Run a count to the end of the available files and return its newest value per date.
 
-    Each micro-batch writes only the changed dates, into its own folder, which a repeated batch
-    replaces; the newest batch wins. The checkpoint lies beside the output.
+    ``path`` holds the checkpoint and the counts, so a later call with the same path goes on where
+    this one ended. Each micro-batch writes a whole snapshot, the one before with the changed dates
+    replaced; a repeated batch replaces its own snapshot, and only the last two are kept.
     """
     spark = counts.sparkSession
-    root = staging_path(spark, label)
+    root = path or staging_path(spark, "counts")
 
     def write(batch: DataFrame, batch_id: int) -> None:
-        batch.write.mode("overwrite").parquet(f"{root}/log/batch={batch_id}")
+        earlier = [b for b in _snapshots(spark, root) if b < batch_id]
+        merged = batch
+        if earlier:
+            before = spark.read.schema(counts.schema).parquet(f"{root}/counts/batch={earlier[-1]}")
+            merged = before.join(batch.select("date"), "date", "left_anti").unionByName(batch)
+        merged.write.mode("overwrite").parquet(f"{root}/counts/batch={batch_id}")
+        for old in earlier[:-1]:
+            _forget(spark, root, old)
 
     running = (
         counts.writeStream.outputMode("update")
@@ -68,15 +91,19 @@ def run_counts(counts: DataFrame, label: str = "counts") -> DataFrame:
         .start()
     )
     running.awaitTermination()
-    schema = T.StructType([*counts.schema.fields, T.StructField("batch", T.LongType())])
-    log = spark.read.schema(schema).parquet(f"{root}/log")
-    return log.groupBy("date").agg(F.max_by("count", "batch").alias("count"))
+    found = _snapshots(spark, root)
+    if not found:
+        return spark.createDataFrame([], counts.schema)
+    return spark.read.schema(counts.schema).parquet(f"{root}/counts/batch={found[-1]}")
+
 
+def run_append(finished: DataFrame, path: str | None = None) -> DataFrame:
+    """Run an append-mode query to the end of the available files into parquet and read the output.
 
-def run_append(finished: DataFrame, label: str = "finished") -> DataFrame:
-    """Run an append-mode query to the end of the available files into parquet and read the output."""
+    ``path`` holds the checkpoint and the output, so a later call with the same path goes on.
+    """
     spark = finished.sparkSession
-    root = staging_path(spark, label)
+    root = path or staging_path(spark, "finished")
     running = (
         finished.writeStream.outputMode("append")
         .format("parquet")
