@@ -40,8 +40,9 @@ STATES = 8
 BLOCK = 64
 CHUNK_BYTES = 1 << 20  # texts are pre-tokenised together up to this size; one larger text goes alone
 CACHE_SLICES = 200_000
+NO_RANK = (1 << 31) - 1
 CHUNK_IDS = 1 << 16  # ids decoded at once
-SHORT = 48  # slices up to this many bytes are merged by plain search, longer ones with a heap
+SHORT = 48  # slices up to this many bytes are merged together and cached, longer ones one by one with a heap
 
 
 @functools.cache
@@ -143,21 +144,10 @@ def pre_tokenise(texts: list[str]) -> tuple[bytes, np.ndarray, np.ndarray]:
 
 
 def merge_pairs(piece: bytes, ranks: dict[bytes, int]) -> tuple[int, ...]:
-    """Ids of one slice: the adjacent pair of least rank is merged, the leftmost first, until none is left."""
+    """Ids of one slice of any length: the adjacent pair of least rank is merged, the leftmost first, until none is left."""
     if piece in ranks:
         return (ranks[piece],)
     parts = [piece[i : i + 1] for i in range(len(piece))]
-    if len(parts) <= SHORT:
-        rank = [ranks.get(a + b, sys.maxsize) for a, b in zip(parts, parts[1:])]
-        while rank and (least := min(rank)) != sys.maxsize:
-            i = rank.index(least)
-            parts[i : i + 2] = [parts[i] + parts[i + 1]]
-            del rank[i]
-            if i < len(rank):
-                rank[i] = ranks.get(parts[i] + parts[i + 1], sys.maxsize)
-            if i:
-                rank[i - 1] = ranks.get(parts[i - 1] + parts[i], sys.maxsize)
-        return tuple(ranks[p] for p in parts)
     after, before = list(range(1, len(parts) + 1)), list(range(-1, len(parts) - 1))
     heap = [(ranks[a + b], i, a, b) for i, (a, b) in enumerate(zip(parts, parts[1:])) if a + b in ranks]
     heapq.heapify(heap)
@@ -191,22 +181,82 @@ class Vocabulary:
         self.places = np.cumsum(self.lengths) - self.lengths
         self.octets = np.frombuffer(b"".join(tokens), np.uint8)
         self.cache: dict[bytes, tuple[int, ...]] = {}
-
-    def ids(self, piece: bytes) -> tuple[int, ...]:
-        found = self.cache.get(piece)
-        if found is None:
-            found = merge_pairs(piece, self.ranks)
-            if len(piece) <= SHORT:
-                if len(self.cache) >= CACHE_SLICES:
-                    self.cache.clear()
-                self.cache[piece] = found
-        return found
+        # every way to put a token together from two, as one key with the token's rank, by key
+        pairs = {}
+        for token, rank in self.ranks.items():
+            for cut in range(1, len(token)):
+                left, right = self.ranks.get(token[:cut]), self.ranks.get(token[cut:])
+                if left is not None and right is not None:
+                    pairs[left << 32 | right] = rank
+        self.pair_keys = np.array(sorted(pairs), np.int64)
+        self.pair_ranks = np.array([pairs[k] for k in sorted(pairs)] + [NO_RANK], np.int32)
+        self.single = np.array([self.ranks[bytes([i])] for i in range(256)], np.int32)
+
+    def pair_rank(self, left: np.ndarray, right: np.ndarray) -> np.ndarray:
+        """Rank of the token that two tokens make, or ``NO_RANK``; the token is the rank."""
+        keys = left.astype(np.int64) << 32 | right
+        at = np.searchsorted(self.pair_keys, keys)
+        known = self.pair_keys[np.minimum(at, len(self.pair_keys) - 1)] == keys
+        return np.where(known, self.pair_ranks[at], NO_RANK)
+
+    def merge_together(self, pieces: list[bytes]) -> list[tuple[int, ...]]:
+        """Ids of slices of like length: in each round every slice merges its leftmost pair of least rank."""
+        width = max(map(len, pieces)) + 1
+        padded = np.frombuffer(b"".join(p.ljust(width, b"\0") for p in pieces), np.uint8).reshape(-1, width)
+        ids = self.single[padded]
+        ids[np.arange(width) >= np.fromiter(map(len, pieces), np.int64, len(pieces))[:, None]] = -1
+        rank = np.where(ids[:, 1:] < 0, NO_RANK, self.pair_rank(ids[:, :-1], ids[:, 1:]))
+        done = np.full(ids.shape, -1, np.int32)
+        rows, columns = np.arange(len(pieces)), np.arange(width)
+        while len(rows):
+            at = rank.argmin(axis=1)
+            least = rank[np.arange(len(rows)), at]
+            ended = least == NO_RANK
+            if ended.any():
+                done[rows[ended]] = ids[ended]
+                going = ~ended
+                rows, ids, rank, at, least = rows[going], ids[going], rank[going], at[going], least[going]
+                if not len(rows):
+                    break
+            each = np.arange(len(rows))
+            source = np.minimum(columns + (columns > at[:, None]), width - 1)  # closes the gap after the merged pair
+            ids, rank = np.take_along_axis(ids, source, 1), np.take_along_axis(rank, np.minimum(source[:, :-1], width - 2), 1)
+            ids[:, -1], rank[:, -1] = -1, NO_RANK
+            ids[each, at] = least
+            for place in (np.maximum(at - 1, 0), at):  # the pairs with the new token; the first may have none before it
+                left, right = ids[each, place], ids[each, place + 1]
+                rank[each, place] = np.where(right < 0, NO_RANK, self.pair_rank(left, right))
+        sizes = (done >= 0).sum(axis=1).tolist()
+        return [tuple(row[:n]) for row, n in zip(done.tolist(), sizes)]
+
+    def learn(self, pieces: set[bytes]) -> None:
+        """Adds the ids of slices that the cache lacks."""
+        by_width: dict[int, list[bytes]] = {}
+        for piece in pieces:
+            known = self.ranks.get(piece)
+            if known is not None:
+                self.cache[piece] = (known,)
+            elif len(piece) > SHORT:
+                self.cache[piece] = merge_pairs(piece, self.ranks)
+            else:
+                by_width.setdefault(len(piece) // 4, []).append(piece)
+        for like in by_width.values():
+            self.cache.update(zip(like, self.merge_together(like)))
 
     def encode(self, texts: list[str]) -> tuple[np.ndarray, np.ndarray]:
         """All ids in one array, and how many each text has."""
         octets, cuts, slices = pre_tokenise(texts)
         at = cuts.tolist()
-        merged = [self.ids(octets[a:b]) for a, b in zip(at, at[1:])]
+        pieces = [octets[a:b] for a, b in zip(at, at[1:])]
+        new = set(pieces).difference(self.cache)
+        if len(self.cache) + len(new) > CACHE_SLICES:
+            self.cache = {}
+            new = set(pieces)
+        self.learn(new)
+        merged = [self.cache[p] for p in pieces]
+        for piece in new:
+            if len(piece) > SHORT:
+                del self.cache[piece]
         sizes = np.fromiter(map(len, merged), np.int64, len(merged))
         ids = np.fromiter(itertools.chain.from_iterable(merged), np.int32, int(sizes.sum()))
         through = np.concatenate([[0], np.cumsum(sizes)])
