@@ -16,7 +16,7 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame, Window, functions as F, types as T
 
 from tickloom.operators.aggregate import exact_median
-from tickloom.operators.skew import attach
+from tickloom.operators.skew import attach, dealt
 from tickloom.session import stage
 
 CHUNK_KNOTS = 2_000
@@ -96,7 +96,7 @@ def _fit_knots(knots: DataFrame, keys: Sequence[str]) -> DataFrame:
 
     columns = [*group, "x", "n", "s", "t", "k", "chunk", "own"]
     schema = T.StructType([*fields, T.StructField("fit", T.DoubleType())])
-    fitted = reach.select(*columns).groupBy(*group, "chunk").applyInPandas(fit, schema)
+    fitted = dealt(reach.select(*columns), *group, "chunk").groupBy(*group, "chunk").applyInPandas(fit, schema)
     return fitted.withColumn("fit", F.nanvl("fit", F.lit(None).cast("double")))
 
 

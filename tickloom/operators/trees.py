@@ -1,28 +1,34 @@
 """Boosted regression trees with an L1 penalty on the leaves, for all groups, penalties and folds at once.
 
-Features are cut into at most ``bins`` quantile bins, and the rows of one group, fold and bin
-combination are summed into a *cell* first: they take the same path through every tree, so the sums
-are all that is needed. The data is read once for the cuts and once for the cells; each tree level
-is then one grouped aggregation over the cells (second-order gain and leaf weights as in Chen and
-Guestrin 2016, squared error, so the second derivative is the row count).
+Features are cut into quantile bins, and the rows of one group, fold and bin combination are summed
+into a *cell* first: they take the same path through every tree, so the sums are all that is needed.
+Spark reads the data once for the cuts and once for the cells. A group has at most ``MAX_CELLS`` bin
+combinations in each fold, whatever its rows: with many features the bins become fewer. Each group and
+held-out fold is then one task that boosts the trees of all penalties over the cells, level by level
+(second-order gain and leaf weights as in Chen and Guestrin 2016, squared error, so the second
+derivative is the row count).
 """
 
 from __future__ import annotations
 
 from collections.abc import Sequence
 
+import numpy as np
+import pandas as pd
 from pyspark.ml.evaluation import RegressionEvaluator
 from pyspark.ml.regression import GBTRegressor
 from pyspark.ml.tuning import CrossValidator, ParamGridBuilder
-from pyspark.sql import DataFrame, functions as F
+from pyspark.sql import DataFrame, functions as F, types as T
 
 from tickloom.operators.features import assemble
 from tickloom.operators.linear import PENALTIES
-from tickloom.operators.skew import attach
+from tickloom.operators.skew import attach, dealt
 from tickloom.session import stage
 
 NO_FOLD = -1  # the configuration that trains on every fold
 MIN_GAIN = 1e-6
+MAX_CELLS = 1 << 20  # most bin combinations of a group
+AT_ONCE = 1 << 21  # cells times penalties boosted together
 
 
 def _cells(rows: DataFrame, keys: Sequence[str], features: Sequence[str], label: str, bins: int) -> DataFrame:
@@ -39,54 +45,93 @@ def _cells(rows: DataFrame, keys: Sequence[str], features: Sequence[str], label:
     ).agg(F.count("*").alias("n"), F.sum("y").alias("sy"), F.sum(F.col("y") * F.col("y")).alias("syy"))
 
 
-def _score(g: str, h: str, ridge: float) -> str:
-    return f"power(greatest(abs({g}) - alpha, 0), 2) / ({h} + {ridge!r})"
-
-
-def _leaf(g: str, h: str, ridge: float, rate: float) -> str:
-    return f"-{rate!r} * sign({g}) * greatest(abs({g}) - alpha, 0) / ({h} + {ridge!r})"
-
-
-def _best_splits(
-    state: DataFrame, config: Sequence[str], features: int, ridge: float, rate: float
-) -> DataFrame:
-    """Best split of every open node: feature ``f``, last bin ``b`` of its left side, weights of both sides."""
-    node = ", ".join([*config, "node"])
-    places = ", ".join(f"{i}, bin[{i}]" for i in range(features))
-    histogram = (
-        state.filter("in_train and node is not null")
-        .selectExpr(*config, "node", "n * pred - sy as __g", "n", f"stack({features}, {places}) as (f, b)")
-        .groupBy(*config, "node", "f", "b")
-        .agg(F.sum("__g").alias("__g"), F.sum("n").alias("__h"))
-    )
-    # at most one row per bin in each window
-    sides = histogram.selectExpr(
-        *config,
-        "node",
-        "f",
-        "b",
-        f"sum(__g) over (partition by {node}, f order by b) as __gl",
-        f"sum(__h) over (partition by {node}, f order by b) as __hl",
-        f"sum(__g) over (partition by {node}, f) as __ga",
-        f"sum(__h) over (partition by {node}, f) as __ha",
-    ).filter("__hl < __ha")
-    gain = f"{_score('__gl', '__hl', ridge)} + {_score('(__ga - __gl)', '(__ha - __hl)', ridge)} - {_score('__ga', '__ha', ridge)}"
-    choice = sides.selectExpr(
-        *config,
-        "node",
-        "f",
-        "b",
-        f"round({gain}, 9) as gain",
-        f"{_leaf('__gl', '__hl', ridge, rate)} as left_weight",
-        f"{_leaf('(__ga - __gl)', '(__ha - __hl)', ridge, rate)} as right_weight",
-    ).filter(f"gain > {MIN_GAIN!r}")
-    best = F.expr("max_by(struct(f, b, left_weight, right_weight), struct(gain, -f, -b))")
-    return choice.groupBy(*config, "node").agg(best.alias("best")).select(*config, "node", "best.*")
-
-
-def _root_weights(state: DataFrame, config: Sequence[str], ridge: float, rate: float) -> DataFrame:
-    totals = state.filter("in_train").groupBy(*config).agg(F.expr("sum(n * pred - sy) as __g"), F.expr("sum(n) as __h"))
-    return totals.selectExpr(*config, f"{_leaf('__g', '__h', ridge, rate)} as root_weight")
+def _shrunk(gradient: np.ndarray, alpha: np.ndarray) -> np.ndarray:
+    return np.sign(gradient) * np.maximum(np.abs(gradient) - alpha, 0.0)
+
+
+class _Forest:
+    """Boosting of several penalties at once over the cells of one group; arrays are (penalty, cell)."""
+
+    def __init__(self, bins: np.ndarray, n: np.ndarray, sy: np.ndarray, train: np.ndarray, alphas: np.ndarray, depth: int, rate: float, ridge: float):
+        self.bins, self.n, self.sy, self.train = bins, n, sy, train
+        self.alphas, self.depth, self.rate, self.ridge = alphas, depth, rate, ridge
+        self.width = int(bins.max(initial=0)) + 1
+        total = n[train].sum()
+        self.pred = np.full((len(alphas), len(n)), sy[train].sum() / total if total else 0.0)
+
+    def _leaf(self, gradient: np.ndarray, rows: np.ndarray, alpha: np.ndarray) -> np.ndarray:
+        return -self.rate * _shrunk(gradient, alpha) / (rows + self.ridge)
+
+    def _sums(self, slot: np.ndarray, nodes: int, feature: int, weights: np.ndarray, open_: np.ndarray) -> np.ndarray:
+        """Running sums over the bins of one feature, by penalty and node."""
+        size = len(self.alphas) * nodes * self.width
+        place = (slot * self.width + self.bins[None, :, feature])[open_]
+        held = np.bincount(place, weights=weights[open_], minlength=size)
+        return held.reshape(len(self.alphas), nodes, self.width).cumsum(axis=2)
+
+    def add_tree(self) -> None:
+        alpha = self.alphas[:, None]
+        gradient = self.n * self.pred - self.sy
+        rows = np.broadcast_to(self.n.astype(float), gradient.shape)
+        root = self._leaf((gradient * self.train).sum(axis=1), self.n[self.train].sum(), self.alphas)
+        step = np.repeat(root[:, None], len(self.n), axis=1)
+        node = np.zeros(gradient.shape, np.int64)
+        alive = np.ones(gradient.shape, bool)
+        each = np.arange(len(self.alphas))[:, None]
+        for level in range(self.depth):
+            nodes = 1 << level
+            slot = each * nodes + node
+            open_ = alive & self.train
+            best = np.full((len(self.alphas), nodes), MIN_GAIN)
+            feature, cut = np.full(best.shape, -1), np.zeros(best.shape, np.int64)
+            left, right = np.zeros(best.shape), np.zeros(best.shape)
+            for f in range(self.bins.shape[1]):
+                g, h = (self._sums(slot, nodes, f, w, open_) for w in (gradient, rows))
+                whole_g, whole_h = g[:, :, -1:], h[:, :, -1:]
+
+                def score(a: np.ndarray, b: np.ndarray) -> np.ndarray:
+                    return _shrunk(a, alpha[:, :, None]) ** 2 / (b + self.ridge)
+
+                gain = np.round(score(g, h) + score(whole_g - g, whole_h - h) - score(whole_g, whole_h), 9)
+                gain[(h >= whole_h) | (h <= 0)] = -np.inf
+                at = gain.argmax(axis=2)[:, :, None]
+                value = np.take_along_axis(gain, at, 2)[:, :, 0]
+                better = value > best
+                left_g, left_h = (np.take_along_axis(x, at, 2)[:, :, 0] for x in (g, h))
+                best = np.where(better, value, best)
+                feature, cut = np.where(better, f, feature), np.where(better, at[:, :, 0], cut)
+                left = np.where(better, self._leaf(left_g, left_h, alpha), left)
+                right = np.where(better, self._leaf(whole_g[:, :, 0] - left_g, whole_h[:, :, 0] - left_h, alpha), right)
+            chosen = feature[each, node]
+            alive &= chosen >= 0
+            if not alive.any():
+                break
+            low = self.bins[np.arange(len(self.n)), np.maximum(chosen, 0)] <= cut[each, node]
+            step = np.where(alive, np.where(low, left[each, node], right[each, node]), step)
+            node = np.where(alive, 2 * node + ~low, node)
+            node[~alive] = 0
+        self.pred = self.pred + step
+
+
+def _boost(cells: pd.DataFrame, penalties: Sequence[float], trees: int, depth: int, rate: float, ridge: float) -> pd.DataFrame:
+    """Errors of every penalty for one group and held-out fold."""
+    cells = cells.sort_values(["is_test", "fold", "place"], kind="stable")  # sums do not depend on how rows arrive
+    bins = np.array(cells["bin"].tolist(), np.int64)
+    n, sy, syy = (cells[c].to_numpy(float) for c in ("n", "sy", "syy"))
+    test, held = cells["is_test"].to_numpy(bool), cells["held"].iloc[0]
+    in_fold = cells["fold"].to_numpy() == held
+    parts = {"held_mse": ~test & in_fold, "test_mse": test, "train_mse": ~test & ~in_fold}
+    found = []
+    together = max(1, AT_ONCE // len(cells))
+    for first in range(0, len(penalties), together):
+        alphas = np.array(penalties[first : first + together], float)
+        forest = _Forest(bins, n, sy, parts["train_mse"], alphas, depth, rate, ridge)
+        for _ in range(trees):
+            forest.add_tree()
+        loss = syy - 2 * forest.pred * sy + n * forest.pred**2
+        errors = {name: loss[:, part].sum(axis=1) / n[part].sum() if part.any() else np.full(len(alphas), np.nan) for name, part in parts.items()}
+        found.append(pd.DataFrame({"alpha": alphas, "held": held, **errors}))
+    return pd.concat(found)
 
 
 def boosted_trees_l1(
@@ -104,51 +149,22 @@ def boosted_trees_l1(
 ) -> DataFrame:
     """Choice of the leaf penalty by cross-validation over ``fold``, refit on all training rows, test error.
 
-    ``rows`` carry ``is_test`` and ``fold``. Metric rows ``(*keys, model, metric, param, value)``.
+    ``rows`` carry ``is_test`` and ``fold``. ``bins`` is the most bins of a feature; it decides where
+    splits can fall. Metric rows ``(*keys, model, metric, param, value)``.
     """
+    bins = min(bins, int(MAX_CELLS ** (1 / len(features)) + 1e-9))
     cells = stage(_cells(rows, keys, features, label, bins), "tree-cells")
-    config = [*keys, "alpha", "held"]
     held = ", ".join(str(i) for i in (NO_FOLD, *range(folds)))
-    alphas = ", ".join(f"{p!r}D" for p in penalties)
-    spread = (
-        cells.selectExpr("*", f"explode(array({alphas})) as alpha")
-        .selectExpr("*", f"explode(array({held})) as held")
-        .selectExpr("*", "not is_test and fold <> held as in_train")
-    )
-    start = cells.selectExpr("*", f"explode(array({held})) as held").filter("not is_test and fold <> held")
-    base = stage(start.groupBy(*keys, "held").agg(F.expr("sum(sy) / sum(n) as pred")), "tree-base")
-    # cells of one configuration lie together, in a few pieces, so histograms combine before they move
-    pieces = [*config, F.expr("pmod(hash(bin), 4)")]
-    state = stage(attach(spread, base, [*keys, "held"]).repartition(*pieces), "tree-state")
-    carried = state.columns
-    for _ in range(trees):
-        roots = stage(_root_weights(state, config, ridge, rate), "tree-roots")
-        grown = attach(state, roots, config).selectExpr(*carried, "root_weight as step", "0L as node")
-        for _ in range(depth):
-            splits = stage(_best_splits(grown, config, len(features), ridge, rate), "tree-splits")
-            grown = attach(grown, splits, [*config, "node"], how="left").selectExpr(
-                *carried,
-                "case when f is null then step when bin[f] <= b then left_weight else right_weight end as step",
-                "case when f is not null then 2 * node + if(bin[f] <= b, 1, 2) end as node",
-            )
-        state = stage(
-            grown.selectExpr(*[c if c != "pred" else "pred + step as pred" for c in carried]), "tree-state"
-        )
-
-    def error(where: str) -> str:
-        return (
-            f"sum(case when {where} then syy - 2 * pred * sy + n * pred * pred end) / "
-            f"sum(case when {where} then n end)"
-        )
-
-    errors = stage(
-        state.groupBy(*config).agg(
-            F.expr(error("not is_test and fold = held")).alias("held_mse"),
-            F.expr(error("is_test")).alias("test_mse"),
-            F.expr(error("in_train")).alias("train_mse"),
-        ),
-        "tree-errors",
-    )
+    tasks = cells.selectExpr("*", "array_join(bin, ' ') as place", f"explode(array({held})) as held")
+    of = [f for f in cells.schema.fields if f.name in keys]
+    values = [T.StructField(c, T.DoubleType()) for c in ("alpha", "held_mse", "test_mse", "train_mse")]
+    schema = T.StructType([*of, values[0], T.StructField("held", T.IntegerType()), *values[1:]])
+
+    def boost(group: pd.DataFrame) -> pd.DataFrame:
+        errors = _boost(group, list(penalties), trees, depth, rate, ridge)
+        return errors.assign(**{k: group[k].iloc[0] for k in keys})[schema.names]
+
+    errors = stage(dealt(tasks, *keys, "held").groupBy(*keys, "held").applyInPandas(boost, schema), "tree-errors")
     scores = errors.filter(f"held <> {NO_FOLD}").groupBy(*keys, "alpha").agg(F.abs(F.avg("held_mse")).alias("cv_error"))
     best = scores.groupBy(*keys).agg(F.expr("min_by(alpha, struct(cv_error, alpha)) as alpha"))
     refit = errors.filter(f"held = {NO_FOLD}").join(best, [*keys, "alpha"])

@@ -403,11 +403,8 @@ def folded_bars(spark: SparkSession, folder: str) -> DataFrame:
 
 @query("boosted_trees_l1")
 def boosted_trees_l1(spark: SparkSession, folder: str) -> DataFrame:
-    """All 21 leaf penalties and five folds, with small trees to keep the run short."""
-    found = trees.boosted_trees_l1(
-        folded_bars(spark, folder), ["symbol"], FEATURES, "close", trees=3, depth=2
-    )
-    return _rounded_metrics(found)
+    """All 21 leaf penalties and five folds, 100 trees of depth 6 each."""
+    return _rounded_metrics(trees.boosted_trees_l1(folded_bars(spark, folder), ["symbol"], FEATURES, "close"))
 
 
 @query("boosted_trees_cv")
@@ -433,7 +430,7 @@ def all_metrics(spark: SparkSession, folder: str) -> DataFrame:
     neighbour = knn_choice(parts).filter("chosen_on = 'validation'").selectExpr(
         "symbol", "'knn' as model", "stack(2, 'best_k', double(k), 'test_mse', test_mse) as (metric, value)"
     ).selectExpr("symbol", "model", "metric", "'' as param", "value")
-    boosted = trees.boosted_trees_l1(parts, ["symbol"], FEATURES, "close", trees=3, depth=2)
+    boosted = trees.boosted_trees_l1(parts, ["symbol"], FEATURES, "close")
     sequence = linear.forecast_errors(
         linear.sequence_forecast(parts, ["symbol"], ["date"], "close"), ["symbol"], "close"
     )
