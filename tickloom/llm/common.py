@@ -54,5 +54,15 @@ def identified(docs: DataFrame, text: str) -> DataFrame:
     return docs.select(F.coalesce(F.col("doc_id").cast("long"), F.lit(LAST)).alias("id"), F.xxhash64(content).alias("key"), content.alias("content"))
 
 
+def sampled(rows: DataFrame, key: Column, most: int) -> DataFrame:
+    """At most ``most`` rows, those of least hash; a hash filter leaves about twice as many to be ordered.
+
+    So what reaches the driver has a fixed size, whatever the number of rows or partitions.
+    """
+    total, steps = rows.count(), 1 << 30
+    share = min(steps, 2 * most * steps // max(total, 1))
+    return rows.filter(F.pmod(F.xxhash64(F.lit("sample"), key), F.lit(steps)) < share).orderBy(F.xxhash64(key), key).limit(most)
+
+
 def sha256_hex(value: Column) -> Column:
     return F.sha2(value, 256)

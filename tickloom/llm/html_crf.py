@@ -26,6 +26,8 @@ import numpy as np
 import pandas as pd
 from pyspark.sql import Column, DataFrame, functions as F
 
+from tickloom.llm.common import sampled
+
 VOID = set("area base br col embed hr img input link meta param source track wbr".split())
 SKIPPED = set("script style noscript template svg iframe object math canvas head title".split())
 INLINE = set("a abbr acronym b bdi bdo big cite code data del dfn em font i ins kbd mark q rp rt ruby s samp small span strike strong sub sup time tt u var wbr".split())
@@ -310,7 +312,7 @@ def train(pages: DataFrame, html: str = "html", max_pages: int = 120, max_blocks
     """Fit on pages that label themselves; of a long training page the first ``max_blocks`` blocks are used."""
     content = F.col(f"`{html}`")
     labelled = pages.select(content.alias("html")).filter(content.rlike(r"(?i)<(article|main)[\s>]"))
-    sample = labelled.orderBy(F.xxhash64("html"), F.octet_length("html")).limit(max_pages).collect()
+    sample = sampled(labelled, F.col("html"), max_pages).collect()
     draw = np.random.default_rng(11)
     chains: list[Chain] = []
     for (page,) in sample:
