@@ -127,20 +127,20 @@ def lowess_smooth(
     def scored(fits: DataFrame) -> DataFrame:
         return attach(spread, fits, [*group, "x"]).withColumn("fitted", F.coalesce("fit", "y"))
 
+    largest = stage(
+        spread.groupBy(*group).agg(F.max(F.abs("y")).alias("largest")).selectExpr(*[f"{c} as __{c}" for c in group], "largest"), "lowess-size"
+    )
+    same_group = F.expr(" and ".join(f"{c} <=> __{c}" for c in group))
     fits = stage(_fit_knots(_knot_sums(spread, keys, F.lit(1.0)), keys), "lowess-fit")
     for _ in range(iterations):
         errors = stage(
             scored(fits).select(*group, "x", "y", F.abs(F.col("y") - F.col("fitted")).alias("error")), "lowess-errors"
         )
-        sizes = errors.groupBy(*group).agg(F.max(F.abs("y")).alias("largest"))
-        scale = (
-            exact_median(errors, group, "error")
-            .join(sizes.select(*[F.col(c).alias(f"__{c}") for c in group], "largest"), F.expr(" and ".join(f"{c} <=> __{c}" for c in group)))
-            .selectExpr(*group, f"case when median > {ROUNDING!r}D * largest then 6 * median end as scale")
+        scale = exact_median(errors, group, "error").join(largest, same_group).selectExpr(
+            *group, f"case when median > {ROUNDING!r}D * largest then 6 * median end as scale"
         )
         u = F.col("error") / F.col("scale")
         weight = F.when(u > 0.999, 0.0).when(u < 0.001, 1.0).otherwise((1 - u * u) * (1 - u * u))
-        scale = stage(scale, "lowess-scale")
         weighted = attach(errors, scale.filter("scale is not null"), group).withColumn("robust", weight)
         settled = attach(fits, scale.filter("scale is null"), group, salts=1).drop("scale")
         refit = _fit_knots(_knot_sums(weighted, keys, F.col("robust")), keys)
