@@ -205,7 +205,7 @@ def _locate(batches: Iterator[pd.DataFrame], length: int, limit: int) -> Iterato
 
 
 def repeated_spans(docs: DataFrame, text: str = "text", length: int = LENGTH, gram: int = GRAM) -> DataFrame:
-    """``(id, key, spans)``: for each text the byte spans, which may overlap, that start elsewhere too."""
+    """``(id, spans)``: for each id the byte spans, which may overlap, that start elsewhere too, with the text's key."""
     held = identified(docs, text)
     found = held.mapInArrow(lambda b: _anchor_rows(b, length, gram), "anchor long, id long")
     again = found.groupBy("anchor").agg(F.count("*").alias("n")).filter("n > 1").select("anchor")
@@ -214,7 +214,7 @@ def repeated_spans(docs: DataFrame, text: str = "text", length: int = LENGTH, gr
     stretches = listed.mapInArrow(lambda b: _stretch_rows(b, length, gram), "anchor long, id long, key long, first long, stretch binary")
     sharded = stretches.repartition("anchor").sortWithinPartitions("anchor")
     located = sharded.mapInPandas(lambda b: _locate(b, length, SHARD_BYTES), "id long, key long, a long, b long")
-    return located.groupBy("id", "key").agg(F.collect_set(F.struct("a", "b")).alias("spans"))
+    return located.groupBy("id").agg(F.collect_set(F.struct("key", "a", "b")).alias("spans"))
 
 
 def _cut(text: str | None, spans) -> tuple[int, int, int, bytes]:
@@ -242,6 +242,8 @@ def kept_bytes(text: Column, spans: Column) -> Column:
 
 def remove_repeats(docs: DataFrame, text: str = "text", length: int = LENGTH, gram: int = GRAM) -> DataFrame:
     """``doc_id``, ``n_bytes``, ``n_removed``, ``n_spans`` and the ``kept`` bytes of every row."""
-    found = stage(repeated_spans(docs, text, length, gram), "repeated-spans")
-    marked = identified(docs, text).join(found, ["id", "key"], "left").select("id", kept_bytes(F.col("content"), F.col("spans")).alias("k"))
+    # joined by id in the same job as the stretches are, so the texts are shuffled once
+    found = identified(docs, text).join(repeated_spans(docs, text, length, gram), "id", "left")
+    own = F.transform(F.filter("spans", lambda s: s["key"] == F.col("key")), lambda s: F.struct(s["a"].alias("a"), s["b"].alias("b")))
+    marked = found.select("id", kept_bytes(F.col("content"), own).alias("k"))
     return marked.select(F.expr(f"nullif(id, {LAST}L)").alias("doc_id"), "k.*")
