@@ -43,6 +43,8 @@ def _anchor_rows(batches: Iterator[pa.RecordBatch], window: int, gram: int) -> I
     for batch in batches:
         ids = batch.column("id").to_numpy(zero_copy_only=False)
         for anchor, _, _, text, row, *_ in _text_runs(batch.column("content"), window, gram):
+            _, once = np.unique(anchors.mix(anchor ^ anchors.mix(text.astype(np.uint64))), return_index=True)
+            anchor, text = anchor[once], text[once]  # a document counts an anchor once
             columns = [pa.array(anchor.view(np.int64)), pa.array(ids[row + text].astype(np.int64))]
             yield pa.RecordBatch.from_arrays(columns, ["anchor", "id"])
 
@@ -65,50 +67,79 @@ def _segment_rows(batches: Iterator[pa.RecordBatch], window: int, gram: int) ->
 
 
 class _Shard:
-    """Distinct segments with the smallest and largest id of each, and where they occur."""
+    """Segments by anchor: of each distinct one the smallest and largest id, and where it occurs."""
 
     def __init__(self, window: int) -> None:
         self.window = window
-        self.segments: dict[str, list] = {}
+        self.anchors: list[dict[str, list]] = []
         self.places: list[tuple[int, int, int, list]] = []
+        self.distinct = 0
 
-    def add(self, id_: int, key: int, first: int, segment: str) -> None:
-        held = self.segments.get(segment)
+    def add(self, new_anchor: bool, id_: int, key: int, first: int, segment: str) -> None:
+        if new_anchor:
+            self.anchors.append({})
+        segments = self.anchors[-1]
+        held = segments.get(segment)
         if held is None:
-            held = self.segments[segment] = [id_, id_, ()]
+            held = segments[segment] = [id_, id_, ()]
+            self.distinct += 1
         elif id_ < held[0]:
             held[0] = id_
         elif id_ > held[1]:
             held[1] = id_
         self.places.append((id_, key, first, held))
 
-    def _compile(self, numbered: dict[str, tuple[int, ...]]) -> ahocorasick.Automaton | None:
-        """Automaton of the windows that two documents have, with the smallest id."""
+    def _passages(self, segments: dict[str, list], numbered: dict[str, tuple[int, ...]]) -> dict[tuple[int, ...], int]:
+        """Confirmed passages of one anchor with the smallest id that has each.
+
+        Equal windows have equal anchors, so a lone segment is one passage; of several, the windows are compared.
+        """
+        if len(segments) == 1:
+            ((segment, (low, _, _)),) = segments.items()
+            return {numbered[segment]: low}
         width = self.window
-        range_of: dict[tuple[int, ...], list[int]] = {}
-        for segment, (low, high, _) in self.segments.items():
+        seen: dict[tuple[int, ...], int] = {}
+        again: set[tuple[int, ...]] = set()
+        for segment, (low, high, _) in segments.items():
             numbers = numbered[segment]
             for i in range(len(numbers) - width + 1):
-                known = range_of.setdefault(numbers[i : i + width], [low, high])
-                known[0], known[1] = min(known[0], low), max(known[1], high)
-        automaton = ahocorasick.Automaton(ahocorasick.STORE_ANY, ahocorasick.KEY_SEQUENCE)
-        for phrase, (low, high) in range_of.items():
-            if low < high:
-                automaton.add_word(phrase, low)
-        if not len(automaton):
-            return None
-        automaton.make_automaton()
-        return automaton
+                phrase = numbers[i : i + width]
+                known = seen.get(phrase)
+                if known is None:
+                    seen[phrase] = low
+                    if low < high:
+                        again.add(phrase)
+                else:
+                    if low != known or high != known:
+                        again.add(phrase)
+                    if low < known:
+                        seen[phrase] = low
+        return {phrase: seen[phrase] for phrase in again}
 
     def located(self) -> Iterator[tuple[int, int, int]]:
         """``(id, key, first word)`` of each window that a smaller id has too."""
         numbers: dict[str, int] = {}
-        numbered = {s: tuple([numbers.setdefault(w, len(numbers)) for w in s.split(" ")]) for s in self.segments}
-        automaton = self._compile(numbered)
-        if automaton is None:
+        automaton = ahocorasick.Automaton(ahocorasick.STORE_ANY, ahocorasick.KEY_SEQUENCE)
+        searched: list[tuple[tuple[int, ...], list]] = []
+        for segments in self.anchors:
+            # without two documents there is no smaller id
+            if min(s[0] for s in segments.values()) == max(s[1] for s in segments.values()):
+                continue
+            numbered = {s: tuple([numbers.setdefault(w, len(numbers)) for w in s.split(" ")]) for s in segments}
+            passages = self._passages(segments, numbered)
+            if passages:
+                searched += [(numbered[s], held) for s, held in segments.items()]
+                for passage, low in passages.items():
+                    automaton.add_word(passage, (len(passage), low))
+        if not len(automaton):
             return
-        for segment, held in self.segments.items():
-            held[2] = [(end - self.window + 1, low) for end, low in automaton.iter(numbered[segment])]
+        automaton.make_automaton()
+        for segment, held in searched:
+            first_of: dict[int, int] = {}
+            for end, (size, low) in automaton.iter(segment):
+                for at in range(end - size + 1, end - self.window + 2):
+                    first_of[at] = min(low, first_of.get(at, low))
+            held[2] = tuple(first_of.items())
         for id_, key, first, held in self.places:
             for at, low in held[2]:
                 if low < id_:
@@ -125,17 +156,16 @@ def _locate(batches: Iterator[pd.DataFrame], window: int, limit: int) -> Iterato
 
     for batch in batches:
         for anchor, id_, key, first, segment in zip(*(batch[c].tolist() for c in ("anchor", "id", "key", "first", "segment"))):
-            if anchor != now:
-                if len(shard.segments) >= limit:
-                    yield out(shard)
-                    shard = _Shard(window)
-                now = anchor
-            shard.add(id_, key, first, segment)
+            if anchor != now and shard.distinct >= limit:
+                yield out(shard)
+                shard = _Shard(window)
+            shard.add(anchor != now, id_, key, first, segment)
+            now = anchor
     yield out(shard)
 
 
 def repeated_windows(docs: DataFrame, text: str = "text", window: int = WINDOW, gram: int = GRAM) -> DataFrame:
-    """``(id, key, starts)``: for each text the first words of its windows that a smaller id has."""
+    """``(id, places)``: for each id the first words of the windows that a smaller id has, with the text's key."""
     held = identified(docs, text)
     found = held.mapInArrow(lambda b: _anchor_rows(b, window, gram), "anchor long, id long")
     again = found.groupBy("anchor").agg(F.count("*").alias("n")).filter("n > 1").select("anchor")
@@ -144,7 +174,7 @@ def repeated_windows(docs: DataFrame, text: str = "text", window: int = WINDOW,
     segments = listed.mapInArrow(lambda b: _segment_rows(b, window, gram), "anchor long, id long, key long, first int, segment string")
     sharded = segments.repartition("anchor").sortWithinPartitions("anchor")
     located = sharded.mapInPandas(lambda b: _locate(b, window, SHARD_SEGMENTS), "id long, key long, at int")
-    return located.groupBy("id", "key").agg(F.collect_set("at").alias("starts"))
+    return located.groupBy("id").agg(F.collect_set(F.struct("key", "at")).alias("places"))
 
 
 def _kept(text: str | None, starts: np.ndarray | None, window: int) -> tuple[int, int, str]:
@@ -170,7 +200,8 @@ def kept_words(text: Column, starts: Column, window: int = WINDOW) -> Column:
 
 def remove_repeats(docs: DataFrame, text: str = "text", window: int = WINDOW, gram: int = GRAM) -> DataFrame:
     """``doc_id``, ``n_words``, ``n_removed`` and the ``kept`` text of every row."""
-    found = stage(repeated_windows(docs, text, window, gram), "repeated-windows")
-    held = identified(docs, text)
-    marked = held.join(found, ["id", "key"], "left").select("id", kept_words(F.col("content"), F.col("starts"), window).alias("k"))
+    # joined by id in the same job as the segments are, so the texts are shuffled once
+    found = identified(docs, text).join(repeated_windows(docs, text, window, gram), "id", "left")
+    own = F.transform(F.filter("places", lambda p: p["key"] == F.col("key")), lambda p: p["at"])
+    marked = found.select("id", kept_words(F.col("content"), own, window).alias("k"))
     return marked.select(F.expr(f"nullif(id, {LAST}L)").alias("doc_id"), "k.*")
