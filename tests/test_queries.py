@@ -8,8 +8,8 @@ from compare import differences
 from tickloom import plans
 
 CHECKED = sorted(plans.oracle_sql())
-# fitted repeatedly elsewhere in the tests, or made of queries that are checked by themselves
-LONG = {"per_symbol_report", "model_comparison", "boosted_trees_cv", "boosted_trees_l1"}
+# made of queries that are checked by themselves
+LONG = {"per_symbol_report", "model_comparison"}
 UNCHECKED = sorted(set(plans.queries()) - set(CHECKED) - LONG)
 
 
