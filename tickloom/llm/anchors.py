@@ -12,7 +12,7 @@ from collections.abc import Iterator
 import numpy as np
 import pyarrow as pa
 
-CHUNK_BYTES = 4 << 20
+CHUNK_BYTES = 1 << 20  # arrays over a chunk take about a hundred times its size
 BASE = np.uint64(0x9E3779B97F4A7C15)
 MIX_A, MIX_B = np.uint64(0xBF58476D1CE4E5B9), np.uint64(0x94D049BB133111EB)
 
@@ -54,7 +54,7 @@ def _byte_values() -> np.ndarray:
 
 def span_hashes(octets: np.ndarray, first: np.ndarray, past: np.ndarray) -> np.ndarray:
     """64-bit hash of the bytes of each span; equal bytes have equal hashes wherever they stand."""
-    size = max(1 << 22, 1 << int(len(octets)).bit_length())
+    size = max(1 << 20, 1 << int(len(octets)).bit_length())
     up, down = _powers(size)
     sums = np.concatenate([[np.uint64(0)], np.cumsum(_byte_values()[octets] * up[: len(octets)], dtype=np.uint64)])
     return mix((sums[past] - sums[first]) * down[first] + (past - first).astype(np.uint64))
