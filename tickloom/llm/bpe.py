@@ -18,7 +18,6 @@ from __future__ import annotations
 import base64
 import functools
 import heapq
-import itertools
 import sys
 import unicodedata
 
@@ -39,7 +38,7 @@ STATES = 8
 
 BLOCK = 64
 CHUNK_BYTES = 1 << 20  # texts are pre-tokenised together up to this size; one larger text goes alone
-CACHE_SLICES = 200_000
+CACHE_SLICES = 350_000
 NO_RANK = (1 << 31) - 1
 CHUNK_IDS = 1 << 16  # ids decoded at once
 SHORT = 48  # slices up to this many bytes are merged together and cached, longer ones one by one with a heap
@@ -180,26 +179,35 @@ class Vocabulary:
             tokens[rank], self.lengths[rank] = token, len(token)
         self.places = np.cumsum(self.lengths) - self.lengths
         self.octets = np.frombuffer(b"".join(tokens), np.uint8)
-        self.cache: dict[bytes, tuple[int, ...]] = {}
-        # every way to put a token together from two, as one key with the token's rank, by key
+        #: slice to its ids, as the bytes of 32-bit integers
+        self.cache: dict[bytes, bytes] = {}
+
+    @functools.cached_property
+    def pairs(self) -> tuple[np.ndarray, np.ndarray]:
+        """Every way to put a token together from two, as one key, by key, and the token's rank."""
         pairs = {}
         for token, rank in self.ranks.items():
             for cut in range(1, len(token)):
                 left, right = self.ranks.get(token[:cut]), self.ranks.get(token[cut:])
                 if left is not None and right is not None:
                     pairs[left << 32 | right] = rank
-        self.pair_keys = np.array(sorted(pairs), np.int64)
-        self.pair_ranks = np.array([pairs[k] for k in sorted(pairs)] + [NO_RANK], np.int32)
-        self.single = np.array([self.ranks[bytes([i])] for i in range(256)], np.int32)
+        keys = sorted(pairs)
+        return np.array(keys, np.int64), np.array([pairs[k] for k in keys] + [NO_RANK], np.int32)
+
+    @functools.cached_property
+    def single(self) -> np.ndarray:
+        """Ids of the single bytes."""
+        return np.array([self.ranks[bytes([i])] for i in range(256)], np.int32)
 
     def pair_rank(self, left: np.ndarray, right: np.ndarray) -> np.ndarray:
         """Rank of the token that two tokens make, or ``NO_RANK``; the token is the rank."""
         keys = left.astype(np.int64) << 32 | right
-        at = np.searchsorted(self.pair_keys, keys)
-        known = self.pair_keys[np.minimum(at, len(self.pair_keys) - 1)] == keys
-        return np.where(known, self.pair_ranks[at], NO_RANK)
+        pair_keys, pair_ranks = self.pairs
+        at = np.searchsorted(pair_keys, keys)
+        known = pair_keys[np.minimum(at, len(pair_keys) - 1)] == keys
+        return np.where(known, pair_ranks[at], NO_RANK)
 
-    def merge_together(self, pieces: list[bytes]) -> list[tuple[int, ...]]:
+    def merge_together(self, pieces: list[bytes]) -> list[bytes]:
         """Ids of slices of like length: in each round every slice merges its leftmost pair of least rank."""
         width = max(map(len, pieces)) + 1
         padded = np.frombuffer(b"".join(p.ljust(width, b"\0") for p in pieces), np.uint8).reshape(-1, width)
@@ -226,8 +234,10 @@ class Vocabulary:
             for place in (np.maximum(at - 1, 0), at):  # the pairs with the new token; the first may have none before it
                 left, right = ids[each, place], ids[each, place + 1]
                 rank[each, place] = np.where(right < 0, NO_RANK, self.pair_rank(left, right))
-        sizes = (done >= 0).sum(axis=1).tolist()
-        return [tuple(row[:n]) for row, n in zip(done.tolist(), sizes)]
+        held = done >= 0
+        flat = done[held].tobytes()
+        ends = (4 * np.cumsum(held.sum(axis=1))).tolist()
+        return [flat[a:b] for a, b in zip([0, *ends], ends)]
 
     def learn(self, pieces: set[bytes]) -> None:
         """Adds the ids of slices that the cache lacks."""
@@ -235,9 +245,9 @@ class Vocabulary:
         for piece in pieces:
             known = self.ranks.get(piece)
             if known is not None:
-                self.cache[piece] = (known,)
+                self.cache[piece] = known.to_bytes(4, sys.byteorder)
             elif len(piece) > SHORT:
-                self.cache[piece] = merge_pairs(piece, self.ranks)
+                self.cache[piece] = np.array(merge_pairs(piece, self.ranks), np.int32).tobytes()
             else:
                 by_width.setdefault(len(piece) // 4, []).append(piece)
         for like in by_width.values():
@@ -257,8 +267,8 @@ class Vocabulary:
         for piece in new:
             if len(piece) > SHORT:
                 del self.cache[piece]
-        sizes = np.fromiter(map(len, merged), np.int64, len(merged))
-        ids = np.fromiter(itertools.chain.from_iterable(merged), np.int32, int(sizes.sum()))
+        sizes = np.fromiter(map(len, merged), np.int64, len(merged)) // 4
+        ids = np.frombuffer(b"".join(merged), np.int32)
         through = np.concatenate([[0], np.cumsum(sizes)])
         ends = np.cumsum(slices)
         return ids, through[ends] - through[ends - slices]
