@@ -264,3 +264,19 @@ def test_abstaining_and_empty(spark):
     names = ", ".join(f"vote_{r.name} int" for r in weak_rules.RULES)
     model = weak_rules.estimate(spark.createDataFrame([], f"{names}, n long"))
     assert model["good"][0] == pytest.approx(0.8)
+
+
+@pytest.mark.parametrize("rate", [0.02, 0.1, 0.3, 0.6])
+def test_an_often_wrong_rule_is_outvoted(spark, rate):
+    draw = np.random.default_rng(4)
+    rules = tuple(weak_rules.Rule(f"r{i}", "", "") for i in range(5))
+    bad = draw.random(20_000) < 0.2
+    votes = [np.where(draw.random(len(bad)) < rate, -1, 1), *(np.where(draw.random(len(bad)) < np.where(bad, 0.8, 0.02), -1, 1) for _ in range(4))]
+    counted = collections.Counter(zip(*(v.tolist() for v in votes)))
+    counts = spark.createDataFrame([(*k, n) for k, n in counted.items()], ", ".join(f"vote_{r.name} int" for r in rules) + ", n long")
+    model = weak_rules.estimate(counts, rules)
+    for kind, sound in (("good", 0.02), ("bad", 0.8)):
+        assert model[kind][1]["r0"][0] == pytest.approx(rate, abs=0.03)
+        assert all(model[kind][1][r.name][0] == pytest.approx(sound, abs=0.03) for r in rules[1:])
+    p_good = {tuple(r)[:5]: r["p_good"] for r in weak_rules._p_good(counts, model, rules).collect()}
+    assert p_good[-1, 1, 1, 1, 1] > 0.99 and p_good[1, -1, -1, -1, 1] < 0.01

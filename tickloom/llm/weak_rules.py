@@ -2,10 +2,11 @@
 
 Every rule looks at one document and says *good*, *bad* or nothing. Expectation-maximisation over the
 counts of vote patterns estimates, for each rule, how often it gives each vote on good and on bad
-documents; the posterior probability of *good* then decides. All of it is DataFrame work: one pass
-computes the measures of a document inside its row, one map-side combined aggregation counts the
-vote patterns (at most 3 to the power of the number of rules, whatever the corpus), and each EM round
-is one aggregation of that small table.
+documents, from its agreement with the other rules; the posterior probability of *good* then decides.
+The corpus is DataFrame work: one pass computes the measures of a document inside its row, one
+map-side combined aggregation counts the vote patterns (at most 3 to the power of the number of rules,
+whatever the corpus), the fit is a small computation over that table, and each pattern's
+probability is joined back to the rows.
 
 Defined cases: a null or empty text has no words, fails the base rules and is not kept; equal rows get
 equal results; an empty table gives an empty result; other columns, whatever their names, stay as they are.
@@ -16,6 +17,7 @@ from __future__ import annotations
 import math
 from dataclasses import dataclass
 
+import numpy as np
 from pyspark.sql import Column, DataFrame, functions as F
 
 from tickloom.llm.common import let, matches, packed, white_words
@@ -106,66 +108,103 @@ def votes(rules: tuple[Rule, ...] = RULES) -> list[Column]:
     return [F.expr(f"case when {r.bad} then -1 when {r.good} then 1 else 0 end").alias(f"vote_{r.name}") for r in rules]
 
 
-#: First belief: how often a rule that votes says bad of good documents, of bad ones of its kind, of other bad ones.
-BELIEF = (0.005, 0.95, 0.1)
+#: First belief: how often a rule says bad, nothing and good of good documents, and of bad ones.
+BELIEF = {"good": (0.02, 0.03, 0.95), "bad": (0.6, 0.1, 0.3)}
+SHARES = {"good": 0.8, "bad": 0.2}
+OPINIONS = (-1, 0, 1)
 GOOD = "good"
+Model = dict[str, tuple[float, dict[str, tuple[float, float, float]]]]
 
 
-def _belief(kind: str, rule: str) -> float:
-    return BELIEF[0] if kind == GOOD else BELIEF[1] if kind == rule else BELIEF[2]
+def _climb(seen: np.ndarray, n: np.ndarray, share: np.ndarray, rates: np.ndarray, prior: np.ndarray, rounds: int, tolerance: float) -> tuple:
+    """EM from the given classes: log-likelihood, shares (class) and rates (class, rule, opinion).
 
-
-def _likelihoods(model: dict, rules: tuple[Rule, ...]) -> list[Column]:
-    """Columns ``l_<class>``: how likely the votes are together with each class."""
-    found = []
-    for kind, (share, rates) in model.items():
-        terms = [f"{math.log(share)!r}D"]
-        for r in rules:
-            bad, good = math.log(rates[r.name]), math.log1p(-rates[r.name])
-            terms.append(f"case vote_{r.name} when -1 then {bad!r}D when 1 then {good!r}D else 0D end")
-        found.append(F.expr(f"exp({' + '.join(terms)})").alias(f"l_{kind}"))
-    return found
-
-
-def _p_good(rows: DataFrame, model: dict, rules: tuple[Rule, ...]) -> DataFrame:
-    scored = rows.select("*", *_likelihoods(model, rules)).withColumn("l_all", F.expr(" + ".join(f"l_{kind}" for kind in model)))
-    return scored.withColumn("p_good", F.expr(f"l_{GOOD} / l_all"))
-
-
-def estimate(counts: DataFrame, rules: tuple[Rule, ...] = RULES, rounds: int = 12, tolerance: float = 1e-3, max_false_alarm: float = 0.01) -> dict:
-    """EM over vote patterns and their ``n``: by class, its share and how often each rule says *bad*.
-
-    The classes are *good* and one kind of *bad* for each rule, because bad documents mostly fail in
-    one way only: shouting is rarely a table of symbols as well, so votes on bad documents are not
-    independent. Each class has its own rate for every rule; where a rule abstains it says nothing
-    about the class. Whoever writes a rule vouches that it calls at most ``max_false_alarm`` of the good
-    documents bad; without that bound, a kind of bad that one rule alone sees could as well be a habit
-    of good documents. Ten pseudo-documents of ``BELIEF`` keep all rates inside (0, 1).
+    ``seen`` is (pattern, rule, opinion), one-hot; ``prior`` are pseudo-documents, (class, rule, opinion).
     """
-    weight = 10.0
-    kinds = [GOOD, *(r.name for r in rules)]
-    start = {kind: 0.8 if kind == GOOD else 0.2 / len(rules) for kind in kinds}
-    model = {kind: (start[kind], {r.name: _belief(kind, r.name) for r in rules}) for kind in kinds}
+    flat, loglik = seen.reshape(len(seen), seen.shape[1] * len(OPINIONS)), 0.0
+    held = prior.sum(axis=(1, 2)) / seen.shape[1]
     for _ in range(rounds):
-        sums = [F.sum("n").alias("n")]
-        for kind in kinds:
-            part = f"n * l_{kind} / l_all"
-            sums.append(F.sum(F.expr(part)).alias(kind))
-            for r in rules:
-                sums.append(F.sum(F.expr(f"case when vote_{r.name} = -1 then {part} end")).alias(f"{kind}:{r.name}:bad"))
-                sums.append(F.sum(F.expr(f"case when vote_{r.name} <> 0 then {part} end")).alias(f"{kind}:{r.name}:any"))
-        got = {k: float(x or 0) for k, x in _p_good(counts, model, rules).agg(*sums).first().asDict().items()}
-        new = {}
-        for kind in kinds:
-            rates = {}
-            for r in rules:
-                rate = (got[f"{kind}:{r.name}:bad"] + weight * _belief(kind, r.name)) / (got[f"{kind}:{r.name}:any"] + weight)
-                rates[r.name] = min(rate, max_false_alarm) if kind == GOOD else rate
-            new[kind] = ((got[kind] + weight * start[kind]) / (got["n"] + weight), rates)
-        change = max(max(abs(new[k][0] - model[k][0]), *(abs(new[k][1][r.name] - model[k][1][r.name]) for r in rules)) for k in kinds)
-        model = new
+        scores = flat @ np.log(rates).reshape(len(share), -1).T + np.log(share)
+        top = scores.max(axis=1, keepdims=True, initial=-np.inf)
+        weight = np.exp(scores - top)
+        loglik = float(n @ (top[:, 0] + np.log(weight.sum(axis=1))))
+        part = n[:, None] * weight / weight.sum(axis=1, keepdims=True)
+        sums = (part.T @ flat).reshape(rates.shape) + prior
+        new_share, new_rates = part.sum(axis=0) + held, sums / sums.sum(axis=2, keepdims=True)
+        new_share /= new_share.sum()
+        change = max(np.abs(new_share - share).max(), np.abs(new_rates - rates).max())
+        share, rates = new_share, new_rates
         if change < tolerance:
             break
+    return loglik, share, rates, prior
+
+
+def _classes(seen: np.ndarray, n: np.ndarray, rounds: int, tolerance: float) -> tuple[np.ndarray, np.ndarray]:
+    """Shares and rates of as many classes as the votes give reason for (Bayesian information criterion)."""
+    rules = seen.shape[1]
+    first = np.array([SHARES[k] for k in BELIEF])
+    belief = np.array([np.tile(BELIEF[k], (rules, 1)) for k in BELIEF])
+    best = _climb(seen, n, first, belief, 10.0 * first[:, None, None] * belief, rounds, tolerance)
+    if not n.sum():
+        return best[1], best[2]
+    common = np.einsum("p,pro->ro", n, seen) + 1e-3 * np.array(BELIEF["good"])
+    cost = 0.5 * (1 + ((common >= 1).sum(axis=1) - 1).clip(0).sum()) * math.log(n.sum())
+    common /= common.sum(axis=1, keepdims=True)
+    while True:
+        found = []
+        for r in range(rules):
+            marked = n * seen[:, r, 0]
+            if marked.sum():
+                start = np.einsum("p,pro->ro", marked, seen) / marked.sum() + 0.01 * common
+                start /= start.sum(axis=1, keepdims=True)
+                size = 0.5 * marked.sum() / n.sum()
+                classes = [np.append(best[1] * (1 - size), size), *(np.concatenate([old, [x]]) for old, x in ((best[2], start), (best[3], common)))]
+                found.append(_climb(seen, n, *classes, rounds, tolerance))
+        next_best = max(found, key=lambda f: f[0], default=best)
+        if next_best[0] - best[0] <= cost:
+            return best[1], best[2]
+        best = next_best
+
+
+def _p_good(rows: DataFrame, model: Model, rules: tuple[Rule, ...]) -> DataFrame:
+    """Column ``p_good``: the probability of all good classes together, given the votes."""
+    likely = {}
+    for kind, (share, rates) in model.items():
+        terms = [f"{math.log(share)!r}D"]
+        for r in rules:
+            cases = " ".join(f"when {o} then {math.log(p)!r}D" for o, p in zip(OPINIONS, rates[r.name]))
+            terms.append(f"case vote_{r.name} {cases} end")
+        likely[kind] = f"exp({' + '.join(terms)})"
+    scored = rows.select("*", *[F.expr(x).alias(f"l_{kind}") for kind, x in likely.items()])
+    good = " + ".join(f"l_{kind}" for kind in model if kind.startswith("good"))
+    return scored.withColumn("p_good", F.expr(f"({good}) / ({' + '.join(f'l_{kind}' for kind in model)})")).drop(*[f"l_{kind}" for kind in model])
+
+
+def estimate(counts: DataFrame, rules: tuple[Rule, ...] = RULES, rounds: int = 200, tolerance: float = 1e-4) -> Model:
+    """EM over vote patterns and their ``n``: by class, its share and how often each rule says bad, nothing and good.
+
+    A class is a kind of documents on which the rules' votes are independent. It starts with one good
+    and one bad class, and takes further ones, which begin at the documents that one rule calls bad and
+    are free from there, while they raise the likelihood by more than their rates cost. So a class
+    needs rules that agree: bad votes that go with no other rule's votes or silence are errors of
+    their rule, at whatever rate, and bad documents that fail in one way only have a class of their own
+    where a second rule tells them apart. No rate is bounded and no class belongs to a rule. A class is bad if
+    its documents get half a bad vote more than those of the class with the fewest. Ten pseudo-documents of ``BELIEF``
+    decide where there are hardly any documents. The table has at most a row for each vote pattern, so
+    the fit is one small computation.
+    """
+    names = [f"vote_{r.name}" for r in rules]
+    rows = sorted(tuple(r) for r in counts.select(*names, "n").collect())
+    table = np.array(rows, float).reshape(len(rows), len(names) + 1)
+    seen = (table[:, :-1, None] == np.array(OPINIONS)).astype(float)
+    share, rates = _classes(seen, table[:, -1], rounds, tolerance)
+    bad_votes = rates[:, :, 0].sum(axis=1)
+    bad = bad_votes - bad_votes.min() > 0.5
+    model: Model = {}
+    for k in np.argsort(bad_votes, kind="stable"):
+        kind = "bad" if bad[k] else GOOD
+        same = sum(name.startswith(kind) for name in model)
+        model[kind + (str(same + 1) if same else "")] = (float(share[k]), {r.name: tuple(map(float, x)) for r, x in zip(rules, rates[k])})
     return model
 
 
@@ -182,7 +221,8 @@ def judge(rows: DataFrame, text: str = "text", rules: tuple[Rule, ...] = RULES,
     names = [f"vote_{r.name}" for r in rules]
     patterns = stage(voted.groupBy(*names).agg(F.count("*").alias("n")).coalesce(1), "vote-patterns")
     failed = F.expr("n_words < 20 or 100 * n_repeat_words > 30 * n_words")
-    scored = _p_good(voted.withColumn("base_failed", failed), estimate(patterns, rules), rules)
+    known = _p_good(patterns, estimate(patterns, rules), rules).drop("n")
+    scored = voted.join(F.broadcast(known), names).select(*voted.columns, failed.alias("base_failed"), "p_good")
     return scored.withColumn("kept", ~F.col("base_failed") & (F.col("p_good") >= threshold))
 
 
