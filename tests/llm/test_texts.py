@@ -201,6 +201,33 @@ def test_token_efficiency(value, random):
     assert bool(found) is random
 
 
+@pytest.mark.parametrize("alphabet", ["abcdefghijklmnopqrstuvwxyz", "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "0123456789"])
+@pytest.mark.parametrize("before", ["", "/services/application/configuration/", "THE_QUICK_BROWN_FOX_JUMPS_"])
+def test_random_letters_of_one_case_and_numbers(alphabet, before):
+    draw = np.random.default_rng(6)
+    values = ["".join(draw.choice(list(alphabet), 32)) for _ in range(200)]
+    found = [secrets.random_spans(before + v, multilingual_ranks(), public_tokenizers.PATTERN) for v in values]
+    assert sum(bool(f) and f[-1][2] == len(before) + 32 for f in found) > 180
+
+
+def test_readable_text_does_not_hide_a_key():
+    draw = np.random.default_rng(7)
+    before, after = "/services/application/configuration/", "/internationalization/of/names"
+    for size in (20, 24, 40):
+        for _ in range(50):
+            key = "".join(draw.choice(list("abcdefghijkmnpqrstuvwxyzABCDEFGHJKLMNPQRSTUVWXYZ0123456789"), size))
+            found = secrets.random_spans(before + key + after, multilingual_ranks(), public_tokenizers.PATTERN)
+            assert any(a <= len(before) and b >= len(before) + size for _, a, b in found)
+
+
+@pytest.mark.parametrize(
+    "value",
+    ["THE_QUICK_BROWN_FOX_JUMPS", "/files/123e4567-e89b-42d3-a456-426614174000/name", "logs/2024-01-01/2024-12-31/archive", "=" * 40, "checksums/d41d8cd98f00b204e9800998ecf8427e/list"],
+)
+def test_known_forms_among_words(value):
+    assert secrets.random_spans(f"see {value} here", multilingual_ranks(), public_tokenizers.PATTERN) == []
+
+
 def test_redaction(spark, odd_docs):
     path = multilingual_ranks()
     docs = spark.createDataFrame([(1, "my token = abcdef12 end", 5), (2, None, 0), (3, "plain", 5)], "doc_id long, text string, n_chars long")

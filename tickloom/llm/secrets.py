@@ -2,9 +2,11 @@
 
 Patterns find assignments of passwords and keys, access key ids and long hexadecimal strings. The
 token-efficiency test adds what has no fixed form: a long unbroken string of which a BPE vocabulary,
-fitted to ordinary text, needs a token for every one or two characters is random. Known digests and
-identifiers are excluded first: hexadecimal digests of usual lengths, UUIDs, dates and numbers, and
-names made of words. Each document is scanned alone, whole, inside its task.
+fitted to ordinary text, needs a token for every one or two characters is random. The whole string is
+tested, each of its parts between ``/ _ = + -``, and every stretch of it, so that readable text around
+a key does not hide it. Hexadecimal digests of usual lengths, UUIDs and dates are left out first, and so are,
+of the test as a whole, names made of words that the vocabulary shortens. Each document is scanned
+alone, whole, inside its task.
 
 Defined cases: a null or empty text has no spans; equal rows get equal spans; a text of any length is
 scanned whole; offsets are code points, ends exclusive.
@@ -28,11 +30,15 @@ ACCESS = re.compile(r"AKIA[A-Z0-9]+")
 HEX = re.compile(r"[0-9a-f]{24,}")  # a maximal run either has 24 characters or fails whole
 KEYWORDS = ("password", "passwd", "secret", "token", "apikey", "api_key")
 CANDIDATE = re.compile(r"[A-Za-z0-9+/_=-]{20,}")
-DIGEST = re.compile(r"(?:[0-9a-f]+|[0-9A-F]+)")
+DIGEST = re.compile(r"(?=[0-9]*[A-Fa-f])(?:[0-9a-f]+|[0-9A-F]+)")
 DIGEST_LENGTHS = {32, 40, 56, 64, 96, 128}
 UUID = re.compile(r"[0-9A-Fa-f]{8}(?:-[0-9A-Fa-f]{4}){3}-[0-9A-Fa-f]{12}")
 NAME_PART = re.compile(r"[A-Z]?[a-z]+|[A-Z]+|[0-9]{1,8}")
-PART_BREAK = re.compile(r"[/_=+-]+")
+PART = re.compile(r"[A-Za-z0-9]+")
+CAPITALS = re.compile(r"(?<![A-Za-z0-9])[A-Z]+(?![A-Za-z0-9])")
+DATE = r"(?:19|20)[0-9]{2}([-_/]?)(?:0[1-9]|1[0-2])\1(?:0[1-9]|[12][0-9]|3[01])(?:[-_T/]?(?:[01][0-9]|2[0-3])[-_]?[0-5][0-9](?:[-_]?[0-5][0-9])?Z?)?"
+KNOWN = re.compile(rf"(?<![A-Za-z0-9])(?:{UUID.pattern}|{DATE})(?![A-Za-z0-9])")
+SHORTEST = 20
 CHARS_PER_TOKEN = 1.9
 SPANS = "array<struct<kind: string, first: int, past: int>>"
 
@@ -56,27 +62,88 @@ def base_spans(text: str) -> list[tuple[str, int, int]]:
     return found
 
 
-def known_form(value: str) -> bool:
-    """Digests, UUIDs, numbers, and names whose parts are words of one case, capitalised words or numbers."""
-    if (len(value) in DIGEST_LENGTHS and DIGEST.fullmatch(value)) or UUID.fullmatch(value):
-        return True
-    parts = [p for p in PART_BREAK.split(value) if p]
-    if all(p.isdigit() for p in parts):
-        return True
+def _digest(value: str) -> bool:
+    return len(value) in DIGEST_LENGTHS and DIGEST.fullmatch(value) is not None
+
+
+def _segments(value: str) -> list[tuple[int, int]]:
+    """What known forms leave of a run: digests, UUIDs and dates between other parts are cut out."""
+    gone = [m.span() for m in KNOWN.finditer(value)]
+    gone += [m.span() for m in PART.finditer(value) if _digest(m[0])]
+    kept, at = [], 0
+    for first, past in [*sorted(gone), (len(value), len(value))]:
+        if PART.search(value, at, first):
+            kept.append((at, first))
+        at = max(at, past)
+    return kept
+
+
+def _folded(value: str) -> str:
+    """Words in capitals in lower case, as the vocabulary has them."""
+    return CAPITALS.sub(lambda m: m[0].lower(), value)
+
+
+def _named(value: str, encoding: tiktoken.Encoding, chars_per_token: float) -> bool:
+    """Names whose parts are words of one case, capitalised words or numbers, and shortened by the vocabulary."""
+    parts = PART.findall(value)
     pieces = [NAME_PART.findall(p) for p in parts]
     if any(sum(map(len, found)) < len(p) for found, p in zip(pieces, parts)):
         return False
-    count = sum(map(len, pieces))
-    return count * 4 <= sum(map(len, parts))  # words of four letters or more on average
+    size = sum(map(len, parts))
+    if sum(map(len, pieces)) * 4 > size:  # words of four letters or more on average
+        return False
+    return size >= chars_per_token * sum(len(encoding.encode_ordinary(_folded(p))) for p in parts)
+
+
+def _stretches(value: str, encoding: tiktoken.Encoding, chars_per_token: float) -> list[tuple[int, int]]:
+    """Shortest stretches of whole tokens with ``SHORTEST`` letters and digits that the vocabulary does not shorten."""
+    at, held = 0, []  # of tokens with letters or digits: place and number of these
+    for token in encoding.encode_ordinary(_folded(value)):
+        past = at + len(encoding.decode_single_token_bytes(token))
+        size = sum(map(len, PART.findall(value, at, past)))
+        if size:
+            held.append((at, past, size))
+        at = past
+    found, last, chars = [], 0, 0
+    for i, (first, _, size) in enumerate(held):
+        while last < len(held) and chars < SHORTEST:
+            chars += held[last][2]
+            last += 1
+        if chars < SHORTEST:
+            break
+        if chars < chars_per_token * (last - i):
+            found.append((first, held[last - 1][1]))
+        chars -= size
+    return found
 
 
-def random_spans(text: str, path: str, pattern: str, chars_per_token: float = CHARS_PER_TOKEN) -> list[tuple[str, int, int]]:
+def _random_places(value: str, encoding: tiktoken.Encoding, chars_per_token: float) -> list[tuple[int, int]]:
+    """Places of a run that the vocabulary does not shorten, apart and in order; the whole run where all of it is."""
+
+    def unshortened(text: str) -> bool:
+        return len(text) < chars_per_token * len(encoding.encode_ordinary(_folded(text)))
+
+    segments = _segments(value)
+    texts = [value[a:b] for a, b in segments]
+    size = sum(map(len, texts))
+    tokens = sum(len(encoding.encode_ordinary(_folded(t))) for t in texts)
+    if size >= SHORTEST and size < chars_per_token * tokens and not all(_named(t, encoding, chars_per_token) for t in texts):
+        return [(0, len(value))]
     found = []
-    for m in CANDIDATE.finditer(text):
-        value = m[0]
-        if not known_form(value) and len(value) < chars_per_token * len(_encoding(path, pattern).encode_ordinary(value)):
-            found.append(("random", m.start(), m.end()))
-    return found
+    for (at, _), text in zip(segments, texts):
+        parts = [m.span() for m in PART.finditer(text) if m.end() - m.start() >= SHORTEST and unshortened(m[0])]
+        found += [(at + a, at + b) for a, b in parts + _stretches(text, encoding, chars_per_token)]
+    joined: list[tuple[int, int]] = []
+    for a, b in sorted(found):
+        if joined and a <= joined[-1][1]:
+            a, b = joined[-1][0], max(b, joined.pop()[1])
+        joined.append((a, b))
+    return joined
+
+
+def random_spans(text: str, path: str, pattern: str, chars_per_token: float = CHARS_PER_TOKEN) -> list[tuple[str, int, int]]:
+    encoding = _encoding(path, pattern)
+    return [("random", m.start() + a, m.start() + b) for m in CANDIDATE.finditer(text) for a, b in _random_places(m[0], encoding, chars_per_token)]
 
 
 def scan(text: str | None, path: str, pattern: str, chars_per_token: float = CHARS_PER_TOKEN) -> list[tuple[str, int, int]]:
