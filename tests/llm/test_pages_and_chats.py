@@ -39,6 +39,30 @@ def test_odd_pages(spark):
     assert len(extracted(spark, [long, long], field)[1].split()) == 45_000
 
 
+def test_open_head_and_embedded_elements():
+    def texts(page):
+        return [text for text, _ in html_crf.leaf_blocks(page)]
+
+    assert texts("<html><head><title>T</title><meta charset=utf-8><body><p>one</p><p>two</p></body></html>") == ["one", "two"]
+    assert texts("<html><head><title>T</title><script>x()</script><noscript>n</noscript><p>one<p>two") == ["one", "two"]
+    assert texts("<head><title>T</title>plain<p>two") == ["plain", "two"]
+    for tag in ("noscript", "svg", "iframe", "object", "canvas"):
+        assert texts(f"<body><p>one</p><div><{tag} a=b></div><p>two</p></body>") == ["one", "two"]
+        assert texts(f"<body><p>one</p><{tag} a=b><p>two</p><{tag}><p>three</p></{tag}><p>four</p></body>") == ["one", "two", "four"]
+        assert texts(f"<body><p>one</p><div><{tag}><p>two</p></{tag}></div><p>three</p>") == ["one", "three"]
+        assert texts(f"<{tag}><div>one<{tag}>two</div></{tag}><p>three") == ["three"]
+    assert texts("<p>so <math><mi>x</mi><mo>=</mo><mn>1</mn><annotation>x=1</annotation></math> holds</p>") == ["so x=1 holds"]
+    assert texts("<body><template><p>no</p></template><p>one<script>x") == ["one"]
+
+
+def test_training_uses_whole_pages(spark):
+    words = "This part of the page has a sentence of quite some words, as articles do. "
+    page = "<body>" + "<div class=nav><a href=x>go</a></div>" * 450 + f"<main>{'<p>' + words + '</p>'}</main>" * 3 + "</body>"
+    field = html_crf.train(spark.createDataFrame([(page,)] * 5, "html string"))
+    cut = html_crf.train(spark.createDataFrame([(page[: page.index("<main>")] + "<main></main>",)] * 5, "html string"))
+    assert field.by_name["main"] != cut.by_name["main"]
+
+
 def test_viterbi_is_the_best_labelling():
     import itertools
 

@@ -13,12 +13,14 @@ is left for marks that the training pages do not have. The fit sees at most ``ma
 of least hash, and so has a fixed size; every page is parsed whole and decoded in its task.
 
 Defined cases: a null or empty page has empty text; a page without blocks too; broken markup is read
-as far as browsers would, roughly: what is left open ends with its parent; equal rows get equal texts;
+as far as browsers would, roughly: what is left open ends with its parent, a head also where anything
+else begins, and an embedded element without an end tag hides nothing; equal rows get equal texts;
 without pages that label themselves the belief alone decides.
 """
 
 from __future__ import annotations
 
+import itertools
 import re
 from html.parser import HTMLParser
 
@@ -29,8 +31,13 @@ from pyspark.sql import Column, DataFrame, functions as F
 from tickloom.llm.common import sampled
 
 VOID = set("area base br col embed hr img input link meta param source track wbr".split())
-SKIPPED = set("script style noscript template svg iframe object math canvas head title".split())
-INLINE = set("a abbr acronym b bdi bdo big cite code data del dfn em font i ins kbd mark q rp rt ruby s samp small span strike strong sub sup time tt u var wbr".split())
+#: Text inside is never shown; it is skipped until the element ends, by its own end tag or with its parent.
+SKIPPED = set("script style template title annotation annotation-xml".split())
+#: What stands inside is left out where the element has its end tag; without one, only the start tag is.
+EMBEDDED = set("noscript svg iframe object canvas".split())
+IN_HEAD = set("title base link meta script style noscript template".split())
+MATH = set("math mi mn mo ms mtext mrow mfrac msqrt mroot mstyle msub msup msubsup munder mover munderover mspace mpadded mphantom semantics annotation annotation-xml".split())
+INLINE = MATH | set("a abbr acronym b bdi bdo big cite code data del dfn em font i ins kbd mark q rp rt ruby s samp small span strike strong sub sup time tt u var wbr".split())
 #: A start tag of the key ends an open element of the value's tags.
 CLOSES = {
     "li": {"li"}, "dt": {"dt", "dd"}, "dd": {"dt", "dd"}, "tr": {"tr", "td", "th"}, "td": {"td", "th"}, "th": {"td", "th"},
@@ -99,8 +106,8 @@ class _Blocks(HTMLParser):
 
     def __init__(self) -> None:
         super().__init__(convert_charrefs=True)
-        self.open: list[tuple[str, frozenset[str]]] = [("", frozenset())]
-        self.skipping: list[str] = []
+        # tag, marks, whether text is skipped, number of blocks before
+        self.open: list[tuple[str, frozenset[str], bool, int]] = [("", frozenset(), False, 0)]
         self.links = 0
         self.blocks: list[tuple[str, frozenset[str]]] = []
         self._reset_block()
@@ -123,8 +130,7 @@ class _Blocks(HTMLParser):
             if self.parts:
                 self.parts.append(" ")
             return
-        if tag in SKIPPED and not (tag == "head" and len(self.open) > 3):
-            self.skipping.append(tag)
+        self._leave_head(tag)
         if tag in VOID:
             if tag not in INLINE:
                 self.end_block()
@@ -137,8 +143,13 @@ class _Blocks(HTMLParser):
                 self._close_one({"p"}, stop=SCOPES)
         if tag == "a":
             self.links += 1
-        marks = self.open[-1][1]
-        self.open.append((tag, marks | _marks(tag, attrs, marks)))
+        _, marks, skipped, _ = self.open[-1]
+        self.open.append((tag, marks | _marks(tag, attrs, marks), skipped or tag in SKIPPED, len(self.blocks)))
+
+    def _leave_head(self, tag: str) -> None:
+        """Whatever no head can hold ends it."""
+        if self.open[-1][0] == "head" and tag not in IN_HEAD:
+            self._pop_to(len(self.open) - 1)
 
     def _close_one(self, tags: set[str], stop: set[str]) -> None:
         for i in range(len(self.open) - 1, 0, -1):
@@ -149,16 +160,16 @@ class _Blocks(HTMLParser):
                 return
 
     def _pop_to(self, size: int) -> None:
-        self.links -= sum(tag == "a" for tag, _ in self.open[size:])
+        self.links -= sum(tag == "a" for tag, *_ in self.open[size:])
         del self.open[size:]
 
     def handle_endtag(self, tag: str) -> None:
-        if tag in self.skipping:
-            del self.skipping[self.skipping.index(tag) :]
         if tag not in INLINE:
             self.end_block()
         for i in range(len(self.open) - 1, 0, -1):
             if self.open[i][0] == tag:
+                if tag in EMBEDDED:
+                    del self.blocks[self.open[i][3] :]
                 self._pop_to(i)
                 return
             if tag in INLINE and self.open[i][0] in SCOPES:
@@ -170,13 +181,15 @@ class _Blocks(HTMLParser):
             self.handle_endtag(tag)
 
     def handle_data(self, data: str) -> None:
-        if self.skipping:
+        if not data.isspace():
+            self._leave_head("")
+        if self.open[-1][2]:
             return
         if not self.parts:
             if data.isspace():
                 return
-            tag, self.marks = self.open[-1]
-            self.leaf = next((t for t, _ in reversed(self.open) if t not in INLINE), "")
+            self.marks = self.open[-1][1]
+            self.leaf = next((t for t, *_ in reversed(self.open) if t not in INLINE), "")
         self.parts.append(data)
         if self.links:
             self.link_size += len(data)
@@ -241,10 +254,10 @@ class Field:
         return labels[::-1] if blocks else []
 
 
-def _expectations(x: np.ndarray, mask: np.ndarray, weights: np.ndarray, transitions: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """Forward-backward over padded chains: P(article) of each block, expected transition counts."""
-    pages, length, _ = x.shape
-    emit = np.stack([np.zeros((pages, length)), x @ weights], axis=2)
+def _expectations(article: np.ndarray, mask: np.ndarray, transitions: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Forward-backward over padded chains, from the scores of the article label: P(article) of each block, expected transition counts."""
+    pages, length = article.shape
+    emit = np.stack([np.zeros((pages, length)), article], axis=2)
     alpha, beta = np.zeros((pages, length, 2)), np.zeros((pages, length, 2))
     alpha[:, 0] = emit[:, 0]
     for t in range(1, length):
@@ -289,34 +302,43 @@ def fit(chains: list[Chain], rounds: int = 150, rate: float = 0.1, pull: float =
     chains = [c for c in chains if c[0]]
     if not chains:
         return Field(weights, transitions)
-    length = max(len(b) for b, _ in chains)
-    x = np.zeros((len(chains), length, len(NAMES)))
-    y, mask = np.zeros((len(chains), length), int), np.zeros((len(chains), length), bool)
-    for i, (blocks, labels) in enumerate(chains):
-        x[i, : len(blocks)] = [_row(b) for b in blocks]
-        y[i, : len(blocks)], mask[i, : len(blocks)] = labels, True
-    seen = np.zeros((2, 2))
-    np.add.at(seen, (y[:, :-1][mask[:, 1:]], y[:, 1:][mask[:, 1:]]), 1)
+    numbers: dict[frozenset[str], int] = {}
+    padded, seen = [], np.zeros((2, 2))
+    # chains of like length together, so that one long page does not stretch the others
+    for _, group in itertools.groupby(sorted(chains, key=lambda c: len(c[0])), key=lambda c: len(c[0]).bit_length()):
+        same = list(group)
+        size = (len(same), len(same[-1][0]))
+        at, y, mask = np.zeros(size, np.int32), np.zeros(size, int), np.zeros(size, bool)
+        for i, (blocks, labels) in enumerate(same):
+            at[i, : len(blocks)] = [numbers.setdefault(b, len(numbers)) for b in blocks]
+            y[i, : len(blocks)], mask[i, : len(blocks)] = labels, True
+        np.add.at(seen, (y[:, :-1][mask[:, 1:]], y[:, 1:][mask[:, 1:]]), 1)
+        padded.append((at, y, mask))
+    x = np.array([_row(b) for b in numbers])
     flat = np.concatenate([weights, transitions.ravel()])
     prior, first, second, cut = flat.copy(), np.zeros_like(flat), np.zeros_like(flat), len(weights)
     for t in range(1, rounds + 1):
-        article, counts = _expectations(x, mask, flat[:cut], flat[cut:].reshape(2, 2))
-        slope = np.concatenate([np.einsum("pl,plf->f", (y - article) * mask, x), (seen - counts).ravel()]) / len(chains)
+        scores, missed, counts = x @ flat[:cut], np.zeros(len(x)), np.zeros((2, 2))
+        for at, y, mask in padded:
+            article, moves = _expectations(scores[at], mask, flat[cut:].reshape(2, 2))
+            missed += np.bincount(at[mask], (y - article)[mask], len(x))
+            counts += moves
+        slope = np.concatenate([missed @ x, (seen - counts).ravel()]) / len(chains)
         slope -= pull * (flat - prior)
         first, second = 0.9 * first + 0.1 * slope, 0.999 * second + 0.001 * slope**2
         flat = flat + rate * (first / (1 - 0.9**t)) / (np.sqrt(second / (1 - 0.999**t)) + 1e-8)
     return Field(flat[:cut], flat[cut:].reshape(2, 2))
 
 
-def train(pages: DataFrame, html: str = "html", max_pages: int = 120, max_blocks: int = 400) -> Field:
-    """Fit on pages that label themselves; of a long training page the first ``max_blocks`` blocks are used."""
+def train(pages: DataFrame, html: str = "html", max_pages: int = 120) -> Field:
+    """Fit on whole pages that label themselves."""
     content = F.col(f"`{html}`")
     labelled = pages.select(content.alias("html")).filter(content.rlike(r"(?i)<(article|main)[\s>]"))
     sample = sampled(labelled, F.col("html"), max_pages).collect()
     draw = np.random.default_rng(11)
     chains: list[Chain] = []
     for (page,) in sample:
-        blocks = [features for _, features in leaf_blocks(page)][:max_blocks]
+        blocks = [features for _, features in leaf_blocks(page)]
         labels = [int(bool(b & {"article", "main"}) and not b & set(OTHER_MARKS)) for b in blocks]
         chains += variants(blocks, labels, draw)
     return fit(chains)
