@@ -7,8 +7,22 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from tickloom.llm import bpe, chat, html_crf, phrases, ranking, secrets, simhash, suffix_dedup, weak_rules, winnowing
-from tickloom.llm.common import read, sha256_hex
+from tickloom.llm import (
+    bpe,
+    chat,
+    html_crf,
+    licenses,
+    periodic_runs,
+    phrases,
+    ranking,
+    resampling,
+    secrets,
+    simhash,
+    suffix_dedup,
+    weak_rules,
+    winnowing,
+)
+from tickloom.llm.common import let, read, sha256_hex, white_words
 
 
 def multilingual_ranks() -> str:
@@ -165,6 +179,115 @@ def op10_html(spark: SparkSession, folder: str) -> DataFrame:
     return pages.select("page_id", "url", text.alias("text")).withColumn("n_chars", F.length("text").cast("long"))
 
 
+def op11_licenses(spark: SparkSession, folder: str) -> DataFrame:
+    """Licence notices of every document; base places are the unchanged ones of three phrases."""
+    found = read(spark, folder, "documents").select("doc_id", licenses.find(F.col("text")).alias("found"))
+    with_base = found.select("doc_id", "found.*", F.expr("filter(found.spans, s -> s.base and s.errors = 0)").alias("base"))
+
+    def labels(spans: str):
+        return F.array_join(F.array_sort(F.array_distinct(F.col(f"{spans}.label"))), ",")
+
+    return with_base.select(
+        "doc_id",
+        "n_words",
+        F.size("base").cast("long").alias("n_base"),
+        F.array_min("base.first_word").alias("first_word"),
+        F.array_max("base.first_word").alias("last_word"),
+        labels("base").alias("base_labels"),
+        labels("spans").alias("labels"),
+        F.coalesce(F.array_max("spans.similarity"), F.lit(0.0)).alias("score"),
+    )
+
+
+def _repeating(words, identity):
+    """In a tenth of the documents the words from a hashed place on repeat a stretch of themselves."""
+
+    def planted(w):
+        h = F.crc32(identity.cast("string").cast("binary"))
+        n, g = F.size(w), F.floor(h / 10)
+
+        def spread(start):
+            period = F.floor((n - start) / (3 + g % 8)) + 1
+            later = F.sequence(F.lit(0), n - start - 1)
+            return let(period, lambda p: F.concat(F.slice(w, 1, start), F.transform(later, lambda i: F.get(w, (start + i % p).cast("int")))))
+
+        return F.when((h % 10 == 0) & (n > 0), let((g % n).cast("int"), spread)).otherwise(w)
+
+    return let(words, planted)
+
+
+def op12_periodic(spark: SparkSession, folder: str) -> DataFrame:
+    """Periodic runs of words of every document, a tenth of them made to repeat, and the texts that collapsing leaves."""
+    documents = read(spark, folder, "documents")
+    words = documents.select("doc_id", _repeating(white_words(F.col("text")), F.col("doc_id")).alias("words"))
+    found = words.select("doc_id", "words", periodic_runs.find(F.col("words")).alias("found"))
+    longest = F.expr(
+        "array_max(transform(found.runs, r -> struct(r.length as length, -r.start as before, -r.period as shortest)))"
+    )
+    listed = F.transform("found.runs", lambda r: F.concat(F.concat_ws(",", r["start"], r["length"], r["period"]), F.lit("\n")))
+    return found.select(
+        "doc_id",
+        F.size("found.runs").cast("long").alias("n_runs"),
+        longest.alias("longest"),
+        sha256_hex(F.array_join(listed, "")).alias("runs_sha256"),
+        sha256_hex(periodic_runs.collapsed(F.col("words"), F.col("found.kept"))).alias("collapsed_sha256"),
+    ).select(
+        "doc_id",
+        "n_runs",
+        (-F.col("longest.before")).alias("start"),
+        "longest.length",
+        (-F.col("longest.shortest")).alias("period"),
+        F.expr("1000 * longest.length div -longest.shortest").alias("exponent_milli"),
+        "runs_sha256",
+        "collapsed_sha256",
+    )
+
+
+def op13_resampling(spark: SparkSession, folder: str) -> DataFrame:
+    """Every document weighed by single words against the benchmark, and a tenth of the longer ones drawn."""
+    drawn = resampling.resample(read(spark, folder, "documents"), read(spark, folder, "benchmark"), carry=["doc_id"])
+    return drawn.select("row.doc_id", "n_features", "weight", "score", "rank")
+
+
+OP13_SQL = r"""
+with table_steps as (
+  select i, list_reduce(list_prepend(i::bigint, range(8)),
+    lambda c, k: case when c & 1 = 1 then xor(c >> 1, 3988292384::bigint) else c >> 1 end) as entry from range(256) t(i)),
+entries as (select list(entry order by i) as crc_table from table_steps),
+d as (
+  select doc_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+    '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+') as words from documents),
+b as (
+  select regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+    '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+') as words from benchmark),
+dw as (select doc_id, unnest(words) as word from d),
+bw as (select unnest(words) as word from b),
+dn as (select word, count(*) as s from dw group by word),
+bn as (select word, count(*) as t from bw group by word),
+octets as (
+  select word, hex(encode(word)) as h from (select word from dn union select word from bn)),
+crcs as (
+  select word, xor(list_reduce(list_prepend(4294967295::bigint,
+      list_transform(range(1, strlen(h) + 1, 2), lambda k: ('0x' || substr(h, k, 2))::bigint)),
+    lambda c, o: xor(c >> 8, crc_table[(xor(c, o) & 255) + 1])), 4294967295::bigint) % 10000 as bucket
+  from octets, entries),
+counted as (
+  select bucket, coalesce(sum(s), 0)::double as s, coalesce(sum(t), 0)::double as t
+  from crcs left join dn using (word) left join bn using (word) group by bucket),
+totals as (select coalesce(sum(s), 0) as all_s, coalesce(sum(t), 0) as all_t from counted),
+gains as (select bucket, floor(1000 * ln((t + 1) * (all_s + 10000) / ((s + 1) * (all_t + 10000))))::bigint as gain from counted, totals),
+weights as (select doc_id, sum(gain)::bigint as weight from dw join crcs using (word) join gains using (bucket) group by doc_id),
+scored as (
+  select doc_id, len(words)::bigint as n_features, coalesce(weight, 0) as weight,
+    coalesce(weight, 0) + floor(-1000 * ln(-ln((('0x' || substr(sha256('2024:' || doc_id), 1, 8))::bigint + 0.5::double) / 4294967296::double)))::bigint as score
+  from d left join weights using (doc_id)),
+ranked as (select *, n_features >= 20 as able, row_number() over (partition by n_features >= 20 order by score desc, doc_id) as place from scored)
+select doc_id, n_features, weight, score,
+  case when able and place <= (select count(*) from scored where n_features >= 20) * 10 // 100 then place end as rank
+from ranked
+"""
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {
         "op1_bpe": op1_bpe,
@@ -177,8 +300,11 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "op8_ranking": op8_ranking,
         "op9_quality_rules": op9_quality_rules,
         "op10_html": op10_html,
+        "op11_licenses": op11_licenses,
+        "op12_periodic": op12_periodic,
+        "op13_resampling": op13_resampling,
     }
 
 
 def oracle_sql() -> dict[str, str]:
-    return {"op2_decontamination": OP2_SQL, "op4_chat": OP4_SQL, "op6_phrases": OP6_SQL}
+    return {"op2_decontamination": OP2_SQL, "op4_chat": OP4_SQL, "op6_phrases": OP6_SQL, "op13_resampling": OP13_SQL}
