@@ -7,6 +7,7 @@ import pandas as pd
 import pytest
 from pyspark.ml.feature import VectorAssembler
 from pyspark.ml.regression import LinearRegression
+from pyspark.sql import functions as F
 
 from tickloom.operators import knn, linear, trees
 
@@ -95,13 +96,21 @@ def test_elastic_net_equals_converged_mllib(spark, penalty):
         assert np.isclose(mine["test_mse", ""], np.mean((test["label"] - guess) ** 2), rtol=1e-4)
 
 
-def test_ten_steps_are_mllibs(spark):
+@pytest.mark.parametrize("steps", [1, 2, 3, 10])
+def test_stopped_steps_are_mllibs(spark, steps):
     _, rows = _linear_rows(spark)
-    one = rows.filter("g = 'a'")
-    got = {(metric, param): value for _, metric, param, value in linear.elastic_net_mllib(one, FEATURES, "label")}
-    train = VectorAssembler(inputCols=FEATURES, outputCol="v").transform(one.filter("not is_test"))
-    model = LinearRegression(featuresCol="v", labelCol="label", maxIter=10, regParam=0.3, elasticNetParam=0.8).fit(train)
-    assert np.isclose(got["train_mse", ""], model.summary.meanSquaredError)
+    wild = rows.withColumns({"y": rows["w"] + rows["z"] + rows["y"] * 0.01, "z": rows["z"] * 1000, "g": F.lit("wild")})
+    rows = rows.unionByName(wild).unionByName(wild.withColumns({"w": F.lit(2.0), "g": F.lit(None).cast("string")}))
+    table = linear.elastic_net_stopped(rows, ["g"], FEATURES, "label", steps=steps).toPandas()
+    table["g"] = table["g"].fillna("null")
+    for group, part in {"a": "g = 'a'", "b": "g = 'b'", "wild": "g = 'wild'", "null": "g is null"}.items():
+        data = VectorAssembler(inputCols=FEATURES, outputCol="v").transform(rows.filter(part))
+        model = LinearRegression(featuresCol="v", labelCol="label", maxIter=steps, regParam=0.3, elasticNetParam=0.8).fit(data.filter("not is_test"))
+        mine = table[table["g"] == group].set_index(["metric", "param"])["value"]
+        assert np.allclose([mine["coefficient", f] for f in FEATURES], model.coefficients.toArray(), rtol=1e-9, atol=1e-9)
+        assert np.isclose(mine["intercept", ""], model.intercept)
+        assert np.isclose(mine["train_mse", ""], model.summary.meanSquaredError)
+        assert np.isclose(mine["test_mse", ""], model.evaluate(data.filter("is_test")).meanSquaredError)
 
 
 def test_moments_do_not_depend_on_partitions(spark):
@@ -214,11 +223,63 @@ def test_boosted_trees_equal_direct_boosting(spark):
     assert np.isclose(values["test_mse"], np.mean((y[test] - predict(bins[test])) ** 2))
 
 
-def test_mllib_trees_report_every_gain(spark):
-    data, rows = _linear_rows(spark)
-    found = trees.boosted_trees_cv(rows.filter("g = 'a'"), FEATURES, "label", (0.0, 50.0), folds=5, trees=2, depth=2)
-    assert [m for _, m, _, _ in found] == ["cv_error", "cv_error", "best_min_gain", "train_mse", "test_mse"]
-    assert all(value >= 0 for *_, value in found)
+def _tree_rows(n: int = 400, seed: int = 21) -> pd.DataFrame:
+    rng = np.random.default_rng(seed)
+    data = pd.DataFrame({"g": "a", "f1": rng.integers(0, 6, n).astype(float), "f2": rng.integers(0, 5, n).astype(float)})
+    data["label"] = 4 * (data["f1"] > 2) + data["f2"] * (data["f1"] > 3) + rng.normal(size=n)
+    data["is_test"] = np.arange(n) % 10 >= 7
+    data["fold"] = (np.arange(n) // 10) % 3
+    return data
+
+
+@pytest.mark.parametrize("limit", ["10m", "0"])
+def test_trees_over_many_blocks_and_a_null_group(spark, monkeypatch, limit):
+    """Blocks of four cells give the trees of one block; a group without name is a group; trees travel by a salted join too."""
+    data = _tree_rows()
+    rows = spark.createDataFrame(pd.concat([data, data.assign(g=None)]), "g string, f1 double, f2 double, label double, is_test boolean, fold long")
+    found = {}
+    before = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    try:
+        for size in (4096, 4):
+            monkeypatch.setattr(trees, "BLOCK_CELLS", size)
+            if size == 4:
+                spark.conf.set("spark.sql.autoBroadcastJoinThreshold", limit)
+            table = trees.boosted_trees_l1(rows, ["g"], ["f1", "f2"], "label", [0.1, 20.0], folds=3, trees=2, depth=3).toPandas()
+            found[size] = table.fillna({"g": "null"}).sort_values(["g", "metric", "param"])
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", before)
+    assert np.allclose(found[4096]["value"], found[4]["value"])
+    by_group = found[4].set_index(["g", "metric", "param"])["value"]
+    assert np.allclose(by_group["a"], by_group["null"])
+
+
+def test_bins_do_not_depend_on_the_number_of_features(spark):
+    """With 24 features a single useful one is still cut where it has to be."""
+    rng = np.random.default_rng(2)
+    n = 600
+    data = pd.DataFrame(rng.normal(size=(n, 24)), columns=[f"f{i}" for i in range(24)])
+    data["label"] = 10.0 * (data["f17"] > data["f17"].quantile(0.9))
+    data["g"], data["is_test"], data["fold"] = "a", np.arange(n) % 10 >= 7, (np.arange(n) // 10) % 3
+    features = [f"f{i}" for i in range(24)]
+    got = trees.boosted_trees_l1(spark.createDataFrame(data), ["g"], features, "label", [0.0], folds=3, trees=12, depth=2).toPandas()
+    assert got.set_index("metric")["value"]["test_mse"] < data["label"].var() / 4
+
+
+def test_least_gain_prunes(spark):
+    rows = spark.createDataFrame(_tree_rows())
+    found = trees.boosted_trees_cv(rows, ["g"], ["f1", "f2"], "label", (0.0, 50.0, 1e9), folds=3, trees=3, depth=3).toPandas()
+    scores = found[found["metric"] == "cv_error"].set_index("param")["value"]
+    assert sorted(found["metric"]) == ["best_min_gain", "cv_error", "cv_error", "cv_error", "test_mse", "train_mse"]
+    assert scores["1e+09"] > 2 * scores["0e+00"]  # no split at all
+
+
+def test_predictions_are_those_of_the_errors(spark):
+    data = _tree_rows()
+    rows = spark.createDataFrame(data.assign(id=np.arange(len(data))))
+    predicted, metrics = trees.boosted_predictions(rows, ["g"], ["f1", "f2"], "label", [0.1, 20.0], folds=3, trees=3, depth=2)
+    table, values = predicted.toPandas(), metrics.toPandas().set_index("metric")["value"]
+    assert sorted(table["id"]) == np.flatnonzero(data["is_test"]).tolist()
+    assert np.isclose(((table["label"] - table["prediction"]) ** 2).mean(), values["test_mse"])
 
 
 def test_task_helpers_need_no_installed_package(tmp_path):
@@ -230,6 +291,6 @@ def test_task_helpers_need_no_installed_package(tmp_path):
     from tickloom.operators import lowess
 
     path = tmp_path / "helpers"
-    path.write_bytes(cloudpickle.dumps([linear.penalised_line, linear.Moments, lowess._local_fits]))
+    path.write_bytes(cloudpickle.dumps([linear.penalised_line, linear.Moments, lowess._block_fits]))
     code = "import pickle; pickle.load(open('helpers', 'rb'))"
     subprocess.run([sys.executable, "-c", code], cwd=tmp_path, check=True)

@@ -12,11 +12,9 @@ from functools import reduce
 
 import numpy as np
 import pandas as pd
-from pyspark.ml.evaluation import RegressionEvaluator
-from pyspark.ml.regression import LinearRegression
 from pyspark.sql import DataFrame, functions as F, types as T
 
-from tickloom.operators.features import apply_minmax, assemble, fit_minmax, lag_window_features, mark_temporal
+from tickloom.operators.features import apply_minmax, fit_minmax, lag_window_features, mark_temporal
 from tickloom.operators.skew import attach, windowed_blocks, with_row_index
 from tickloom.session import stage
 
@@ -141,30 +139,79 @@ def penalised_line(data: Moments, penalty: float, mix: float) -> tuple[np.ndarra
     return coefficients, float(data.mean[-1] - coefficients @ data.mean[:-1])
 
 
-def elastic_net_mllib(
-    rows: DataFrame,
-    features: Sequence[str],
-    label: str,
-    penalty: float = ELASTIC_NET_PENALTY,
-    mix: float = ELASTIC_NET_MIX,
-    max_iter: int = 10,
-) -> list[tuple[str, str, str, float]]:
-    """MLlib's fit for the rows of one symbol, stopped after ``max_iter`` steps like the original program.
+def _stopped_minimum(gram: np.ndarray, target: np.ndarray, soft: float, spread: float, steps: int) -> np.ndarray:
+    """Orthant-wise quasi-Newton steps (Andrew and Gao 2007) from zero towards the minimum of
+    ``spread / 2 + b G b / 2 - t b + soft * |b|``, ten pairs of memory, step lengths by the strong Wolfe conditions.
 
-    ``elastic_net`` is the converged solution of the same problem for all symbols in one job.
-    Returns metric rows ``(model, metric, param, value)``.
+    Squared loss needs nothing but the moments, so a step reads no rows.
     """
-    data = assemble(rows.select(*features, label, "is_test"), features)
-    model = LinearRegression(
-        featuresCol="features", labelCol=label, maxIter=max_iter, regParam=penalty, elasticNetParam=mix
-    ).fit(data.filter("not is_test"))
-    judge = RegressionEvaluator(labelCol=label, metricName="mse")
-    name = f"elastic_net_{max_iter}"
-    out = [(name, "coefficient", f, float(c)) for f, c in zip(features, model.coefficients)]
-    out.append((name, "intercept", "", float(model.intercept)))
-    out.append((name, "train_mse", "", float(model.summary.meanSquaredError)))
-    out.append((name, "test_mse", "", float(judge.evaluate(model.transform(data.filter("is_test"))))))
-    return out
+    beta, memory, failed = np.zeros(len(target)), [], False
+
+    def slope(b: np.ndarray) -> np.ndarray:
+        """Gradient where the penalty is smooth, else its least one-sided part."""
+        g = gram @ b - target
+        at_zero = np.sign(g) * np.maximum(np.abs(g) - soft, 0.0)
+        return np.where(b != 0, g + np.sign(b) * soft, at_zero)
+
+    def cost(b: np.ndarray) -> float:
+        return float(spread / 2 + b @ gram @ b / 2 - target @ b + soft * np.abs(b).sum())
+
+    done = 0
+    while done < steps:
+        down = slope(beta)
+        if np.linalg.norm(down) <= max(1e-6 * abs(cost(beta)), 1e-8):
+            break
+        aim, taken = down.copy(), []
+        for step, change in memory:
+            taken.append((step @ aim) / (step @ change))
+            aim -= taken[-1] * change
+        if memory:
+            step, change = memory[0]
+            aim *= (step @ change) / (change @ change)
+        for (step, change), part in zip(reversed(memory), reversed(taken)):
+            aim += (part - (change @ aim) / (step @ change)) * step
+        aim = np.where(aim * down > 0, -aim, 0.0)
+        orthant = np.where(beta != 0, np.sign(beta), -np.sign(down))
+
+        def moved(length: float) -> np.ndarray:
+            b = beta + length * aim
+            return np.where(np.sign(b) == orthant, b, 0.0)
+
+        start, fall = cost(beta), down @ aim
+        length, shorter = (0.05 / np.linalg.norm(gram @ beta - target), 0.1) if done == 0 else (1.0, 0.5)
+        for _ in range(20):
+            there = moved(length)
+            rate = slope(there) @ aim
+            if cost(there) > start + 1e-4 * length * fall:
+                length *= shorter
+            elif rate < 0.9 * fall:
+                length *= 2.1
+            elif rate > -0.9 * fall:
+                length *= shorter
+            else:
+                step = there - beta
+                memory = [(step, gram @ step), *memory[:9]]
+                beta, done = there, done + 1
+                break
+        else:
+            if failed:
+                break
+            failed, memory = True, []
+    return beta
+
+
+def stopped_line(data: Moments, penalty: float, mix: float, steps: int) -> tuple[np.ndarray, float]:
+    """The problem of ``penalised_line`` after so many steps."""
+    deviation = np.sqrt(np.diag(data.cross) / data.n)
+    label_sd, coefficients = deviation[-1], np.zeros(len(deviation) - 1)
+    if label_sd > 0:
+        used = np.flatnonzero(deviation[:-1] > 0)
+        scale = deviation[used]
+        gram = data.cross[np.ix_(used, used)] / data.n / np.outer(scale, scale)
+        target = data.cross[used, -1] / data.n / (scale * label_sd)
+        ridge = penalty * (1.0 - mix) / label_sd * np.eye(len(used))
+        coefficients[used] = _stopped_minimum(gram + ridge, target, penalty * mix / label_sd, 1.0, steps) * label_sd / scale
+    return coefficients, float(data.mean[-1] - coefficients @ data.mean[:-1])
 
 
 def _per_group(parts: DataFrame, keys: Sequence[str], solve) -> DataFrame:
@@ -195,6 +242,19 @@ def _line_metrics(
     return rows
 
 
+def _fitted(rows: DataFrame, keys: Sequence[str], features: Sequence[str], label: str, model: str, fit) -> DataFrame:
+    """Metric rows of a line fitted to the training moments of each key."""
+    parts = second_moments(rows, [*keys, "is_test"], [*features, label])
+
+    def solve(group: pd.DataFrame) -> list[tuple]:
+        by_part = {bool(row["is_test"]): Moments.of(row) for _, row in group.iterrows()}
+        if False not in by_part:
+            return []
+        return _line_metrics(model, features, fit(by_part[False]), by_part[False], by_part.get(True))
+
+    return _per_group(parts, keys, solve)
+
+
 def elastic_net(
     rows: DataFrame,
     keys: Sequence[str],
@@ -207,16 +267,20 @@ def elastic_net(
 
     Both errors are reported: ``train_mse`` and ``test_mse``.
     """
-    parts = second_moments(rows, [*keys, "is_test"], [*features, label])
+    return _fitted(rows, keys, features, label, "elastic_net", lambda data: penalised_line(data, penalty, mix))
 
-    def solve(group: pd.DataFrame) -> list[tuple]:
-        by_part = {bool(row["is_test"]): Moments.of(row) for _, row in group.iterrows()}
-        if False not in by_part:
-            return []
-        line = penalised_line(by_part[False], penalty, mix)
-        return _line_metrics("elastic_net", features, line, by_part[False], by_part.get(True))
 
-    return _per_group(parts, keys, solve)
+def elastic_net_stopped(
+    rows: DataFrame,
+    keys: Sequence[str],
+    features: Sequence[str],
+    label: str,
+    penalty: float = ELASTIC_NET_PENALTY,
+    mix: float = ELASTIC_NET_MIX,
+    steps: int = 10,
+) -> DataFrame:
+    """The same problem after ``steps`` quasi-Newton steps, which is what MLlib gives for ``maxIter``; all keys in one job."""
+    return _fitted(rows, keys, features, label, f"elastic_net_{steps}", lambda data: stopped_line(data, penalty, mix, steps))
 
 
 def predict(rows: DataFrame, metrics: DataFrame, keys: Sequence[str], features: Sequence[str]) -> DataFrame:

@@ -1,109 +1,362 @@
 """Robust locally weighted regression (Cleveland 1979) for many groups at once, exact for every group.
 
 Rows with the same x share one local fit, so each group is first reduced to *knots*, one per distinct
-x with the sums of its rows. The fits of a group are dealt out in chunks of neighbouring knots, each
-with the knots that its neighbourhoods can reach: a neighbourhood is a span of the group's rows, so a
-chunk holds its own knots and up to ``frac`` of the group's rows to either side. The work grows with
-distinct x times neighbours; for very many distinct x, round x first.
+x with the sums of its rows, numbered by x and cut into blocks of about the square root of their
+number. On either side of a knot the tricube weight is a polynomial of degree 9 in the distance, so
+all a fit needs of a stretch of knots are its power sums. Each block is summed up once about its own
+middle; a fit adds up the stretches wholly inside its neighbourhood, paired up in a tree of moments, and
+looks at single knots only where the neighbourhood ends and around the knot itself. Moments are always
+moved between middles inside the neighbourhood, so no large sums are ever subtracted.
+
+A block's fits are one task: its own knots, the blocks where its neighbourhoods can end (found from the
+blocks' ranges and row counts, a few for each block on average), and one line of moments for each
+other block of the group. The work grows with distinct x times a logarithm, whatever the span. A block of
+sparse x whose neighbourhoods end all over a dense stretch reads that stretch.
 """
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Iterator, Sequence
+from dataclasses import dataclass
+from math import comb
 
 import numpy as np
 import pandas as pd
-from pyspark.sql import Column, DataFrame, Window, functions as F, types as T
+import pyarrow as pa
+from pyspark.sql import Column, DataFrame, functions as F, types as T
 
 from tickloom.operators.aggregate import exact_median
-from tickloom.operators.skew import attach, dealt
+from tickloom.operators.skew import attach, dealt, with_row_index
 from tickloom.session import stage
 
-CHUNK_KNOTS = 2_000
+BLOCK_KNOTS = 1024  # least knots of a block
+LEAF_KNOTS = 32
 ROUNDING = 1e-12  # of the largest |y|: errors below it are rounding, not scatter
+INNER, OUTER = 0.001, 0.999  # parts of the radius with full weight and without weight
+POWERS = 12  # distances to the 11th: the weight has degree 9, a line needs two more
+_CHOOSE = [np.array([comb(q, p) for p in range(q + 1)], float) for q in range(POWERS)]
+KNOT = np.dtype([("x", float), ("n", float), ("s", float), ("t", float)])
 
 
-def _neighbour_radius(x: np.ndarray, count: np.ndarray, k: int) -> np.ndarray:
-    """Distance from each knot to its k-th nearest row, rows of a knot counting at the knot.
+# --- moments --------------------------------------------------------------------------------
 
-    The nearest rows are neighbours in order, so it is the best of the shortest runs of at least k
-    rows: the last one whose middle lies left of the knot, or the next.
-    """
-    upto = np.cumsum(count)
-    last = np.searchsorted(upto, upto - count + k)
-    first = np.flatnonzero(last < len(x))
-    left, right = x[first], x[last[first]]
-    place = np.searchsorted(left + right, 2.0 * x)
-    before, after = (np.clip(p, 0, len(first) - 1) for p in (place - 1, place))
-    return np.minimum(
-        np.maximum(x - left[before], right[before] - x), np.maximum(x - left[after], right[after] - x)
-    )
+
+def _powers(values: np.ndarray) -> np.ndarray:
+    return values[:, None] ** np.arange(POWERS)
+
+
+def _moved(moments: np.ndarray, a: np.ndarray, b: np.ndarray) -> np.ndarray:
+    """Moments of ``a + b * u`` from those of ``u``; shape (sums, nodes, powers)."""
+    far, near = _powers(a), moments * _powers(b)
+    found = np.empty_like(moments)
+    for q in range(POWERS):
+        found[:, :, q] = (far[:, q::-1] * near[:, :, : q + 1]) @ _CHOOSE[q]
+    return found
+
+
+@dataclass
+class Stretches:
+    """Neighbouring stretches of knots: their ends, and moments of both sums about the middle in half widths."""
+
+    low: np.ndarray
+    high: np.ndarray
+    moments: np.ndarray
+
+    @property
+    def middle(self) -> np.ndarray:
+        return (self.low + self.high) / 2
+
+    @property
+    def half(self) -> np.ndarray:
+        width = (self.high - self.low) / 2
+        return np.where(width > 0, width, 1.0)
+
+    @classmethod
+    def of_knots(cls, knots: np.ndarray, starts: np.ndarray) -> Stretches:
+        """Sums of the knots from each start up to the next."""
+        ends = np.append(starts[1:], len(knots))
+        own = cls(knots["x"][starts], knots["x"][ends - 1], np.empty(0))
+        each = np.repeat(np.arange(len(starts)), ends - starts)
+        place = _powers((knots["x"] - own.middle[each]) / own.half[each])
+        own.moments = np.stack([np.add.reduceat(place * knots[c][:, None], starts, axis=0) for c in ("s", "t")])
+        return own
+
+    def paired(self) -> Stretches:
+        low, high, moments = self.low, self.high, self.moments
+        if len(low) % 2:
+            low, high = np.append(low, high[-1]), np.append(high, high[-1])
+            moments = np.concatenate([moments, np.zeros((2, 1, POWERS))], axis=1)
+        each = Stretches(low, high, moments)
+        pair = Stretches(low[0::2], high[1::2], np.empty(0))
+        middle, half = np.repeat(pair.middle, 2), np.repeat(pair.half, 2)
+        moved = _moved(moments, (each.middle - middle) / half, each.half / half)
+        pair.moments = moved[:, 0::2] + moved[:, 1::2]
+        return pair
+
+
+def _weighted(powers: np.ndarray) -> np.ndarray:
+    """Sums with the tricube weight of distance to the power 0, 1 and 2, from sums of plain powers."""
+    return powers[..., 0:3] - 3 * powers[..., 3:6] + 3 * powers[..., 6:9] - powers[..., 9:12]
+
+
+def _add_stretches(sums: np.ndarray, items: Stretches, first: np.ndarray, past: np.ndarray, x: np.ndarray, h: np.ndarray, side: int) -> None:
+    """Adds to ``sums`` (2, fits, 3) the items ``first`` up to ``past`` of every fit, all on one side of it."""
+    first, past = first.copy(), past.copy()
+    level = items
+    while (first < past).any():
+        for at, on in ((first, (first < past) & (first % 2 == 1)), (past - 1, (first < past) & (past % 2 == 1))):
+            fits = np.flatnonzero(on)
+            if len(fits):
+                node, scale = at[fits], side / h[fits]
+                moved = _moved(level.moments[:, node], (level.middle[node] - x[fits]) * scale, level.half[node] * scale)
+                sums[:, fits] += _weighted(moved) * np.array([1.0, side, 1.0])
+        first, past = (first + 1) // 2, past // 2
+        if (first < past).any():
+            level = level.paired()
 
 
-def _local_fits(knots: pd.DataFrame, k: int) -> np.ndarray:
-    """Weighted line through the neighbourhood of each own knot, evaluated there; NaN without any weight."""
-    x, count = knots["x"].to_numpy(), knots["n"].to_numpy()
-    weights, values = knots["s"].to_numpy(), knots["t"].to_numpy()
-    radius = _neighbour_radius(x, count, k)
-    start, stop = np.searchsorted(x, x - radius, "left"), np.searchsorted(x, x + radius, "right")
-    own = np.flatnonzero(knots["own"].to_numpy())
-    fits = np.empty(len(own))
-    for at, i in enumerate(own):
-        near = slice(start[i], stop[i])
-        shift, h = x[near] - x[i], radius[i]
-        distance = np.abs(shift)
+def _add_knots(sums: np.ndarray, knots: np.ndarray, first: np.ndarray, past: np.ndarray, x: np.ndarray, h: np.ndarray) -> None:
+    """Adds the knots ``first`` up to ``past`` of every fit, one by one."""
+    for i in range(int((past - first).max(initial=0))):
+        fits = np.flatnonzero(first + i < past)
+        knot = knots[first[fits] + i]
         with np.errstate(divide="ignore", invalid="ignore"):
-            weight = (1.0 - (distance / h) ** 3) ** 3
-        weight = np.where(distance <= 0.001 * h, 1.0, np.where(distance > 0.999 * h, 0.0, weight))
-        s, t = weight * weights[near], weight * values[near]
-        a0, a1, a2 = s.sum(), s @ shift, s @ (shift * shift)
-        b0, b1 = t.sum(), t @ shift
-        spread = a0 * a2 - a1 * a1
-        if a0 <= 0.0:
-            fits[at] = np.nan
-        elif spread > 1e-12 * a0 * a2:
-            fits[at] = (a2 * b0 - a1 * b1) / spread
+            away = np.where(h[fits] > 0, (knot["x"] - x[fits]) / h[fits], 0.0)
+        distance = np.abs(away)
+        weight = np.where(distance <= INNER, 1.0, np.where(distance > OUTER, 0.0, (1.0 - distance**3) ** 3))
+        by_power = np.stack([weight, weight * away, weight * away * away], axis=1)
+        sums[0, fits] += by_power * knot["s"][:, None]
+        sums[1, fits] += by_power * knot["t"][:, None]
+
+
+# --- one block ------------------------------------------------------------------------------
+
+
+def _radius(x: np.ndarray, place: np.ndarray, starts: np.ndarray, ends: np.ndarray, upto: np.ndarray, k: int) -> np.ndarray:
+    """Distance from each x to its k-th nearest row, rows of a knot counting at the knot.
+
+    ``place`` are the knots where a neighbourhood can end. ``starts`` and ``ends`` are these knots and the
+    blocks between them, ``upto`` the rows of the group up to each end; no neighbourhood ends inside
+    such a block, so one that is cut is either left out or beyond what is asked.
+    """
+    before = np.append(0.0, upto)
+
+    def within(distance: np.ndarray) -> np.ndarray:
+        # the knot that a distance comes from is within it, whatever the rounding
+        slack = 4 * np.finfo(float).eps * (np.abs(x) + distance)
+        low, high = x - distance - slack, x + distance + slack
+        return before[np.searchsorted(ends, high, "right")] - before[np.searchsorted(starts, low, "left")]
+
+    best = np.full(len(x), np.inf)
+    for side in (1, -1):
+        # distances to the knots on one side grow: find the first with enough rows within it
+        inward = np.searchsorted(place, x, "left" if side > 0 else "right")
+        low = np.zeros(len(x), np.int64)
+        high = len(place) - inward if side > 0 else inward
+        size = high.copy()
+
+        def away(step: np.ndarray) -> np.ndarray:
+            at = inward + step if side > 0 else inward - 1 - step
+            return np.abs(place[np.clip(at, 0, len(place) - 1)] - x)
+
+        while (low < high).any():
+            middle = (low + high) // 2
+            enough = within(away(middle)) >= k
+            open_ = low < high
+            high = np.where(open_ & enough, middle, high)
+            low = np.where(open_ & ~enough, middle + 1, low)
+        best = np.where(low < size, np.minimum(best, away(low)), best)
+    return best
+
+
+def _block_fits(own: np.ndarray, raw: dict[int, np.ndarray], others: dict[int, tuple[float, Stretches]], k: int) -> np.ndarray:
+    """Weighted line through the neighbourhood of each own knot, evaluated there; NaN without any weight.
+
+    ``raw`` are the blocks with single knots at hand (the own one among them), ``others`` rows and
+    moments of the rest, both by block number.
+    """
+    blocks = sorted([*raw, *others])
+    knots = np.concatenate([raw[b] for b in blocks if b in raw])
+    # a leaf never crosses the end of a block
+    starts, parts, upto, first, last, seen, held = [], [], [], [], [], 0.0, 0
+    for b in blocks:
+        if b in raw:
+            leaves = np.arange(0, len(raw[b]), LEAF_KNOTS)
+            parts.append(Stretches.of_knots(raw[b], leaves))
+            starts.append(held + leaves)
+            upto.append(seen + np.cumsum(raw[b]["n"]))
+            first.append(raw[b]["x"])
+            last.append(raw[b]["x"])
+            held += len(raw[b])
         else:
-            fits[at] = b0 / a0
-    return fits
-
-
-def _fit_knots(knots: DataFrame, keys: Sequence[str]) -> DataFrame:
-    """Local fit per knot; null where no weight is left around it."""
-    group = [*keys, "frac"]
-    order = Window.partitionBy(*group).orderBy("x")
-    whole = Window.partitionBy(*group)
-    placed = (
-        knots.withColumn("past", F.sum("n").over(order.rowsBetween(Window.unboundedPreceding, 0)))
-        .withColumn("total", F.sum("n").over(whole))
-        .withColumn("most", F.max("n").over(whole))
-        .withColumn("chunks", F.ceil(F.count("*").over(whole) / CHUNK_KNOTS))
-        .withColumn("size", F.ceil(F.col("total") / F.col("chunks")))
-        .withColumn("k", F.greatest(F.floor(F.col("frac") * F.col("total") + 1e-10), F.lit(1)))
-        .withColumn("home", F.expr("(past - n) div size"))
-    )
-    # chunks that a knot's rows can reach: at most k rows, and the rows of one tied knot, away
-    reach = placed.withColumn(
-        "chunk",
-        F.expr("explode(sequence(greatest(0, (past - n - k - most) div size - 1), least(chunks - 1, (past + k) div size)))"),
-    ).withColumn("own", F.col("home") == F.col("chunk"))
-    fields = [f for f in knots.schema.fields if f.name in [*group, "x"]]
-
-    def fit(part: pd.DataFrame) -> pd.DataFrame:
-        part = part.sort_values("x", kind="stable")
-        fits = _local_fits(part, int(part["k"].iloc[0]))
-        return part.loc[part["own"], [f.name for f in fields]].assign(fit=fits)
-
-    columns = [*group, "x", "n", "s", "t", "k", "chunk", "own"]
-    schema = T.StructType([*fields, T.StructField("fit", T.DoubleType())])
-    fitted = dealt(reach.select(*columns), *group, "chunk").groupBy(*group, "chunk").applyInPandas(fit, schema)
-    return fitted.withColumn("fit", F.nanvl("fit", F.lit(None).cast("double")))
-
-
-def _knot_sums(rows: DataFrame, keys: Sequence[str], weight: Column) -> DataFrame:
-    return rows.groupBy(*keys, "frac", "x").agg(
-        F.count("*").alias("n"), F.sum(weight).alias("s"), F.sum(weight * F.col("y")).alias("t")
-    )
+            rows, stretch = others[b]
+            parts.append(stretch)
+            starts.append(np.array([-1]))
+            upto.append(np.array([seen + rows]))
+            first.append(stretch.low)
+            last.append(stretch.high)
+        seen = upto[-1][-1]
+    items = Stretches(*[np.concatenate([getattr(p, c) for p in parts]) for c in ("low", "high")], np.concatenate([p.moments for p in parts], axis=1))
+    start = np.concatenate(starts)  # first knot of a leaf, -1 for a block without knots
+    size = np.zeros(len(start), np.int64)
+    leaf = np.flatnonzero(start >= 0)
+    size[leaf] = np.diff(np.append(start[leaf], len(knots)))
+    x = own["x"]
+    h = _radius(x, knots["x"], np.concatenate(first), np.concatenate(last), np.concatenate(upto), k)
+    sums = np.zeros((2, len(x), 3))
+    with np.errstate(divide="ignore", invalid="ignore", over="ignore"):
+        home = np.searchsorted(items.low, x, "right") - 1
+        left = np.minimum(np.searchsorted(items.low, x - OUTER * h, "left"), home)
+        right = np.maximum(np.searchsorted(items.high, x + OUTER * h, "right"), home + 1)
+        _add_stretches(sums, items, left, home, x, h, -1)
+        _add_stretches(sums, items, home + 1, right, x, h, 1)
+        # the leaf of the knot itself, and those that the neighbourhood ends in
+        for at, real in ((home, np.full(len(x), True)), (left - 1, left > 0), (right, right < len(start))):
+            at = np.clip(at, 0, len(start) - 1)
+            first = np.maximum(start[at], 0)
+            _add_knots(sums, knots, first, np.where(real, first + size[at], first), x, h)
+        (a0, a1, a2), (b0, b1, _) = sums[0].T, sums[1].T
+        spread = a0 * a2 - a1 * a1
+        fits = np.where(spread > 1e-12 * a0 * a2, (a2 * b0 - a1 * b1) / spread, b0 / a0)
+    return np.where(a0 > 0, fits, np.nan)
+
+
+# --- blocks of a group ----------------------------------------------------------------------
+
+
+def _plan(blocks: pd.DataFrame, k: int) -> list[tuple[int, int]]:
+    """Pairs (block, block where one of its neighbourhoods can end), from ranges and row counts alone.
+
+    The ends of a neighbourhood move with its knot, so those of the outermost knots enclose the others;
+    the radius there is enclosed by the rows of the blocks wholly inside, and of those only touched.
+    """
+    low, high = blocks["low"].to_numpy(), blocks["high"].to_numpy()
+    through = np.append(0, np.cumsum(blocks["rows"].to_numpy()))
+    span = high[-1] - low[0]
+
+    def enclosed(x: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        def bisect(count) -> tuple[np.ndarray, np.ndarray]:
+            few, enough = np.full(len(x), -1.0), np.full(len(x), span)
+            for _ in range(64):
+                middle = (few + enough) / 2
+                reached = count(middle) >= k
+                few, enough = np.where(reached, few, middle), np.where(reached, middle, enough)
+            return few, enough
+
+        inside = bisect(lambda d: through[np.searchsorted(high, x + d, "right")] - through[np.searchsorted(low, x - d, "left")])
+        touched = bisect(lambda d: through[np.searchsorted(low, x + d, "right")] - through[np.searchsorted(high, x - d, "left")])
+        return np.maximum(touched[0], 0.0), inside[1]
+
+    least_low, most_low = enclosed(low)
+    least_high, most_high = enclosed(high)
+    margin = 1e-9 * span
+    zones = [
+        (low - most_low - margin, high - OUTER * least_high + margin),
+        (low + OUTER * least_low - margin, high + most_high + margin),
+    ]
+    number = blocks["block"].to_numpy()
+    found = {(int(b), int(b)) for b in number}
+    for first, last in zones:
+        from_, past = np.searchsorted(high, first, "left"), np.searchsorted(low, last, "right")
+        for b, i, j in zip(number.tolist(), from_.tolist(), past.tolist()):
+            found.update((b, int(s)) for s in number[i:j])
+    return sorted(found)
+
+
+def _same(columns: Sequence[str], left: str, right: str) -> Column:
+    return F.expr(" and ".join(f"{left}.`{c}` <=> {right}.`{c}`" for c in columns))
+
+
+class _Smoother:
+    """The knots of all groups in blocks, and the jobs that fit them."""
+
+    def __init__(self, rows: DataFrame, keys: Sequence[str], spans: Sequence[float]):
+        self.keys, self.group = list(keys), [*keys, "frac"]
+        counted = rows.groupBy(*keys, "x").agg(F.count("*").alias("n"))
+        numbered = with_row_index(counted, ["x"], keys, "__place")
+        sizes = numbered.groupBy(*keys).agg(
+            F.sum("n").alias("__rows"), F.greatest(F.ceil(F.sqrt(F.count("*"))), F.lit(BLOCK_KNOTS)).alias("__size")
+        )
+        knots = stage(attach(numbered, sizes, keys).withColumn("block", F.expr("__place div __size")), "lowess-knots")
+        # the number of a row's block goes with it through all passes
+        self.rows = stage(attach(rows, knots.select(*keys, "x", "block"), [*keys, "x"]), "lowess-rows")
+        layout = knots.groupBy(*keys, "block").agg(F.min("x").alias("low"), F.max("x").alias("high"), F.sum("n").alias("rows"))
+        fields = [f for f in rows.schema.fields if f.name in keys]
+        wide = [T.StructField("frac", T.DoubleType())] + [T.StructField(c, T.LongType()) for c in ("block", "source", "k")]
+        spans = [float(s) for s in spans]
+
+        def plan(blocks: pd.DataFrame) -> pd.DataFrame:
+            blocks = blocks.sort_values("block")
+            total, found = int(blocks["rows"].sum()), []
+            for frac in spans:
+                k = max(int(np.floor(frac * total + 1e-10)), 1)
+                found += [(frac, b, s, k) for b, s in _plan(blocks, min(k, total))]
+            table = pd.DataFrame(found, columns=["frac", "block", "source", "k"])
+            for place, key in enumerate(keys):
+                table.insert(place, key, [blocks[key].iloc[0]] * len(table))
+            return table
+
+        self.reach = stage(layout.groupBy(*keys).applyInPandas(plan, T.StructType([*fields, *wide])), "lowess-reach")
+        self.fields = [*fields, wide[0]]
+        self.spans = F.explode(F.array(*[F.lit(s) for s in spans])).alias("frac")
+
+    def spread(self) -> DataFrame:
+        """All rows once for each span; multiplied only while they are read."""
+        return self.rows.select("*", self.spans)
+
+    def fit(self, rows: DataFrame, weight: Column) -> DataFrame:
+        """``fit`` per knot from the weighted rows; null where no weight is left around it."""
+        group, fields = self.group, self.fields
+        sums = rows.groupBy(*group, "block", "x").agg(
+            F.count("*").cast("double").alias("n"), F.sum(weight).alias("s"), F.sum(weight * F.col("y")).alias("t")
+        )
+        listed = sums.groupBy(*group, "block").agg(F.sort_array(F.collect_list(F.struct("x", "n", "s", "t"))).alias("knot"))
+
+        def pack(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+            for batch in batches:
+                knots, moments = [], []
+                for cell in batch.column("knot"):
+                    table = np.empty(len(cell.values), KNOT)
+                    for c in KNOT.names:
+                        table[c] = cell.values.field(c).to_numpy(zero_copy_only=False)
+                    own = Stretches.of_knots(table, np.zeros(1, np.int64))
+                    ends = np.array([table["n"].sum(), own.low[0], own.high[0]])
+                    knots.append(table.tobytes())
+                    moments.append(np.concatenate([ends, own.moments.ravel()]).tobytes())
+                kept = [batch.column(c) for c in [*group, "block"]]
+                columns = [pa.array(knots, pa.binary()), pa.array(moments, pa.binary())]
+                yield pa.RecordBatch.from_arrays([*kept, *columns], [*group, "block", "knots", "moments"])
+
+        binary = [T.StructField(c, T.BinaryType()) for c in ("knots", "moments")]
+        packed = listed.mapInArrow(pack, T.StructType([*fields, T.StructField("block", T.LongType()), *binary]))
+        # one short line for each block of a group: about the square root of its knots
+        lines = packed.groupBy(*group).agg(F.collect_list(F.struct("block", "moments")).alias("lines"))
+        near = self.reach.alias("r").join(
+            packed.select(*group, F.col("block").alias("source"), "knots").alias("p"), _same([*group, "source"], "r", "p")
+        )
+        near = near.select("r.*", "p.knots").alias("n").join(
+            lines.alias("l"), _same(group, "n", "l") & F.expr("n.block = n.source"), "left"
+        )
+
+        def fit(part: pd.DataFrame) -> pd.DataFrame:
+            block = part["block"].iloc[0]
+            raw = {s: np.frombuffer(k, KNOT) for s, k in zip(part["source"], part["knots"])}
+            others = {}
+            for line in part.loc[part["source"] == block, "lines"].iloc[0]:
+                if line["block"] not in raw:
+                    values = np.frombuffer(line["moments"], float)
+                    others[line["block"]] = values[0], Stretches(values[1:2], values[2:3], values[3:].reshape(2, 1, POWERS))
+            found = pd.DataFrame({"x": raw[block]["x"], "fit": _block_fits(raw[block], raw, others, int(part["k"].iloc[0]))})
+            for place, f in enumerate(fields):
+                found.insert(place, f.name, [part[f.name].iloc[0]] * len(found))
+            return found.assign(block=block)[schema.names]
+
+        schema = T.StructType([*fields, T.StructField("block", T.LongType()), *[T.StructField(c, T.DoubleType()) for c in ("x", "fit")]])
+        fitted = dealt(near.select("n.*", "l.lines"), *group, "block").groupBy(*group, "block").applyInPandas(fit, schema)
+        return fitted.withColumn("fit", F.nanvl("fit", F.lit(None).cast("double")))
+
+    def scored(self, fits: DataFrame) -> DataFrame:
+        return attach(self.spread(), fits, [*self.group, "block", "x"]).withColumn("fitted", F.coalesce("fit", "y"))
 
 
 def lowess_smooth(
@@ -120,29 +373,22 @@ def lowess_smooth(
     known = rows.filter(F.col("x").isNotNull() & F.col("y").isNotNull()).withColumns(
         {"x": F.col("x").cast("double"), "y": F.col("y").cast("double")}
     )
-    # written once; the spans multiply the rows only while a pass reads them
-    spread = stage(known, "lowess-rows").withColumn("frac", F.explode(F.array(*[F.lit(float(s)) for s in spans])))
-    group = [*keys, "frac"]
-
-    def scored(fits: DataFrame) -> DataFrame:
-        return attach(spread, fits, [*group, "x"]).withColumn("fitted", F.coalesce("fit", "y"))
-
-    largest = stage(
-        spread.groupBy(*group).agg(F.max(F.abs("y")).alias("largest")).selectExpr(*[f"{c} as __{c}" for c in group], "largest"), "lowess-size"
-    )
-    same_group = F.expr(" and ".join(f"{c} <=> __{c}" for c in group))
-    fits = stage(_fit_knots(_knot_sums(spread, keys, F.lit(1.0)), keys), "lowess-fit")
+    smoother = _Smoother(known, keys, spans)
+    group = smoother.group
+    fits = stage(smoother.fit(smoother.spread(), F.lit(1.0)), "lowess-fit")
     for _ in range(iterations):
-        errors = stage(
-            scored(fits).select(*group, "x", "y", F.abs(F.col("y") - F.col("fitted")).alias("error")), "lowess-errors"
-        )
-        scale = exact_median(errors, group, "error").join(largest, same_group).selectExpr(
-            *group, f"case when median > {ROUNDING!r}D * largest then 6 * median end as scale"
+        errors = smoother.scored(fits).withColumn("error", F.abs(F.col("y") - F.col("fitted")))
+        largest = smoother.spread().groupBy(*group).agg(F.max(F.abs("y")).alias("largest"))
+        median = exact_median(errors, group, "error")
+        scale = stage(
+            median.alias("m").join(largest.alias("g"), _same(group, "m", "g")).selectExpr(
+                *[f"m.`{c}`" for c in group], f"case when median > {ROUNDING!r}D * largest then 6 * median end as scale"
+            ),
+            "lowess-scale",
         )
         u = F.col("error") / F.col("scale")
-        weight = F.when(u > 0.999, 0.0).when(u < 0.001, 1.0).otherwise((1 - u * u) * (1 - u * u))
+        weight = F.when(u > OUTER, 0.0).when(u < INNER, 1.0).otherwise((1 - u * u) * (1 - u * u))
         weighted = attach(errors, scale.filter("scale is not null"), group).withColumn("robust", weight)
         settled = attach(fits, scale.filter("scale is null"), group, salts=1).drop("scale")
-        refit = _fit_knots(_knot_sums(weighted, keys, F.col("robust")), keys)
-        fits = stage(refit.unionByName(settled), "lowess-fit")
-    return scored(fits).select(*rows.columns, "frac", "fitted")
+        fits = stage(smoother.fit(weighted, F.col("robust")).unionByName(settled), "lowess-fit")
+    return smoother.scored(fits).select(*rows.columns, "frac", "fitted")

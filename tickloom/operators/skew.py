@@ -26,7 +26,8 @@ def dealt(df: DataFrame, *keys: str) -> DataFrame:
     return df.repartition(max(partitions, 2 * df.sparkSession.sparkContext.defaultParallelism), *keys)
 
 
-def _broadcast_limit(df: DataFrame) -> int:
+def broadcast_limit(df: DataFrame) -> int:
+    """Spark's own broadcast threshold in bytes."""
     text = df.sparkSession.conf.get("spark.sql.autoBroadcastJoinThreshold").strip().lower()
     units = {"k": 1 << 10, "m": 1 << 20, "g": 1 << 30}
     digits = text.rstrip("b")
@@ -55,7 +56,7 @@ def attach(
     added = [f"`{c}`" for c in stats.columns if c not in keys]
     same_key = " and ".join(f"`{k}` <=> `__{k}`" for k in keys)
     renamed = [f"`{k}` as `__{k}`" for k in keys]
-    if salts == 1 or _planned_bytes(stats) <= _broadcast_limit(rows):
+    if salts == 1 or _planned_bytes(stats) <= broadcast_limit(rows):
         joined = rows.join(stats.selectExpr(*renamed, *added), F.expr(same_key), how)
         return joined.selectExpr(*[f"`{c}`" for c in rows.columns], *added)
     right = stats.selectExpr(*renamed, *added, f"explode(sequence(0, {salts - 1})) as __salt_r").hint("merge")

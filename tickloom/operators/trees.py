@@ -1,137 +1,436 @@
-"""Boosted regression trees with an L1 penalty on the leaves, for all groups, penalties and folds at once.
+"""Boosted regression trees for all groups, settings and folds at once, grown level by level as Spark jobs.
 
 Features are cut into quantile bins, and the rows of one group, fold and bin combination are summed
-into a *cell* first: they take the same path through every tree, so the sums are all that is needed.
-Spark reads the data once for the cuts and once for the cells. A group has at most ``MAX_CELLS`` bin
-combinations in each fold, whatever its rows: with many features the bins become fewer. Each group and
-held-out fold is then one task that boosts the trees of all penalties over the cells, level by level
-(second-order gain and leaf weights as in Chen and Guestrin 2016, squared error, so the second
-derivative is the row count).
+into a *cell*: they take the same path through every tree. Cells are dealt into *blocks* of bounded
+size, each with the running predictions of every setting, so a group with a large share of the rows
+covers many blocks. A tree is one job: at each level every task adds up the gradients of its blocks by
+(setting, node, feature, bin), the sums of a group meet and choose the splits, and these go back to the
+blocks; the last step adds the leaves to the predictions, which are written once a tree. The model
+never passes through the driver. Groups whose cells fill no more than one block have nothing to
+exchange: their sums are whole where they are, and the same steps follow each other in one task.
+
+Splits follow the second-order gain and leaf weights of Chen and Guestrin (2016) with squared error, so
+the second derivative is the row count. A setting is a leaf penalty and a least gain.
 """
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Iterator, Sequence
+from dataclasses import dataclass
 
 import numpy as np
-import pandas as pd
-from pyspark.ml.evaluation import RegressionEvaluator
-from pyspark.ml.regression import GBTRegressor
-from pyspark.ml.tuning import CrossValidator, ParamGridBuilder
-from pyspark.sql import DataFrame, functions as F, types as T
+import pyarrow as pa
+from pyspark.sql import Column, DataFrame, functions as F, types as T
 
-from tickloom.operators.features import assemble
 from tickloom.operators.linear import PENALTIES
-from tickloom.operators.skew import attach, dealt
-from tickloom.session import stage
+from tickloom.operators.skew import attach, broadcast_limit, dealt
+from tickloom.session import stage, stage_instead
 
-NO_FOLD = -1  # the configuration that trains on every fold
+NO_FOLD = -1  # trains on every fold
 MIN_GAIN = 1e-6
-MAX_CELLS = 1 << 20  # most bin combinations of a group
-AT_ONCE = 1 << 21  # cells times penalties boosted together
+MIN_GAINS = (0.0, 10.0, 100.0, 1000.0, 10_000.0)
+BLOCK_CELLS = 4096
+TASK_BYTES = 1 << 26  # sums that a task holds before it passes them on
+
+
+@dataclass(frozen=True)
+class Growth:
+    """Settings that are boosted together, and the shape of their trees."""
+
+    alphas: tuple[float, ...]
+    gains: tuple[float, ...]
+    features: int
+    bins: int
+    depth: int
+    rate: float
+    ridge: float
+
+    @property
+    def nodes(self) -> int:
+        return (1 << self.depth) - 1
+
+    @property
+    def tree_bytes(self) -> int:
+        return len(self.alphas) * (4 * self.nodes + 8 * (2 * self.nodes + 1))
+
+
+class Tree:
+    """One tree of every setting: arrays (setting, node), nodes numbered from the root, children of i at 2i + 1 and 2i + 2."""
+
+    def __init__(self, growth: Growth, octets: bytes = b""):
+        self.growth = growth
+        shape = len(growth.alphas), growth.nodes
+        cells = shape[0] * shape[1]
+        if octets:
+            splits = np.frombuffer(octets, np.int16, 2 * cells).reshape(2, *shape).copy()
+            self.feature, self.cut = splits
+            self.value = np.frombuffer(octets, float, -1, 4 * cells).reshape(shape[0], -1).copy()
+        else:
+            self.feature, self.cut = np.full(shape, -1, np.int16), np.zeros(shape, np.int16)
+            self.value = np.zeros((shape[0], 2 * growth.nodes + 1))
+
+    def to_bytes(self) -> bytes:
+        return self.feature.tobytes() + self.cut.tobytes() + self.value.tobytes()
+
+    def split(self, level: int, sums: np.ndarray) -> None:
+        """Best split of every node of a level, and the values of its children, from the sums of a whole group."""
+        growth = self.growth
+        alpha = np.array(growth.alphas)[:, None]
+        g, h = sums.cumsum(axis=-1)
+        whole_g, whole_h = g[0, :, :, -1], h[0, :, :, -1]
+
+        def leaf(gradient: np.ndarray, rows: np.ndarray) -> np.ndarray:
+            return -growth.rate * _shrunk(gradient, alpha) / (rows + growth.ridge)
+
+        def score(gradient: np.ndarray, rows: np.ndarray) -> np.ndarray:
+            return _shrunk(gradient, alpha[:, :, None]) ** 2 / (rows + growth.ridge)
+
+        first = (1 << level) - 1
+        if level == 0:
+            self.value[:, :1] = leaf(whole_g, whole_h)
+        total_g, total_h = whole_g[:, :, None], whole_h[:, :, None]
+        gain = np.round(score(g, h) + score(total_g - g, total_h - h) - score(total_g, total_h), 9)
+        gain[(h >= total_h) | (h <= 0)] = -np.inf
+        # (setting, node, feature and bin): the first of equal gains is the first feature, then the least cut
+        flat = np.moveaxis(gain, 0, 2).reshape(*whole_g.shape, -1)
+        best = flat.argmax(axis=-1)
+        value = np.take_along_axis(flat, best[:, :, None], -1)[:, :, 0]
+        worth = value > MIN_GAIN + np.array(growth.gains)[:, None]
+        feature, cut = best // growth.bins, best % growth.bins
+        each, node = np.arange(len(alpha))[:, None], np.arange(1 << level)
+        left_g, left_h = g[feature, each, node, cut], h[feature, each, node, cut]
+        here = slice(first, first + (1 << level))
+        self.feature[:, here] = np.where(worth, feature, -1)
+        self.cut[:, here] = cut
+        children = 2 * (first + node) + 1
+        self.value[:, children] = np.where(worth, leaf(left_g, left_h), 0.0)
+        self.value[:, children + 1] = np.where(worth, leaf(whole_g - left_g, whole_h - left_h), 0.0)
+
+    def route(self, bins: np.ndarray, levels: int) -> np.ndarray:
+        """Node (setting, cell) after so many levels; a cell stays where no split is."""
+        each, cells = np.arange(len(self.feature))[:, None], np.arange(bins.shape[1])
+        node = np.zeros((len(self.feature), bins.shape[1]), np.int64)
+        for _ in range(levels):
+            at = np.minimum(node, self.feature.shape[1] - 1)
+            feature = self.feature[each, at]
+            high = bins[feature, cells] > self.cut[each, at]
+            node = np.where((feature >= 0) & (at == node), 2 * node + 1 + high, node)
+        return node
+
+
+def _shrunk(gradient: np.ndarray, alpha: np.ndarray) -> np.ndarray:
+    return np.sign(gradient) * np.maximum(np.abs(gradient) - alpha, 0.0)
+
+
+class Block:
+    """Cells of one group and held-out fold."""
+
+    def __init__(self, growth: Growth, row: dict):
+        self.bins = np.frombuffer(row["bins"], np.int16).reshape(growth.features, -1)
+        self.n, self.sy, self.syy = np.frombuffer(row["sums"], float).reshape(3, -1)
+        fold = np.frombuffer(row["folds"], np.int32)
+        self.test, self.in_fold = fold == row["test_fold"], fold == row["held"]
+        self.train = ~self.test & ~self.in_fold
+        self.pred = np.frombuffer(row["pred"], float).reshape(len(growth.alphas), -1)
+
+    def sums(self, growth: Growth, tree: Tree, level: int) -> np.ndarray:
+        """Gradients and rows by (feature, setting, node of the level, bin)."""
+        nodes, width = 1 << level, growth.bins
+        settings = len(growth.alphas)
+        node = tree.route(self.bins, level) - (nodes - 1)
+        open_ = (node >= 0) & self.train
+        setting, cell = np.nonzero(open_)
+        slot = (setting * nodes + node[open_]) * width
+        rows = self.n[cell]
+        gradient = rows * self.pred[open_] - self.sy[cell]
+        size = settings * nodes * width
+        return np.stack(
+            [[np.bincount(slot + b[cell], weights=w, minlength=size) for b in self.bins] for w in (gradient, rows)], dtype=float, casting="unsafe"
+        ).reshape(2, growth.features, settings, nodes, width)
+
+    def add(self, growth: Growth, tree: Tree) -> None:
+        """The leaves of a whole tree to the predictions."""
+        self.pred = self.pred + np.take_along_axis(tree.value, tree.route(self.bins, growth.depth), 1)
 
 
-def _cells(rows: DataFrame, keys: Sequence[str], features: Sequence[str], label: str, bins: int) -> DataFrame:
-    """Sums per (key, is_test, fold, bin combination)."""
+# --- cells and blocks -----------------------------------------------------------------------
+
+
+def binned_rows(rows: DataFrame, keys: Sequence[str], features: Sequence[str], label: str, bins: int) -> DataFrame:
+    """Complete rows with ``bin``: the place of every feature among the quantiles of the group's training rows."""
     known = rows.dropna(subset=[*features, label])
     grid = [i / bins for i in range(1, bins)]
     cuts = known.filter("not is_test").groupBy(*keys).agg(
         *[F.array_distinct(F.percentile_approx(f, grid, 10_000)).alias(f"cuts_{i}") for i, f in enumerate(features)]
     )
-    binned = attach(known.select(*keys, "is_test", "fold", *features, label), stage(cuts, "tree-cuts"), keys)
     places = ", ".join(f"size(filter(cuts_{i}, c -> c < `{f}`))" for i, f in enumerate(features))
-    return binned.selectExpr(*keys, "is_test", "fold", f"array({places}) as bin", f"`{label}` as y").groupBy(
-        *keys, "is_test", "fold", "bin"
-    ).agg(F.count("*").alias("n"), F.sum("y").alias("sy"), F.sum(F.col("y") * F.col("y")).alias("syy"))
+    joined = attach(known, stage(cuts, "tree-cuts"), keys)
+    return joined.selectExpr(*[f"`{c}`" for c in rows.columns], f"array({places}) as bin")
 
 
-def _shrunk(gradient: np.ndarray, alpha: np.ndarray) -> np.ndarray:
-    return np.sign(gradient) * np.maximum(np.abs(gradient) - alpha, 0.0)
+def _cells(binned: DataFrame, keys: Sequence[str], label: str, folds: int) -> DataFrame:
+    """Sums per (key, fold, bin combination); test rows have the fold after the last."""
+    y = F.col(f"`{label}`")
+    fold = F.when(F.col("is_test"), folds).otherwise(F.col("fold")).cast("int")
+    return binned.groupBy(*keys, fold.alias("fold"), "bin").agg(
+        F.count("*").alias("n"), F.sum(y).alias("sy"), F.sum(y * y).alias("syy")
+    )
+
+
+def _same(left: DataFrame, right: DataFrame, columns: Sequence[str]) -> Column:
+    condition = F.lit(True)
+    for c in columns:
+        condition = condition & left[c].eqNullSafe(right[c])
+    return condition
+
+
+def _blocks(cells: DataFrame, keys: Sequence[str], folds: int, growth: Growth) -> DataFrame:
+    """Blocks for every held-out fold, all predictions at the mean of the training rows."""
+    sizes = cells.groupBy(*keys).agg(F.ceil(F.count("*") / BLOCK_CELLS).alias("blocks"))
+    by_hash = attach(cells, sizes, keys).withColumn("block", F.pmod(F.xxhash64("fold", "bin"), F.col("blocks")))
+    listed = by_hash.groupBy(*keys, "block", "blocks").agg(
+        F.sort_array(F.collect_list(F.struct("fold", "bin", "n", "sy", "syy"))).alias("cell")
+    )
+    held = F.explode(F.array(*[F.lit(i) for i in (NO_FOLD, *range(folds))])).alias("held")
+    sums = cells.filter(F.col("fold") < folds).groupBy(*keys, "fold").agg(F.sum("n").alias("n"), F.sum("sy").alias("sy"))
+    means = (
+        sums.select("*", held)
+        .groupBy(*keys, "held")
+        .agg(F.expr("sum(if(fold <> held, sy, 0)) / sum(if(fold <> held, n, 0))").alias("mean"))
+    )
+    spread = stage(listed, "tree-blocks").select("*", held)
+    means = stage(means, "tree-means")
+    started = spread.join(means, _same(spread, means, [*keys, "held"]), "left").select(
+        *[spread[c] for c in [*keys, "held", "block", "blocks", "cell"]], F.coalesce("mean", F.lit(0.0)).alias("mean")
+    )
+    of_keys = [f for f in cells.schema.fields if f.name in keys]
+    settings = len(growth.alphas)
+
+    def pack(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            packed = []
+            for cell, mean in zip(batch.column("cell"), batch.column("mean").to_pylist()):
+                values = cell.values
+                bins = values.field("bin").flatten().to_numpy(zero_copy_only=False).reshape(len(values), -1)
+                sums = [values.field(c).to_numpy(zero_copy_only=False).astype(float) for c in ("n", "sy", "syy")]
+                packed.append((
+                    np.ascontiguousarray(bins.T, np.int16).tobytes(),
+                    values.field("fold").to_numpy(zero_copy_only=False).astype(np.int32).tobytes(),
+                    np.stack(sums).tobytes(),
+                    np.full((settings, len(values)), mean).tobytes(),
+                ))
+            columns = [pa.array(c, pa.binary()) for c in zip(*packed)] if packed else [pa.array([], pa.binary())] * 4
+            kept = [*keys, "held", "block", "blocks"]
+            yield pa.RecordBatch.from_arrays([*(batch.column(c) for c in kept), *columns], [*kept, "bins", "folds", "sums", "pred"])
+
+    binary = [T.StructField(c, T.BinaryType()) for c in ("bins", "folds", "sums", "pred")]
+    numbers = [T.StructField("held", T.IntegerType()), T.StructField("block", T.LongType()), T.StructField("blocks", T.LongType())]
+    schema = T.StructType([*of_keys, *numbers, *binary])
+    return started.repartition(*keys, "held", "block").mapInArrow(pack, schema)
+
+
+# --- boosting -------------------------------------------------------------------------------
+
+
+def _with_pred(batch: pa.RecordBatch, preds: list[bytes]) -> pa.RecordBatch:
+    names = [c for c in batch.schema.names if c not in ("tree", "pred")]
+    return pa.RecordBatch.from_arrays([*(batch.column(c) for c in names), pa.array(preds, pa.binary())], [*names, "pred"])
+
+
+class Booster:
+    """The blocks of all groups and the jobs that grow trees on them."""
+
+    def __init__(self, blocks: DataFrame, keys: Sequence[str], folds: int, growth: Growth):
+        self.group, self.folds, self.growth = [*keys, "held"], folds, growth
+        self.fields = [f for f in blocks.schema.fields if f.name in self.group]
+        started = stage(blocks, "tree-start")
+        self.alone = started.filter("blocks = 1")
+        self.blocks, self.path = started.filter("blocks > 1"), None
+        self.groups = stage(self.blocks.select(*self.group).distinct(), "tree-groups")
+        self.many = self.groups.count()
+        self.small = self.many * growth.tree_bytes <= broadcast_limit(blocks)
+
+    def grow(self, trees: int) -> None:
+        for _ in range(trees if self.many else 0):
+            self.add_tree()
+        self.blocks = self.blocks.unionByName(stage(self._grown_alone(trees), "tree-state"))
+
+    def _grown_alone(self, trees: int) -> DataFrame:
+        """All trees of the groups that are one block."""
+        growth, folds = self.growth, self.folds
+
+        def grow(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+            for batch in batches:
+                preds = []
+                for row in batch.to_pylist():
+                    block = Block(growth, {**row, "test_fold": folds})
+                    for _ in range(trees):
+                        tree = Tree(growth)
+                        for level in range(growth.depth):
+                            tree.split(level, block.sums(growth, tree, level))
+                        block.add(growth, tree)
+                    preds.append(block.pred.tobytes())
+                yield _with_pred(batch, preds)
 
+        return dealt(self.alone, *self.group).mapInArrow(grow, self.alone.schema)
 
-class _Forest:
-    """Boosting of several penalties at once over the cells of one group; arrays are (penalty, cell)."""
+    def _schema(self, *added: str) -> T.StructType:
+        return T.StructType([*self.fields, *[T.StructField(c, T.BinaryType()) for c in added]])
 
-    def __init__(self, bins: np.ndarray, n: np.ndarray, sy: np.ndarray, train: np.ndarray, alphas: np.ndarray, depth: int, rate: float, ridge: float):
-        self.bins, self.n, self.sy, self.train = bins, n, sy, train
-        self.alphas, self.depth, self.rate, self.ridge = alphas, depth, rate, ridge
-        self.width = int(bins.max(initial=0)) + 1
-        total = n[train].sum()
-        self.pred = np.full((len(alphas), len(n)), sy[train].sum() / total if total else 0.0)
+    def _with(self, trees: DataFrame) -> DataFrame:
+        """Blocks beside the trees of their group: broadcast where all trees together are known to be small."""
+        if not self.small:
+            return attach(self.blocks, trees, self.group)
+        rows = F.broadcast(trees)
+        return self.blocks.join(rows, _same(self.blocks, rows, self.group)).select(*[self.blocks[c] for c in self.blocks.columns], "tree")
 
-    def _leaf(self, gradient: np.ndarray, rows: np.ndarray, alpha: np.ndarray) -> np.ndarray:
-        return -self.rate * _shrunk(gradient, alpha) / (rows + self.ridge)
+    def _split(self, trees: DataFrame, level: int) -> DataFrame:
+        growth, group, folds = self.growth, self.group, self.folds
 
-    def _sums(self, slot: np.ndarray, nodes: int, feature: int, weights: np.ndarray, open_: np.ndarray) -> np.ndarray:
-        """Running sums over the bins of one feature, by penalty and node."""
-        size = len(self.alphas) * nodes * self.width
-        place = (slot * self.width + self.bins[None, :, feature])[open_]
-        held = np.bincount(place, weights=weights[open_], minlength=size)
-        return held.reshape(len(self.alphas), nodes, self.width).cumsum(axis=2)
+        def add_up(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+            held: dict[tuple, list] = {}
+
+            def passed_on() -> pa.RecordBatch:
+                rows = [(*key, tree, sums.tobytes()) for key, (tree, sums) in held.items()]
+                held.clear()
+                columns = list(zip(*rows)) if rows else [()] * (len(group) + 2)
+                names = [*group, "tree", "sums"]
+                return pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(columns, types)], names)
+
+            types = None
+            for batch in batches:
+                types = [*(batch.schema.field(c).type for c in group), pa.binary(), pa.binary()]
+                for row in batch.to_pylist():
+                    key = tuple(row[c] for c in group)
+                    block = Block(growth, {**row, "test_fold": folds})
+                    sums = block.sums(growth, Tree(growth, row["tree"]), level)
+                    if key in held:
+                        held[key][1] += sums
+                    else:
+                        held[key] = [row["tree"], sums]
+                    if len(held) * sums.nbytes > TASK_BYTES:
+                        yield passed_on()
+            if held:
+                yield passed_on()
+
+        def choose(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+            first, tree, total = None, b"", 0
+            for batch in batches:
+                first = batch if first is None else first
+                tree = batch.column("tree")[0].as_py()
+                for sums in batch.column("sums"):
+                    total = total + np.frombuffer(sums.as_py(), float)
+            grown = Tree(growth, tree)
+            shape = 2, growth.features, len(growth.alphas), 1 << level, growth.bins
+            grown.split(level, total.reshape(shape))
+            key = [first.column(c).slice(0, 1) for c in group]
+            yield pa.RecordBatch.from_arrays([*key, pa.array([grown.to_bytes()], pa.binary())], [*group, "tree"])
+
+        partial = self._with(trees).mapInArrow(add_up, self._schema("tree", "sums"))
+        return partial.groupBy(*group).applyInArrow(choose, self._schema("tree"))
 
     def add_tree(self) -> None:
-        alpha = self.alphas[:, None]
-        gradient = self.n * self.pred - self.sy
-        rows = np.broadcast_to(self.n.astype(float), gradient.shape)
-        root = self._leaf((gradient * self.train).sum(axis=1), self.n[self.train].sum(), self.alphas)
-        step = np.repeat(root[:, None], len(self.n), axis=1)
-        node = np.zeros(gradient.shape, np.int64)
-        alive = np.ones(gradient.shape, bool)
-        each = np.arange(len(self.alphas))[:, None]
-        for level in range(self.depth):
-            nodes = 1 << level
-            slot = each * nodes + node
-            open_ = alive & self.train
-            best = np.full((len(self.alphas), nodes), MIN_GAIN)
-            feature, cut = np.full(best.shape, -1), np.zeros(best.shape, np.int64)
-            left, right = np.zeros(best.shape), np.zeros(best.shape)
-            for f in range(self.bins.shape[1]):
-                g, h = (self._sums(slot, nodes, f, w, open_) for w in (gradient, rows))
-                whole_g, whole_h = g[:, :, -1:], h[:, :, -1:]
-
-                def score(a: np.ndarray, b: np.ndarray) -> np.ndarray:
-                    return _shrunk(a, alpha[:, :, None]) ** 2 / (b + self.ridge)
-
-                gain = np.round(score(g, h) + score(whole_g - g, whole_h - h) - score(whole_g, whole_h), 9)
-                gain[(h >= whole_h) | (h <= 0)] = -np.inf
-                at = gain.argmax(axis=2)[:, :, None]
-                value = np.take_along_axis(gain, at, 2)[:, :, 0]
-                better = value > best
-                left_g, left_h = (np.take_along_axis(x, at, 2)[:, :, 0] for x in (g, h))
-                best = np.where(better, value, best)
-                feature, cut = np.where(better, f, feature), np.where(better, at[:, :, 0], cut)
-                left = np.where(better, self._leaf(left_g, left_h, alpha), left)
-                right = np.where(better, self._leaf(whole_g[:, :, 0] - left_g, whole_h[:, :, 0] - left_h, alpha), right)
-            chosen = feature[each, node]
-            alive &= chosen >= 0
-            if not alive.any():
-                break
-            low = self.bins[np.arange(len(self.n)), np.maximum(chosen, 0)] <= cut[each, node]
-            step = np.where(alive, np.where(low, left[each, node], right[each, node]), step)
-            node = np.where(alive, 2 * node + ~low, node)
-            node[~alive] = 0
-        self.pred = self.pred + step
-
-
-def _boost(cells: pd.DataFrame, penalties: Sequence[float], trees: int, depth: int, rate: float, ridge: float) -> pd.DataFrame:
-    """Errors of every penalty for one group and held-out fold."""
-    cells = cells.sort_values(["is_test", "fold", "place"], kind="stable")  # sums do not depend on how rows arrive
-    bins = np.array(cells["bin"].tolist(), np.int64)
-    n, sy, syy = (cells[c].to_numpy(float) for c in ("n", "sy", "syy"))
-    test, held = cells["is_test"].to_numpy(bool), cells["held"].iloc[0]
-    in_fold = cells["fold"].to_numpy() == held
-    parts = {"held_mse": ~test & in_fold, "test_mse": test, "train_mse": ~test & ~in_fold}
-    found = []
-    together = max(1, AT_ONCE // len(cells))
-    for first in range(0, len(penalties), together):
-        alphas = np.array(penalties[first : first + together], float)
-        forest = _Forest(bins, n, sy, parts["train_mse"], alphas, depth, rate, ridge)
-        for _ in range(trees):
-            forest.add_tree()
-        loss = syy - 2 * forest.pred * sy + n * forest.pred**2
-        errors = {name: loss[:, part].sum(axis=1) / n[part].sum() if part.any() else np.full(len(alphas), np.nan) for name, part in parts.items()}
-        found.append(pd.DataFrame({"alpha": alphas, "held": held, **errors}))
-    return pd.concat(found)
+        """One job: a level is a sum over the blocks of every group, the end adds the leaves."""
+        growth, folds = self.growth, self.folds
+        trees = self.groups.withColumn("tree", F.lit(b""))
+        for level in range(growth.depth):
+            trees = self._split(trees, level)
+
+        def step(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+            for batch in batches:
+                preds = []
+                for row in batch.to_pylist():
+                    block = Block(growth, {**row, "test_fold": folds})
+                    block.add(growth, Tree(growth, row["tree"]))
+                    preds.append(block.pred.tobytes())
+                yield _with_pred(batch, preds)
+
+        self.blocks, self.path = stage_instead(self._with(trees).mapInArrow(step, self.blocks.schema), "tree-state", self.path)
+
+    def errors(self) -> DataFrame:
+        """Mean squared errors ``(group, setting, held_mse, test_mse, train_mse)`` of every setting."""
+        growth, group, folds = self.growth, self.group, self.folds
+        parts = ("in_fold", "test", "train")
+
+        def loss(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+            for batch in batches:
+                for i, row in enumerate(batch.to_pylist()):
+                    block = Block(growth, {**row, "test_fold": folds})
+                    by_cell = block.syy - 2 * block.pred * block.sy + block.n * block.pred**2
+                    columns = [pa.array(np.arange(len(growth.alphas)), pa.int32())]
+                    for part in parts:
+                        mask = getattr(block, part)
+                        columns += [pa.array(by_cell[:, mask].sum(axis=1)), pa.array(np.full(len(by_cell), block.n[mask].sum()))]
+                    key = [pa.array([row[c]] * len(by_cell), batch.schema.field(c).type) for c in group]
+                    yield pa.RecordBatch.from_arrays([*key, *columns], schema.names)
+
+        values = [T.StructField(f"{p}_{c}", T.DoubleType()) for p in parts for c in ("loss", "n")]
+        schema = T.StructType([*self.fields, T.StructField("setting", T.IntegerType()), *values])
+        names = {"in_fold": "held_mse", "test": "test_mse", "train": "train_mse"}
+        return self.blocks.mapInArrow(loss, schema).groupBy(*group, "setting").agg(
+            *[F.expr(f"sum({p}_loss) / nullif(sum({p}_n), 0)").alias(names[p]) for p in parts]
+        )
+
+    def predictions(self) -> DataFrame:
+        """``(keys, fold, bin, pred)`` of the fits on every fold: predictions of all settings for each cell."""
+        growth, group = self.growth, self.group[:-1]
+
+        def unpack(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+            for batch in batches:
+                for row in batch.to_pylist():
+                    bins = np.frombuffer(row["bins"], np.int16).reshape(growth.features, -1).T.astype(np.int32)
+                    fold = np.frombuffer(row["folds"], np.int32)
+                    pred = np.frombuffer(row["pred"], float).reshape(len(growth.alphas), -1).T
+                    key = [pa.array([row[c]] * len(fold), batch.schema.field(c).type) for c in group]
+                    yield pa.RecordBatch.from_arrays([*key, pa.array(fold), pa.array(list(bins)), pa.array(list(pred))], schema.names)
+
+        fields = [f for f in self.fields if f.name in group]
+        arrays = [T.StructField("bin", T.ArrayType(T.IntegerType())), T.StructField("pred", T.ArrayType(T.DoubleType()))]
+        schema = T.StructType([*fields, T.StructField("fold", T.IntegerType()), *arrays])
+        return self.blocks.filter(F.col("held") == NO_FOLD).mapInArrow(unpack, schema)
+
+
+def boost(
+    binned: DataFrame,
+    keys: Sequence[str],
+    features: Sequence[str],
+    label: str,
+    settings: Sequence[tuple[float, float]],
+    folds: int,
+    trees: int,
+    depth: int,
+    rate: float,
+    ridge: float,
+    bins: int,
+) -> Booster:
+    """All ``settings`` (leaf penalty, least gain), held-out folds and groups boosted side by side."""
+    growth = Growth(
+        tuple(float(a) for a, _ in settings), tuple(float(g) for _, g in settings), len(features), bins, depth, rate, ridge
+    )
+    cells = stage(_cells(binned, keys, label, folds), "tree-cells")
+    booster = Booster(_blocks(cells, keys, folds, growth), keys, folds, growth)
+    booster.grow(trees)
+    return booster
+
+
+def _chosen(booster: Booster, keys: Sequence[str], values: Sequence[float]) -> tuple[DataFrame, DataFrame]:
+    """Cross-validated error of every setting, and the errors of the refit with the best one."""
+    tried = F.array(*[F.lit(float(v)) for v in values])
+    errors = stage(booster.errors().withColumn("tried", F.get(tried, F.col("setting"))), "tree-errors")
+    scores = errors.filter(F.col("held") != NO_FOLD).groupBy(*keys, "setting", "tried").agg(
+        F.abs(F.avg("held_mse")).alias("cv_error")
+    )
+    best = scores.groupBy(*keys).agg(F.expr("min_by(setting, struct(cv_error, setting)) as setting"))
+    refit = errors.filter(F.col("held") == NO_FOLD)
+    return scores, refit.join(best, _same(refit, best, [*keys, "setting"])).select(*[refit[c] for c in refit.columns])
+
+
+def _metric_rows(scores: DataFrame, refit: DataFrame, keys: Sequence[str], model: str, best: str, param: str) -> DataFrame:
+    chosen = refit.selectExpr(
+        *keys, f"stack(3, '{best}', tried, 'train_mse', train_mse, 'test_mse', test_mse) as (metric, value)"
+    ).selectExpr(*keys, "metric", "'' as param", "value")
+    tried = scores.selectExpr(*keys, "'cv_error' as metric", f"format_string('{param}', tried) as param", "cv_error as value")
+    return chosen.unionByName(tried).selectExpr(*keys, f"'{model}' as model", "metric", "param", "value")
 
 
 def boosted_trees_l1(
@@ -152,63 +451,52 @@ def boosted_trees_l1(
     ``rows`` carry ``is_test`` and ``fold``. ``bins`` is the most bins of a feature; it decides where
     splits can fall. Metric rows ``(*keys, model, metric, param, value)``.
     """
-    bins = min(bins, int(MAX_CELLS ** (1 / len(features)) + 1e-9))
-    cells = stage(_cells(rows, keys, features, label, bins), "tree-cells")
-    held = ", ".join(str(i) for i in (NO_FOLD, *range(folds)))
-    tasks = cells.selectExpr("*", "array_join(bin, ' ') as place", f"explode(array({held})) as held")
-    of = [f for f in cells.schema.fields if f.name in keys]
-    values = [T.StructField(c, T.DoubleType()) for c in ("alpha", "held_mse", "test_mse", "train_mse")]
-    schema = T.StructType([*of, values[0], T.StructField("held", T.IntegerType()), *values[1:]])
-
-    def boost(group: pd.DataFrame) -> pd.DataFrame:
-        errors = _boost(group, list(penalties), trees, depth, rate, ridge)
-        return errors.assign(**{k: group[k].iloc[0] for k in keys})[schema.names]
-
-    errors = stage(dealt(tasks, *keys, "held").groupBy(*keys, "held").applyInPandas(boost, schema), "tree-errors")
-    scores = errors.filter(f"held <> {NO_FOLD}").groupBy(*keys, "alpha").agg(F.abs(F.avg("held_mse")).alias("cv_error"))
-    best = scores.groupBy(*keys).agg(F.expr("min_by(alpha, struct(cv_error, alpha)) as alpha"))
-    refit = errors.filter(f"held = {NO_FOLD}").join(best, [*keys, "alpha"])
-    chosen = refit.selectExpr(
-        *keys,
-        "stack(3, 'best_penalty', alpha, 'train_mse', train_mse, 'test_mse', test_mse) as (metric, value)",
-    ).selectExpr(*keys, "metric", "'' as param", "value")
-    tried = scores.selectExpr(*keys, "'cv_error' as metric", "format_string('%.0e', alpha) as param", "cv_error as value")
-    return chosen.unionByName(tried).selectExpr(*keys, "'boosted_trees' as model", "metric", "param", "value")
+    binned = binned_rows(rows.select(*keys, "is_test", "fold", *features, label), keys, features, label, bins)
+    booster = boost(binned, keys, features, label, [(p, 0.0) for p in penalties], folds, trees, depth, rate, ridge, bins)
+    scores, refit = _chosen(booster, keys, penalties)
+    return _metric_rows(scores, refit, keys, "boosted_trees", "best_penalty", "%.0e")
 
 
 def boosted_trees_cv(
     rows: DataFrame,
+    keys: Sequence[str],
     features: Sequence[str],
     label: str,
-    min_gains: Sequence[float] = (0.0, 0.01, 0.1),
+    min_gains: Sequence[float] = MIN_GAINS,
     folds: int = 5,
-    trees: int = 20,
-    depth: int = 5,
-    parallelism: int = 4,
-) -> list[tuple[str, str, str, float]]:
-    """MLlib's boosted trees with cross-validated ``minInfoGain``, for the rows of one symbol.
-
-    MLlib has no leaf penalty, so this tunes its nearest relative; ``boosted_trees_l1`` searches the
-    penalty itself. Returns metric rows ``(model, metric, param, value)``.
-    """
-    data = assemble(rows.select(*features, label, "is_test", "fold"), features)
-    train, test = data.filter("not is_test").cache(), data.filter("is_test")
-    trainer = GBTRegressor(labelCol=label, maxIter=trees, maxDepth=depth, seed=42)
-    grid = ParamGridBuilder().addGrid(trainer.minInfoGain, list(min_gains)).build()
-    judge = RegressionEvaluator(labelCol=label, metricName="mse")
-    search = CrossValidator(
-        estimator=trainer,
-        estimatorParamMaps=grid,
-        evaluator=judge,
-        numFolds=folds,
-        foldCol="fold",
-        parallelism=parallelism,
-        seed=42,
-    ).fit(train)
-    best = min(range(len(min_gains)), key=lambda i: search.avgMetrics[i])
-    out = [("gbt", "cv_error", f"{g:g}", float(e)) for g, e in zip(min_gains, search.avgMetrics)]
-    out.append(("gbt", "best_min_gain", "", float(min_gains[best])))
-    out.append(("gbt", "train_mse", "", float(judge.evaluate(search.transform(train)))))
-    out.append(("gbt", "test_mse", "", float(judge.evaluate(search.transform(test)))))
-    train.unpersist()
-    return out
+    trees: int = 100,
+    depth: int = 6,
+    rate: float = 0.3,
+    ridge: float = 1.0,
+    bins: int = 32,
+) -> DataFrame:
+    """The same search over the least gain of a split, which prunes trees instead of shrinking leaves."""
+    binned = binned_rows(rows.select(*keys, "is_test", "fold", *features, label), keys, features, label, bins)
+    booster = boost(binned, keys, features, label, [(0.0, g) for g in min_gains], folds, trees, depth, rate, ridge, bins)
+    scores, refit = _chosen(booster, keys, min_gains)
+    return _metric_rows(scores, refit, keys, "gbt", "best_min_gain", "%.0e")
+
+
+def boosted_predictions(
+    rows: DataFrame,
+    keys: Sequence[str],
+    features: Sequence[str],
+    label: str,
+    penalties: Sequence[float] = PENALTIES,
+    folds: int = 5,
+    trees: int = 100,
+    depth: int = 6,
+    rate: float = 0.3,
+    ridge: float = 1.0,
+    bins: int = 32,
+) -> tuple[DataFrame, DataFrame]:
+    """Test rows with ``prediction`` by the chosen penalty, and the metric rows of ``boosted_trees_l1``."""
+    binned = stage(binned_rows(rows, keys, features, label, bins), "tree-rows")
+    booster = boost(binned, keys, features, label, [(p, 0.0) for p in penalties], folds, trees, depth, rate, ridge, bins)
+    scores, refit = _chosen(booster, keys, penalties)
+    scores, refit = stage(scores, "tree-scores"), stage(refit, "tree-refit")
+    cells = booster.predictions().filter(F.col("fold") == folds).drop("fold")
+    of_best = attach(cells, refit.select(*keys, "setting"), keys).selectExpr(*keys, "bin", "get(pred, setting) as prediction")
+    test = binned.filter("is_test")
+    predicted = attach(test, stage(of_best, "tree-predictions"), [*keys, "bin"]).drop("bin")
+    return predicted, _metric_rows(scores, refit, keys, "boosted_trees", "best_penalty", "%.0e")

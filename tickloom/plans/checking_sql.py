@@ -12,14 +12,28 @@ BARS = """bars as (
 
 HOUR = "(cast(epoch(date) as bigint) // 3600)"
 
-INDEXED = f"""{BARS}, indexed as (
+MINUTE_BARS = BARS.replace("'hour'", "'minute'")
+
+MINUTE = "(cast(epoch(date) as bigint) // 60)"
+
+
+def _indexed(bars: str) -> str:
+    return f"""{bars}, indexed as (
   select *, row_number() over (partition by symbol order by date) - 1 as row_idx from bars)"""
 
-PARTED = f"""{INDEXED}, parted as (
+
+def _parted(bars: str) -> str:
+    """Those after the first 70 % of a symbol's bars are for testing."""
+    return f"""{_indexed(bars)}, parted as (
   select i.*, first_test, row_idx >= first_test as is_test
   from indexed i join (select symbol, cast(ceil(count(*) * 7e-1) as bigint) as first_test
                        from bars group by 1) s using (symbol))"""
 
+
+INDEXED = _indexed(BARS)
+PARTED = _parted(BARS)
+MINUTE_PARTED = _parted(MINUTE_BARS)
+
 SURVEY = """v as (
   select c_nationkey as k,
     avg(case when o_orderstatus = 'F' then 1e0 else 0e0 end) as y1,

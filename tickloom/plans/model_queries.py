@@ -1,20 +1,17 @@
-"""Regressors of the closing price, fitted per symbol on the hourly bars."""
+"""Regressors of the closing price, fitted per symbol on the bars by the minute."""
 
 from __future__ import annotations
 
-from collections.abc import Callable
-from concurrent.futures import ThreadPoolExecutor
-
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from tickloom.functions.values import rounded
 from tickloom.operators import aggregate, knn, linear, rows, trees
 from tickloom.operators.skew import attach
-from tickloom.plans.checking_sql import BARS, HOUR, PARTED, r
+from tickloom.plans.checking_sql import MINUTE, MINUTE_BARS, MINUTE_PARTED, r
 from tickloom.plans.file_queries import event_stream
 from tickloom.plans.registry import query
 from tickloom.session import stage
-from tickloom.sources.tables import PRICE_COLUMNS, event_bars, hour_number
+from tickloom.sources.tables import PRICE_COLUMNS, minute_bars, minute_number
 from tickloom.streaming.bars import count_by_date
 
 FEATURES = ["open", "high", "low", "volume"]
@@ -23,7 +20,7 @@ NEIGHBOURS = 3
 
 def split_bars(spark: SparkSession, folder: str) -> DataFrame:
     """Bars with the 30 % hold-out mark; written once, as every model reads them repeatedly."""
-    return stage(rows.split_holdout(event_bars(spark, folder), hour_number() % 10), "bars")
+    return stage(rows.split_holdout(minute_bars(spark, folder), minute_number() % 10), "bars")
 
 
 # --- nearest neighbours ---------------------------------------------------------------------
@@ -45,10 +42,10 @@ def _neighbour_sql(train: str, asked: str) -> str:
   from nearest, (values (1), (2), (3)) as ks(k) group by 1, 2, 3, 4)"""
 
 
-_PARTS = f"""{BARS}, train as materialized (select * from bars where {HOUR} % 10 < 7),
- test as materialized (select * from bars where {HOUR} % 10 >= 7),
- fitting as materialized (select * from train where {HOUR} % 10 < 5),
- validation as materialized (select * from train where {HOUR} % 10 >= 5)"""
+_PARTS = f"""{MINUTE_BARS}, train as materialized (select * from bars where {MINUTE} % 10 < 7),
+ test as materialized (select * from bars where {MINUTE} % 10 >= 7),
+ fitting as materialized (select * from train where {MINUTE} % 10 < 5),
+ validation as materialized (select * from train where {MINUTE} % 10 >= 5)"""
 
 
 def _predicted(train: DataFrame, asked: DataFrame) -> DataFrame:
@@ -120,7 +117,7 @@ def knn_select_k(spark: SparkSession, folder: str) -> DataFrame:
 
 def knn_choice(parts: DataFrame) -> DataFrame:
     train, test = parts.filter(~F.col("is_test")), parts.filter("is_test")
-    in_fitting = hour_number() % 10 < 5
+    in_fitting = minute_number() % 10 < 5
     on_test = stage(knn.knn_errors(_predicted(train, test), ["symbol"], "close", NEIGHBOURS), "knn-errors")
     on_validation = knn.knn_errors(
         _predicted(train.filter(in_fitting), train.filter(~in_fitting)), ["symbol"], "close", NEIGHBOURS
@@ -178,8 +175,8 @@ def _descent_sql(train: str, keys: str, penalty: str, mix: float, rounds: int =
 
 
 _ERROR = f"(close - w0 - {' - '.join(f'w{i} * {f}' for i, f in enumerate(FEATURES, 1))})"
-_MARKED = f"""{BARS}, marked as materialized (
-  select *, {HOUR} % 10 >= 7 as is_test, ({HOUR} // 10) % 5 as fold from bars)"""
+_MARKED = f"""{MINUTE_BARS}, marked as materialized (
+  select *, {MINUTE} % 10 >= 7 as is_test, ({MINUTE} // 10) % 5 as fold from bars)"""
 
 
 def _line_rows_sql(model: str, line: str, train: str, test: str) -> str:
@@ -206,7 +203,7 @@ def _line_rows_sql(model: str, line: str, train: str, test: str) -> str:
  {_line_rows_sql("elastic_net", "line", "train", "test")}""",
 )
 def elastic_net_close(spark: SparkSession, folder: str) -> DataFrame:
-    parts = rows.split_holdout(event_bars(spark, folder), hour_number() % 10)
+    parts = rows.split_holdout(minute_bars(spark, folder), minute_number() % 10)
     return _rounded_metrics(linear.elastic_net(parts, ["symbol"], FEATURES, "close"))
 
 
@@ -246,14 +243,14 @@ _PENALTIES_SQL = ", ".join(f"({p!r}::double, '{p:.0e}')" for p in linear.PENALTI
  union all {_line_rows_sql("l1_path", "chosen", "all_train", "test")}""",
 )
 def l1_path_cv(spark: SparkSession, folder: str) -> DataFrame:
-    parts = rows.split_holdout(event_bars(spark, folder), hour_number() % 10)
-    folds = rows.kfold(parts, F.floor(hour_number() / 10), 5)
+    parts = rows.split_holdout(minute_bars(spark, folder), minute_number() % 10)
+    folds = rows.kfold(parts, F.floor(minute_number() / 10), 5)
     return _rounded_metrics(linear.l1_path_cv(folds, ["symbol"], FEATURES, "close"))
 
 
 @query(
     "pca_covariance",
-    f"with {BARS} "
+    f"with {MINUTE_BARS} "
     + " union all ".join(
         f"select symbol, '{a}' as a, '{b}' as b, {r(f'covar_samp({a}, {b})', 4)} as covariance, "
         f"{r(f'corr({a}, {b})')} as correlation from bars group by 1"
@@ -262,7 +259,7 @@ def l1_path_cv(spark: SparkSession, folder: str) -> DataFrame:
     ),
 )
 def pca_covariance(spark: SparkSession, folder: str) -> DataFrame:
-    table = linear.covariance(event_bars(spark, folder), ["symbol"], PRICE_COLUMNS)
+    table = linear.covariance(minute_bars(spark, folder), ["symbol"], PRICE_COLUMNS)
     return table.select(
         "symbol", "a", "b", rounded("covariance", 4).alias("covariance"), rounded("correlation").alias("correlation")
     )
@@ -314,10 +311,10 @@ def _scores_sql() -> str:
     )
 
 
-@query("pca_features", f"with recursive {BARS}, {_power_sql()}, {_scores_sql()}")
+@query("pca_features", f"with recursive {MINUTE_BARS}, {_power_sql()}, {_scores_sql()}")
 def pca_features(spark: SparkSession, folder: str) -> DataFrame:
     """Scores of every bar on the first two components."""
-    table = stage(event_bars(spark, folder), "bars")
+    table = stage(minute_bars(spark, folder), "bars")
     fit = stage(linear.pca_fit(table, ["symbol"], PRICE_COLUMNS, 2), "pca")
     scores = linear.pca_scores(table, fit, ["symbol"], PRICE_COLUMNS, 2)
     return scores.select("symbol", "date", *[rounded(c, 4).alias(c) for c in ("pc_1", "pc_2")])
@@ -325,7 +322,7 @@ def pca_features(spark: SparkSession, folder: str) -> DataFrame:
 
 @query(
     "pca_loadings",
-    f"with recursive {BARS}, {_power_sql()} "
+    f"with recursive {MINUTE_BARS}, {_power_sql()} "
     + " union all ".join(
         f"select symbol, {c} as component, '{name}' as price, {r(f'v{i}', 4)} as loading, "
         f"{r(f'eigenvalue / {len(PRICE_COLUMNS)}', 4)} as explained from e{c}"
@@ -334,7 +331,7 @@ def pca_features(spark: SparkSession, folder: str) -> DataFrame:
     ),
 )
 def pca_loadings(spark: SparkSession, folder: str) -> DataFrame:
-    fit = linear.pca_fit(event_bars(spark, folder), ["symbol"], PRICE_COLUMNS, 2)
+    fit = linear.pca_fit(minute_bars(spark, folder), ["symbol"], PRICE_COLUMNS, 2)
     names = F.array(*[F.lit(c) for c in PRICE_COLUMNS])
     long = fit.select("symbol", "component", "explained", F.explode(F.arrays_zip(names.alias("price"), "loading")).alias("z"))
     return long.select(
@@ -348,13 +345,13 @@ def pca_loadings(spark: SparkSession, folder: str) -> DataFrame:
 
 @query("sequence_forecast")
 def sequence_forecast(spark: SparkSession, folder: str) -> DataFrame:
-    forecast = linear.sequence_forecast(event_bars(spark, folder), ["symbol"], ["date"], "close")
+    forecast = linear.sequence_forecast(minute_bars(spark, folder), ["symbol"], ["date"], "close")
     return _rounded_metrics(linear.forecast_errors(forecast, ["symbol"], "close"))
 
 
 @query(
     "sequence_forecast_one_lag",
-    f"""with {PARTED}, lagged as (select *, lag(close) over (partition by symbol order by date) as previous from parted),
+    f"""with {MINUTE_PARTED}, lagged as (select *, lag(close) over (partition by symbol order by date) as previous from parted),
  line as (select symbol, regr_slope(close, previous) as b, regr_intercept(close, previous) as a
    from lagged where not is_test and row_idx >= 1 group by 1),
  scored as (select symbol, row_idx - first_test as step, close - (a + b * previous) as e, close - previous as p
@@ -366,39 +363,22 @@ def sequence_forecast(spark: SparkSession, folder: str) -> DataFrame:
 )
 def sequence_forecast_one_lag(spark: SparkSession, folder: str) -> DataFrame:
     """The forecast with one lag, which has a closed form to check against."""
-    forecast = linear.sequence_forecast(event_bars(spark, folder), ["symbol"], ["date"], "close", lags=1)
+    forecast = linear.sequence_forecast(minute_bars(spark, folder), ["symbol"], ["date"], "close", lags=1)
     return _rounded_metrics(linear.forecast_errors(forecast, ["symbol"], "close"))
 
 
-# --- one MLlib fit per symbol ---------------------------------------------------------------
-
-
-def _fit_each_symbol(parts: DataFrame, fit: Callable[[DataFrame], list[tuple]]) -> DataFrame:
-    """Metric rows of a model that MLlib fits one symbol at a time; the fits run side by side."""
-    parts = stage(parts, "bars-by-symbol", ["symbol"])
-    symbols = [row[0] for row in parts.select("symbol").distinct().collect()]
-
-    def run(symbol: str | None) -> list[tuple]:
-        return [(symbol, *metric) for metric in fit(parts.filter(F.col("symbol").eqNullSafe(symbol)))]
-
-    with ThreadPoolExecutor(max_workers=4) as pool:
-        found = [row for part in pool.map(run, symbols) for row in part]
-    schema = "symbol string, model string, metric string, param string, value double"
-    return parts.sparkSession.createDataFrame(found, schema)
-
-
 @query("elastic_net_ten_steps")
 def elastic_net_ten_steps(spark: SparkSession, folder: str) -> DataFrame:
     """The fit stopped after ten steps."""
-    parts = rows.split_holdout(event_bars(spark, folder), hour_number() % 10)
-    return _rounded_metrics(_fit_each_symbol(parts, lambda part: linear.elastic_net_mllib(part, FEATURES, "close")))
+    parts = rows.split_holdout(minute_bars(spark, folder), minute_number() % 10)
+    return _rounded_metrics(linear.elastic_net_stopped(parts, ["symbol"], FEATURES, "close"))
 
 
 # --- boosted trees --------------------------------------------------------------------------
 
 
 def folded_bars(spark: SparkSession, folder: str) -> DataFrame:
-    return rows.kfold(split_bars(spark, folder), F.floor(hour_number() / 10), 5)
+    return rows.kfold(split_bars(spark, folder), F.floor(minute_number() / 10), 5)
 
 
 @query("boosted_trees_l1")
@@ -409,15 +389,8 @@ def boosted_trees_l1(spark: SparkSession, folder: str) -> DataFrame:
 
 @query("boosted_trees_cv")
 def boosted_trees_cv(spark: SparkSession, folder: str) -> DataFrame:
-    """MLlib's trees with cross-validated minimum gain, small to keep the run short."""
-    return _rounded_metrics(
-        _fit_each_symbol(
-            rows.kfold(
-                rows.split_holdout(event_bars(spark, folder), hour_number() % 10), F.floor(hour_number() / 10), 5
-            ),
-            lambda part: trees.boosted_trees_cv(part, FEATURES, "close", (0.0, 30.0, 300.0), trees=3, depth=3),
-        )
-    )
+    """The search over the least gain of a split, also with 100 trees of depth 6."""
+    return _rounded_metrics(trees.boosted_trees_cv(folded_bars(spark, folder), ["symbol"], FEATURES, "close"))
 
 
 # --- all models together --------------------------------------------------------------------

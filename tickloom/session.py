@@ -66,3 +66,14 @@ def stage(df: DataFrame, label: str, partition_by: Sequence[str] = ()) -> DataFr
     path = staging_path(spark, label)
     df.write.partitionBy(*partition_by).parquet(path)
     return spark.read.schema(df.schema).parquet(path).select(*df.columns)
+
+
+def stage_instead(df: DataFrame, label: str, old: str | None) -> tuple[DataFrame, str]:
+    """As ``stage``, for a table that takes the place of the one at ``old``, which is deleted; also gives the path."""
+    spark = df.sparkSession
+    staged = stage(df, label)
+    if old is not None:
+        path = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(old)
+        path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(path, True)
+        _written.remove(old)
+    return staged, _written[-1]

@@ -41,10 +41,19 @@ def event_bars(spark: SparkSession, folder: str) -> DataFrame:
     return bars_from_ticks(read_table(spark, folder, "events"), "event_type", "ts", "value", "event_id")
 
 
+def minute_bars(spark: SparkSession, folder: str) -> DataFrame:
+    """Bars by the minute, which the models are fitted on."""
+    return bars_from_ticks(read_table(spark, folder, "events"), "event_type", "ts", "value", "event_id", "minute")
+
+
 def hour_number(date: str = "date") -> Column:
     return F.expr(f"unix_seconds(cast({date} as timestamp)) div 3600")
 
 
+def minute_number(date: str = "date") -> Column:
+    return F.expr(f"unix_seconds(cast({date} as timestamp)) div 60")
+
+
 
 
 INDICATORS = ["y1", "y2", "y3", "y4", "y5"]
