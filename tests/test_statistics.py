@@ -160,13 +160,15 @@ def test_lowess_equals_direct_loop(spark, ties):
         assert np.allclose(mine["fitted"], _direct_lowess(data["x"].to_numpy(), data["y"].to_numpy(), span), atol=1e-9)
 
 
-def test_lowess_in_chunks_is_the_same(spark, monkeypatch):
-    data = pd.concat([_wave(700), _wave(500, seed=6, ties=True).assign(g="ties")])
-    rows = spark.createDataFrame(data)
+def test_lowess_in_blocks_is_the_same(spark, monkeypatch):
+    data = pd.concat([_wave(700), _wave(500, seed=6, ties=True).assign(g="ties"), _wave(300, seed=7).assign(g=None)])
+    rows = spark.createDataFrame(data, "g string, id long, x double, y double")
     whole = lowess.lowess_smooth(rows, ["g"], [1 / 5]).toPandas().sort_values(["g", "id"])
-    monkeypatch.setattr(lowess, "CHUNK_KNOTS", 37)
+    monkeypatch.setattr(lowess, "BLOCK_KNOTS", 37)
     cut = lowess.lowess_smooth(rows, ["g"], [1 / 5]).toPandas().sort_values(["g", "id"])
-    assert np.allclose(whole["fitted"], cut["fitted"], atol=1e-9)
+    assert len(whole) == 1500 and np.allclose(whole["fitted"], cut["fitted"], atol=1e-9)
+    first = whole[whole["g"] == "w"]
+    assert np.allclose(first["fitted"], _direct_lowess(*data[data["g"] == "w"][["x", "y"]].to_numpy().T, 1 / 5), atol=1e-8)
 
 
 def test_lowess_without_weight_keeps_the_value(spark):
@@ -179,15 +181,44 @@ def test_lowess_without_weight_keeps_the_value(spark):
         assert got["fitted"].notna().all()
 
 
-def test_radius_is_the_distance_to_the_kth_row():
-    rng = np.random.default_rng(9)
-    for _ in range(200):
-        x = np.unique(np.round(rng.normal(size=rng.integers(1, 30)), 2))
-        count = rng.integers(1, 5, len(x))
-        k = int(rng.integers(1, count.sum() + 1))
-        rows = np.repeat(x, count)
-        expected = [np.sort(np.abs(rows - c))[k - 1] for c in x]
-        assert np.allclose(lowess._neighbour_radius(x, count, k), expected)
+def _direct_fits(knots: np.ndarray, k: int) -> np.ndarray:
+    fits = np.empty(len(knots))
+    for i, x in enumerate(knots["x"]):
+        away = np.abs(knots["x"] - x)
+        order = np.argsort(away, kind="stable")
+        h = away[order][np.searchsorted(np.cumsum(knots["n"][order]), k)]
+        with np.errstate(divide="ignore", invalid="ignore"):
+            weight = np.where(away <= 0.001 * h, 1.0, np.where(away > 0.999 * h, 0.0, (1 - (away / h) ** 3) ** 3))
+        s, t, shift = weight * knots["s"], weight * knots["t"], knots["x"] - x
+        a0, a1, a2, b0, b1 = s.sum(), s @ shift, s @ shift**2, t.sum(), t @ shift
+        spread = a0 * a2 - a1 * a1
+        fits[i] = np.nan if a0 <= 0 else (a2 * b0 - a1 * b1) / spread if spread > 1e-12 * a0 * a2 else b0 / a0
+    return fits
+
+
+@pytest.mark.parametrize("size", [7, 33, 64, 300])
+def test_fits_by_moments_equal_direct_sums(size):
+    """Even, heavy-tailed and tied x, any span, single blocks at hand only where the plan says they are needed."""
+    draw = np.random.default_rng(size)
+    for trial in range(24):
+        count = int(draw.integers(1, 900))
+        x = [draw.uniform(0, 10, count), draw.normal(size=count) ** 3, draw.standard_cauchy(count), np.round(draw.normal(size=count) * 50)][trial % 4]
+        x = np.unique(x)
+        knots = np.zeros(len(x), lowess.KNOT)
+        knots["x"], knots["n"] = x, draw.integers(1, 4, len(x))
+        knots["s"] = knots["n"] * draw.uniform(0, 1, len(x)) * (draw.random(len(x)) > 0.2)
+        knots["t"] = knots["s"] * (np.sin(x) + draw.normal(size=len(x)))
+        k = max(int(draw.choice([0.05, 0.2, 1 / 3, 2 / 3, 1.0]) * knots["n"].sum()), 1)
+        blocks = dict(enumerate(np.split(knots, range(size, len(x), size))))
+        layout = pd.DataFrame([(b, v["x"][0], v["x"][-1], v["n"].sum()) for b, v in blocks.items()], columns=["block", "low", "high", "rows"])
+        plan = lowess._plan(layout, k)
+        got = []
+        for b, own in blocks.items():
+            raw = {s: blocks[s] for at, s in plan if at == b}
+            rest = {s: (v["n"].sum(), lowess.Stretches.of_knots(v, np.zeros(1, int))) for s, v in blocks.items() if s not in raw}
+            got.append(lowess._block_fits(own, raw, rest, k))
+        assert np.allclose(np.concatenate(got), _direct_fits(knots, k), rtol=1e-8, atol=1e-8, equal_nan=True)
+        assert len(plan) <= 8 * len(blocks) + 16
 
 
 @pytest.mark.parametrize("parts", [1, 8])

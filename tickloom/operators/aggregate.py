@@ -65,9 +65,11 @@ def describe_columns(df: DataFrame, keys: Sequence[str], columns: Sequence[str])
     )
 
 
-def exact_median(rows: DataFrame, keys: Sequence[str], value: str) -> DataFrame:
+def exact_median(rows: DataFrame, keys: Sequence[str], value: str, most_rows: int | None = None) -> DataFrame:
     """Median per key, the mean of both middle values for an even count.
 
+    ``most_rows`` is the size of the largest group where the caller knows it.
+
     A sketch gives the median of groups up to half its size. For larger groups it gives two values
     that surely enclose the middle; rows below them are only counted, and the few between, about one
     in 25,000, are ranked.
@@ -85,7 +87,7 @@ def exact_median(rows: DataFrame, keys: Sequence[str], value: str) -> DataFrame:
     is_small = f"__n <= {MEDIAN_ACCURACY // 2}"
     medians = sketch.filter(is_small).selectExpr(*keys, "(q[1] + q[2]) / 2 as median")
     large = sketch.filter(f"not {is_small}").selectExpr(*keys, "__n", "q[0] as __low", "q[3] as __high")
-    if large.isEmpty():
+    if most_rows <= MEDIAN_ACCURACY // 2 if most_rows is not None else large.isEmpty():
         return medians
     counted = (
         attach(known, large, keys)

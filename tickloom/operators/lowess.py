@@ -120,9 +120,10 @@ def _add_knots(sums: np.ndarray, knots: np.ndarray, first: np.ndarray, past: np.
     for i in range(int((past - first).max(initial=0))):
         fits = np.flatnonzero(first + i < past)
         knot = knots[first[fits] + i]
-        with np.errstate(divide="ignore", invalid="ignore"):
-            away = np.where(h[fits] > 0, (knot["x"] - x[fits]) / h[fits], 0.0)
-        distance = np.abs(away)
+        shift, wide = knot["x"] - x[fits], h[fits] > 0
+        away = shift / np.where(wide, h[fits], 1.0)
+        # without a radius only the rows at the very place count
+        distance = np.where(wide, np.abs(away), np.where(shift == 0, 0.0, 2.0))
         weight = np.where(distance <= INNER, 1.0, np.where(distance > OUTER, 0.0, (1.0 - distance**3) ** 3))
         by_power = np.stack([weight, weight * away, weight * away * away], axis=1)
         sums[0, fits] += by_power * knot["s"][:, None]
@@ -272,17 +273,18 @@ class _Smoother:
 
     def __init__(self, rows: DataFrame, keys: Sequence[str], spans: Sequence[float]):
         self.keys, self.group = list(keys), [*keys, "frac"]
-        counted = rows.groupBy(*keys, "x").agg(F.count("*").alias("n"))
+        counted = rows.groupBy(*keys, "x").agg(F.count("*").alias("n"), F.max(F.abs("y")).alias("largest"))
         numbered = with_row_index(counted, ["x"], keys, "__place")
-        sizes = numbered.groupBy(*keys).agg(
-            F.sum("n").alias("__rows"), F.greatest(F.ceil(F.sqrt(F.count("*"))), F.lit(BLOCK_KNOTS)).alias("__size")
-        )
-        knots = stage(attach(numbered, sizes, keys).withColumn("block", F.expr("__place div __size")), "lowess-knots")
+        sizes = numbered.groupBy(*keys).agg(F.greatest(F.ceil(F.sqrt(F.count("*"))), F.lit(BLOCK_KNOTS)).alias("__size"))
+        knots = attach(numbered, sizes, keys).withColumn("block", F.expr("__place div __size"))
         # the number of a row's block goes with it through all passes
         self.rows = stage(attach(rows, knots.select(*keys, "x", "block"), [*keys, "x"]), "lowess-rows")
-        layout = knots.groupBy(*keys, "block").agg(F.min("x").alias("low"), F.max("x").alias("high"), F.sum("n").alias("rows"))
+        layout = knots.groupBy(*keys, "block").agg(
+            F.min("x").alias("low"), F.max("x").alias("high"), F.sum("n").alias("rows"), F.max("largest").alias("largest")
+        )
         fields = [f for f in rows.schema.fields if f.name in keys]
         wide = [T.StructField("frac", T.DoubleType())] + [T.StructField(c, T.LongType()) for c in ("block", "source", "k")]
+        wide += [T.StructField("total", T.LongType()), T.StructField("largest", T.DoubleType())]
         spans = [float(s) for s in spans]
 
         def plan(blocks: pd.DataFrame) -> pd.DataFrame:
@@ -290,13 +292,14 @@ class _Smoother:
             total, found = int(blocks["rows"].sum()), []
             for frac in spans:
                 k = max(int(np.floor(frac * total + 1e-10)), 1)
-                found += [(frac, b, s, k) for b, s in _plan(blocks, min(k, total))]
-            table = pd.DataFrame(found, columns=["frac", "block", "source", "k"])
+                found += [(frac, b, s, k, total, blocks["largest"].max()) for b, s in _plan(blocks, min(k, total))]
+            table = pd.DataFrame(found, columns=[f.name for f in wide])
             for place, key in enumerate(keys):
                 table.insert(place, key, [blocks[key].iloc[0]] * len(table))
             return table
 
         self.reach = stage(layout.groupBy(*keys).applyInPandas(plan, T.StructType([*fields, *wide])), "lowess-reach")
+        self.most_rows = self.reach.agg(F.max("total")).first()[0] or 0
         self.fields = [*fields, wide[0]]
         self.spans = F.explode(F.array(*[F.lit(s) for s in spans])).alias("frac")
 
@@ -305,7 +308,7 @@ class _Smoother:
         return self.rows.select("*", self.spans)
 
     def fit(self, rows: DataFrame, weight: Column) -> DataFrame:
-        """``fit`` per knot from the weighted rows; null where no weight is left around it."""
+        """``fit`` per knot from the weighted rows, null where no weight is left around it, and the ``largest`` |y| of its group."""
         group, fields = self.group, self.fields
         sums = rows.groupBy(*group, "block", "x").agg(
             F.count("*").cast("double").alias("n"), F.sum(weight).alias("s"), F.sum(weight * F.col("y")).alias("t")
@@ -349,9 +352,10 @@ class _Smoother:
             found = pd.DataFrame({"x": raw[block]["x"], "fit": _block_fits(raw[block], raw, others, int(part["k"].iloc[0]))})
             for place, f in enumerate(fields):
                 found.insert(place, f.name, [part[f.name].iloc[0]] * len(found))
-            return found.assign(block=block)[schema.names]
+            return found.assign(block=block, largest=part["largest"].iloc[0])[schema.names]
 
-        schema = T.StructType([*fields, T.StructField("block", T.LongType()), *[T.StructField(c, T.DoubleType()) for c in ("x", "fit")]])
+        numbers = [T.StructField(c, T.DoubleType()) for c in ("x", "fit", "largest")]
+        schema = T.StructType([*fields, T.StructField("block", T.LongType()), *numbers])
         fitted = dealt(near.select("n.*", "l.lines"), *group, "block").groupBy(*group, "block").applyInPandas(fit, schema)
         return fitted.withColumn("fit", F.nanvl("fit", F.lit(None).cast("double")))
 
@@ -377,15 +381,9 @@ def lowess_smooth(
     group = smoother.group
     fits = stage(smoother.fit(smoother.spread(), F.lit(1.0)), "lowess-fit")
     for _ in range(iterations):
-        errors = smoother.scored(fits).withColumn("error", F.abs(F.col("y") - F.col("fitted")))
-        largest = smoother.spread().groupBy(*group).agg(F.max(F.abs("y")).alias("largest"))
-        median = exact_median(errors, group, "error")
-        scale = stage(
-            median.alias("m").join(largest.alias("g"), _same(group, "m", "g")).selectExpr(
-                *[f"m.`{c}`" for c in group], f"case when median > {ROUNDING!r}D * largest then 6 * median end as scale"
-            ),
-            "lowess-scale",
-        )
+        share = F.abs(F.col("y") - F.col("fitted")) / F.col("largest")
+        errors = smoother.scored(fits).withColumn("error", F.when(F.col("largest") > 0, share).otherwise(0.0))
+        scale = exact_median(errors, group, "error", smoother.most_rows).selectExpr(*group, f"case when median > {ROUNDING!r}D then 6 * median end as scale")
         u = F.col("error") / F.col("scale")
         weight = F.when(u > OUTER, 0.0).when(u < INNER, 1.0).otherwise((1 - u * u) * (1 - u * u))
         weighted = attach(errors, scale.filter("scale is not null"), group).withColumn("robust", weight)

@@ -290,7 +290,14 @@ def lowess_lineitem(spark: SparkSession, folder: str) -> DataFrame:
     )
 
 
-@query("lowess_orders")
+_ORDERS = "lines as (select o_orderstatus as pair, o_orderkey, epoch(o_orderdate) + o_orderkey % 86400 as x, o_totalprice as y from orders)"
+
+
+@query(
+    "lowess_orders",
+    f"with {_ORDERS}, {_lowess_sql('lines', (1 / 3,), 'o_orderkey')} "
+    f"select pair, o_orderkey, x, {r('fitted', 2)} as fitted from base join fit3 using (pair, frac, x)",
+)
 def lowess_orders(spark: SparkSession, folder: str) -> DataFrame:
     """Total price against time for every order, nearly all with their own x."""
     orders = read_table(spark, folder, "orders").select(
@@ -301,7 +308,8 @@ def lowess_orders(spark: SparkSession, folder: str) -> DataFrame:
     )
     # the order key spreads the orders of one day over that day
     rows = orders.withColumn("x", F.col("seconds") + F.col("o_orderkey") % 86400).drop("seconds")
-    return lowess.lowess_smooth(rows, ["pair"], (1 / 3,))
+    smooth = lowess.lowess_smooth(rows, ["pair"], (1 / 3,))
+    return smooth.select("pair", "o_orderkey", "x", rounded("fitted", 2).alias("fitted"))
 
 
 @query(
