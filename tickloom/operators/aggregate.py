@@ -130,3 +130,24 @@ def rank_by_error(errors: DataFrame, keys: Sequence[str], candidate: str, error:
     """Candidates of each key in order of error; there is one row per fitted candidate."""
     window = Window.partitionBy(*keys).orderBy(error, candidate)
     return errors.withColumn("rank", F.row_number().over(window))
+
+
+def compare_predictions(table: DataFrame, keys: Sequence[str], label: str, models: Sequence[str]) -> DataFrame:
+    """Mean squared errors of several models on the rows that all of them predict, and how sure the order is.
+
+    ``table`` has one column of predictions for each model. Per key: ``n`` common rows, the error of every model
+    under its name, ``best`` and ``second`` (ties in the order of ``models``), and ``t``, the mean of the
+    second's squared error less the best's over its standard error; null where all differences are equal.
+    """
+    squares = [(F.col(f"`{m}`") - F.col(f"`{label}`")) * (F.col(f"`{m}`") - F.col(f"`{label}`")) for m in models]
+    common = stage(table.select(*keys, F.array(*squares).alias("e")).filter("not exists(e, v -> v is null or isnan(v))"), "errors")
+    wide = common.groupBy(*keys).agg(F.count("*").alias("n"), *[F.avg(F.col("e")[i]).alias(m) for i, m in enumerate(models)])
+    places = ", ".join(f"struct(`{m}` as mse, {i} as place, '{m}' as model)" for i, m in enumerate(models))
+    ranked = stage(wide.selectExpr("*", f"array_sort(array({places})) as ranked"), "ranked")
+    pairs = attach(common, ranked.select(*keys, "ranked"), keys).selectExpr(
+        *[f"`{k}`" for k in keys], "e[ranked[1].place] - e[ranked[0].place] as d"
+    )
+    tested = pairs.groupBy(*keys).agg(F.expr("avg(d) / nullif(stddev_samp(d) / sqrt(count(d)), 0)").alias("t"))
+    return attach(ranked, tested, keys, salts=1).selectExpr(
+        *[f"`{k}`" for k in keys], "n", *[f"`{m}`" for m in models], "ranked[0].model as best", "ranked[1].model as second", "t"
+    )

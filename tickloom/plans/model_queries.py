@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from tickloom.functions.values import rounded
-from tickloom.operators import aggregate, knn, linear, rows, trees
+from tickloom.operators import aggregate, features, knn, linear, rows, trees
 from tickloom.operators.skew import attach
 from tickloom.plans.checking_sql import MINUTE, MINUTE_BARS, MINUTE_PARTED, r
 from tickloom.plans.file_queries import event_stream
@@ -140,7 +140,7 @@ _COLUMNS = [*FEATURES, "close"]
 _NO_HELD = -1
 
 
-def _descent_sql(train: str, keys: str, penalty: str, mix: float, rounds: int = 600) -> str:
+def _descent_sql(train: str, keys: str, penalty: str, mix: float, rounds: int = 3000) -> str:
     """Coordinate descent written as a recursive query; ``train`` has the key columns and the bars' columns."""
     p = len(FEATURES)
     size = range(1, p + 2)
@@ -230,7 +230,7 @@ _PENALTIES_SQL = ", ".join(f"({p!r}::double, '{p:.0e}')" for p in linear.PENALTI
     f"""with recursive {_MARKED}, tried(penalty, label) as (values {_PENALTIES_SQL}),
  held(held) as (values ({_NO_HELD}), (0), (1), (2), (3), (4)),
  train as (select penalty, held, marked.* from marked, tried, held where not is_test and fold <> held),
- {_descent_sql("train", "symbol, penalty, held", "penalty", 1.0)},
+ {_descent_sql("train", "symbol, penalty, held", "penalty", 1.0, 30_000)},
  fold_errors as (select symbol, penalty, held, avg({_ERROR} * {_ERROR}) as mse
    from marked join line using (symbol) where not is_test and fold = held group by all),
  scores as materialized (select symbol, penalty, abs(avg(mse)) as cv_error from fold_errors group by all),
@@ -415,16 +415,74 @@ def per_symbol_report(spark: SparkSession, folder: str) -> DataFrame:
     return _rounded_metrics(all_metrics(spark, folder))
 
 
+def later_bars(spark: SparkSession, folder: str) -> DataFrame:
+    """Bars with the last 30 % of each symbol for testing and the earlier ones in folds, written once."""
+    parted = features.split_temporal(minute_bars(spark, folder), ["symbol"], ["date"])
+    return stage(rows.kfold(parted, F.floor(minute_number() / 10), 5), "later-bars")
+
+
+def _linear_and_near(parts: DataFrame, k: DataFrame | int) -> DataFrame:
+    """Test bars with the predictions of the elastic net and of the nearest neighbours."""
+    test = parts.filter("is_test")
+    fitted = linear.elastic_net(parts, ["symbol"], FEATURES, "close")
+    line = linear.predict(test.select("symbol", "date", "close", *FEATURES), fitted, ["symbol"], FEATURES)
+    near = _predicted(parts.filter(~F.col("is_test")), test)
+    near = attach(near, k, ["symbol"], salts=1) if isinstance(k, DataFrame) else near.withColumn("k", F.lit(k))
+    chosen = near.selectExpr("symbol", "date", f"element_at(array({', '.join(f'pred_{i}' for i in range(1, NEIGHBOURS + 1))}), k) as knn")
+    return line.selectExpr("symbol", "date", "close", "prediction as elastic_net").join(chosen, ["symbol", "date"])
+
+
+def _compared(table: DataFrame, models: list[str]) -> DataFrame:
+    found = aggregate.compare_predictions(table, ["symbol"], "close", models)
+    return found.select("symbol", "n", *[rounded(m, 4).alias(m) for m in models], "best", "second", rounded("t", 3).alias("t"))
+
+
+_SIMPLE = ["elastic_net", "knn", "persistence"]
+_LATER = f"""{MINUTE_PARTED}, train as materialized (select * from parted where not is_test),
+ lagged as (select *, lag(close) over (partition by symbol order by date) as previous from parted),
+ test as materialized (select * from lagged where is_test)"""
+
+
+@query(
+    "paired_comparison",
+    f"""with recursive {_LATER}, {_descent_sql("train", "symbol", repr(linear.ELASTIC_NET_PENALTY) + "::double", linear.ELASTIC_NET_MIX)},
+ {_neighbour_sql('train', 'test')},
+ squares as materialized (
+  select symbol, power({_ERROR}, 2) as elastic_net, power(close - pred, 2) as knn, power(close - previous, 2) as persistence
+  from test join line using (symbol) join predicted using (symbol, date, close) where k = {NEIGHBOURS}),
+ errors as (select symbol, count(*) as n, {', '.join(f'avg({m}) as {m}' for m in _SIMPLE)} from squares group by 1),
+ ranked as (select symbol, model, mse, row_number() over (partition by symbol order by mse) as place
+  from (unpivot errors on {', '.join(_SIMPLE)} into name model value mse)),
+ picked as (select symbol, max(model) filter (where place = 1) as best, max(model) filter (where place = 2) as second from ranked group by 1),
+ paired as (select symbol, best, second, {' + '.join(f"{m} * ((second = '{m}')::int - (best = '{m}')::int)" for m in _SIMPLE)} as d
+  from squares join picked using (symbol)),
+ tested as (select symbol, avg(d) / (stddev_samp(d) / sqrt(count(*))) as t from paired group by 1)
+ select symbol, n, {', '.join(f'{r(m, 4)} as {m}' for m in _SIMPLE)}, best, second, {r('t', 3)} as t
+ from errors join picked using (symbol) join tested using (symbol)""",
+)
+def paired_comparison(spark: SparkSession, folder: str) -> DataFrame:
+    """Elastic net, three nearest neighbours and the previous close on the same later bars."""
+    parts = later_bars(spark, folder)
+    indexed = parts.select("symbol", "row_idx", "is_test", "date", "close")
+    previous = indexed.selectExpr("symbol", "row_idx + 1 as row_idx", "close as persistence")
+    table = _linear_and_near(parts, NEIGHBOURS).join(
+        indexed.filter("is_test").select("symbol", "row_idx", "date").join(previous, ["symbol", "row_idx"]), ["symbol", "date"]
+    )
+    return _compared(table, _SIMPLE)
+
+
 @query("model_comparison")
 def model_comparison(spark: SparkSession, folder: str) -> DataFrame:
-    """Test errors side by side, the model with the least error, and whether the counts are streamed."""
-    models = ["elastic_net", "knn", "boosted_trees", "sequence"]
-    metrics = stage(
-        all_metrics(spark, folder).filter((F.col("metric") == "test_mse") & F.col("model").isin(models)), "metrics"
+    """All models on the same later bars: errors, the best and how sure it is, and whether the counts are streamed."""
+    parts = later_bars(spark, folder)
+    choice = knn_choice(parts).filter("chosen_on = 'validation'").select("symbol", "k")
+    boosted, _ = trees.boosted_predictions(parts.select("symbol", "date", "is_test", "fold", *FEATURES, "close"), ["symbol"], FEATURES, "close")
+    forecast = linear.sequence_forecast(parts, ["symbol"], ["date"], "close")
+    table = (
+        _linear_and_near(parts, stage(choice, "chosen-k"))
+        .join(boosted.selectExpr("symbol", "date", "prediction as boosted_trees"), ["symbol", "date"])
+        .join(forecast.selectExpr("symbol", "date", "forecast as sequence", "persistence"), ["symbol", "date"])
     )
-    best = aggregate.argmin_first(metrics, ["symbol"], "model", "value").select("symbol", F.col("model").alias("best"))
     streamed = count_by_date(event_stream(spark, folder), "ts").isStreaming
-    wide = metrics.groupBy("symbol").pivot("model", models).agg(F.first("value"))
-    return wide.join(best, "symbol").select(
-        "symbol", F.lit(streamed).alias("streaming"), *[rounded(m, 4).alias(m) for m in models], "best"
-    )
+    models = ["elastic_net", "knn", "boosted_trees", "sequence", "persistence"]
+    return _compared(table, models).withColumn("streaming", F.lit(streamed))
