@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import base64
 import collections
+import hashlib
 import re
 
 import numpy as np
@@ -13,7 +14,7 @@ import tiktoken
 import xxhash
 from pyspark.sql import functions as F
 
-from tickloom.llm import bpe, phrases, ranking, secrets, simhash, suffix_dedup, weak_rules, winnowing
+from tickloom.llm import bpe, phrases, queries, ranking, secrets, simhash, suffix_dedup, weak_rules, winnowing
 from tickloom.llm.queries import multilingual_ranks
 
 WORD = r"[^\x20\x09-\x0D]+"
@@ -55,6 +56,29 @@ def test_slices_follow_the_pattern(encoding):
     assert all(ids[e - n : e].tolist() == encoding.encode_ordinary(t) for t, n, e in zip(texts, counts, ends))
 
 
+@pytest.mark.parametrize("most", [1, 5, 40])
+def test_long_texts_in_pieces(encoding, most):
+    draw = np.random.default_rng(most)
+    parts = ["'s", " 's", " ", "  ", "\n ", " \n", "word", " word", "é", "12", "!", "。", "'", "'ll", "\u00a0 "]
+    for _ in range(300):
+        text = "".join(draw.choice(parts, draw.integers(0, 60)))
+        pieces = bpe.cuts(text, most)
+        assert "".join(pieces) == text
+        assert [i for p in pieces for i in encoding.encode_ordinary(p)] == encoding.encode_ordinary(text)
+    assert len(bpe.cuts("some words " * 1000, 100)) > 90
+    assert bpe.cuts("x" * 1000, 100) == ["x" * 1000]
+
+
+def test_bpe_query(spark, tmp_path, odd_docs, encoding):
+    odd_docs.write.parquet(f"{tmp_path}/documents.parquet")
+    texts = [(r["doc_id"], r["text"] or "") for r in odd_docs.collect()]
+    digest = lambda octets: hashlib.sha256(octets).hexdigest()
+    ids = [encoding.encode_ordinary(t) for _, t in texts]
+    expected = [(d, len(i), digest(",".join(map(str, i)).encode()), digest(t.encode())) for (d, t), i in zip(texts, ids)]
+    names = ["doc_id", "n_tokens", "ids_sha256", "decoded_sha256"]
+    assert sorted((tuple(r[c] for c in names) for r in queries.op1_bpe(spark, str(tmp_path)).collect()), key=repr) == sorted(expected, key=repr)
+
+
 def test_unknown_id_raises(spark):
     rows = spark.createDataFrame([([1, 999_999],)], "ids array<int>")
     with pytest.raises(Exception, match="vocabulary"):

@@ -37,8 +37,9 @@ FRESH, IN_LETTERS, IN_NUMBERS, IN_OTHERS, AFTER_SPACE, IN_GAP, ONE_LEFT, TWO_LEF
 STATES = 8
 
 BLOCK = 64
-CHUNK_BYTES = 1 << 20  # texts are pre-tokenised together up to this size; one larger text goes alone
-CACHE_SLICES = 350_000
+CHUNK = 1 << 20  # code points that are pre-tokenised together; longer texts are cut where slices surely begin
+CACHE_BYTES = 24 << 20  # of cached slices and their ids
+ENTRY_BYTES = 180  # what an entry of the cache costs beside its bytes
 NO_RANK = (1 << 31) - 1
 CHUNK_IDS = 1 << 16  # ids decoded at once
 SHORT = 48  # slices up to this many bytes are merged together and cached, longer ones one by one with a heap
@@ -181,6 +182,7 @@ class Vocabulary:
         self.octets = np.frombuffer(b"".join(tokens), np.uint8)
         #: slice to its ids, as the bytes of 32-bit integers
         self.cache: dict[bytes, bytes] = {}
+        self.cached = 0
 
     @functools.cached_property
     def pairs(self) -> tuple[np.ndarray, np.ndarray]:
@@ -259,14 +261,15 @@ class Vocabulary:
         at = cuts.tolist()
         pieces = [octets[a:b] for a, b in zip(at, at[1:])]
         new = set(pieces).difference(self.cache)
-        if len(self.cache) + len(new) > CACHE_SLICES:
-            self.cache = {}
-            new = set(pieces)
+        if self.cached > CACHE_BYTES:
+            self.cache, self.cached, new = {}, 0, set(pieces)
         self.learn(new)
         merged = [self.cache[p] for p in pieces]
         for piece in new:
             if len(piece) > SHORT:
                 del self.cache[piece]
+            else:
+                self.cached += ENTRY_BYTES + len(piece) + len(self.cache[piece])
         sizes = np.fromiter(map(len, merged), np.int64, len(merged)) // 4
         ids = np.frombuffer(b"".join(merged), np.int32)
         through = np.concatenate([[0], np.cumsum(sizes)])
@@ -281,16 +284,14 @@ class Vocabulary:
         base = starts[np.minimum(first, max(len(ids) - 1, 0))] if len(ids) else np.zeros(len(counts), np.int64)
         return (starts - np.repeat(base, counts)).astype(np.int32)
 
-    def decode(self, ids: np.ndarray) -> np.ndarray:
-        found = np.empty(int(self.lengths[ids].sum()), np.uint8)
-        done = 0
+    def decode(self, ids: np.ndarray, starts: np.ndarray, size: int) -> np.ndarray:
+        """``size`` bytes, each token's written at its own offset."""
+        found = np.empty(size, np.uint8)
         for at in range(0, len(ids), CHUNK_IDS):
             part = ids[at : at + CHUNK_IDS]
             sizes = self.lengths[part]
-            total = int(sizes.sum())
-            shift = self.places[part] - (np.cumsum(sizes) - sizes)
-            found[done : done + total] = self.octets[np.arange(total) + np.repeat(shift, sizes)]
-            done += total
+            inside = np.arange(int(sizes.sum())) - np.repeat(np.cumsum(sizes) - sizes, sizes)
+            found[inside + np.repeat(starts[at : at + CHUNK_IDS], sizes)] = self.octets[inside + np.repeat(self.places[part], sizes)]
         return found
 
 
@@ -299,18 +300,50 @@ def vocabulary(path: str) -> Vocabulary:
     return Vocabulary(path)
 
 
+def cuts(text: str, most: int = CHUNK) -> list[str]:
+    """Pieces of about ``most`` code points that are encoded as in the whole text.
+
+    A slice begins at every blank after a character that is not white, whatever stands around them.
+    """
+    found, at, white = [], 0, {chr(c) for c in WHITE_SPACE}
+    while len(text) - at > most:
+        place = text.rfind(" ", at + 1, at + most)
+        while place > at and text[place - 1] in white:
+            place = text.rfind(" ", at + 1, place)
+        if place <= at:  # none so near: the next one
+            place = text.find(" ", at + most)
+            while place > 0 and text[place - 1] in white:
+                place = text.find(" ", place + 1)
+            if place < 0:
+                break
+        found.append(text[at:place])
+        at = place
+    return [*found, text[at:]]
+
+
 def _chunks(texts: pa.Array):
-    """Runs of texts of at most ``CHUNK_BYTES`` together."""
-    held, size = [], 0
-    for value in texts:
-        text = value.as_py() or ""
-        if held and size + len(text) > CHUNK_BYTES:
-            yield held
-            held, size = [], 0
-        held.append(text)
-        size += len(text)
+    """Runs of pieces of bounded size, with the number of the text that each piece belongs to."""
+    held, owners, size = [], [], 0
+    for owner, value in enumerate(texts):
+        for piece in cuts(value.as_py() or ""):
+            if held and size + len(piece) > CHUNK:
+                yield held, owners
+                held, owners, size = [], [], 0
+            held.append(piece)
+            owners.append(owner)
+            size += len(piece)
     if held:
-        yield held
+        yield held, owners
+
+
+def _encoded(known: Vocabulary, texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
+    """All ids of a batch, and how many each text has."""
+    ids, counts = [np.zeros(0, np.int32)], np.zeros(len(texts), np.int64)
+    for pieces, owners in _chunks(texts):
+        found, sizes = known.encode(pieces)
+        ids.append(found)
+        np.add.at(counts, owners, sizes)
+    return np.concatenate(ids), counts
 
 
 def _lists(counts: np.ndarray, values: np.ndarray) -> pa.Array:
@@ -322,21 +355,36 @@ def encode(text: Column, path: str) -> Column:
 
     def batch(texts: pa.Array) -> pa.Array:
         known = vocabulary(path)
-        ids, starts, counts = [np.zeros(0, np.int32)], [np.zeros(0, np.int32)], [np.zeros(0, np.int64)]
-        for part in _chunks(texts):
-            found, sizes = known.encode(part)
-            ids.append(found)
-            starts.append(known.offsets(found, sizes))
-            counts.append(sizes)
-        each = np.concatenate(counts)
-        lists = [_lists(each, np.concatenate(x)) for x in (ids, starts)]
-        return pa.StructArray.from_arrays(lists, ["ids", "starts"])
+        ids, counts = _encoded(known, texts)
+        return pa.StructArray.from_arrays([_lists(counts, ids), _lists(counts, known.offsets(ids, counts))], ["ids", "starts"])
 
     batch.__annotations__ = {"texts": pa.Array, "return": pa.Array}
     # computed once even where several columns use it
     return F.arrow_udf(batch, "struct<ids: array<int>, starts: array<int>>").asNondeterministic()(text)
 
 
+def _binaries(octets: np.ndarray, ends: np.ndarray) -> pa.Array:
+    offsets = np.concatenate([[0], ends]).astype(np.int32)
+    return pa.Array.from_buffers(pa.binary(), len(ends), [None, pa.py_buffer(offsets), pa.py_buffer(octets)])
+
+
+def round_trip(text: Column, path: str) -> Column:
+    """Struct of ``ids`` and ``decoded``, the bytes that the ids give at the offsets kept with them, by one worker."""
+
+    def batch(texts: pa.Array) -> pa.Array:
+        known = vocabulary(path)
+        ids, counts = _encoded(known, texts)
+        starts = known.offsets(ids, counts)
+        through = np.concatenate([[0], np.cumsum(known.lengths[ids])])
+        ends = through[np.cumsum(counts)]
+        firsts = np.concatenate([[0], ends[:-1]])
+        octets = known.decode(ids, starts + np.repeat(firsts, counts), int(through[-1]))
+        return pa.StructArray.from_arrays([_lists(counts, ids), _binaries(octets, ends)], ["ids", "decoded"])
+
+    batch.__annotations__ = {"texts": pa.Array, "return": pa.Array}
+    return F.arrow_udf(batch, "struct<ids: array<int>, decoded: binary>").asNondeterministic()(text)
+
+
 def decode(ids: Column, path: str) -> Column:
     """The bytes of the tokens ``ids``; no bytes for null."""
 
@@ -347,9 +395,7 @@ def decode(ids: Column, path: str) -> Column:
             raise ValueError("an id is not in the vocabulary")
         counts = lists.value_lengths().fill_null(0).to_numpy(zero_copy_only=False).astype(np.int64)
         through = np.concatenate([[0], np.cumsum(known.lengths[flat])])
-        ends = np.cumsum(counts)
-        cuts = np.concatenate([[0], through[ends]]).astype(np.int32)
-        return pa.Array.from_buffers(pa.binary(), len(counts), [None, pa.py_buffer(cuts), pa.py_buffer(known.decode(flat))])
+        return _binaries(known.decode(flat, through[:-1], int(through[-1])), through[np.cumsum(counts)])
 
     batch.__annotations__ = {"lists": pa.Array, "return": pa.Array}
     return F.arrow_udf(batch, "binary")(ids)

@@ -31,14 +31,12 @@ def multilingual_ranks() -> str:
 
 def op1_bpe(spark: SparkSession, folder: str) -> DataFrame:
     """Every document encoded and decoded again, as counts and digests."""
-    path = multilingual_ranks()
-    documents = read(spark, folder, "documents")
-    tokens = documents.select("doc_id", bpe.encode(F.col("text"), path)["ids"].alias("ids"))
+    tokens = read(spark, folder, "documents").select("doc_id", bpe.round_trip(F.col("text"), multilingual_ranks()).alias("found"))
     return tokens.select(
         "doc_id",
-        F.size("ids").cast("long").alias("n_tokens"),
-        sha256_hex(F.array_join(F.col("ids").cast("array<string>"), ",")).alias("ids_sha256"),
-        sha256_hex(bpe.decode(F.col("ids"), path)).alias("decoded_sha256"),
+        F.size("found.ids").cast("long").alias("n_tokens"),
+        sha256_hex(F.array_join(F.col("found.ids").cast("array<string>"), ",")).alias("ids_sha256"),
+        sha256_hex("found.decoded").alias("decoded_sha256"),
     )
 
 
