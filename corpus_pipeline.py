@@ -5,7 +5,10 @@ shared folder and gives what it reads back to the next one, so a lost executor n
 the stage at work. All stages but the last return the columns of ``documents``; the last adds
 ``ids``, ``n_tokens`` and ``round_trip``, whether decoding the ids gives back the text.
 
-Null and empty texts fail the quality rules; extra columns are carried along; an empty table stays empty.
+Null and empty texts fail the quality rules; extra columns are carried along, but for ``n_chars``, which the
+secret scan sets anew, and columns named like those of the last stage, which it replaces; repeated rows and equal
+texts are near-duplicates of each other, of which the first by id stays, and of one id one row; texts
+of any length are taken whole; an empty table stays empty.
 """
 
 from __future__ import annotations
@@ -45,11 +48,10 @@ def secret_scan(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 def tokens(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Token ids of every text, checked by decoding them."""
-    path = multilingual_ranks()
-    encoded = packed(docs, ids=bpe.encode(docs["text"], path)["ids"])
-    same = bpe.decode(F.col("ids"), path) == F.coalesce(F.col("row.text"), F.lit("")).cast("binary")
+    encoded = packed(docs, found=bpe.round_trip(docs["text"], multilingual_ranks()))
+    same = F.col("found.decoded") == F.coalesce(F.col("row.text"), F.lit("")).cast("binary")
     own = [F.col(f"row.`{c}`").alias(c) for c in docs.columns if c not in ("ids", "n_tokens", "round_trip")]
-    return encoded.select(*own, "ids", F.size("ids").cast("long").alias("n_tokens"), same.alias("round_trip"))
+    return encoded.select(*own, "found.ids", F.size("found.ids").cast("long").alias("n_tokens"), same.alias("round_trip"))
 
 
 STAGES: list[tuple[str, Stage]] = [
