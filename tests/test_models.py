@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import math
+
 import numpy as np
 import pandas as pd
 import pytest
@@ -10,6 +12,7 @@ from pyspark.ml.regression import LinearRegression
 from pyspark.sql import functions as F
 
 from tickloom.operators import knn, linear, trees
+from tickloom.operators.reservoir import Reservoir
 
 FEATURES = ["w", "x", "y", "z"]
 
@@ -155,6 +158,46 @@ def test_forecast_equals_least_squares(spark, block_rows):
     assert got["step"].tolist() == list(range(n - first))
 
 
+def _direct_states(net: Reservoir, window: np.ndarray) -> np.ndarray:
+    entry, bias, inner = net.weights
+    state = np.zeros(net.units)
+    for value in window:
+        state = np.array([math.tanh(entry[j] * (2 * value - 1) + bias[j] + sum(state[i] * inner[i, j] for i in range(net.units))) for j in range(net.units)])
+    return state
+
+
+@pytest.mark.parametrize("block_rows", [70, 50_000])
+def test_reservoir_equals_a_direct_loop(spark, block_rows):
+    rng = np.random.default_rng(12)
+    lags, n, net = 6, 160, Reservoir(units=7)
+    series = np.cumsum(rng.normal(size=n)) + 50
+    rows = spark.createDataFrame(pd.DataFrame({"s": "a", "t": np.arange(n), "v": series}))
+    got = linear.sequence_forecast(rows, ["s"], ["t"], "v", lags, block_rows, net, ridge=0.01).toPandas().sort_values("t")
+    first = int(np.ceil(n * 0.7))
+    low, high = series[:first].min(), series[:first].max()
+    scaled = (series - low) / (high - low)
+    design = np.array([[1.0, *_direct_states(net, scaled[i - lags : i])] for i in range(lags, n)])
+    train = np.arange(lags, n) < first
+    x, y = design[train], scaled[lags:][train]
+    weights = np.linalg.solve(x.T @ x + 0.01 * len(x) * np.diag([0.0] + [1.0] * 7), x.T @ y)
+    assert np.allclose(got["forecast"], (design @ weights)[~train] * (high - low) + low, atol=1e-8)
+
+
+def test_reservoir_follows_a_bent_series(spark):
+    """Each value is a parabola of the one before: the last value says little, a line in the values hardly more."""
+    value, series = 0.3, []
+    for _ in range(1500):
+        value = 3.8 * value * (1 - value)
+        series.append(value)
+    rows = spark.createDataFrame(pd.DataFrame({"s": "a", "t": np.arange(1500), "v": series}))
+    errors = {}
+    for model, net in (("line", None), ("reservoir", Reservoir())):
+        table = linear.sequence_forecast(rows, ["s"], ["t"], "v", reservoir=net).toPandas()
+        errors[model] = ((table["v"] - table["forecast"]) ** 2).mean()
+    errors["persistence"] = ((table["v"] - table["persistence"]) ** 2).mean()
+    assert errors["reservoir"] < errors["line"] / 10 < errors["persistence"] / 10
+
+
 def _direct_boosting(bins, y, n_bins, alpha, trees_, depth, rate=0.3, ridge=1.0):
     """Level-wise boosting on binned features; returns the prediction function on bin vectors."""
     threshold = lambda g: np.sign(g) * max(abs(g) - alpha, 0)

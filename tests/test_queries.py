@@ -36,6 +36,16 @@ def test_all_models_for_every_symbol(spark, tables):
     assert (table[["elastic_net", "knn", "boosted_trees"]] > 0).all(axis=None)
 
 
+def test_report_of_every_symbol(spark, tables):
+    """Each model has its errors for each symbol, and those of the linear model are the checked query's."""
+    table = plans.queries()["per_symbol_report"](spark, tables).toPandas()
+    assert table.groupby("symbol")["model"].agg(set).map(sorted).map(tuple).nunique() == 1
+    assert {"elastic_net", "knn", "boosted_trees", "sequence"} <= set(table["model"])
+    own = ["symbol", "metric", "param"]
+    line = plans.queries()["elastic_net_close"](spark, tables).toPandas().set_index(own)["value"].sort_index()
+    assert (table[table["model"] == "elastic_net"].set_index(own)["value"].sort_index() == line).all()
+
+
 def test_entry(spark):
     import __spark_entry__ as contract
 

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import hashlib
 import struct
 import zlib
 
@@ -123,7 +124,7 @@ def test_describe_matches_summary(spark):
 
 
 def test_exact_median_of_large_and_small_groups(spark, monkeypatch):
-    monkeypatch.setattr(aggregate, "MEDIAN_ACCURACY", 100)
+    monkeypatch.setattr(aggregate, "SKETCH_ACCURACY", 100)
     rng = np.random.default_rng(2)
     data = pd.concat(
         [
@@ -137,6 +138,23 @@ def test_exact_median_of_large_and_small_groups(spark, monkeypatch):
     assert np.allclose(got[["odd", "even", "ties", "small"]], data.groupby("k")["v"].median()[["odd", "even", "ties", "small"]], atol=0)
 
 
+def test_quartiles_of_large_groups_are_exact(spark):
+    """Beyond what the sketch holds: 260,000 rows, a third of them one value; a group of nulls keeps its row."""
+    rows = spark.range(260_000).selectExpr(
+        "'large' as k", "if(id % 3 = 0, 0.25D, pmod(xxhash64(id), 1000003) / 7.0D) as v", "cast(pmod(xxhash64(id, 1), 90) as int) as w"
+    )
+    rows = rows.unionByName(spark.createDataFrame([(None, 1.0, 2), (None, 3.0, None), ("empty", None, None)], "k string, v double, w int"))
+    got = {(r["k"], r["column"]): r for r in aggregate.describe_columns(rows, ["k"], ["v", "w"]).collect()}
+    data = rows.filter("k = 'large'").toPandas()
+    for c in ("v", "w"):
+        ordered = np.sort(data[c].to_numpy())
+        expected = [ordered[int(np.ceil(p * len(ordered))) - 1] for p in (0.25, 0.5, 0.75)]
+        assert [got["large", c][p] for p in ("p25", "p50", "p75")] == expected
+        assert got["large", c]["count"] == 260_000 and np.isclose(got["large", c]["mean"], data[c].mean())
+    assert got[None, "v"]["p50"] == 1.0 and got[None, "w"]["count"] == 1
+    assert got["empty", "v"]["count"] == 0 and got["empty", "v"]["p50"] is None
+
+
 # --- files ----------------------------------------------------------------------------------
 
 _FIVE = "5,\nHigh, Low, Pred, Error, MSE,\n2, 3, 4, 5, 6,\n2, 2, 4, 6, 6,\n2, 9, 4, 5, 6,\n2, 3, 8, 4, 6"
@@ -348,3 +366,57 @@ def test_stream_with_another_header_raises(spark, tmp_path):
     stream = streaming.stream_files(spark, str(tmp_path), files.BAR_SCHEMA)
     with pytest.raises(StreamingQueryException):
         streaming.run_append(stream)
+
+
+def test_store_rewrites_only_what_a_batch_touches(spark, tmp_path):
+    schema = "day date, k string, n long"
+    first = spark.sql("select date_add(date'2020-01-01', cast(id div 2 as int)) as day, concat('k', id % 2) as k, id as n from range(600)")
+    store = streaming.UpsertStore(spark, str(tmp_path / "store"), first.schema, ["day", "k"], "day")
+    assert store.read().count() == 0
+    store.upsert(first, 0)
+
+    def files():
+        return {str(p): p.stat().st_mtime_ns for p in (tmp_path / "store" / "data").rglob("*.parquet")}
+
+    before = files()
+    store.upsert(spark.sql("select date'2020-03-01' as day, 'k0' as k, -1L as n union all select date'2020-03-01', 'new', -2L"), 1)
+    after = files()
+    assert {p.split("/")[-2] for p in set(before) ^ set(after)} == {"day=2020-03-01"}
+    assert store.read().filter("day = '2020-03-01'").orderBy("k").select("k", "n").collect() == [("k0", -1), ("k1", 121), ("new", -2)]
+    assert store.read().count() == 601
+    store.upsert(spark.sql("select date'2020-03-01' as day, 'k0' as k, 7L as n"), 1)  # the same batch again
+    assert files() == after
+    again = streaming.UpsertStore(spark, str(tmp_path / "store"), first.schema, ["day", "k"], "day")
+    assert again.read().filter("n < 0").count() == 2
+
+
+def test_upserts_go_on_with_new_files(spark, tmp_path):
+    schema = "date timestamp, k string"
+    source, root = tmp_path / "in", str(tmp_path / "kept")
+
+    def run(rows):
+        spark.createDataFrame(rows, "date string, k string").selectExpr("cast(date as timestamp) as date", "k").coalesce(1).write.mode("append").parquet(str(source))
+        stream = streaming.stream_files(spark, str(source), spark.sql("select timestamp'2020-01-01' as date, '' as k").schema, "parquet")
+        counts = stream.groupBy(F.to_date("date").alias("date"), "k").count()
+        return {(str(r["date"]), r["k"]): r["count"] for r in streaming.run_upserts(counts, ["date", "k"], "date", root).read().collect()}
+
+    assert run([("2020-01-01 10:00:00", "a"), ("2020-01-02 10:00:00", "a"), ("2020-01-02 11:00:00", "b")]) == {("2020-01-01", "a"): 1, ("2020-01-02", "a"): 1, ("2020-01-02", "b"): 1}
+    assert run([("2020-01-02 12:00:00", "b")]) == {("2020-01-01", "a"): 1, ("2020-01-02", "a"): 1, ("2020-01-02", "b"): 2}
+
+
+@pytest.mark.parametrize("parts", [1, 5])
+def test_exact_share_of_every_key(spark, parts):
+    data = pd.DataFrame({"id": np.arange(5000), "k": np.where(np.arange(5000) < 3333, "hot", np.where(np.arange(5000) < 4990, "b", None))})
+    rows_ = spark.createDataFrame(data, "id long, k string").repartition(parts)
+    got = rows.split_exact(rows_, ["id"], 0.3, ["k"]).toPandas().fillna({"k": "null"})
+    assert got.groupby("k")["is_test"].sum().to_dict() == {"hot": 1000, "b": 498, "null": 3}
+    hashes = {i: int(hashlib.md5(f"42:{i}".encode()).hexdigest()[:12], 16) for i in data["id"]}
+    hot = got[got["k"] == "hot"]
+    assert max(hashes[i] for i in hot[hot["is_test"]]["id"]) < min(hashes[i] for i in hot[~hot["is_test"]]["id"])
+    whole = rows.split_exact(rows_, ["id"], 0.3).toPandas()
+    assert whole["is_test"].sum() == 1500 and whole.columns.tolist() == ["id", "k", "is_test"]
+
+
+def test_exact_share_beyond_the_sketch(spark):
+    got = rows.split_exact(spark.range(250_000), ["id"], 0.3).agg(F.count_if("is_test")).first()[0]
+    assert got == 75_000

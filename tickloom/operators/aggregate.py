@@ -10,10 +10,10 @@ from tickloom.functions.values import nan_to_null
 from tickloom.operators.skew import attach
 from tickloom.session import stage
 
-# fixed values: sketch sizes; ranks are exact up to half as many rows per group, beyond that they are
-# off by at most the rows divided by the size
-PERCENTILE_ACCURACY = 10_000
-MEDIAN_ACCURACY = 200_000
+# fixed value: ranks of the quantile sketch are exact up to half as many rows per group, beyond that they
+# are off by at most the rows divided by it
+SKETCH_ACCURACY = 200_000
+QUARTILES = [(p, f"greatest(cast(ceil({p}D * __n) as long), 1L)") for p in (0.25, 0.5, 0.75)]
 
 
 def group_mean(df: DataFrame, key: str, columns: Sequence[str]) -> DataFrame:
@@ -26,81 +26,75 @@ def group_mean(df: DataFrame, key: str, columns: Sequence[str]) -> DataFrame:
     )
 
 
-def describe_columns(df: DataFrame, keys: Sequence[str], columns: Sequence[str]) -> DataFrame:
-    """Count, mean, deviation, extremes and quartiles per key and column, in one aggregation.
-
-    Long form ``(*keys, column, count, mean, stddev, min, p25, p50, p75, max)``.
+def exact_ranks(
+    rows: DataFrame,
+    keys: Sequence[str],
+    value: str,
+    ranks: Sequence[tuple[float, str]],
+    also: Sequence[Column] = (),
+) -> DataFrame:
+    """Values at several ranks of every group, exact for any group size: ``(*keys, n, *also, at)``.
+
+    A rank is its share of the rows and its number in terms of ``__n``, the rows of the group with a value.
+    ``also`` are further aggregates of the same pass. The first pass is one sketch for all ranks; it is exact
+    for groups of up to half its size. For a larger group it gives two values that surely enclose each
+    rank: the second pass counts the rows below them, and ranks the distinct values between, which are those of
+    about one row in 25,000 for each rank. Without a larger group nothing is read a second time.
     """
-    names = ["count", "mean", "stddev", "min", "quartiles", "max"]
-
-    def measures(c: str) -> list[Column]:
-        return [
-            F.count(c),
-            F.avg(c),
-            F.stddev_samp(c),
-            F.min(c),
-            F.percentile_approx(c, [0.25, 0.5, 0.75], PERCENTILE_ACCURACY),
-            F.max(c),
-        ]
-
-    wide = df.groupBy(*keys).agg(
-        *[m.alias(f"{c}__{n}") for c in columns for n, m in zip(names, measures(c))]
-    )
-    cases = ", ".join(
-        f"'{c}', " + ", ".join(f"`{c}__{n}`" for n in names) for c in columns
-    )
-    long = wide.selectExpr(
-        *[f"`{k}`" for k in keys],
-        f"stack({len(columns)}, {cases}) as (`column`, {', '.join(f'`{n}`' for n in names)})",
+    known = rows.select(*keys, F.col(value).alias("__v"))
+    margin = 4.0 / SKETCH_ACCURACY
+    marks = [min(max(share + m, 0.0), 1.0) for share, _ in ranks for m in (-margin, 0.0, margin)]
+    sketch = stage(
+        rows.withColumn("__v", F.col(value))
+        .groupBy(*keys)
+        .agg(F.count("__v").alias("__n"), F.percentile_approx("__v", marks, SKETCH_ACCURACY).alias("__q"), *also),
+        "rank-sketch",
     )
-    return long.select(
+    own = [c for c in sketch.columns if c not in ("__n", "__q")]
+    places = range(len(ranks))
+    is_small = f"__n <= {SKETCH_ACCURACY // 2}"
+    small = sketch.filter(is_small).selectExpr(*own, "__n as n", f"array({', '.join(f'__q[{3 * j + 1}]' for j in places)}) as at")
+    large = sketch.filter(f"not {is_small}")
+    bounds = large.selectExpr(
         *keys,
-        "column",
-        "count",
-        "mean",
-        "stddev",
-        "min",
-        *[F.col("quartiles")[i].alias(p) for i, p in enumerate(["p25", "p50", "p75"])],
-        "max",
+        f"""array({', '.join(f"struct({j} as place, {rank} as rank, __q[{3 * j}] as low, __q[{3 * j + 2}] as high)" for j, (_, rank) in enumerate(ranks))}) as __bounds""",
     )
+    counted = (
+        attach(known, bounds, keys)
+        .selectExpr(*keys, "__v", "explode(filter(__bounds, b -> __v <= b.high)) as __b")
+        .selectExpr(*keys, "__b.place as __place", "__b.rank as __rank", "if(__v >= __b.low, __v, null) as __v")
+        .groupBy(*keys, "__place", "__rank", "__v")
+        .agg(F.count("*").alias("__c"))
+    )
+    order = ", ".join([f"`{k}`" for k in keys] + ["__place"])
+    ranked = counted.selectExpr("*", f"sum(__c) over (partition by {order} order by __v nulls first) as __upto")
+    found = ranked.groupBy(*keys, "__place").agg(F.expr("min(if(__upto >= __rank, __v, null)) as __v"))
+    at = found.groupBy(*keys).agg(F.expr("transform(array_sort(collect_list(struct(__place, __v))), s -> s.__v) as at"))
+    return small.unionByName(attach(large, at, keys, salts=1).selectExpr(*own, "__n as n", "at"))
 
 
-def exact_median(rows: DataFrame, keys: Sequence[str], value: str, most_rows: int | None = None) -> DataFrame:
-    """Median per key, the mean of both middle values for an even count.
-
-    ``most_rows`` is the size of the largest group where the caller knows it.
+def describe_columns(df: DataFrame, keys: Sequence[str], columns: Sequence[str]) -> DataFrame:
+    """Count, mean, deviation, extremes and exact quartiles per key and column.
 
-    A sketch gives the median of groups up to half its size. For larger groups it gives two values
-    that surely enclose the middle; rows below them are only counted, and the few between, about one
-    in 25,000, are ranked.
+    Long form ``(*keys, column, count, mean, stddev, min, p25, p50, p75, max)``. A quartile is the least value
+    with at least that share of the values up to it.
     """
-    known = rows.filter(F.col(value).isNotNull()).select(*keys, F.col(value).alias("__v"))
-    margin = 4.0 / MEDIAN_ACCURACY
+    cases = ", ".join(f"'{c}', cast(`{c}` as double)" for c in columns)
+    long = df.selectExpr(*[f"`{k}`" for k in keys], f"stack({len(columns)}, {cases}) as (`column`, __value)")
+    also = [
+        F.avg("__value").alias("mean"), F.stddev_samp("__value").alias("stddev"), F.min("__value").alias("min"), F.max("__value").alias("max")
+    ]
+    found = exact_ranks(long, [*keys, "column"], "__value", QUARTILES, also)
+    quartiles = [F.col("at")[i].alias(p) for i, p in enumerate(["p25", "p50", "p75"])]
+    return found.select(*keys, "column", F.col("n").alias("count"), "mean", "stddev", "min", *quartiles, "max")
+
+
+def exact_median(rows: DataFrame, keys: Sequence[str], value: str) -> DataFrame:
+    """Median per key, the mean of both middle values for an even count."""
     # just above one half, for the upper of two middle values
-    marks = [0.5 - margin, 0.5, 0.5 + 1e-9, 0.5 + margin]
-    sketch = stage(
-        known.groupBy(*keys).agg(
-            F.count("*").alias("__n"), F.percentile_approx("__v", marks, MEDIAN_ACCURACY).alias("q")
-        ),
-        "median-sketch",
-    )
-    is_small = f"__n <= {MEDIAN_ACCURACY // 2}"
-    medians = sketch.filter(is_small).selectExpr(*keys, "(q[1] + q[2]) / 2 as median")
-    large = sketch.filter(f"not {is_small}").selectExpr(*keys, "__n", "q[0] as __low", "q[3] as __high")
-    if most_rows <= MEDIAN_ACCURACY // 2 if most_rows is not None else large.isEmpty():
-        return medians
-    counted = (
-        attach(known, large, keys)
-        .filter("__v <= __high")
-        .selectExpr(*keys, "__n", "if(__v >= __low, __v, null) as __v")
-        .groupBy(*keys, "__n", "__v")
-        .agg(F.count("*").alias("__c"))
-    )
-    order = ", ".join(f"`{k}`" for k in keys) or "0"
-    ranked = counted.selectExpr("*", f"sum(__c) over (partition by {order} order by __v nulls first) as __upto")
-    middle = [f"min(if(__upto >= {rank}, __v, null))" for rank in ("(__n + 1) div 2", "__n div 2 + 1")]
-    exact = ranked.groupBy(*keys).agg(F.expr(f"({' + '.join(middle)}) / 2").alias("median"))
-    return stage(medians.unionByName(exact), "medians")
+    middle = [(0.5, "(__n + 1) div 2"), (0.5 + 1e-9, "__n div 2 + 1")]
+    found = exact_ranks(rows.filter(F.col(value).isNotNull()), keys, value, middle)
+    return found.selectExpr(*[f"`{k}`" for k in keys], "(at[0] + at[1]) / 2 as median")
 
 
 def summary_table(df: DataFrame, columns: Sequence[str]) -> DataFrame:

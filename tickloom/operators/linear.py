@@ -15,6 +15,7 @@ import pandas as pd
 from pyspark.sql import DataFrame, functions as F, types as T
 
 from tickloom.operators.features import apply_minmax, fit_minmax, lag_window_features, mark_temporal
+from tickloom.operators.reservoir import Reservoir, read_out
 from tickloom.operators.skew import attach, windowed_blocks, with_row_index
 from tickloom.session import stage
 
@@ -400,9 +401,9 @@ def pca_scores(rows: DataFrame, fit: DataFrame, keys: Sequence[str], columns: Se
 # --- lag-window autoregression --------------------------------------------------------------
 
 
-def _window_products(blocks: DataFrame, keys: Sequence[str], value: str, lags: int) -> DataFrame:
-    """Sum of products of (1, lagged values, value) over the training windows of each group."""
-    width = lags + 2
+def _window_products(blocks: DataFrame, keys: Sequence[str], value: str, lags: int, reservoir: Reservoir | None = None) -> DataFrame:
+    """Sum of products of (1, lagged values or states, value) over the training windows of each group."""
+    width = (reservoir.units if reservoir else lags) + 2
     schema = T.StructType(
         [blocks.schema[k] for k in keys] + [T.StructField("products", T.ArrayType(T.DoubleType()))]
     )
@@ -415,8 +416,10 @@ def _window_products(blocks: DataFrame, keys: Sequence[str], value: str, lags: i
             windows = np.lib.stride_tricks.sliding_window_view(values, lags + 1)
             target = index[lags:]
             own = ~block["is_halo"].to_numpy()[lags:] & (target < block["first_test"].to_numpy()[lags:])
-            rows = np.column_stack([np.ones(len(windows)), windows])[own]
-            rows = rows[np.isfinite(rows).all(axis=1)]
+            windows = windows[own]
+            windows = windows[np.isfinite(windows).all(axis=1)]
+            inputs = reservoir.states(windows[:, :-1]) if reservoir else windows[:, :-1]
+            rows = np.column_stack([np.ones(len(windows)), inputs, windows[:, -1]])
             total = rows.T @ rows
         return pd.DataFrame([[*(block[k].iloc[0] for k in keys), total.ravel()]], columns=schema.fieldNames())
 
@@ -430,8 +433,11 @@ def _window_products(blocks: DataFrame, keys: Sequence[str], value: str, lags: i
     )
 
 
-def _solve_products(products: DataFrame, keys: Sequence[str], lags: int) -> DataFrame:
-    """Least-squares weights per group: ``intercept`` and ``weights``, oldest lag first."""
+def _solve_products(products: DataFrame, keys: Sequence[str], inputs: int, ridge: float = 0.0) -> DataFrame:
+    """Least-squares weights per group: ``intercept`` and ``weights`` in the order of the inputs.
+
+    ``ridge`` is a penalty on the squared weights for each row.
+    """
     schema = T.StructType(
         [products.schema[k] for k in keys]
         + [T.StructField("intercept", T.DoubleType()), T.StructField("weights", T.ArrayType(T.DoubleType()))]
@@ -441,8 +447,9 @@ def _solve_products(products: DataFrame, keys: Sequence[str], lags: int) -> Data
         for batch in batches:
             out = []
             for _, row in batch.iterrows():
-                total = np.asarray(row["products"], dtype=float).reshape(lags + 2, lags + 2)
-                weights = np.linalg.pinv(total[:-1, :-1], rcond=1e-10, hermitian=True) @ total[:-1, -1]
+                total = np.asarray(row["products"], dtype=float).reshape(inputs + 2, inputs + 2)
+                penalty = np.diag([0.0] + [ridge * total[0, 0]] * inputs)
+                weights = np.linalg.pinv(total[:-1, :-1] + penalty, rcond=1e-10, hermitian=True) @ total[:-1, -1]
                 out.append([*(row[k] for k in keys), float(weights[0]), weights[1:]])
             yield pd.DataFrame(out, columns=schema.fieldNames())
 
@@ -456,12 +463,14 @@ def sequence_forecast(
     value: str,
     lags: int = 60,
     block_rows: int = 50_000,
+    reservoir: Reservoir | None = None,
+    ridge: float = 1e-4,
 ) -> DataFrame:
-    """One-step forecast of the later 30 % of each series by a linear model of its last ``lags`` values.
+    """One-step forecast of the later 30 % of each series from its last ``lags`` values.
 
-    Values are scaled to 0..1 by the training range, forecasts scaled back. This is a linear
-    autoregression, not a recurrent network; their errors are not comparable.
-    Returns the test rows with ``forecast`` and ``persistence`` (the previous value) and ``step``
+    With a ``reservoir`` the values run through its recurrent network and a ridge regression reads the last
+    state; without one the forecast is linear in the values. Values are scaled to 0..1 by the
+    training range, forecasts scaled back. Returns the test rows with ``forecast`` and ``persistence`` (the previous value) and ``step``
     (0 for the first test row).
     """
     parted = stage(
@@ -471,20 +480,26 @@ def sequence_forecast(
     scaled = stage(apply_minmax(parted, fit, keys, [value]), "series-scaled")
     target = f"{value}_scaled"
     blocks = windowed_blocks(scaled, lags, block_rows)
-    weights = stage(_solve_products(_window_products(blocks, keys, target, lags), keys, lags), "series-weights")
+    products = _window_products(blocks, keys, target, lags, reservoir)
+    solved = _solve_products(products, keys, reservoir.units, ridge) if reservoir else _solve_products(products, keys, lags)
+    weights = stage(solved, "series-weights")
     late = scaled.filter(F.col("row_idx") >= F.col("first_test") - lags)
     windows = lag_window_features(late, keys, order_by, target, lags, block_rows).filter("is_test")
     back = f"* (`{value}__hi` - `{value}__lo`) + `{value}__lo`"
-    product = "aggregate(zip_with(window, weights, (v, w) -> v * w), 0e0, (s, v) -> s + v)"
-    return attach(windows, weights, keys).selectExpr(
+    found = attach(windows, weights, keys)
+    if reservoir:
+        scaled_forecast = read_out(reservoir, F.col("window"), F.col("intercept"), F.col("weights"))
+    else:
+        scaled_forecast = F.expr("intercept + aggregate(zip_with(window, weights, (v, w) -> v * w), 0e0, (s, v) -> s + v)")
+    return found.withColumn("__forecast", scaled_forecast).selectExpr(
         *[f"`{c}`" for c in [*keys, *order_by, value]],
         "row_idx - first_test as step",
-        f"(intercept + {product}) {back} as forecast",
+        f"__forecast {back} as forecast",
         f"window[{lags - 1}] {back} as persistence",
     )
 
 
-def forecast_errors(forecast: DataFrame, keys: Sequence[str], value: str, head: int = 20) -> DataFrame:
+def forecast_errors(forecast: DataFrame, keys: Sequence[str], value: str, head: int = 20, model: str = "sequence") -> DataFrame:
     """Errors on the first ``head`` test rows (``test_mse``) and on all of them, beside persistence."""
 
     def error(column: str, first_only: bool) -> str:
@@ -492,8 +507,8 @@ def forecast_errors(forecast: DataFrame, keys: Sequence[str], value: str, head:
         return f"avg(case when step < {head} then {square} end)" if first_only else f"avg({square})"
 
     measures = [
-        ("sequence", "test_mse", "forecast", True),
-        ("sequence", "test_mse_all", "forecast", False),
+        (model, "test_mse", "forecast", True),
+        (model, "test_mse_all", "forecast", False),
         ("persistence", "test_mse", "persistence", True),
         ("persistence", "test_mse_all", "persistence", False),
     ]

@@ -284,7 +284,7 @@ class _Smoother:
         )
         fields = [f for f in rows.schema.fields if f.name in keys]
         wide = [T.StructField("frac", T.DoubleType())] + [T.StructField(c, T.LongType()) for c in ("block", "source", "k")]
-        wide += [T.StructField("total", T.LongType()), T.StructField("largest", T.DoubleType())]
+        wide.append(T.StructField("largest", T.DoubleType()))
         spans = [float(s) for s in spans]
 
         def plan(blocks: pd.DataFrame) -> pd.DataFrame:
@@ -292,14 +292,13 @@ class _Smoother:
             total, found = int(blocks["rows"].sum()), []
             for frac in spans:
                 k = max(int(np.floor(frac * total + 1e-10)), 1)
-                found += [(frac, b, s, k, total, blocks["largest"].max()) for b, s in _plan(blocks, min(k, total))]
+                found += [(frac, b, s, k, blocks["largest"].max()) for b, s in _plan(blocks, min(k, total))]
             table = pd.DataFrame(found, columns=[f.name for f in wide])
             for place, key in enumerate(keys):
                 table.insert(place, key, [blocks[key].iloc[0]] * len(table))
             return table
 
         self.reach = stage(layout.groupBy(*keys).applyInPandas(plan, T.StructType([*fields, *wide])), "lowess-reach")
-        self.most_rows = self.reach.agg(F.max("total")).first()[0] or 0
         self.fields = [*fields, wide[0]]
         self.spans = F.explode(F.array(*[F.lit(s) for s in spans])).alias("frac")
 
@@ -383,7 +382,7 @@ def lowess_smooth(
     for _ in range(iterations):
         share = F.abs(F.col("y") - F.col("fitted")) / F.col("largest")
         errors = smoother.scored(fits).withColumn("error", F.when(F.col("largest") > 0, share).otherwise(0.0))
-        scale = exact_median(errors, group, "error", smoother.most_rows).selectExpr(*group, f"case when median > {ROUNDING!r}D then 6 * median end as scale")
+        scale = exact_median(errors, group, "error").selectExpr(*group, f"case when median > {ROUNDING!r}D then 6 * median end as scale")
         u = F.col("error") / F.col("scale")
         weight = F.when(u > OUTER, 0.0).when(u < INNER, 1.0).otherwise((1 - u * u) * (1 - u * u))
         weighted = attach(errors, scale.filter("scale is not null"), group).withColumn("robust", weight)

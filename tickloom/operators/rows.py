@@ -6,7 +6,9 @@ from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
+from tickloom.operators.aggregate import exact_ranks
 from tickloom.operators.skew import attach, with_row_index
+from tickloom.session import stage
 
 
 def rename_positional(df: DataFrame, names: Sequence[str]) -> DataFrame:
@@ -90,5 +92,22 @@ def split_holdout(df: DataFrame, bucket: Column, test_buckets: int = 3, buckets:
     return df.withColumn("is_test", bucket >= buckets - test_buckets)
 
 
+def split_exact(df: DataFrame, identity: Sequence[str], share: float = 0.3, keys: Sequence[str] = (), seed: int = 42) -> DataFrame:
+    """Adds ``is_test`` to ``share`` of the rows of every key, rounded up, drawn by a hash.
+
+    ``identity`` names what tells the rows of a key apart; the draw depends on it and ``seed`` alone, not on
+    partitions or file order, and rows of equal identity are drawn together. The hash of the last test row is
+    found by exact selection, so no row is sorted or moved for it. A null key is a key.
+    """
+    text = F.concat_ws(":", F.lit(str(seed)), *[F.coalesce(F.col(f"`{c}`").cast("string"), F.lit("")) for c in identity])
+    hashed = df.withColumns(
+        {"__h": F.conv(F.substring(F.md5(text.cast("binary")), 1, 12), 16, 10).cast("long"), "__all": F.lit(0)}
+    )
+    groups = [*keys, "__all"]
+    cut = exact_ranks(hashed, groups, "__h", [(share, f"cast(ceil({share!r}D * __n) as long)")])
+    marked = attach(hashed, stage(cut.selectExpr(*[f"`{k}`" for k in groups], "at[0] as __cut"), "split-cut"), groups)
+    return marked.withColumn("is_test", F.col("__h") <= F.col("__cut")).drop("__h", "__all", "__cut")
+
+
 def kfold(df: DataFrame, bucket: Column, folds: int = 5) -> DataFrame:
     return df.withColumn("fold", F.pmod(bucket, F.lit(folds)).cast("int"))

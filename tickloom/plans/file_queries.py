@@ -211,6 +211,13 @@ def stream_count_by_timestamp(spark: SparkSession, folder: str) -> DataFrame:
     return streaming.run_counts(streaming.count_by_date(event_stream(spark, folder), "ts", hour))
 
 
+@query("stream_upsert", "select cast(ts as date) as date, event_type, count(*) as count from events group by 1, 2")
+def stream_upsert(spark: SparkSession, folder: str) -> DataFrame:
+    """Counts by day and type, kept in a store that a micro-batch rewrites only where it changes."""
+    counts = event_stream(spark, folder).groupBy(F.to_date("ts").alias("date"), "event_type").count()
+    return streaming.run_upserts(counts, ["date", "event_type"], "date").read()
+
+
 @query(
     "stream_count_watermark",
     """select cast(ts as date) as date, count(*) as count from events

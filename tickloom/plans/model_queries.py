@@ -6,6 +6,7 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from tickloom.functions.values import rounded
 from tickloom.operators import aggregate, features, knn, linear, rows, trees
+from tickloom.operators.reservoir import Reservoir
 from tickloom.operators.skew import attach
 from tickloom.plans.checking_sql import MINUTE, MINUTE_BARS, MINUTE_PARTED, r
 from tickloom.plans.file_queries import event_stream
@@ -345,10 +346,57 @@ def pca_loadings(spark: SparkSession, folder: str) -> DataFrame:
 
 @query("sequence_forecast")
 def sequence_forecast(spark: SparkSession, folder: str) -> DataFrame:
-    forecast = linear.sequence_forecast(minute_bars(spark, folder), ["symbol"], ["date"], "close")
+    """The recurrent model of the last 60 closes: 50 units, a fitted read-out."""
+    forecast = linear.sequence_forecast(minute_bars(spark, folder), ["symbol"], ["date"], "close", reservoir=Reservoir())
     return _rounded_metrics(linear.forecast_errors(forecast, ["symbol"], "close"))
 
 
+def _line_sql(lags: int, rounds: int = 400) -> str:
+    """Least squares on the last values by conjugate gradients, written as a recursive query."""
+    size = lags + 2
+    window = "[1e0] || list_transform(list(u) over (partition by symbol order by row_idx rows between " + str(lags) + " preceding and current row), x -> x::double)"
+
+    def times(vector: str) -> str:
+        return f"list_transform(a, line -> list_dot_product(line, {vector}))"
+
+    def plus(left: str, factor: str, right: str) -> str:
+        return f"list_transform(list_zip({left}, {right}), z -> z[1] + ({factor}) * z[2])"
+
+    return f"""bounds as (select symbol, min(close) as lo, max(close) as hi from parted where not is_test group by 1),
+ scaled as (select parted.*, lo, hi, (close - lo) / (hi - lo) as u from parted join bounds using (symbol)),
+ windows as materialized (select symbol, row_idx, first_test, is_test, close, lo, hi, {window} as w from scaled),
+ sums as (select symbol, i, j, sum(w[i] * w[j]) as p from windows, range(1, {size + 1}) ri(i), range(1, {size + 1}) rj(j)
+   where row_idx >= {lags} and not is_test group by 1, 2, 3),
+ lines as (select symbol, i, list(p order by j) as line from sums group by 1, 2),
+ system as materialized (select symbol, list(line[1:{size - 1}] order by i) filter (where i < {size}) as a,
+   list(line[{size}] order by i) filter (where i < {size}) as b from lines group by 1),
+ steps as (
+  select symbol, 0 as step, list_transform(b, x -> 0e0) as x, b as r, b as d, list_dot_product(b, b) as rr from system
+  union all
+  select symbol, step + 1, {plus('x', 'al', 'd')}, r2, {plus('r2', 'rr2 / rr', 'd')}, rr2 from (
+   select *, list_dot_product(r2, r2) as rr2 from (
+    select *, {plus('r', '-al', 'ad')} as r2 from (
+     select *, rr / list_dot_product(d, ad) as al from (
+      select steps.*, {times('d')} as ad from steps join system using (symbol) where step < {rounds} and rr > 1e-26) q1) q2) q3) q4),
+ solved as (select symbol, max_by(x, step) as x from steps group by 1),
+ scored as (select symbol, row_idx - first_test as step, close - (list_dot_product(x, w[1:{size - 1}]) * (hi - lo) + lo) as e,
+   close - (w[{size - 1}] * (hi - lo) + lo) as p from windows join solved using (symbol) where is_test)"""
+
+
+@query(
+    "sequence_line",
+    f"""with recursive {MINUTE_PARTED}, {_line_sql(60)}
+ select symbol, 'sequence_line' as model, 'test_mse' as metric, '' as param, {r('avg(e * e) filter (where step < 20)', 4)} as value from scored group by 1
+ union all select symbol, 'sequence_line', 'test_mse_all', '', {r('avg(e * e)', 4)} from scored group by 1
+ union all select symbol, 'persistence', 'test_mse', '', {r('avg(p * p) filter (where step < 20)', 4)} from scored group by 1
+ union all select symbol, 'persistence', 'test_mse_all', '', {r('avg(p * p)', 4)} from scored group by 1""",
+)
+def sequence_line(spark: SparkSession, folder: str) -> DataFrame:
+    """The forecast that is linear in the last 60 closes."""
+    forecast = linear.sequence_forecast(minute_bars(spark, folder), ["symbol"], ["date"], "close")
+    return _rounded_metrics(linear.forecast_errors(forecast, ["symbol"], "close", model="sequence_line"))
+
+
 @query(
     "sequence_forecast_one_lag",
     f"""with {MINUTE_PARTED}, lagged as (select *, lag(close) over (partition by symbol order by date) as previous from parted),
@@ -405,7 +453,7 @@ def all_metrics(spark: SparkSession, folder: str) -> DataFrame:
     ).selectExpr("symbol", "model", "metric", "'' as param", "value")
     boosted = trees.boosted_trees_l1(parts, ["symbol"], FEATURES, "close")
     sequence = linear.forecast_errors(
-        linear.sequence_forecast(parts, ["symbol"], ["date"], "close"), ["symbol"], "close"
+        linear.sequence_forecast(parts, ["symbol"], ["date"], "close", reservoir=Reservoir()), ["symbol"], "close"
     )
     return linear_rows.unionByName(neighbour).unionByName(boosted).unionByName(sequence)
 
@@ -477,7 +525,7 @@ def model_comparison(spark: SparkSession, folder: str) -> DataFrame:
     parts = later_bars(spark, folder)
     choice = knn_choice(parts).filter("chosen_on = 'validation'").select("symbol", "k")
     boosted, _ = trees.boosted_predictions(parts.select("symbol", "date", "is_test", "fold", *FEATURES, "close"), ["symbol"], FEATURES, "close")
-    forecast = linear.sequence_forecast(parts, ["symbol"], ["date"], "close")
+    forecast = linear.sequence_forecast(parts, ["symbol"], ["date"], "close", reservoir=Reservoir())
     table = (
         _linear_and_near(parts, stage(choice, "chosen-k"))
         .join(boosted.selectExpr("symbol", "date", "prediction as boosted_trees"), ["symbol", "date"])

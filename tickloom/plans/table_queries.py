@@ -360,9 +360,15 @@ def sorted_output(spark: SparkSession, folder: str) -> DataFrame:
 # --- splits, scaling, lag windows -----------------------------------------------------------
 
 
-@query("split_random", "select event_id, event_id % 10 >= 7 as is_test from events")
+@query(
+    "split_random",
+    """with hashed as (select event_id, event_type, ('0x' || substr(md5('42:' || event_id), 1, 12))::bigint as h from events)
+ select event_id, event_type, row_number() over (partition by event_type order by h, event_id)
+   <= ceil(3e-1 * count(*) over (partition by event_type)) as is_test from hashed""",
+)
 def split_random(spark: SparkSession, folder: str) -> DataFrame:
-    return rows.split_holdout(read_table(spark, folder, "events").select("event_id"), F.col("event_id") % 10)
+    """Three tenths of the events of every type, drawn by a hash of their id."""
+    return rows.split_exact(read_table(spark, folder, "events").select("event_id", "event_type"), ["event_id"], 0.3, ["event_type"])
 
 
 @query("split_holdout", f"with {BARS} select symbol, date, {HOUR} % 10 >= 7 as is_test from bars")

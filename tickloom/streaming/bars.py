@@ -2,10 +2,14 @@
 
 from __future__ import annotations
 
+from collections.abc import Sequence
+
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F, types as T
 
 from tickloom.session import staging_path
 
+MOST_DATES = 10_000  # dates of a batch that are named in a filter
+
 
 def stream_files(
     spark: SparkSession,
@@ -113,3 +117,71 @@ def run_append(finished: DataFrame, path: str | None = None) -> DataFrame:
     )
     running.awaitTermination()
     return spark.read.schema(finished.schema).parquet(f"{root}/out")
+
+
+class UpsertStore:
+    """Rows by key in a folder partitioned by date, kept up to date by micro-batches.
+
+    A batch rewrites the dates it touches and no others. Its number is written to ``commits`` when
+    it is done: a batch that comes again is left out if it is there, else it is done anew with the same
+    result. A reader during a batch sees each date as before or after it. ``partition`` is one of the columns
+    of every batch and decides where a row lies; a key must not move from one date to another.
+    """
+
+    def __init__(self, spark: SparkSession, root: str, schema: T.StructType, keys: Sequence[str], partition: str):
+        self.spark, self.root, self.schema, self.keys, self.partition = spark, root, schema, list(keys), partition
+        # columns of partitions come last
+        self.columns = [f.name for f in schema.fields if f.name != partition] + [partition]
+
+    def _system(self, path: str):
+        found = self.spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+        return found, found.getFileSystem(self.spark.sparkContext._jsc.hadoopConfiguration())
+
+    def read(self) -> DataFrame:
+        """All rows as of the last batch."""
+        path, system = self._system(f"{self.root}/data")
+        if not system.exists(path):
+            return self.spark.createDataFrame([], self.schema)
+        stored = T.StructType([self.schema[c] for c in self.columns])
+        return self.spark.read.schema(stored).parquet(f"{self.root}/data").select(*self.schema.names)
+
+    def committed(self, batch_id: int) -> bool:
+        path, system = self._system(f"{self.root}/commits/{batch_id}")
+        return system.exists(path)
+
+    def upsert(self, batch: DataFrame, batch_id: int) -> None:
+        """Puts the rows of ``batch``, one for each key, in the place of earlier ones."""
+        if self.committed(batch_id):
+            return
+        batch = batch.select(*self.columns).persist()
+        try:
+            dates = [r[0] for r in batch.select(self.partition).distinct().limit(MOST_DATES + 1).collect()]
+            stored = self.read().select(*self.columns)
+            if len(dates) <= MOST_DATES:
+                stored = stored.filter(F.col(self.partition).isin(dates))  # no other folder is listed or read
+            else:
+                stored = stored.join(batch.select(self.partition).distinct(), self.partition, "left_semi").select(*self.columns)
+            merged = stored.join(batch.select(*self.keys), self.keys, "left_anti").select(*self.columns).unionByName(batch)
+            merged.repartition(self.partition).write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy(
+                self.partition
+            ).parquet(f"{self.root}/data")
+        finally:
+            batch.unpersist()
+        path, system = self._system(f"{self.root}/commits/{batch_id}")
+        system.create(path, True).close()
+
+
+def run_upserts(result: DataFrame, keys: Sequence[str], partition: str, path: str | None = None) -> UpsertStore:
+    """Run a stateful query to the end of the available files into a store; a later call with the same path goes on."""
+    spark = result.sparkSession
+    root = path or staging_path(spark, "store")
+    store = UpsertStore(spark, root, result.schema, keys, partition)
+    running = (
+        result.writeStream.outputMode("update")
+        .option("checkpointLocation", f"{root}/checkpoint")
+        .foreachBatch(store.upsert)
+        .trigger(availableNow=True)
+        .start()
+    )
+    running.awaitTermination()
+    return store
