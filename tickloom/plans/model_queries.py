@@ -354,13 +354,13 @@ def sequence_forecast(spark: SparkSession, folder: str) -> DataFrame:
 def _line_sql(lags: int, rounds: int = 400) -> str:
     """Least squares on the last values by conjugate gradients, written as a recursive query."""
     size = lags + 2
-    window = "[1e0] || list_transform(list(u) over (partition by symbol order by row_idx rows between " + str(lags) + " preceding and current row), x -> x::double)"
+    window = "[1e0] || list_transform(list(u) over (partition by symbol order by row_idx rows between " + str(lags) + " preceding and current row), lambda x: x::double)"
 
     def times(vector: str) -> str:
-        return f"list_transform(a, line -> list_dot_product(line, {vector}))"
+        return f"list_transform(a, lambda line: list_dot_product(line, {vector}))"
 
     def plus(left: str, factor: str, right: str) -> str:
-        return f"list_transform(list_zip({left}, {right}), z -> z[1] + ({factor}) * z[2])"
+        return f"list_transform(list_zip({left}, {right}), lambda z: z[1] + ({factor}) * z[2])"
 
     return f"""bounds as (select symbol, min(close) as lo, max(close) as hi from parted where not is_test group by 1),
  scaled as (select parted.*, lo, hi, (close - lo) / (hi - lo) as u from parted join bounds using (symbol)),
@@ -371,7 +371,7 @@ def _line_sql(lags: int, rounds: int = 400) -> str:
  system as materialized (select symbol, list(line[1:{size - 1}] order by i) filter (where i < {size}) as a,
    list(line[{size}] order by i) filter (where i < {size}) as b from lines group by 1),
  steps as (
-  select symbol, 0 as step, list_transform(b, x -> 0e0) as x, b as r, b as d, list_dot_product(b, b) as rr from system
+  select symbol, 0 as step, list_transform(b, lambda x: 0e0) as x, b as r, b as d, list_dot_product(b, b) as rr from system
   union all
   select symbol, step + 1, {plus('x', 'al', 'd')}, r2, {plus('r2', 'rr2 / rr', 'd')}, rr2 from (
    select *, list_dot_product(r2, r2) as rr2 from (
