@@ -8,6 +8,7 @@ import hashlib
 import re
 
 import numpy as np
+import pyarrow as pa
 import public_tokenizers
 import pytest
 import tiktoken
@@ -146,6 +147,38 @@ def test_repeated_bytes(odd_docs):
     assert sorted((r["n_bytes"], r["n_removed"], r["n_spans"], bytes(r["kept"])) for r in got) == sorted(map(by_hand, rows))
 
 
+@pytest.mark.parametrize("text", [b"x" * 2_000_000, b"ab" * 300_000, bytes(range(97, 122)) * 40_000, b"- " * 500 + b"tail" + b"- " * 500], ids=["one", "two", "many", "cut"])
+def test_periodic_texts_do_not_grow(text):
+    batch = pa.RecordBatch.from_pydict({"id": pa.array([1]), "key": pa.array([2]), "content": pa.array([text.decode()])})
+    anchor = np.concatenate([b.column("anchor").to_numpy() for b in suffix_dedup._anchor_rows([batch], 400, 32)])
+    lists = pa.array([np.unique(anchor).tolist()], pa.list_(pa.int64()))
+    rows = [r for b in suffix_dedup._stretch_rows([batch.append_column("anchors", lists)], 400, 32) for r in b.column("stretch").to_pylist()]
+    assert sum(map(len, rows)) < 4 * len(text) + 2000
+
+
+def test_suffix_dedup_query(spark, tmp_path, odd_docs):
+    """The registered query at its 400 bytes, on texts that share passages of 399 to 900 bytes, and periodic ones."""
+    draw = np.random.default_rng(4)
+    passage = "".join(draw.choice(list("abcdefgh "), 900))
+    more = [f"{a} {passage[i:j]} {b}" for a, b, i, j in (("p", "q", 0, 399), ("r", "s", 0, 400), ("t", "u", 300, 900), ("v", "é", 299, 700))]
+    more += ["ab" * 1500, "z" * 450, "abc" * 133 + "ab" * 30, passage[:450] + "mid" + passage[:450]]
+    docs = odd_docs.select("doc_id", "text").unionAll(spark.createDataFrame([(500 + i, t) for i, t in enumerate(more)], "doc_id long, text string"))
+    docs.write.parquet(f"{tmp_path}/documents.parquet")
+    rows = [(r["doc_id"], (r["text"] or "").encode()) for r in docs.collect()]
+    starts = collections.Counter(t[i : i + 400] for _, t in rows for i in range(len(t) - 399))
+    expected = []
+    for doc_id, t in rows:
+        gone = np.zeros(len(t), bool)
+        for i in range(len(t) - 399):
+            if starts[t[i : i + 400]] > 1:
+                gone[i : i + 400] = True
+        runs = int((np.diff(np.concatenate([[0], gone.astype(int)])) == 1).sum())
+        expected.append((doc_id, len(t), int(gone.sum()), runs, hashlib.sha256(bytes(np.frombuffer(t, np.uint8)[~gone])).hexdigest()))
+    names = ["doc_id", "n_bytes", "n_removed", "n_spans", "kept_sha256"]
+    got = [tuple(r[c] for c in names) for r in queries.op3_suffix_dedup(spark, str(tmp_path)).collect()]
+    assert sorted(got, key=repr) == sorted(expected, key=repr)
+
+
 # 5 SimHash
 
 

@@ -130,15 +130,21 @@ def runs(gram_hashes: np.ndarray, text: np.ndarray, window: int, gram: int) -> t
     return least[at], inside[at], count
 
 
-def runs_by_place(gram_hashes: np.ndarray, text: np.ndarray, window: int, gram: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """As ``runs``, but a run has one place of its least gram, so equal windows of one text are in two runs."""
+def runs_and_places(gram_hashes: np.ndarray, text: np.ndarray, window: int, gram: int) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+    """As ``runs``, and in how many places the least gram of a run's windows stands.
+
+    Equal windows of one text are in two runs, or in one whose gram stands in two places. A periodic
+    stretch, where the gram comes again and again, is one run, whatever its length.
+    """
     least, place = sliding_leftmost(gram_hashes, window - gram + 1)
     inside = _inside(text, len(least), window)
     if not len(inside):
-        return np.zeros(0, np.uint64), inside, inside
-    place = place[inside]
-    at, count = _cut((place[1:] != place[:-1]) | (text[inside[1:]] != text[inside[:-1]]), inside)
-    return least[inside[at]], inside[at], count
+        return np.zeros(0, np.uint64), inside, inside, inside
+    least, place = least[inside], place[inside]
+    at, count = _cut((least[1:] != least[:-1]) | (text[inside[1:]] != text[inside[:-1]]), inside)
+    moved = np.concatenate([[False], place[1:] != place[:-1]])
+    moved[at] = True
+    return least[at], inside[at], count, np.add.reduceat(moved.astype(np.int64), at)
 
 
 def listed(anchor: np.ndarray, text: np.ndarray, lists: pa.Array) -> np.ndarray:

@@ -121,23 +121,23 @@ def _text_runs(texts: pa.Array, length: int, gram: int):
     for row, octets, offsets in anchors.chunks(texts):
         text = np.repeat(np.arange(len(offsets) - 1), np.diff(offsets))
         at = np.arange(max(len(octets) - gram + 1, 0))
-        anchor, start, count = anchors.runs_by_place(anchors.span_hashes(octets, at, at + gram), text, length, gram)
-        yield anchor, start, count, text[start] if len(start) else start, row, octets, offsets
+        anchor, start, count, places = anchors.runs_and_places(anchors.span_hashes(octets, at, at + gram), text, length, gram)
+        yield anchor, start, count, places, text[start] if len(start) else start, row, octets, offsets
 
 
 def _anchor_rows(batches: Iterator[pa.RecordBatch], length: int, gram: int) -> Iterator[pa.RecordBatch]:
     for batch in batches:
         ids = batch.column("id").to_numpy(zero_copy_only=False)
-        for anchor, _, _, text, row, *_ in _text_runs(batch.column("content"), length, gram):
-            columns = [pa.array(anchor.view(np.int64)), pa.array(ids[row + text].astype(np.int64))]
-            yield pa.RecordBatch.from_arrays(columns, ["anchor", "id"])
+        for anchor, _, _, places, text, row, *_ in _text_runs(batch.column("content"), length, gram):
+            columns = [pa.array(anchor.view(np.int64)), pa.array(ids[row + text].astype(np.int64)), pa.array(places)]
+            yield pa.RecordBatch.from_arrays(columns, ["anchor", "id", "places"])
 
 
 def _stretch_rows(batches: Iterator[pa.RecordBatch], length: int, gram: int) -> Iterator[pa.RecordBatch]:
     """The bytes that the windows of each listed run cover, with the place of the first in its text."""
     for batch in batches:
         ids, keys = (batch.column(c).to_numpy(zero_copy_only=False) for c in ("id", "key"))
-        for anchor, start, count, text, row, octets, offsets in _text_runs(batch.column("content"), length, gram):
+        for anchor, start, count, _, text, row, octets, offsets in _text_runs(batch.column("content"), length, gram):
             hit = anchors.listed(anchor, text, batch.column("anchors").slice(row, len(offsets) - 1))
             first, past = start[hit], start[hit] + count[hit] + length - 1
             raw = octets.tobytes()
@@ -207,8 +207,8 @@ def _locate(batches: Iterator[pd.DataFrame], length: int, limit: int) -> Iterato
 def repeated_spans(docs: DataFrame, text: str = "text", length: int = LENGTH, gram: int = GRAM) -> DataFrame:
     """``(id, spans)``: for each id the byte spans, which may overlap, that start elsewhere too, with the text's key."""
     held = identified(docs, text)
-    found = held.mapInArrow(lambda b: _anchor_rows(b, length, gram), "anchor long, id long")
-    again = found.groupBy("anchor").agg(F.count("*").alias("n")).filter("n > 1").select("anchor")
+    found = held.mapInArrow(lambda b: _anchor_rows(b, length, gram), "anchor long, id long, places long")
+    again = found.groupBy("anchor").agg(F.sum("places").alias("n")).filter("n > 1").select("anchor")
     lists = found.join(again, "anchor").groupBy("id").agg(F.collect_set("anchor").alias("anchors"))
     listed = held.join(stage(lists, "anchor-lists"), "id")
     stretches = listed.mapInArrow(lambda b: _stretch_rows(b, length, gram), "anchor long, id long, key long, first long, stretch binary")
