@@ -30,6 +30,29 @@ def test_main_text_of_several_layouts(spark, tables):
     assert extracted(spark, pages, field) == [TEXT] * len(layouts)
 
 
+def test_words_of_layouts_and_other_languages(spark, tables):
+    """Marks above an article do not empty it, words that name a column or a topic do not cut it, ads and comments go in four languages."""
+    field = html_crf.train(spark.read.parquet(f"{tables}/pages.parquet"))
+    one = "The first paragraph of the story is here, with enough words to be one of them."
+    two = "The second paragraph goes on for a while, and it ends where the story ends."
+    other = "This text is long enough to look like a part of the story, but it is not one."
+    story = f"<h1>Big title</h1><p>{one}</p><p>{two}</p>"
+    top, end = "<body><nav><a href=1>Home</a> <a href=2>World</a></nav>", "<footer>&copy; 2020 Site</footer></body>"
+    pages = [
+        f'<div class="text-widget widget"><article>{story}</article></div>',
+        f'<article><h1>Big title</h1><div class="column main-column"><p>{one}</p><p>{two}</p></div></article>',
+        f'<article class="post tag-politics social featured">{story}</article>',
+        f'<div id="more-text"><main class="form-page"><div class="tags-text">{story}</div></main></div>',
+        f'<article><h1>Big title</h1><p>{one}</p><div class="werbung"><p>{other}</p></div><p>{two}</p></article>',
+        f'<article><h1>Big title</h1><p>{one}</p><div class="publicité"><p>{other}</p></div><p>{two}</p></article>',
+        f'<div>{story}</div><div class="kommentare"><p>{other}</p></div>',
+        f'<div>{story}</div><section id="comentarios"><article class="comentario"><p>{other}</p></article></section>',
+        f'<main>{story}</main><aside><article><p>{other}</p></article></aside>',
+        f'<div>{story}</div><div class="seitenleiste"><p>{other}</p></div>',
+    ]
+    assert extracted(spark, [top + p + end for p in pages], field) == [f"Big title {one} {two}"] * len(pages)
+
+
 def test_odd_pages(spark):
     field = html_crf.fit([])
     pages = [None, "", " ", "<p>", "<script>x", "no tags at all, just a sentence that is rather long and plain.", "<article><p>a&amp;b &am <p>c<b>d</article>"]

@@ -22,6 +22,7 @@ from __future__ import annotations
 
 import itertools
 import re
+import unicodedata
 from html.parser import HTMLParser
 
 import numpy as np
@@ -54,26 +55,29 @@ ROLE_MARKS = {
     "navigation": "nav", "menu": "nav", "menubar": "nav", "banner": "header", "contentinfo": "footer", "complementary": "side",
     "search": "form", "form": "form", "dialog": "notice", "alert": "notice", "alertdialog": "notice", "main": "main", "article": "article",
 }
-#: Words of class and id, by what they mark.
+#: Words of class and id, by what they mark (fixed values; English, then German, French, Spanish). Words that as often
+#: name a layout or a topic, such as column, text, more or tags, are left out.
 WORD_MARKS = {
-    "nav": "nav navbar navigation menu menubar breadcrumb breadcrumbs pagination pager toc tabs dropdown skip",
-    "header": "header masthead topbar banner branding logo toolbar",
-    "footer": "footer foot copyright colophon legal imprint",
-    "side": "sidebar side aside widget widgets rail column related recommended recommendations trending popular more",
-    "advert": "ad ads adv advert adverts advertisement advertising adsense sponsor sponsored promo promotion dfp",
-    "notice": "notice notices cookie cookies consent gdpr popup modal overlay alert warning banner disclaimer paywall",
-    "form": "form login signin signup register search subscribe subscription newsletter contact",
-    "comments": "comment comments commentlist reply replies respond discussion disqus responses reviews",
-    "share": "share sharing social tags tagcloud meta byline author bio rating toolbox print",
-    "content": "content article post entry story body text main page story",
+    "nav": "nav navbar navigation menu menubar breadcrumb breadcrumbs pagination pager toc tabs dropdown skip navigationsleiste hauptmenue brotkrumen fil ariane migas menuprincipal",
+    "header": "header masthead topbar banner branding logo toolbar kopfzeile kopfbereich entete cabecera encabezado",
+    "footer": "footer foot copyright colophon legal imprint impressum fusszeile fussbereich pied mentions pie",
+    "side": "sidebar side aside widget widgets rail related recommended recommendations trending popular seitenleiste randspalte laterale lateral verwandt similaires relacionados relacionadas",
+    "advert": "ad ads adv advert adverts advertisement advertising adsense sponsor sponsored promo promotion dfp werbung anzeige anzeigen reklame publicite pub publicidad anuncio anuncios patrocinado",
+    "notice": "notice notices cookie cookies consent gdpr popup modal overlay alert warning banner disclaimer paywall hinweis hinweise einwilligung avis avertissement aviso avisos consentimiento",
+    "form": "form login signin signup register search subscribe subscription newsletter contact anmeldung anmelden suche suchen kontakt formular formulaire connexion recherche formulario buscar busqueda suscripcion",
+    "comments": "comment comments commentlist reply replies respond discussion disqus responses reviews kommentar kommentare leserkommentare diskussion commentaire commentaires reponses comentario comentarios respuestas",
+    "share": "share sharing social tagcloud meta byline author bio rating toolbox print teilen autor auteur partage partager compartir",
+    "content": "content article post entry story body main page inhalt artikel beitrag contenu billet contenido articulo entrada noticia",
 }
+#: Marks of class and id that an article inside, or the article's own element, does not take on: they name its surroundings.
+AROUND = frozenset({"side", "share", "header", "form"})
 WORDS = {word: mark for mark, words in WORD_MARKS.items() for word in words.split()}
 OTHER_MARKS = ("nav", "header", "footer", "side", "advert", "notice", "form", "comments", "share", "hidden")
 
 #: What a feature says of a block before any training: above zero for the article.
 BELIEF = {
     "bias": -0.5, "article": 3.0, "main": 2.0, "content": 1.0, "list": -0.3, "table": 0.0, "quote": 0.3, "figure": 0.0,
-    **{m: -6.0 for m in OTHER_MARKS}, "header": -5.0, "share": -4.0,
+    **{m: -9.0 for m in OTHER_MARKS}, "header": -6.0, "form": -6.0, "share": -5.0,
     "is_p": 1.0, "is_heading": 0.3, "is_item": -0.3, "words_0_3": -0.7, "words_4_11": 0.0, "words_12_": 1.0, "words_30_": 0.5,
     "links_half": -2.5, "links_some": -0.3, "sentence": 0.7, "rights": -2.5,
 }
@@ -85,20 +89,29 @@ RIGHTS = re.compile(r"©|\(c\) ?\d{4}|all rights reserved|copyright", re.IGNOREC
 SENTENCE = re.compile(r"[.!?…。][\"'»”)\]]*(?:\s|$)")
 
 
-def _marks(tag: str, attributes: list[tuple[str, str | None]], inside: frozenset[str]) -> frozenset[str]:
-    """Marks that an element adds for what it holds."""
+Marks = tuple[frozenset[str], frozenset[str]]
+
+
+def _marks(tag: str, attributes: list[tuple[str, str | None]], inside: Marks) -> Marks:
+    """Marks of what an element holds, given those around it: by tags and roles, and by words of class and id."""
+    around, words_around = inside
     found = {TAG_MARKS[tag]} if tag in TAG_MARKS else set()
-    if tag == "header" and inside & {"article", "main"}:
+    words: set[str] = set()
+    if tag == "header" and around & {"article", "main"}:
         found.clear()  # the heading of the article itself
     for name, value in attributes:
         value = (value or "").lower()
         if name == "role" and value in ROLE_MARKS:
             found.add(ROLE_MARKS[value])
         elif name in ("class", "id") and tag not in ("html", "body"):
-            found.update(WORDS[w] for w in STRIPPED.split(value) if w in WORDS)
+            plain = unicodedata.normalize("NFKD", value).encode("ascii", "ignore").decode()
+            words.update(WORDS[w] for w in STRIPPED.split(plain) if w in WORDS)
         elif name == "hidden" or (name == "aria-hidden" and value == "true") or (name == "style" and re.search(r"display\s*:\s*none", value)):
             found.add("hidden")
-    return frozenset(found)
+    words |= words_around
+    if found & {"article", "main"}:
+        words -= AROUND
+    return around | found, frozenset(words)
 
 
 class _Blocks(HTMLParser):
@@ -107,7 +120,7 @@ class _Blocks(HTMLParser):
     def __init__(self) -> None:
         super().__init__(convert_charrefs=True)
         # tag, marks, whether text is skipped, number of blocks before
-        self.open: list[tuple[str, frozenset[str], bool, int]] = [("", frozenset(), False, 0)]
+        self.open: list[tuple[str, Marks, bool, int]] = [("", (frozenset(), frozenset()), False, 0)]
         self.links = 0
         self.blocks: list[tuple[str, frozenset[str]]] = []
         self._reset_block()
@@ -144,7 +157,7 @@ class _Blocks(HTMLParser):
         if tag == "a":
             self.links += 1
         _, marks, skipped, _ = self.open[-1]
-        self.open.append((tag, marks | _marks(tag, attrs, marks), skipped or tag in SKIPPED, len(self.blocks)))
+        self.open.append((tag, _marks(tag, attrs, marks), skipped or tag in SKIPPED, len(self.blocks)))
 
     def _leave_head(self, tag: str) -> None:
         """Whatever no head can hold ends it."""
@@ -188,7 +201,7 @@ class _Blocks(HTMLParser):
         if not self.parts:
             if data.isspace():
                 return
-            self.marks = self.open[-1][1]
+            self.marks = self.open[-1][1][0] | self.open[-1][1][1]
             self.leaf = next((t for t, *_ in reversed(self.open) if t not in INLINE), "")
         self.parts.append(data)
         if self.links:
