@@ -106,15 +106,19 @@ class Tree:
         self.value[:, children] = np.where(worth, leaf(left_g, left_h), 0.0)
         self.value[:, children + 1] = np.where(worth, leaf(whole_g - left_g, whole_h - left_h), 0.0)
 
-    def route(self, bins: np.ndarray, levels: int) -> np.ndarray:
-        """Node (setting, cell) after so many levels; a cell stays where no split is."""
+    def step(self, bins: np.ndarray, node: np.ndarray) -> np.ndarray:
+        """Nodes (setting, cell) one level on; a cell stays where no split is."""
         each, cells = np.arange(len(self.feature))[:, None], np.arange(bins.shape[1])
+        at = np.minimum(node, self.feature.shape[1] - 1)
+        feature = self.feature[each, at]
+        high = bins[feature, cells] > self.cut[each, at]
+        return np.where((feature >= 0) & (at == node), 2 * node + 1 + high, node)
+
+    def route(self, bins: np.ndarray, levels: int) -> np.ndarray:
+        """Node (setting, cell) after so many levels."""
         node = np.zeros((len(self.feature), bins.shape[1]), np.int64)
         for _ in range(levels):
-            at = np.minimum(node, self.feature.shape[1] - 1)
-            feature = self.feature[each, at]
-            high = bins[feature, cells] > self.cut[each, at]
-            node = np.where((feature >= 0) & (at == node), 2 * node + 1 + high, node)
+            node = self.step(bins, node)
         return node
 
 
@@ -133,11 +137,11 @@ class Block:
         self.train = ~self.test & ~self.in_fold
         self.pred = np.frombuffer(row["pred"], float).reshape(len(growth.alphas), -1)
 
-    def sums(self, growth: Growth, tree: Tree, level: int) -> np.ndarray:
-        """Gradients and rows by (feature, setting, node of the level, bin)."""
+    def sums(self, growth: Growth, node: np.ndarray, level: int) -> np.ndarray:
+        """Gradients and rows by (feature, setting, node of the level, bin), given the node of every cell."""
         nodes, width = 1 << level, growth.bins
         settings = len(growth.alphas)
-        node = tree.route(self.bins, level) - (nodes - 1)
+        node = node - (nodes - 1)
         open_ = (node >= 0) & self.train
         setting, cell = np.nonzero(open_)
         slot = (setting * nodes + node[open_]) * width
@@ -148,9 +152,9 @@ class Block:
             [[np.bincount(slot + b[cell], weights=w, minlength=size) for b in self.bins] for w in (gradient, rows)], dtype=float, casting="unsafe"
         ).reshape(2, growth.features, settings, nodes, width)
 
-    def add(self, growth: Growth, tree: Tree) -> None:
+    def add(self, tree: Tree, node: np.ndarray) -> None:
         """The leaves of a whole tree to the predictions."""
-        self.pred = self.pred + np.take_along_axis(tree.value, tree.route(self.bins, growth.depth), 1)
+        self.pred = self.pred + np.take_along_axis(tree.value, node, 1)
 
 
 # --- cells and blocks -----------------------------------------------------------------------
@@ -266,9 +270,11 @@ class Booster:
                     block = Block(growth, {**row, "test_fold": folds})
                     for _ in range(trees):
                         tree = Tree(growth)
+                        node = tree.route(block.bins, 0)
                         for level in range(growth.depth):
-                            tree.split(level, block.sums(growth, tree, level))
-                        block.add(growth, tree)
+                            tree.split(level, block.sums(growth, node, level))
+                            node = tree.step(block.bins, node)
+                        block.add(tree, node)
                     preds.append(block.pred.tobytes())
                 yield _with_pred(batch, preds)
 
@@ -303,7 +309,7 @@ class Booster:
                 for row in batch.to_pylist():
                     key = tuple(row[c] for c in group)
                     block = Block(growth, {**row, "test_fold": folds})
-                    sums = block.sums(growth, Tree(growth, row["tree"]), level)
+                    sums = block.sums(growth, Tree(growth, row["tree"]).route(block.bins, level), level)
                     if key in held:
                         held[key][1] += sums
                     else:
@@ -341,7 +347,8 @@ class Booster:
                 preds = []
                 for row in batch.to_pylist():
                     block = Block(growth, {**row, "test_fold": folds})
-                    block.add(growth, Tree(growth, row["tree"]))
+                    tree = Tree(growth, row["tree"])
+                    block.add(tree, tree.route(block.bins, growth.depth))
                     preds.append(block.pred.tobytes())
                 yield _with_pred(batch, preds)
 
