@@ -296,6 +296,26 @@ def test_trees_over_many_blocks_and_a_null_group(spark, monkeypatch, limit):
     assert np.allclose(by_group["a"], by_group["null"])
 
 
+def test_some_thousand_cells_need_no_exchange(spark, monkeypatch):
+    """A group of 6,400 cells is grown in one task for each batch of settings, with the errors of many blocks."""
+    n = 6400
+    data = pd.DataFrame({"g": "a", "f1": np.arange(n) % 80.0, "f2": np.arange(n) // 80.0})
+    data["label"] = data["f1"] * (data["f2"] > 30) + np.random.default_rng(4).normal(size=n)
+    data["is_test"], data["fold"] = np.arange(n) % 10 >= 7, (np.arange(n) // 10) % 2
+    binned = trees.binned_rows(spark.createDataFrame(data), ["g"], ["f1", "f2"], "label", 80)
+    settings = [(float(a), 0.0) for a in range(6)]
+    found = []
+    for size in (None, 2000):
+        if size:
+            monkeypatch.setattr(trees, "BLOCK_CELLS", size)
+        booster = trees.boost(binned, ["g"], ["f1", "f2"], "label", settings, 2, 2, 3, 0.3, 1.0, 80)
+        assert booster.many == (6 if size else 0)  # three fits, two batches of settings
+        found.append(booster.errors().toPandas().sort_values(["held", "setting"]))
+    assert found[0]["setting"].tolist() == list(range(6)) * 3
+    columns = ["held_mse", "test_mse", "train_mse"]
+    assert np.allclose(found[0][columns], found[1][columns], equal_nan=True)
+
+
 def test_bins_do_not_depend_on_the_number_of_features(spark):
     """With 24 features a single useful one is still cut where it has to be."""
     rng = np.random.default_rng(2)

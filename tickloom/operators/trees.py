@@ -7,7 +7,9 @@ covers many blocks. A tree is one job: at each level every task adds up the grad
 (setting, node, feature, bin), the sums of a group meet and choose the splits, and these go back to the
 blocks; the last step adds the leaves to the predictions, which are written once a tree. The model
 never passes through the driver. Groups whose cells fill no more than one block have nothing to
-exchange: their sums are whole where they are, and the same steps follow each other in one task.
+exchange: their sums are whole where they are, and the same steps follow each other in one task. A block is
+so large that a level of it costs more than the exchange of its sums, and the settings are dealt out a
+few to a task (a *batch*), each batch with its own copy of the cells.
 
 Splits follow the second-order gain and leaf weights of Chen and Guestrin (2016) with squared error, so
 the second derivative is the row count. A setting is a leaf penalty and a least gain.
@@ -16,7 +18,7 @@ the second derivative is the row count. A setting is a leaf penalty and a least
 from __future__ import annotations
 
 from collections.abc import Iterator, Sequence
-from dataclasses import dataclass
+from dataclasses import dataclass, replace
 
 import numpy as np
 import pyarrow as pa
@@ -29,7 +31,8 @@ from tickloom.session import stage, stage_instead
 NO_FOLD = -1  # trains on every fold
 MIN_GAIN = 1e-6
 MIN_GAINS = (0.0, 10.0, 100.0, 1000.0, 10_000.0)
-BLOCK_CELLS = 4096
+BLOCK_CELLS = 1 << 18  # about 20 s and 50 MB for a batch that is grown in one task
+BATCH = 4  # most settings of a batch
 TASK_BYTES = 1 << 26  # sums that a task holds before it passes them on
 
 
@@ -53,6 +56,11 @@ class Growth:
     def tree_bytes(self) -> int:
         return len(self.alphas) * (4 * self.nodes + 8 * (2 * self.nodes + 1))
 
+    def batches(self) -> dict[int, Growth]:
+        """The settings in batches of nearly equal size, by the number of their first one."""
+        parts = np.array_split(np.arange(len(self.alphas)), -(-len(self.alphas) // BATCH))
+        return {int(p[0]): replace(self, alphas=self.alphas[p[0] : p[-1] + 1], gains=self.gains[p[0] : p[-1] + 1]) for p in parts}
+
 
 class Tree:
     """One tree of every setting: arrays (setting, node), nodes numbered from the root, children of i at 2i + 1 and 2i + 2."""
@@ -108,11 +116,13 @@ class Tree:
 
     def step(self, bins: np.ndarray, node: np.ndarray) -> np.ndarray:
         """Nodes (setting, cell) one level on; a cell stays where no split is."""
-        each, cells = np.arange(len(self.feature))[:, None], np.arange(bins.shape[1])
-        at = np.minimum(node, self.feature.shape[1] - 1)
-        feature = self.feature[each, at]
-        high = bins[feature, cells] > self.cut[each, at]
-        return np.where((feature >= 0) & (at == node), 2 * node + 1 + high, node)
+        moved, cells, flat = np.empty_like(node), np.arange(bins.shape[1]), bins.ravel()
+        for here, on, features, cuts in zip(node, moved, self.feature.astype(np.int64), self.cut):
+            at = np.minimum(here, len(features) - 1)
+            feature = features.take(at)
+            high = flat.take(np.maximum(feature, 0) * len(cells) + cells) > cuts.take(at)
+            on[:] = np.where((feature >= 0) & (at == here), 2 * here + 1 + high, here)
+        return moved
 
     def route(self, bins: np.ndarray, levels: int) -> np.ndarray:
         """Node (setting, cell) after so many levels."""
@@ -127,30 +137,52 @@ def _shrunk(gradient: np.ndarray, alpha: np.ndarray) -> np.ndarray:
 
 
 class Block:
-    """Cells of one group and held-out fold."""
+    """Cells of one group, held-out fold and batch of settings, those trained on first."""
 
     def __init__(self, growth: Growth, row: dict):
-        self.bins = np.frombuffer(row["bins"], np.int16).reshape(growth.features, -1)
-        self.n, self.sy, self.syy = np.frombuffer(row["sums"], float).reshape(3, -1)
         fold = np.frombuffer(row["folds"], np.int32)
-        self.test, self.in_fold = fold == row["test_fold"], fold == row["held"]
+        out = (fold == row["test_fold"]) | (fold == row["held"])
+        self.order = np.argsort(out, kind="stable")
+        self.trained = len(fold) - int(out.sum())
+        self.bins = np.frombuffer(row["bins"], np.int16).reshape(growth.features, -1)[:, self.order].astype(np.int64)
+        self.n, self.sy, self.syy = np.frombuffer(row["sums"], float).reshape(3, -1)[:, self.order]
+        self.test, self.in_fold = fold[self.order] == row["test_fold"], fold[self.order] == row["held"]
         self.train = ~self.test & ~self.in_fold
-        self.pred = np.frombuffer(row["pred"], float).reshape(len(growth.alphas), -1)
+        self.pred = np.frombuffer(row["pred"], float).reshape(len(growth.alphas), -1)[:, self.order]
 
     def sums(self, growth: Growth, node: np.ndarray, level: int) -> np.ndarray:
         """Gradients and rows by (feature, setting, node of the level, bin), given the node of every cell."""
-        nodes, width = 1 << level, growth.bins
-        settings = len(growth.alphas)
-        node = node - (nodes - 1)
-        open_ = (node >= 0) & self.train
-        setting, cell = np.nonzero(open_)
-        slot = (setting * nodes + node[open_]) * width
-        rows = self.n[cell]
-        gradient = rows * self.pred[open_] - self.sy[cell]
-        size = settings * nodes * width
-        return np.stack(
-            [[np.bincount(slot + b[cell], weights=w, minlength=size) for b in self.bins] for w in (gradient, rows)], dtype=float, casting="unsafe"
-        ).reshape(2, growth.features, settings, nodes, width)
+        nodes, width, trained = 1 << level, growth.bins, self.trained
+        size = nodes * width
+        found = np.zeros((2, growth.features, len(growth.alphas), size))
+        bins, rows = self.bins[:, :trained], self.n[:trained]
+        for setting, (here, pred) in enumerate(zip(node[:, :trained], self.pred)):
+            # cells that stopped further up fall into one more node, which is left out
+            slot = np.where(here >= nodes - 1, here - (nodes - 1), nodes) * width
+            gradient = rows * pred[:trained] - self.sy[:trained]
+            for feature, b in enumerate(bins):
+                at = slot + b
+                found[0, feature, setting] = np.bincount(at, weights=gradient, minlength=size)[:size]
+                found[1, feature, setting] = np.bincount(at, weights=rows, minlength=size)[:size]
+        return found.reshape(2, growth.features, len(growth.alphas), nodes, width)
+
+    def add_grown(self, growth: Growth) -> None:
+        """A tree of each setting, grown on this block alone."""
+        tree = Tree(growth)
+        node = tree.route(self.bins, 0)
+        for level in range(growth.depth):
+            first = (1 << level) - 1
+            tree.split(level, self.sums(growth, node, level))
+            if (tree.feature[:, first : 2 * first + 1] < 0).all():
+                break
+            node = tree.step(self.bins, node)
+        self.add(tree, node)
+
+    def octets(self) -> bytes:
+        """The predictions in the order of the row."""
+        pred = np.empty_like(self.pred)
+        pred[:, self.order] = self.pred
+        return pred.tobytes()
 
     def add(self, tree: Tree, node: np.ndarray) -> None:
         """The leaves of a whole tree to the predictions."""
@@ -202,18 +234,12 @@ def _blocks(cells: DataFrame, keys: Sequence[str], folds: int, growth: Growth) -
         .groupBy(*keys, "held")
         .agg(F.expr("sum(if(fold <> held, sy, 0)) / sum(if(fold <> held, n, 0))").alias("mean"))
     )
-    spread = stage(listed, "tree-blocks").select("*", held)
-    means = stage(means, "tree-means")
-    started = spread.join(means, _same(spread, means, [*keys, "held"]), "left").select(
-        *[spread[c] for c in [*keys, "held", "block", "blocks", "cell"]], F.coalesce("mean", F.lit(0.0)).alias("mean")
-    )
     of_keys = [f for f in cells.schema.fields if f.name in keys]
-    settings = len(growth.alphas)
 
     def pack(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             packed = []
-            for cell, mean in zip(batch.column("cell"), batch.column("mean").to_pylist()):
+            for cell in batch.column("cell"):
                 values = cell.values
                 bins = values.field("bin").flatten().to_numpy(zero_copy_only=False).reshape(len(values), -1)
                 sums = [values.field(c).to_numpy(zero_copy_only=False).astype(float) for c in ("n", "sy", "syy")]
@@ -221,16 +247,30 @@ def _blocks(cells: DataFrame, keys: Sequence[str], folds: int, growth: Growth) -
                     np.ascontiguousarray(bins.T, np.int16).tobytes(),
                     values.field("fold").to_numpy(zero_copy_only=False).astype(np.int32).tobytes(),
                     np.stack(sums).tobytes(),
-                    np.full((settings, len(values)), mean).tobytes(),
                 ))
-            columns = [pa.array(c, pa.binary()) for c in zip(*packed)] if packed else [pa.array([], pa.binary())] * 4
-            kept = [*keys, "held", "block", "blocks"]
-            yield pa.RecordBatch.from_arrays([*(batch.column(c) for c in kept), *columns], [*kept, "bins", "folds", "sums", "pred"])
+            columns = [pa.array(c, pa.binary()) for c in zip(*packed)] if packed else [pa.array([], pa.binary())] * 3
+            kept = [*keys, "block", "blocks"]
+            yield pa.RecordBatch.from_arrays([*(batch.column(c) for c in kept), *columns], [*kept, "bins", "folds", "sums"])
+
+    numbers = [T.StructField(c, T.LongType()) for c in ("block", "blocks")]
+    binary = [T.StructField(c, T.BinaryType()) for c in ("bins", "folds", "sums")]
+    blocks = stage(listed.mapInArrow(pack, T.StructType([*of_keys, *numbers, *binary])), "tree-blocks")
+    settings = growth.batches()
+    first = F.explode(F.array(*[F.lit(i) for i in settings])).alias("first")
+    spread, means = blocks.select("*", held).select("*", first), stage(means, "tree-means")
+    started = spread.join(means, _same(spread, means, [*keys, "held"]), "left").select(
+        *[spread[c] for c in [*keys, "held", "first", "block", "blocks", "bins", "folds", "sums"]], F.coalesce("mean", F.lit(0.0)).alias("mean")
+    )
 
-    binary = [T.StructField(c, T.BinaryType()) for c in ("bins", "folds", "sums", "pred")]
-    numbers = [T.StructField("held", T.IntegerType()), T.StructField("block", T.LongType()), T.StructField("blocks", T.LongType())]
-    schema = T.StructType([*of_keys, *numbers, *binary])
-    return started.repartition(*keys, "held", "block").mapInArrow(pack, schema)
+    def start(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            rows = zip(batch.column("first").to_pylist(), batch.column("folds"), batch.column("mean").to_pylist())
+            preds = [np.full(len(settings[i].alphas) * len(fold.as_buffer()) // 4, mean).tobytes() for i, fold, mean in rows]
+            names = [c for c in batch.schema.names if c != "mean"]
+            yield pa.RecordBatch.from_arrays([*(batch.column(c) for c in names), pa.array(preds, pa.binary())], [*names, "pred"])
+
+    whole = T.StructType([*started.drop("mean").schema.fields, T.StructField("pred", T.BinaryType())])
+    return dealt(started, *keys, "held", "first", "block").mapInArrow(start, whole)
 
 
 # --- boosting -------------------------------------------------------------------------------
@@ -245,14 +285,14 @@ class Booster:
     """The blocks of all groups and the jobs that grow trees on them."""
 
     def __init__(self, blocks: DataFrame, keys: Sequence[str], folds: int, growth: Growth):
-        self.group, self.folds, self.growth = [*keys, "held"], folds, growth
+        self.group, self.folds, self.batches = [*keys, "held", "first"], folds, growth.batches()
         self.fields = [f for f in blocks.schema.fields if f.name in self.group]
         started = stage(blocks, "tree-start")
         self.alone = started.filter("blocks = 1")
         self.blocks, self.path = started.filter("blocks > 1"), None
         self.groups = stage(self.blocks.select(*self.group).distinct(), "tree-groups")
         self.many = self.groups.count()
-        self.small = self.many * growth.tree_bytes <= broadcast_limit(blocks)
+        self.small = self.many * max(g.tree_bytes for g in self.batches.values()) <= broadcast_limit(blocks)
 
     def grow(self, trees: int) -> None:
         for _ in range(trees if self.many else 0):
@@ -261,21 +301,17 @@ class Booster:
 
     def _grown_alone(self, trees: int) -> DataFrame:
         """All trees of the groups that are one block."""
-        growth, folds = self.growth, self.folds
+        settings, folds = self.batches, self.folds
 
         def grow(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             for batch in batches:
                 preds = []
                 for row in batch.to_pylist():
+                    growth = settings[row["first"]]
                     block = Block(growth, {**row, "test_fold": folds})
                     for _ in range(trees):
-                        tree = Tree(growth)
-                        node = tree.route(block.bins, 0)
-                        for level in range(growth.depth):
-                            tree.split(level, block.sums(growth, node, level))
-                            node = tree.step(block.bins, node)
-                        block.add(tree, node)
-                    preds.append(block.pred.tobytes())
+                        block.add_grown(growth)
+                    preds.append(block.octets())
                 yield _with_pred(batch, preds)
 
         return dealt(self.alone, *self.group).mapInArrow(grow, self.alone.schema)
@@ -291,7 +327,7 @@ class Booster:
         return self.blocks.join(rows, _same(self.blocks, rows, self.group)).select(*[self.blocks[c] for c in self.blocks.columns], "tree")
 
     def _split(self, trees: DataFrame, level: int) -> DataFrame:
-        growth, group, folds = self.growth, self.group, self.folds
+        settings, group, folds = self.batches, self.group, self.folds
 
         def add_up(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             held: dict[tuple, list] = {}
@@ -308,6 +344,7 @@ class Booster:
                 types = [*(batch.schema.field(c).type for c in group), pa.binary(), pa.binary()]
                 for row in batch.to_pylist():
                     key = tuple(row[c] for c in group)
+                    growth = settings[row["first"]]
                     block = Block(growth, {**row, "test_fold": folds})
                     sums = block.sums(growth, Tree(growth, row["tree"]).route(block.bins, level), level)
                     if key in held:
@@ -326,6 +363,7 @@ class Booster:
                 tree = batch.column("tree")[0].as_py()
                 for sums in batch.column("sums"):
                     total = total + np.frombuffer(sums.as_py(), float)
+            growth = settings[first.column("first")[0].as_py()]
             grown = Tree(growth, tree)
             shape = 2, growth.features, len(growth.alphas), 1 << level, growth.bins
             grown.split(level, total.reshape(shape))
@@ -337,34 +375,36 @@ class Booster:
 
     def add_tree(self) -> None:
         """One job: a level is a sum over the blocks of every group, the end adds the leaves."""
-        growth, folds = self.growth, self.folds
+        settings, folds = self.batches, self.folds
         trees = self.groups.withColumn("tree", F.lit(b""))
-        for level in range(growth.depth):
+        for level in range(next(iter(settings.values())).depth):
             trees = self._split(trees, level)
 
         def step(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             for batch in batches:
                 preds = []
                 for row in batch.to_pylist():
+                    growth = settings[row["first"]]
                     block = Block(growth, {**row, "test_fold": folds})
                     tree = Tree(growth, row["tree"])
                     block.add(tree, tree.route(block.bins, growth.depth))
-                    preds.append(block.pred.tobytes())
+                    preds.append(block.octets())
                 yield _with_pred(batch, preds)
 
         self.blocks, self.path = stage_instead(self._with(trees).mapInArrow(step, self.blocks.schema), "tree-state", self.path)
 
     def errors(self) -> DataFrame:
         """Mean squared errors ``(group, setting, held_mse, test_mse, train_mse)`` of every setting."""
-        growth, group, folds = self.growth, self.group, self.folds
+        settings, folds = self.batches, self.folds
+        group = self.group[:-1]
         parts = ("in_fold", "test", "train")
 
         def loss(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             for batch in batches:
-                for i, row in enumerate(batch.to_pylist()):
-                    block = Block(growth, {**row, "test_fold": folds})
+                for row in batch.to_pylist():
+                    block = Block(settings[row["first"]], {**row, "test_fold": folds})
                     by_cell = block.syy - 2 * block.pred * block.sy + block.n * block.pred**2
-                    columns = [pa.array(np.arange(len(growth.alphas)), pa.int32())]
+                    columns = [pa.array(row["first"] + np.arange(len(by_cell)), pa.int32())]
                     for part in parts:
                         mask = getattr(block, part)
                         columns += [pa.array(by_cell[:, mask].sum(axis=1)), pa.array(np.full(len(by_cell), block.n[mask].sum()))]
@@ -372,19 +412,20 @@ class Booster:
                     yield pa.RecordBatch.from_arrays([*key, *columns], schema.names)
 
         values = [T.StructField(f"{p}_{c}", T.DoubleType()) for p in parts for c in ("loss", "n")]
-        schema = T.StructType([*self.fields, T.StructField("setting", T.IntegerType()), *values])
+        schema = T.StructType([*self.fields[:-1], T.StructField("setting", T.IntegerType()), *values])
         names = {"in_fold": "held_mse", "test": "test_mse", "train": "train_mse"}
         return self.blocks.mapInArrow(loss, schema).groupBy(*group, "setting").agg(
             *[F.expr(f"sum({p}_loss) / nullif(sum({p}_n), 0)").alias(names[p]) for p in parts]
         )
 
     def predictions(self) -> DataFrame:
-        """``(keys, fold, bin, pred)`` of the fits on every fold: predictions of all settings for each cell."""
-        growth, group = self.growth, self.group[:-1]
+        """``(keys, first, fold, bin, pred)`` of the fits on every fold: predictions of a batch of settings for each cell."""
+        settings, group = self.batches, [c for c in self.group if c != "held"]
 
         def unpack(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             for batch in batches:
                 for row in batch.to_pylist():
+                    growth = settings[row["first"]]
                     bins = np.frombuffer(row["bins"], np.int16).reshape(growth.features, -1).T.astype(np.int32)
                     fold = np.frombuffer(row["folds"], np.int32)
                     pred = np.frombuffer(row["pred"], float).reshape(len(growth.alphas), -1).T
@@ -503,7 +544,8 @@ def boosted_predictions(
     scores, refit = _chosen(booster, keys, penalties)
     scores, refit = stage(scores, "tree-scores"), stage(refit, "tree-refit")
     cells = booster.predictions().filter(F.col("fold") == folds).drop("fold")
-    of_best = attach(cells, refit.select(*keys, "setting"), keys).selectExpr(*keys, "bin", "get(pred, setting) as prediction")
+    of_best = attach(cells, refit.select(*keys, "setting"), keys).filter("setting >= first and setting < first + size(pred)")
+    of_best = of_best.selectExpr(*keys, "bin", "pred[setting - first] as prediction")
     test = binned.filter("is_test")
     predicted = attach(test, stage(of_best, "tree-predictions"), [*keys, "bin"]).drop("bin")
     return predicted, _metric_rows(scores, refit, keys, "boosted_trees", "best_penalty", "%.0e")
