@@ -171,6 +171,26 @@ def test_lowess_in_blocks_is_the_same(spark, monkeypatch):
     assert np.allclose(first["fitted"], _direct_lowess(*data[data["g"] == "w"][["x", "y"]].to_numpy().T, 1 / 5), atol=1e-8)
 
 
+def test_lowess_joins_repeat_only_hot_knots(spark, monkeypatch):
+    """Beyond the broadcast limit rows of rare x take a plain join, those of a hot x a salted one; the fits stay."""
+    data = pd.concat([_wave(400), _wave(300, seed=7).assign(g=None)])
+    data.loc[data["id"] < 60, "x"] = 2.0
+    rows = spark.createDataFrame(data, "g string, id long, x double, y double")
+    whole = lowess.lowess_smooth(rows, ["g"], [1 / 5, 1 / 2]).toPandas().sort_values(["frac", "g", "id"])
+    before = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    repeated, attach = [], lowess.attach
+    monkeypatch.setattr(lowess, "HOT_ROWS", 50)
+    monkeypatch.setattr(lowess, "attach", lambda rows, stats, *more, salts=None, **how: (
+        None if salts == 1 or "x" not in more[0] else repeated.append(stats.count()), attach(rows, stats, *more, salts=salts, **how))[1])
+    try:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "1")
+        cut = lowess.lowess_smooth(rows, ["g"], [1 / 5, 1 / 2]).toPandas().sort_values(["frac", "g", "id"])
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", before)
+    assert len(whole) == 1400 and np.allclose(whole["fitted"], cut["fitted"], atol=1e-9)
+    assert max(repeated) == 4  # the hot x of both groups, for each span
+
+
 def test_lowess_without_weight_keeps_the_value(spark):
     rng = np.random.default_rng(4)
     y = rng.normal(size=60) * 0.01

@@ -26,10 +26,11 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, functions as F, types as T
 
 from tickloom.operators.aggregate import exact_median
-from tickloom.operators.skew import attach, dealt, with_row_index
-from tickloom.session import stage
+from tickloom.operators.skew import attach, broadcast_limit, dealt, planned_bytes, with_row_index
+from tickloom.session import stage, stage_instead
 
 BLOCK_KNOTS = 1024  # least knots of a block
+HOT_ROWS = 10_000  # a knot of more rows is not joined in one task
 LEAF_KNOTS = 32
 ROUNDING = 1e-12  # of the largest |y|: errors below it are rounding, not scatter
 INNER, OUTER = 0.001, 0.999  # parts of the radius with full weight and without weight
@@ -42,7 +43,9 @@ KNOT = np.dtype([("x", float), ("n", float), ("s", float), ("t", float)])
 
 
 def _powers(values: np.ndarray) -> np.ndarray:
-    return values[:, None] ** np.arange(POWERS)
+    found = np.ones((len(values), POWERS))
+    found[:, 1:] = values[:, None]
+    return np.cumprod(found, axis=1, out=found)
 
 
 def _moved(moments: np.ndarray, a: np.ndarray, b: np.ndarray) -> np.ndarray:
@@ -276,9 +279,17 @@ class _Smoother:
         counted = rows.groupBy(*keys, "x").agg(F.count("*").alias("n"), F.max(F.abs("y")).alias("largest"))
         numbered = with_row_index(counted, ["x"], keys, "__place")
         sizes = numbered.groupBy(*keys).agg(F.greatest(F.ceil(F.sqrt(F.count("*"))), F.lit(BLOCK_KNOTS)).alias("__size"))
-        knots = attach(numbered, sizes, keys).withColumn("block", F.expr("__place div __size"))
-        # the number of a row's block goes with it through all passes
-        self.rows = stage(attach(rows, knots.select(*keys, "x", "block"), [*keys, "x"]), "lowess-rows")
+        knots = stage(attach(numbered, sizes, keys).withColumn("block", F.expr("__place div __size")), "lowess-knots")
+        # the number of a row's block goes with it through all passes, and whether its knot is hot
+        place = knots.select(*keys, "x", "block", (knots["n"] > HOT_ROWS).alias("hot"))
+        on = [*keys, "x"]
+        if planned_bytes(place) <= broadcast_limit(rows):
+            placed = attach(rows, place, on)
+        else:
+            known = attach(rows, stage(place.filter("hot"), "lowess-hot"), on, "left")
+            cold = attach(known.filter("hot is null").drop("block", "hot"), place, on, salts=1)
+            placed = known.filter("hot").unionByName(cold)
+        self.rows, self.old = stage(placed, "lowess-rows"), None
         layout = knots.groupBy(*keys, "block").agg(
             F.min("x").alias("low"), F.max("x").alias("high"), F.sum("n").alias("rows"), F.max("largest").alias("largest")
         )
@@ -359,7 +370,24 @@ class _Smoother:
         return fitted.withColumn("fit", F.nanvl("fit", F.lit(None).cast("double")))
 
     def scored(self, fits: DataFrame) -> DataFrame:
-        return attach(self.spread(), fits, [*self.group, "block", "x"]).withColumn("fitted", F.coalesce("fit", "y"))
+        """All rows with the fit of their knot: the rows of a hot knot are spread over tasks, the others joined plainly."""
+        on = [*self.group, "block", "x"]
+        if planned_bytes(fits) <= broadcast_limit(fits):
+            joined = attach(self.spread(), fits, on)
+        else:
+            # only fits of hot knots are repeated, so few; all of them are joined to the other rows
+            hot = self.rows.filter("hot").select(*self.keys, "block", "x").distinct()
+            few = stage(attach(hot.select("*", self.spans), fits, on, salts=1), "lowess-hot-fits")
+            joined = attach(self.spread().filter("hot"), few, on).unionByName(attach(self.spread().filter("not hot"), fits, on, salts=1))
+        return joined.withColumn("fitted", F.coalesce("fit", "y"))
+
+    def errors(self, fits: DataFrame) -> DataFrame:
+        """All rows with their ``error`` in shares of the largest |y|; written once where the fits took a join of all rows."""
+        share = F.abs(F.col("y") - F.col("fitted")) / F.col("largest")
+        found = self.scored(fits).withColumn("error", F.when(F.col("largest") > 0, share).otherwise(0.0))
+        if planned_bytes(fits) > broadcast_limit(fits):
+            found, self.old = stage_instead(found.select(*self.group, "block", "x", "y", "error"), "lowess-errors", self.old)
+        return found
 
 
 def lowess_smooth(
@@ -380,8 +408,7 @@ def lowess_smooth(
     group = smoother.group
     fits = stage(smoother.fit(smoother.spread(), F.lit(1.0)), "lowess-fit")
     for _ in range(iterations):
-        share = F.abs(F.col("y") - F.col("fitted")) / F.col("largest")
-        errors = smoother.scored(fits).withColumn("error", F.when(F.col("largest") > 0, share).otherwise(0.0))
+        errors = smoother.errors(fits)
         scale = exact_median(errors, group, "error").selectExpr(*group, f"case when median > {ROUNDING!r}D then 6 * median end as scale")
         u = F.col("error") / F.col("scale")
         weight = F.when(u > OUTER, 0.0).when(u < INNER, 1.0).otherwise((1 - u * u) * (1 - u * u))

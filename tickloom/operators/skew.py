@@ -34,7 +34,8 @@ def broadcast_limit(df: DataFrame) -> int:
     return int(digits[:-1]) * units[digits[-1]] if digits[-1:] in units else int(digits)
 
 
-def _planned_bytes(df: DataFrame) -> int:
+def planned_bytes(df: DataFrame) -> int:
+    """What Spark expects ``df`` to take."""
     return int(str(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()))
 
 
@@ -56,7 +57,7 @@ def attach(
     added = [f"`{c}`" for c in stats.columns if c not in keys]
     same_key = " and ".join(f"`{k}` <=> `__{k}`" for k in keys)
     renamed = [f"`{k}` as `__{k}`" for k in keys]
-    if salts == 1 or _planned_bytes(stats) <= broadcast_limit(rows):
+    if salts == 1 or planned_bytes(stats) <= broadcast_limit(rows):
         joined = rows.join(stats.selectExpr(*renamed, *added), F.expr(same_key), how)
         return joined.selectExpr(*[f"`{c}`" for c in rows.columns], *added)
     right = stats.selectExpr(*renamed, *added, f"explode(sequence(0, {salts - 1})) as __salt_r").hint("merge")
