@@ -8,6 +8,7 @@ import hashlib
 import re
 
 import numpy as np
+import pandas as pd
 import pyarrow as pa
 import public_tokenizers
 import pytest
@@ -315,6 +316,28 @@ def test_ranking_of_odd_rows(spark, odd_docs, tables):
     assert {r["score"] for r in ranking.score(odd_docs, labels.filter("quality = 1"), F.lit(True)).collect()} == {0.5}
 
 
+def test_ranking_fits_on_every_label(spark):
+    """The teams hold every labelled row, the fit is that of a direct loop over them, the threshold the exact quantile."""
+    rng = np.random.default_rng(8)
+    n = 24_000
+    data = pd.DataFrame({"doc_id": np.arange(n), "label": (rng.random(n) < 0.3).astype(int)})
+    x = rng.normal(size=(n, len(ranking.FEATURES))) + data["label"].to_numpy()[:, None] * 0.2
+    rows = spark.createDataFrame(data.assign(x=list(x)), "doc_id long, label int, x array<double>")
+    good = data["label"].to_numpy() == 1
+    teams = ranking._teams(rows, {0: int((~good).sum()), 1: int(good.sum())}).toPandas()
+    seen = [np.concatenate(teams[c].tolist()).reshape(-1, x.shape[1]) for c in ("good", "bad")]
+    assert len(seen[0]) == len(seen[1]) == (~good).sum()
+    for mine, all_ in zip(seen, (x[good], x[~good])):
+        assert np.array_equal(np.unique(mine[:, 0]), np.unique(all_[:, 0]))
+    model = ranking.fit(rows)
+    slope = 1e-3 * model.weights * x.std(axis=0) ** 2 * sum(len(g) * len(b) for g, b in zip(teams["good"], teams["bad"])) / x.shape[1] ** 2
+    for g, b in zip(*[teams[c].map(lambda v: np.reshape(v, (-1, x.shape[1]))) for c in ("good", "bad")]):
+        d = (g[:, None] - b[None]).reshape(-1, x.shape[1])
+        slope -= d.T @ (1 / (1 + np.exp(d @ model.weights)))
+    assert np.abs(slope).max() < 1e-3
+    assert model.threshold == pytest.approx(np.sort(x @ model.weights)[(~good).sum() - 1], abs=1e-12)
+
+
 # 9 quality rules
 
 
