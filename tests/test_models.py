@@ -357,3 +357,44 @@ def test_task_helpers_need_no_installed_package(tmp_path):
     path.write_bytes(cloudpickle.dumps([linear.penalised_line, linear.Moments, lowess._block_fits]))
     code = "import pickle; pickle.load(open('helpers', 'rb'))"
     subprocess.run([sys.executable, "-c", code], cwd=tmp_path, check=True)
+
+
+def test_weak_penalties_share_their_row_counts(monkeypatch):
+    rng = np.random.default_rng(5)
+    n = 300
+    growth = trees.Growth((1e-9, 1e-8, 1e-7, 30.0), (0.0,) * 4, 2, 8, 3, 0.3, 1.0)
+    row = {
+        "folds": np.zeros(n, np.int32).tobytes(), "test_fold": 2, "held": 1, "bins": rng.integers(0, 8, (2, n)).astype(np.int16).tobytes(),
+        "sums": np.stack([rng.integers(1, 4, n), rng.normal(size=n) * 9, rng.random(n)]).tobytes(), "pred": np.zeros(4 * n).tobytes(),
+    }
+    calls = []
+    bincount = np.bincount
+    monkeypatch.setattr(trees.np, "bincount", lambda *a, **k: calls.append(1) or bincount(*a, **k))
+    block = trees.Block(growth, row)
+    root = block.sums(growth, trees.Tree(growth).route(block.bins, 0), 0)
+    assert len(calls) == 4 * 2 + 2  # gradients of four settings and two features, rows of two features
+    assert (root[1] == root[1][:, :1]).all()
+    for _ in range(4):
+        block.add_grown(growth)
+    for setting in range(4):
+        alone = trees.replace(growth, alphas=growth.alphas[setting : setting + 1], gains=(0.0,))
+        one = trees.Block(alone, {**row, "pred": np.zeros(n).tobytes()})
+        for _ in range(4):
+            one.add_grown(alone)
+        assert (one.pred[0] == block.pred[setting]).all()
+
+
+def test_a_few_queries_are_searched_by_all_cores(spark, monkeypatch):
+    rng = np.random.default_rng(6)
+    data = pd.DataFrame({"g": "a", "f1": rng.random(400), "f2": rng.random(400), "id": range(400), "y": rng.random(400)})
+    files, stage = {}, knn.stage
+
+    def seen(df, label, *rest):
+        staged = stage(df, label, *rest)
+        files[label] = len(staged.inputFiles())
+        return staged
+
+    monkeypatch.setattr(knn, "stage", seen)
+    table = spark.createDataFrame(data)
+    knn.nearest_neighbours(table, table, ["g"], ["f1", "f2"], "id", "y", 3).count()
+    assert files["knn-queries"] > 1

@@ -15,7 +15,7 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from tickloom.operators.features import fit_minmax
-from tickloom.operators.skew import attach
+from tickloom.operators.skew import attach, dealt
 from tickloom.session import stage
 
 _GRID = 64  # most cuts made at one level
@@ -152,8 +152,10 @@ def nearest_neighbours(
         "knn-sample",
     )
 
+    # a query looks through many points, so a few bytes of queries are work for all cores
     asked = stage(
-        attach(queries.filter(complete).select(*keys, *features).distinct(), ranges, keys), "knn-queries"
+        dealt(attach(queries.filter(complete).select(*keys, *features).distinct(), ranges, keys), *keys, *features),
+        "knn-queries",
     )
     bounded = asked.withColumn("path", F.lit("")).withColumn("bound", F.lit(float("inf")))
     for depth, nodes in enumerate(levels):

@@ -17,13 +17,13 @@ def salt_count(df: DataFrame) -> int:
     return max(16, min(200, partitions // 8))
 
 
-def dealt(df: DataFrame, *keys: str) -> DataFrame:
-    """Rows of equal keys together, over several tasks for each core even where the rows are few.
+def dealt(df: DataFrame, *keys: str, each: int = 2) -> DataFrame:
+    """Rows of equal keys together, over several tasks (``each``) for each core even where the rows are few.
 
     For work that is heavy beside its input; adaptive planning would put small inputs into one task.
     """
     partitions = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    return df.repartition(max(partitions, 2 * df.sparkSession.sparkContext.defaultParallelism), *keys)
+    return df.repartition(max(partitions, each * df.sparkSession.sparkContext.defaultParallelism), *keys)
 
 
 def broadcast_limit(df: DataFrame) -> int:

@@ -116,12 +116,23 @@ class Tree:
 
     def step(self, bins: np.ndarray, node: np.ndarray) -> np.ndarray:
         """Nodes (setting, cell) one level on; a cell stays where no split is."""
-        moved, cells, flat = np.empty_like(node), np.arange(bins.shape[1]), bins.ravel()
-        for here, on, features, cuts in zip(node, moved, self.feature.astype(np.int64), self.cut):
-            at = np.minimum(here, len(features) - 1)
-            feature = features.take(at)
-            high = flat.take(np.maximum(feature, 0) * len(cells) + cells) > cuts.take(at)
-            on[:] = np.where((feature >= 0) & (at == here), 2 * here + 1 + high, here)
+        shape, cells, flat = self.value.shape, np.arange(bins.shape[1]), bins.ravel()
+        split = self.feature >= 0
+        # by node: its first child, the line of its feature in ``flat`` and its cut; where no split is, itself and no bin above
+        on, line, cut = np.tile(np.arange(shape[1]), (shape[0], 1)), np.zeros(shape, np.int64), np.full(shape, np.iinfo(np.int16).max, np.int64)
+        inner = slice(0, self.growth.nodes)
+        on[:, inner] = np.where(split, 2 * on[:, inner] + 1, on[:, inner])
+        line[:, inner] = np.where(split, self.feature, 0).astype(np.int64) * len(cells)
+        cut[:, inner] = np.where(split, self.cut, cut[:, inner])
+        moved = np.empty_like(node)
+        tables = np.stack([on, line, cut], axis=1)
+        for setting, here in enumerate(node):
+            if setting and np.array_equal(tables[setting], tables[setting - 1]) and np.array_equal(here, node[setting - 1]):
+                moved[setting] = moved[setting - 1]
+                continue
+            place = line[setting].take(here)
+            place += cells
+            np.add(on[setting].take(here), flat.take(place) > cut[setting].take(here), out=moved[setting])
         return moved
 
     def route(self, bins: np.ndarray, levels: int) -> np.ndarray:
@@ -156,14 +167,20 @@ class Block:
         size = nodes * width
         found = np.zeros((2, growth.features, len(growth.alphas), size))
         bins, rows = self.bins[:, :trained], self.n[:trained]
+        places = None
         for setting, (here, pred) in enumerate(zip(node[:, :trained], self.pred)):
-            # cells that stopped further up fall into one more node, which is left out
-            slot = np.where(here >= nodes - 1, here - (nodes - 1), nodes) * width
             gradient = rows * pred[:trained] - self.sy[:trained]
-            for feature, b in enumerate(bins):
-                at = slot + b
+            # weak penalties mostly split alike: the rows of equal nodes are counted once
+            alike = places is not None and np.array_equal(here, node[setting - 1, :trained])
+            if not alike:
+                # cells that stopped further up fall into one more node, which is left out
+                places = np.where(here >= nodes - 1, here - (nodes - 1), nodes) * width + bins
+            for feature, at in enumerate(places):
                 found[0, feature, setting] = np.bincount(at, weights=gradient, minlength=size)[:size]
-                found[1, feature, setting] = np.bincount(at, weights=rows, minlength=size)[:size]
+                if not alike:
+                    found[1, feature, setting] = np.bincount(at, weights=rows, minlength=size)[:size]
+            if alike:
+                found[1, :, setting] = found[1, :, setting - 1]
         return found.reshape(2, growth.features, len(growth.alphas), nodes, width)
 
     def add_grown(self, growth: Growth) -> None:
@@ -314,7 +331,8 @@ class Booster:
                     preds.append(block.octets())
                 yield _with_pred(batch, preds)
 
-        return dealt(self.alone, *self.group).mapInArrow(grow, self.alone.schema)
+        # a fit takes seconds whatever its bytes, and some penalties end at once: many tasks even out
+        return dealt(self.alone, *self.group, each=6).mapInArrow(grow, self.alone.schema)
 
     def _schema(self, *added: str) -> T.StructType:
         return T.StructType([*self.fields, *[T.StructField(c, T.BinaryType()) for c in added]])
