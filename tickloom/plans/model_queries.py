@@ -116,10 +116,12 @@ def knn_select_k(spark: SparkSession, folder: str) -> DataFrame:
     )
 
 
-def knn_choice(parts: DataFrame) -> DataFrame:
+def knn_choice(parts: DataFrame, predicted: DataFrame | None = None) -> DataFrame:
+    """``predicted`` are the test bars with the predictions from all training bars, where these are at hand."""
     train, test = parts.filter(~F.col("is_test")), parts.filter("is_test")
     in_fitting = minute_number() % 10 < 5
-    on_test = stage(knn.knn_errors(_predicted(train, test), ["symbol"], "close", NEIGHBOURS), "knn-errors")
+    predicted = _predicted(train, test) if predicted is None else predicted
+    on_test = stage(knn.knn_errors(predicted, ["symbol"], "close", NEIGHBOURS), "knn-errors")
     on_validation = knn.knn_errors(
         _predicted(train.filter(in_fitting), train.filter(~in_fitting)), ["symbol"], "close", NEIGHBOURS
     )
@@ -469,12 +471,11 @@ def later_bars(spark: SparkSession, folder: str) -> DataFrame:
     return stage(rows.kfold(parted, F.floor(minute_number() / 10), 5), "later-bars")
 
 
-def _linear_and_near(parts: DataFrame, k: DataFrame | int) -> DataFrame:
-    """Test bars with the predictions of the elastic net and of the nearest neighbours."""
+def _linear_and_near(parts: DataFrame, near: DataFrame, k: DataFrame | int) -> DataFrame:
+    """Test bars with the predictions of the elastic net and, from those in ``near``, of the nearest neighbours."""
     test = parts.filter("is_test")
     fitted = linear.elastic_net(parts, ["symbol"], FEATURES, "close")
     line = linear.predict(test.select("symbol", "date", "close", *FEATURES), fitted, ["symbol"], FEATURES)
-    near = _predicted(parts.filter(~F.col("is_test")), test)
     near = attach(near, k, ["symbol"], salts=1) if isinstance(k, DataFrame) else near.withColumn("k", F.lit(k))
     chosen = near.selectExpr("symbol", "date", f"element_at(array({', '.join(f'pred_{i}' for i in range(1, NEIGHBOURS + 1))}), k) as knn")
     return line.selectExpr("symbol", "date", "close", "prediction as elastic_net").join(chosen, ["symbol", "date"])
@@ -513,7 +514,8 @@ def paired_comparison(spark: SparkSession, folder: str) -> DataFrame:
     parts = later_bars(spark, folder)
     indexed = parts.select("symbol", "row_idx", "is_test", "date", "close")
     previous = indexed.selectExpr("symbol", "row_idx + 1 as row_idx", "close as persistence")
-    table = _linear_and_near(parts, NEIGHBOURS).join(
+    near = _predicted(parts.filter(~F.col("is_test")), parts.filter("is_test"))
+    table = _linear_and_near(parts, near, NEIGHBOURS).join(
         indexed.filter("is_test").select("symbol", "row_idx", "date").join(previous, ["symbol", "row_idx"]), ["symbol", "date"]
     )
     return _compared(table, _SIMPLE)
@@ -523,11 +525,13 @@ def paired_comparison(spark: SparkSession, folder: str) -> DataFrame:
 def model_comparison(spark: SparkSession, folder: str) -> DataFrame:
     """All models on the same later bars: errors, the best and how sure it is, and whether the counts are streamed."""
     parts = later_bars(spark, folder)
-    choice = knn_choice(parts).filter("chosen_on = 'validation'").select("symbol", "k")
+    # the errors of the choice and the table take the same predictions
+    near = stage(_predicted(parts.filter(~F.col("is_test")), parts.filter("is_test")), "knn-predicted")
+    choice = knn_choice(parts, near).filter("chosen_on = 'validation'").select("symbol", "k")
     boosted, _ = trees.boosted_predictions(parts.select("symbol", "date", "is_test", "fold", *FEATURES, "close"), ["symbol"], FEATURES, "close")
     forecast = linear.sequence_forecast(parts, ["symbol"], ["date"], "close", reservoir=Reservoir())
     table = (
-        _linear_and_near(parts, stage(choice, "chosen-k"))
+        _linear_and_near(parts, near, stage(choice, "chosen-k"))
         .join(boosted.selectExpr("symbol", "date", "prediction as boosted_trees"), ["symbol", "date"])
         .join(forecast.selectExpr("symbol", "date", "forecast as sequence", "persistence"), ["symbol", "date"])
     )
