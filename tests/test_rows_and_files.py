@@ -420,3 +420,17 @@ def test_exact_share_of_every_key(spark, parts):
 def test_exact_share_beyond_the_sketch(spark):
     got = rows.split_exact(spark.range(250_000), ["id"], 0.3).agg(F.count_if("is_test")).first()[0]
     assert got == 75_000
+
+
+def test_ranks_of_large_groups_multiply_no_rows(spark, monkeypatch):
+    monkeypatch.setattr(aggregate, "SKETCH_ACCURACY", 100)
+    rng = np.random.default_rng(9)
+    data = pd.DataFrame({"k": rng.choice(["a", "b"], 4000, p=[0.9, 0.1]), "v": np.round(rng.normal(size=4000), 2)})
+    found = aggregate.exact_ranks(spark.createDataFrame(data), ["k"], "v", aggregate.QUARTILES)
+    plan = found._jdf.queryExecution().optimizedPlan().toString()
+    # the values are counted before the ranks' bounds are laid beside them
+    assert "Aggregate" in plan[plan.index("Generate") :]
+    got = found.toPandas().set_index("k")["at"]
+    for key, part in data.groupby("k"):
+        values = np.sort(part["v"].to_numpy())
+        assert list(got[key]) == [values[int(np.ceil(p * len(values))) - 1] for p in (0.25, 0.5, 0.75)]

@@ -59,12 +59,26 @@ def exact_ranks(
         *keys,
         f"""array({', '.join(f"struct({j} as place, {rank} as rank, __q[{3 * j}] as low, __q[{3 * j + 2}] as high)" for j, (_, rank) in enumerate(ranks))}) as __bounds""",
     )
+    # one row for each value: from which ranks' bounds on it lies, and itself where it lies within any
+    reached = " | ".join(f"if(__v >= __q[{3 * j}], {1 << j}, 0)" for j in places)
+    within = " or ".join(f"__v between __q[{3 * j}] and __q[{3 * j + 2}]" for j in places)
+    below = " or ".join(f"__v <= __q[{3 * j + 2}]" for j in places)
+    values = (
+        attach(known, large.select(*keys, "__q"), keys)
+        .filter(below)
+        .selectExpr(*keys, f"{reached} as __reached", f"if({within}, __v, null) as __v")
+        .groupBy(*keys, "__reached", "__v")
+        .agg(F.count("*").alias("__c"))
+    )
     counted = (
-        attach(known, bounds, keys)
-        .selectExpr(*keys, "__v", "explode(filter(__bounds, b -> __v <= b.high)) as __b")
-        .selectExpr(*keys, "__b.place as __place", "__b.rank as __rank", "if(__v >= __b.low, __v, null) as __v")
+        attach(values, bounds, keys)
+        .selectExpr(
+            *keys, "__v", "__c",
+            "explode(filter(__bounds, b -> if(__v is null, getbit(__reached, b.place) = 0, __v <= b.high))) as __b",
+        )
+        .selectExpr(*keys, "__b.place as __place", "__b.rank as __rank", "if(__v >= __b.low, __v, null) as __v", "__c")
         .groupBy(*keys, "__place", "__rank", "__v")
-        .agg(F.count("*").alias("__c"))
+        .agg(F.sum("__c").alias("__c"))
     )
     order = ", ".join([f"`{k}`" for k in keys] + ["__place"])
     ranked = counted.selectExpr("*", f"sum(__c) over (partition by {order} order by __v nulls first) as __upto")

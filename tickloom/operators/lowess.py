@@ -408,6 +408,8 @@ def lowess_smooth(
     for _ in range(iterations):
         errors = smoother.errors(fits)
         scale = exact_median(errors, group, "error").selectExpr(*group, f"case when median > {ROUNDING!r}D then 6 * median end as scale")
+        # both uses below would rank all errors anew
+        scale = stage(scale, "lowess-scale")
         u = F.col("error") / F.col("scale")
         weight = F.when(u > OUTER, 0.0).when(u < INNER, 1.0).otherwise((1 - u * u) * (1 - u * u))
         weighted = attach(errors, scale.filter("scale is not null"), group).withColumn("robust", weight)
