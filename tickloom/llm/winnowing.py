@@ -26,7 +26,8 @@ from tickloom.session import stage
 
 WIDTH = 10
 GRAM = 5
-WORD = r"[^\x00-\x2F\x3A-\x60\x7B-\x7F]+"
+# [^\x00-\x2F\x3A-\x60\x7B-\x7F]+ with each character by itself: Java looks these up in one table, ranges one after another
+WORD = "[^" + "".join(f"\\x{c:02X}" for c in range(128) if not (0x30 <= c <= 0x39 or 0x61 <= c <= 0x7A)) + "]+"
 KEYS = ["key_a", "key_b"]
 
 
