@@ -387,3 +387,16 @@ def test_an_often_wrong_rule_is_outvoted(spark, rate):
         assert all(model[kind][1][r.name][0] == pytest.approx(sound, abs=0.03) for r in rules[1:])
     p_good = {tuple(r)[:5]: r["p_good"] for r in weak_rules._p_good(counts, model, rules).collect()}
     assert p_good[-1, 1, 1, 1, 1] > 0.99 and p_good[1, -1, -1, -1, 1] < 0.01
+
+
+def test_benchmark_words_by_a_table_of_characters():
+    assert "-" not in winnowing.WORD
+    ranges = re.compile(r"[^\x00-\x2F\x3A-\x60\x7B-\x7F]")
+    single = re.compile(winnowing.WORD)
+    assert all(bool(ranges.fullmatch(chr(c))) == bool(single.fullmatch(chr(c))) for c in range(0x3000))
+
+
+def test_anchors_are_found_once(spark):
+    docs = spark.createDataFrame([(i, "abc def " * 60 + str(i)) for i in range(4)], "doc_id long, text string")
+    plan = suffix_dedup.repeated_spans(docs)._jdf.queryExecution().optimizedPlan().toString()
+    assert plan.count("MapInArrow") == 1  # the stretches; anchors are read back
