@@ -6,6 +6,7 @@ import base64
 import collections
 import hashlib
 import re
+import tracemalloc
 
 import numpy as np
 import pandas as pd
@@ -16,7 +17,7 @@ import tiktoken
 import xxhash
 from pyspark.sql import functions as F
 
-from tickloom.llm import bpe, phrases, queries, ranking, secrets, simhash, suffix_dedup, weak_rules, winnowing
+from tickloom.llm import anchors, bpe, phrases, queries, ranking, secrets, simhash, suffix_dedup, weak_rules, winnowing
 from tickloom.llm.queries import multilingual_ranks
 
 WORD = r"[^\x20\x09-\x0D]+"
@@ -133,6 +134,55 @@ def test_suffix_array(alphabet):
         assert suffix_dedup.suffix_array(symbols).tolist() == sorted(range(n), key=lambda i: symbols[i:].tolist())
 
 
+@pytest.mark.parametrize("most", [1 << 20, 1 << 30])
+def test_suffix_array_of_many_symbols(most):
+    draw = np.random.default_rng(5)
+    symbols = np.concatenate([draw.integers(1, most, 400)] * 3)[:-1]
+    assert suffix_dedup.suffix_array(symbols).tolist() == sorted(range(len(symbols)), key=lambda i: symbols[i:].tolist())
+
+
+def test_byte_anchors_by_hand():
+    """Runs at every length of text, equal grams and texts shorter than a window included."""
+    draw = np.random.default_rng(6)
+    texts = [bytes(draw.integers(97, 97 + a, n).astype(np.uint8)) for n in (0, 1, 19, 20, 21, 90, 400) for a in (1, 2, 20)]
+    octets = np.frombuffer(b"".join(texts), np.uint8)
+    offsets = np.cumsum([0, *map(len, texts)])
+    at = np.arange(len(octets) - 5)
+    hashes = anchors.span_hashes(octets, at, at + 6)
+    assert anchors.gram_hashes(octets, 6).tolist() == hashes.tolist()
+    expected = []
+    for t, begin in enumerate(offsets[:-1].tolist()):
+        last = None
+        for i in range(begin, begin + len(texts[t]) - 19):
+            place = min(range(i, i + 15), key=lambda j: (int(hashes[j]) >> 32, j))
+            if last is None or hashes[place] != hashes[last]:
+                expected.append([int(hashes[place]), i, 0, t, 0])
+            expected[-1][2] += 1
+            expected[-1][4] += last != place
+            if expected[-1][2] == 1:
+                expected[-1][4] = 1
+            last = place
+    assert [list(r) for r in zip(*(c.tolist() for c in anchors.byte_runs(octets, offsets, 20, 6)))] == expected
+
+
+def test_suffix_dedup_arrays_stay_few():
+    """What the work over bytes costs, read from the arrays alive at once: CPU time follows them."""
+    text = bytes(np.random.default_rng(7).integers(97, 123, 1 << 20).astype(np.uint8))
+    batch = pa.RecordBatch.from_pydict({"id": pa.array([*range(512)]), "key": pa.array([*range(512)]), "content": pa.array([text[i : i + 2048].decode() for i in range(0, 1 << 20, 2048)])})
+    stretches = [text[i : i + 700] for i in range(0, 1 << 18, 350)]
+
+    def peak(work):
+        work()  # what is cached
+        tracemalloc.start()
+        work()
+        most = tracemalloc.get_traced_memory()[1]
+        tracemalloc.stop()
+        return most
+
+    assert peak(lambda: collections.deque(suffix_dedup._anchor_rows([batch], 400, 32), maxlen=0)) < 16 * len(text)
+    assert peak(lambda: suffix_dedup.repeated_starts(stretches, 400)) < 110 * sum(map(len, stretches))
+
+
 def test_repeated_bytes(odd_docs):
     rows = [(r["text"] or "").encode() for r in odd_docs.collect()]
     starts = collections.Counter(t[i : i + 60] for t in rows for i in range(len(t) - 59))
