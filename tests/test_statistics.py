@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import math
+from fractions import Fraction
 
 import numpy as np
 import pandas as pd
@@ -246,3 +247,58 @@ def test_lowess_keeps_a_perfect_line(spark, parts):
     rows = spark.createDataFrame([("l", i, float(i), 3.0 * i) for i in range(30)], "g string, id int, x double, y double")
     got = lowess.lowess_smooth(rows.repartition(parts), ["g"], [1 / 3]).toPandas()
     assert np.allclose(got["fitted"], got["y"])
+
+
+def test_lowess_in_teams_is_the_same(spark, monkeypatch):
+    """Teams of neighbouring blocks, with single knots of some blocks and one sum for each run of the others, and a gap in x."""
+    data = pd.concat([_wave(800, seed=8), _wave(400, seed=9).assign(g=None)])
+    data.loc[data["x"] > 6, "x"] += 500.0
+    monkeypatch.setattr(lowess, "BLOCK_KNOTS", 12)
+    monkeypatch.setattr(lowess, "TEAMS", 2)
+    got = lowess.lowess_smooth(spark.createDataFrame(data, "g string, id long, x double, y double"), ["g"], [1 / 5, 1 / 2]).toPandas()
+    for group in ("w", None):
+        own = data[data["g"].isna() if group is None else data["g"] == group]
+        for span in (1 / 5, 1 / 2):
+            mine = got[(got["g"].isna() if group is None else got["g"] == group) & np.isclose(got["frac"], span)].sort_values("id")
+            assert np.allclose(mine["fitted"], _direct_lowess(*own[["x", "y"]].to_numpy().T, span), atol=1e-7)
+    x = np.sort(data["x"].to_numpy()[:800])
+    layout = pd.DataFrame([(b, v[0], v[-1], len(v)) for b, v in enumerate(np.split(x, range(12, 800, 12)))], columns=["block", "low", "high", "rows"])
+    for k in (160, 400):
+        sources, runs = lowess._teams(layout, k, 8, 2)
+        assert {s["source"] for s in sources if s["own"]} == set(layout["block"])
+        assert len(runs) <= 4 * len({s["team"] for s in sources})
+
+
+def test_fits_of_a_leaf_share_their_stretches(monkeypatch):
+    """The sums of stretches are moved a few times for each leaf, not some twenty times for each fit."""
+    draw = np.random.default_rng(2)
+    knots = np.zeros(16_000, lowess.KNOT)
+    knots["x"], knots["n"], knots["s"] = np.sort(draw.uniform(0, 1e8, len(knots))), 1, draw.uniform(0, 1, len(knots))
+    knots["t"] = knots["s"] * draw.normal(size=len(knots))
+    blocks = dict(enumerate(np.split(knots, range(1000, len(knots), 1000))))
+    layout = pd.DataFrame([(b, v["x"][0], v["x"][-1], v["n"].sum()) for b, v in blocks.items()], columns=["block", "low", "high", "rows"])
+    k = len(knots) // 3
+    raw = {s: blocks[s] for at, s in lowess._plan(layout, k) if at == 8}
+    rest = {s: (v["n"].sum(), lowess.Stretches.of_knots(v, np.zeros(1, int))) for s, v in blocks.items() if s not in raw}
+    moves, moved = [], lowess._moved
+    monkeypatch.setattr(lowess, "_moved", lambda moments, *to: (moves.append(moments.shape[1]), moved(moments, *to))[1])
+    got = lowess._block_fits(blocks[8], raw, rest, k)
+    assert np.allclose(got, _direct_fits(knots, k)[8000:9000], rtol=1e-9)
+    assert sum(moves) < 3 * len(got)
+
+
+def test_far_off_fit_keeps_its_spread():
+    """A knot without weight far from all others: the line comes from a spread that is a tiny part of the squared distance."""
+    draw = np.random.default_rng(3)
+    x = np.concatenate([[-30_000.0], np.sort(draw.normal(size=300)), [15_000.0, 18_000.0]])
+    knots = np.zeros(len(x), lowess.KNOT)
+    knots["x"], knots["n"], knots["s"] = x, 1, np.concatenate([[0.0], draw.uniform(0.1, 1, 300), [0.0, 0.0]])
+    knots["t"] = knots["s"] * (2 * x + draw.normal(size=len(x)))
+    got = lowess._block_fits(knots, {0: knots}, {}, 302)[0]
+    a0 = a1 = a2 = b0 = b1 = Fraction(0)
+    for at, s, t in zip(x[1:301], knots["s"][1:301], knots["t"][1:301]):
+        away = Fraction(at) - Fraction(x[0])
+        weight = (1 - (away / 45_000) ** 3) ** 3 * Fraction(s)
+        value = (1 - (away / 45_000) ** 3) ** 3 * Fraction(t)
+        a0, a1, a2, b0, b1 = a0 + weight, a1 + weight * away, a2 + weight * away**2, b0 + value, b1 + value * away
+    assert abs(got / float((a2 * b0 - a1 * b1) / (a0 * a2 - a1 * a1)) - 1) < 1e-9

@@ -16,7 +16,7 @@ sparse x whose neighbourhoods end all over a dense stretch reads that stretch.
 
 from __future__ import annotations
 
-from collections.abc import Iterator, Sequence
+from collections.abc import Sequence
 from dataclasses import dataclass
 from math import comb
 
@@ -24,18 +24,30 @@ import numpy as np
 import pandas as pd
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, functions as F, types as T
+from pyspark.sql.pandas.types import to_arrow_schema
 
 from tickloom.operators.aggregate import exact_median
 from tickloom.operators.skew import attach, broadcast_limit, dealt, planned_bytes, with_row_index
 from tickloom.session import stage, stage_instead
 
 BLOCK_KNOTS = 1024  # least knots of a block
+TEAM_BLOCKS, TEAMS = 8, 16  # most blocks fitted in one task, where a group has this many teams
 HOT_ROWS = 10_000  # a knot of more rows is not joined in one task
 LEAF_KNOTS = 32
+RAGGED = 12  # leaves at both ends of the neighbourhoods of a leaf that are added knot by knot
+AT_ONCE = 8  # leaves; their weights stay in the cache
+POOR = 1e-4  # spread of the places in shares of its largest value, below which sums are taken about the mean
 ROUNDING = 1e-12  # of the largest |y|: errors below it are rounding, not scatter
 INNER, OUTER = 0.001, 0.999  # parts of the radius with full weight and without weight
 POWERS = 12  # distances to the 11th: the weight has degree 9, a line needs two more
 _CHOOSE = [np.array([comb(q, p) for p in range(q + 1)], float) for q in range(POWERS)]
+# how often the power r of a place goes into the weighted power p of the distance, by the powers of its middle
+_TURNED = np.zeros((POWERS, 3, POWERS))
+for _p in range(3):
+    for _q, _sign in zip(range(_p, POWERS, 3), (1.0, -3.0, 3.0, -1.0)):
+        for _r in range(_q + 1):
+            _TURNED[_q - _r, _p, _r] += _sign * comb(_q, _r)
+_TURNED = _TURNED.reshape(POWERS, 3 * POWERS)
 KNOT = np.dtype([("x", float), ("n", float), ("s", float), ("t", float)])
 
 
@@ -43,7 +55,10 @@ KNOT = np.dtype([("x", float), ("n", float), ("s", float), ("t", float)])
 
 
 def _powers(values: np.ndarray) -> np.ndarray:
-    return values[:, None] ** np.arange(POWERS)
+    found = np.ones((*values.shape, POWERS))
+    for p in range(1, POWERS):
+        np.multiply(found[..., p - 1], values, out=found[..., p])
+    return found
 
 
 def _moved(moments: np.ndarray, a: np.ndarray, b: np.ndarray) -> np.ndarray:
@@ -82,6 +97,25 @@ class Stretches:
         own.moments = np.stack([np.add.reduceat(place * knots[c][:, None], starts, axis=0) for c in ("s", "t")])
         return own
 
+    def joined(self, first: np.ndarray, past: np.ndarray) -> Stretches:
+        """One stretch for each range of neighbours; an empty range has no moments."""
+        some = first < past
+        low, high = np.where(some, self.low[np.where(some, first, 0)], 0.0), np.where(some, self.high[np.where(some, past - 1, 0)], 0.0)
+        found, level = Stretches(low, high, np.zeros((2, len(first), POWERS))), self
+        middle, half = found.middle, found.half
+        while some.any():
+            for at, on in ((first, some & (first % 2 == 1)), (past - 1, some & (past % 2 == 1))):
+                each = np.flatnonzero(on)
+                if len(each):
+                    node, wide = at[each], half[each]
+                    shift = (level.middle[node] - middle[each]) / wide
+                    found.moments[:, each] += _moved(level.moments[:, node], shift, level.half[node] / wide)
+            first, past = (first + 1) // 2, past // 2
+            some = first < past
+            if some.any():
+                level = level.paired()
+        return found
+
     def paired(self) -> Stretches:
         low, high, moments = self.low, self.high, self.moments
         if len(low) % 2:
@@ -100,23 +134,37 @@ def _weighted(powers: np.ndarray) -> np.ndarray:
     return powers[..., 0:3] - 3 * powers[..., 3:6] + 3 * powers[..., 6:9] - powers[..., 9:12]
 
 
-def _add_stretches(sums: np.ndarray, items: Stretches, first: np.ndarray, past: np.ndarray, x: np.ndarray, h: np.ndarray, side: int) -> None:
+def _weighted_about(moments: np.ndarray, a: np.ndarray, b: np.ndarray, about: np.ndarray) -> np.ndarray:
+    """As ``_weighted`` of the moments moved to ``a + b * u``, with powers of the distance less ``about``."""
+    found = []
+    for _ in range(3):
+        moved = _moved(np.concatenate([moments, np.zeros((*moments.shape[:2], POWERS - moments.shape[2]))], axis=2), a, b)
+        found.append(_weighted(moved)[..., 0])
+        moments = moments[..., :-1] * (a - about)[:, None] + moments[..., 1:] * b[:, None]
+    return np.stack(found, axis=2)
+
+
+def _add_stretches(
+    sums: np.ndarray, items: Stretches, first: np.ndarray, past: np.ndarray, x: np.ndarray, h: np.ndarray, side: int, about: np.ndarray | None
+) -> None:
     """Adds to ``sums`` (2, fits, 3) the items ``first`` up to ``past`` of every fit, all on one side of it."""
-    first, past = first.copy(), past.copy()
     level = items
     while (first < past).any():
         for at, on in ((first, (first < past) & (first % 2 == 1)), (past - 1, (first < past) & (past % 2 == 1))):
             fits = np.flatnonzero(on)
             if len(fits):
                 node, scale = at[fits], side / h[fits]
-                moved = _moved(level.moments[:, node], (level.middle[node] - x[fits]) * scale, level.half[node] * scale)
-                sums[:, fits] += _weighted(moved) * np.array([1.0, side, 1.0])
+                place = level.moments[:, node], (level.middle[node] - x[fits]) * scale, level.half[node] * scale
+                found = _weighted(_moved(*place)) if about is None else _weighted_about(*place, about[fits] * side)
+                sums[:, fits] += found * np.array([1.0, side, 1.0])
         first, past = (first + 1) // 2, past // 2
         if (first < past).any():
             level = level.paired()
 
 
-def _add_knots(sums: np.ndarray, knots: np.ndarray, first: np.ndarray, past: np.ndarray, x: np.ndarray, h: np.ndarray) -> None:
+def _add_knots(
+    sums: np.ndarray, knots: np.ndarray, first: np.ndarray, past: np.ndarray, x: np.ndarray, h: np.ndarray, about: np.ndarray | None
+) -> None:
     """Adds the knots ``first`` up to ``past`` of every fit, one by one."""
     for i in range(int((past - first).max(initial=0))):
         fits = np.flatnonzero(first + i < past)
@@ -125,7 +173,9 @@ def _add_knots(sums: np.ndarray, knots: np.ndarray, first: np.ndarray, past: np.
         away = shift / np.where(wide, h[fits], 1.0)
         # without a radius only the rows at the very place count
         distance = np.where(wide, np.abs(away), np.where(shift == 0, 0.0, 2.0))
-        weight = np.where(distance <= INNER, 1.0, np.where(distance > OUTER, 0.0, (1.0 - distance**3) ** 3))
+        weight = 1.0 - distance * distance * distance
+        weight = np.where(distance <= INNER, 1.0, np.where(distance > OUTER, 0.0, weight * weight * weight))
+        away = away if about is None else away - about[fits]
         by_power = np.stack([weight, weight * away, weight * away * away], axis=1)
         sums[0, fits] += by_power * knot["s"][:, None]
         sums[1, fits] += by_power * knot["t"][:, None]
@@ -134,48 +184,72 @@ def _add_knots(sums: np.ndarray, knots: np.ndarray, first: np.ndarray, past: np.
 # --- one block ------------------------------------------------------------------------------
 
 
-def _radius(x: np.ndarray, place: np.ndarray, starts: np.ndarray, ends: np.ndarray, upto: np.ndarray, k: int) -> np.ndarray:
+def _radius(x: np.ndarray, starts: np.ndarray, ends: np.ndarray, upto: np.ndarray, k: int) -> np.ndarray:
     """Distance from each x to its k-th nearest row, rows of a knot counting at the knot.
 
-    ``place`` are the knots where a neighbourhood can end. ``starts`` and ``ends`` are these knots and the
-    blocks between them, ``upto`` the rows of the group up to each end; no neighbourhood ends inside
-    such a block, so one that is cut is either left out or beyond what is asked.
+    ``starts`` and ``ends`` are the knots where a neighbourhood can end and the stretches between them, ``upto``
+    the rows of the group up to each end; no neighbourhood ends inside such a stretch, so it is taken as a whole.
     """
-    before = np.append(0.0, upto)
-
-    def within(distance: np.ndarray) -> np.ndarray:
-        # the knot that a distance comes from is within it, whatever the rounding
-        slack = 4 * np.finfo(float).eps * (np.abs(x) + distance)
-        low, high = x - distance - slack, x + distance + slack
-        return before[np.searchsorted(ends, high, "right")] - before[np.searchsorted(starts, low, "left")]
-
+    before = np.append(0.0, upto[:-1])
+    # the narrowest window with enough rows from each start; its middle moves on with the start
+    last = np.searchsorted(upto, before + k, "left")
+    starts, far = starts[last < len(ends)], ends[last[last < len(ends)]]
+    near = np.searchsorted(starts + far, 2 * x, "left")
     best = np.full(len(x), np.inf)
-    for side in (1, -1):
-        # distances to the knots on one side grow: find the first with enough rows within it
-        inward = np.searchsorted(place, x, "left" if side > 0 else "right")
-        low = np.zeros(len(x), np.int64)
-        high = len(place) - inward if side > 0 else inward
-        size = high.copy()
-
-        def away(step: np.ndarray) -> np.ndarray:
-            at = inward + step if side > 0 else inward - 1 - step
-            return np.abs(place[np.clip(at, 0, len(place) - 1)] - x)
-
-        while (low < high).any():
-            middle = (low + high) // 2
-            enough = within(away(middle)) >= k
-            open_ = low < high
-            high = np.where(open_ & enough, middle, high)
-            low = np.where(open_ & ~enough, middle + 1, low)
-        best = np.where(low < size, np.minimum(best, away(low)), best)
+    # the middles are rounded, so the one beyond is looked at as well
+    for at in (near - 1, near, near + 1):
+        at = np.clip(at, 0, len(starts) - 1)
+        best = np.minimum(best, np.maximum(x - starts[at], far[at] - x))
     return best
 
 
+def _add_leaves(sums: np.ndarray, leaves: np.ndarray, items: np.ndarray, x: np.ndarray, h: np.ndarray) -> None:
+    """Adds to ``sums`` (leaves, fits, 5) the knots of the ``items`` (leaves, any) of every leaf, each knot to all fits of the leaf.
+
+    ``leaves`` (x, s, t; all items; knots) are padded by knots without rows, ``x`` and ``h`` (leaves, fits) by any fits.
+    """
+    for i in range(0, len(x), AT_ONCE):
+        part = slice(i, i + AT_ONCE)
+        place, s, t = leaves[:, items[part]].reshape(3, len(items[part]), -1)
+        away = place[:, None, :] - x[part, :, None]
+        away /= h[part, :, None]
+        np.clip(away, -2.0, 2.0, out=away)
+        distance = np.abs(away)
+        within = distance <= OUTER
+        distance *= distance > INNER
+        weight = distance * distance
+        weight *= distance
+        np.subtract(1.0, weight, out=weight)
+        np.multiply(weight, weight, out=distance)
+        weight *= distance
+        weight *= within
+        both = np.stack([s, t], axis=2)
+        sums[part, :, 0:2] += weight @ both
+        weight *= away
+        sums[part, :, 2:4] += weight @ both
+        weight *= away
+        sums[part, :, 4:] += weight @ both[:, :, :1]
+
+
+def _add_joined(sums: np.ndarray, stretch: Stretches, x: np.ndarray, h: np.ndarray, side: int) -> None:
+    """Adds to ``sums`` (leaves, fits, 5) the one stretch of every leaf, on one side of all its fits."""
+    scale = side / h
+    turned = _powers((stretch.middle[:, None] - x) * scale) @ _TURNED
+    turned = turned.reshape(*x.shape, 3, POWERS) * _powers(stretch.half[:, None] * scale)[:, :, None, :]
+    found = turned.reshape(len(x), -1, POWERS) @ stretch.moments.transpose(1, 2, 0)
+    found = found.reshape(*x.shape, 6)
+    sums += found[:, :, :5] * np.array([1.0, 1.0, side, side, 1.0])
+
+
 def _block_fits(own: np.ndarray, raw: dict[int, np.ndarray], others: dict[int, tuple[float, Stretches]], k: int) -> np.ndarray:
     """Weighted line through the neighbourhood of each own knot, evaluated there; NaN without any weight.
 
-    ``raw`` are the blocks with single knots at hand (the own one among them), ``others`` rows and
-    moments of the rest, both by block number.
+    ``raw`` are the blocks with single knots at hand (the own ones among them, whole), ``others`` rows and moments
+    of the stretches of blocks between them, by the number of their first block.
+
+    The fits of a leaf share the items that lie inside all their neighbourhoods: these are joined once, and
+    the items where the neighbourhoods end are added knot by knot to all fits. Where the ends are far apart, each
+    fit looks for its own items.
     """
     blocks = sorted([*raw, *others])
     knots = np.concatenate([raw[b] for b in blocks if b in raw])
@@ -199,30 +273,87 @@ def _block_fits(own: np.ndarray, raw: dict[int, np.ndarray], others: dict[int, t
             last.append(stretch.high)
         seen = upto[-1][-1]
     items = Stretches(*[np.concatenate([getattr(p, c) for p in parts]) for c in ("low", "high")], np.concatenate([p.moments for p in parts], axis=1))
-    start = np.concatenate(starts)  # first knot of a leaf, -1 for a block without knots
+    start = np.concatenate(starts)  # first knot of a leaf, -1 for a stretch without knots
     size = np.zeros(len(start), np.int64)
     leaf = np.flatnonzero(start >= 0)
     size[leaf] = np.diff(np.append(start[leaf], len(knots)))
     x = own["x"]
-    h = _radius(x, knots["x"], np.concatenate(first), np.concatenate(last), np.concatenate(upto), k)
+    h = _radius(x, np.concatenate(first), np.concatenate(last), np.concatenate(upto), k)
     sums = np.zeros((2, len(x), 3))
     with np.errstate(divide="ignore", invalid="ignore", over="ignore"):
         home = np.searchsorted(items.low, x, "right") - 1
         left = np.minimum(np.searchsorted(items.low, x - OUTER * h, "left"), home)
         right = np.maximum(np.searchsorted(items.high, x + OUTER * h, "right"), home + 1)
-        _add_stretches(sums, items, left, home, x, h, -1)
-        _add_stretches(sums, items, home + 1, right, x, h, 1)
-        # the leaf of the knot itself, and those that the neighbourhood ends in
-        for at, real in ((home, np.full(len(x), True)), (left - 1, left > 0), (right, right < len(start))):
-            at = np.clip(at, 0, len(start) - 1)
-            first = np.maximum(start[at], 0)
-            _add_knots(sums, knots, first, np.where(real, first + size[at], first), x, h)
+        # what the fits of a leaf need: items wholly inside for all of them, and those inside for some or cut
+        of = np.flatnonzero(np.diff(home, prepend=-1))
+        at, ends = home[of], [np.maximum(np.minimum.reduceat(left, of) - 1, 0), np.minimum(np.maximum.reduceat(right, of) + 1, len(start))]
+        inside = [np.maximum.reduceat(left, of), np.minimum.reduceat(right, of)]
+        ragged = inside[0] - ends[0] + ends[1] - inside[1]
+        blind = np.append(0, np.cumsum(start < 0))
+        # a stretch without knots is wholly inside or wholly outside
+        split = blind[inside[0]] - blind[np.minimum.reduceat(left, of)] + blind[np.maximum.reduceat(right, of)] - blind[inside[1]]
+        even = (ragged <= RAGGED) & (split == 0) & (np.minimum.reduceat(h, of) > 0) & np.isfinite(np.maximum.reduceat(h, of))
+        each = np.repeat(np.arange(len(of)), np.diff(np.append(of, len(x))))
+        if even.any():
+            table = np.zeros((3, len(start), LEAF_KNOTS))
+            table[0] = items.high[:, None]
+            into = np.repeat(leaf, size[leaf]), np.arange(len(knots)) - np.repeat(start[leaf], size[leaf])
+            for c, values in enumerate((knots["x"], knots["s"], knots["t"])):
+                table[c][into] = values
+            chosen = np.flatnonzero(even)
+            fit = np.flatnonzero(even[each])
+            spot = (np.cumsum(even) - 1)[each[fit]], fit - of[each[fit]]
+            centre, radius = table[0, at[chosen]], np.repeat(np.maximum.reduceat(h, of)[chosen], LEAF_KNOTS).reshape(-1, LEAF_KNOTS)
+            radius[spot] = h[fit]
+            found = np.zeros((len(chosen), LEAF_KNOTS, 5))
+            _add_joined(found, items.joined(inside[0][chosen], at[chosen]), centre, radius, -1)
+            _add_joined(found, items.joined(at[chosen] + 1, inside[1][chosen]), centre, radius, 1)
+            for many in np.unique(ragged[chosen]):
+                same = np.flatnonzero(ragged[chosen] == many)
+                which, step = chosen[same], np.arange(many)
+                before = (inside[0] - ends[0])[which][:, None]
+                single = np.where(step < before, ends[0][which][:, None] + step, inside[1][which][:, None] + step - before)
+                single = np.concatenate([at[which][:, None], single], axis=1)
+                more = np.zeros((len(same), LEAF_KNOTS, 5))
+                _add_leaves(more, table, single, centre[same], radius[same])
+                found[same] += more
+            sums[:, fit] = found[spot][:, [[0, 2, 4], [1, 3, 3]]].transpose(1, 0, 2)
+        rest = np.flatnonzero(~even[each])
+        if len(rest):
+            sums[:, rest] = _single_fits(items, knots, start, size, x[rest], h[rest], home[rest], left[rest], right[rest])
         (a0, a1, a2), (b0, b1, _) = sums[0].T, sums[1].T
         spread = a0 * a2 - a1 * a1
         fits = np.where(spread > 1e-12 * a0 * a2, (a2 * b0 - a1 * b1) / spread, b0 / a0)
+        # all weight far away on one side: sums about its mean, lest the line's spread is lost in rounding
+        poor = np.flatnonzero((a0 > 0) & (np.abs(spread) < POOR * a0 * a2))
+        if len(poor):
+            mean = (a1 / a0)[poor]
+            sums = _single_fits(items, knots, start, size, x[poor], h[poor], home[poor], left[poor], right[poor], mean)
+            (c0, c1, c2), (d0, d1, _) = sums[0].T, sums[1].T
+            var, level = c2 - c1 * c1 / c0, d0 / c0
+            fits[poor] = np.where(var > 1e-12 * a2[poor], level - (d1 - c1 * level) / var * (mean + c1 / c0), level)
     return np.where(a0 > 0, fits, np.nan)
 
 
+def _single_fits(
+    items: Stretches, knots: np.ndarray, start: np.ndarray, size: np.ndarray,
+    x: np.ndarray, h: np.ndarray, home: np.ndarray, left: np.ndarray, right: np.ndarray, about: np.ndarray | None = None,
+) -> np.ndarray:
+    """Sums (2, fits, 3) of fits that share nothing: items ``left`` up to ``right``, and single knots at both ends and at ``home``.
+
+    The powers are those of the distance in shares of ``h``, less ``about`` where this is given.
+    """
+    sums = np.zeros((2, len(x), 3))
+    _add_stretches(sums, items, left, home, x, h, -1, about)
+    _add_stretches(sums, items, home + 1, right, x, h, 1, about)
+    # the leaf of the knot itself, and those that the neighbourhood ends in
+    for at, real in ((home, np.full(len(x), True)), (left - 1, left > 0), (right, right < len(start))):
+        at = np.clip(at, 0, len(start) - 1)
+        first = np.maximum(start[at], 0)
+        _add_knots(sums, knots, first, np.where(real, first + size[at], first), x, h, about)
+    return sums
+
+
 # --- blocks of a group ----------------------------------------------------------------------
 
 
@@ -260,15 +391,44 @@ def _plan(blocks: pd.DataFrame, k: int) -> list[tuple[int, int]]:
     found = {(int(b), int(b)) for b in number}
     for first, last in zones:
         from_, past = np.searchsorted(high, first, "left"), np.searchsorted(low, last, "right")
+        # ends between two blocks: one of them, so that blocks on either side are never joined
+        past = np.where((from_ == past) & (from_ > 0) & (from_ < len(low)), past + 1, past)
         for b, i, j in zip(number.tolist(), from_.tolist(), past.tolist()):
             found.update((b, int(s)) for s in number[i:j])
     return sorted(found)
 
 
+def _teams(blocks: pd.DataFrame, k: int, most: int, teams: int) -> tuple[list[dict], list[dict]]:
+    """The plan for teams of neighbouring blocks: ``sources`` with single knots, and ``runs`` of the blocks between these.
+
+    A team has up to ``most`` blocks, fewer where a group would have fewer than ``teams``.
+    A run of blocks is wholly inside or wholly outside the neighbourhood of each of the team's knots.
+    """
+    number = blocks["block"].to_numpy()
+    each = max(1, min(most, len(number) // teams))
+    sources, runs = [], []
+    plan = pd.DataFrame(_plan(blocks, k), columns=["block", "source"])
+    for team, found in plan.groupby(plan["block"] // each)["source"]:
+        used = np.unique(found)
+        sources += [{"team": int(team), "source": int(s), "own": int(s) // each == team} for s in used]
+        ends = np.concatenate([[number[0] - 1], used, [number[-1] + 1]])
+        runs += [{"team": int(team), "first": int(a) + 1, "past": int(b)} for a, b in zip(ends[:-1], ends[1:]) if b > a + 1]
+    return sources, runs
+
+
 def _same(columns: Sequence[str], left: str, right: str) -> Column:
     return F.expr(" and ".join(f"{left}.`{c}` <=> {right}.`{c}`" for c in columns))
 
 
+def _beside(part: pa.Table, columns: dict[str, Sequence], schema: T.StructType) -> pa.Table:
+    """A table with the ``columns``, and those of the first row of ``part`` in every row."""
+    arrow = to_arrow_schema(schema)
+    some = {c: pa.array(v, arrow.field(c).type) for c, v in columns.items()}
+    rows = len(next(iter(some.values())))
+    first = part.take(pa.array(np.zeros(rows, np.int64)))
+    return pa.table([some[c] if c in some else first.column(c).cast(arrow.field(c).type) for c in arrow.names], schema=arrow)
+
+
 class _Smoother:
     """The knots of all groups in blocks, and the jobs that fit them."""
 
@@ -287,27 +447,25 @@ class _Smoother:
             known = attach(rows, stage(place.filter("hot"), "lowess-hot"), on, "left")
             cold = attach(known.filter("hot is null").drop("block", "hot"), place, on, salts=1)
             placed = known.filter("hot").unionByName(cold)
-        self.rows, self.old = stage(placed, "lowess-rows"), None
+        self.rows, self.old, self.packed = stage(placed, "lowess-rows"), None, None
         layout = knots.groupBy(*keys, "block").agg(
             F.min("x").alias("low"), F.max("x").alias("high"), F.sum("n").alias("rows"), F.max("largest").alias("largest")
         )
         fields = [f for f in rows.schema.fields if f.name in keys]
-        wide = [T.StructField("frac", T.DoubleType())] + [T.StructField(c, T.LongType()) for c in ("block", "source", "k")]
-        wide.append(T.StructField("largest", T.DoubleType()))
+        text = "frac double, k long, largest double, sources array<struct<team: long, source: long, own: boolean>>"
+        wide = T.DataType.fromDDL(f"{text}, runs array<struct<team: long, first: long, past: long>>").fields
+        schema = T.StructType([*fields, *wide])
         spans = [float(s) for s in spans]
 
-        def plan(blocks: pd.DataFrame) -> pd.DataFrame:
-            blocks = blocks.sort_values("block")
+        def plan(part: pa.Table) -> pa.Table:
+            blocks = part.select(["block", "low", "high", "rows", "largest"]).to_pandas().sort_values("block")
             total, found = int(blocks["rows"].sum()), []
             for frac in spans:
                 k = max(int(np.floor(frac * total + 1e-10)), 1)
-                found += [(frac, b, s, k, blocks["largest"].max()) for b, s in _plan(blocks, min(k, total))]
-            table = pd.DataFrame(found, columns=[f.name for f in wide])
-            for place, key in enumerate(keys):
-                table.insert(place, key, [blocks[key].iloc[0]] * len(table))
-            return table
+                found.append((frac, k, blocks["largest"].max(), *_teams(blocks, min(k, total), TEAM_BLOCKS, TEAMS)))
+            return _beside(part.select(keys), dict(zip([f.name for f in wide], zip(*found))), schema)
 
-        self.reach = stage(layout.groupBy(*keys).applyInPandas(plan, T.StructType([*fields, *wide])), "lowess-reach")
+        self.reach = stage(layout.groupBy(*keys).applyInArrow(plan, schema), "lowess-reach")
         self.fields = [*fields, wide[0]]
         self.spans = F.explode(F.array(*[F.lit(s) for s in spans])).alias("frac")
 
@@ -321,50 +479,64 @@ class _Smoother:
         sums = rows.groupBy(*group, "block", "x").agg(
             F.count("*").cast("double").alias("n"), F.sum(weight).alias("s"), F.sum(weight * F.col("y")).alias("t")
         )
-        listed = sums.groupBy(*group, "block").agg(F.sort_array(F.collect_list(F.struct("x", "n", "s", "t"))).alias("knot"))
-
-        def pack(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-            for batch in batches:
-                knots, moments = [], []
-                for cell in batch.column("knot"):
-                    table = np.empty(len(cell.values), KNOT)
-                    for c in KNOT.names:
-                        table[c] = cell.values.field(c).to_numpy(zero_copy_only=False)
-                    own = Stretches.of_knots(table, np.zeros(1, np.int64))
-                    ends = np.array([table["n"].sum(), own.low[0], own.high[0]])
-                    knots.append(table.tobytes())
-                    moments.append(np.concatenate([ends, own.moments.ravel()]).tobytes())
-                kept = [batch.column(c) for c in [*group, "block"]]
-                columns = [pa.array(knots, pa.binary()), pa.array(moments, pa.binary())]
-                yield pa.RecordBatch.from_arrays([*kept, *columns], [*group, "block", "knots", "moments"])
-
-        binary = [T.StructField(c, T.BinaryType()) for c in ("knots", "moments")]
-        packed = listed.mapInArrow(pack, T.StructType([*fields, T.StructField("block", T.LongType()), *binary]))
-        # one short line for each block of a group: about the square root of its knots
-        lines = packed.groupBy(*group).agg(F.collect_list(F.struct("block", "moments")).alias("lines"))
-        near = self.reach.alias("r").join(
-            packed.select(*group, F.col("block").alias("source"), "knots").alias("p"), _same([*group, "source"], "r", "p")
-        )
-        near = near.select("r.*", "p.knots").alias("n").join(
-            lines.alias("l"), _same(group, "n", "l") & F.expr("n.block = n.source"), "left"
+
+        def pack(part: pa.Table) -> pa.Table:
+            own = np.empty(part.num_rows, KNOT)
+            for c in KNOT.names:
+                own[c] = part.column(c).to_numpy()
+            own = own[np.argsort(own["x"], kind="stable")]
+            stretch = Stretches.of_knots(own, np.zeros(1, np.int64))
+            line = np.concatenate([[own["n"].sum()], stretch.low, stretch.high, stretch.moments.ravel()])
+            return _beside(part.select([*group, "block"]), {"knots": [own.tobytes()], "line": [line.tobytes()]}, packed)
+
+        packed = T.StructType([*fields, *T.DataType.fromDDL("block long, knots binary, line binary").fields])
+        blocks, self.packed = stage_instead(sums.groupBy(*group, "block").applyInArrow(pack, packed), "lowess-packed", self.packed)
+
+        def join(lines: pa.Table, reach: pa.Table) -> pa.Table:
+            runs = pd.DataFrame([run for cell in reach.column("runs").to_pylist() for run in cell], columns=["team", "first", "past"])
+            if not lines.num_rows or not len(runs):
+                return to_arrow_schema(parts).empty_table()
+            order = np.argsort(lines.column("block").to_numpy())
+            line = np.frombuffer(b"".join(lines.column("line").take(order).to_pylist())).reshape(len(order), -1)
+            whole = Stretches(line[:, 1], line[:, 2], np.ascontiguousarray(line[:, 3:].reshape(-1, 2, POWERS).swapaxes(0, 1)))
+            upto = np.append(0.0, np.cumsum(line[:, 0]))
+            first, past = runs["first"].to_numpy(np.int64), runs["past"].to_numpy(np.int64)
+            run = whole.joined(first, past)
+            table = np.column_stack([first, upto[past] - upto[first], run.low, run.high, run.moments.swapaxes(0, 1).reshape(len(first), -1)])
+            teams = list(runs.groupby("team").indices.items())
+            found = {
+                "team": [int(t) for t, _ in teams], "source": [-1] * len(teams), "own": [False] * len(teams),
+                "knots": [table[at].tobytes() for _, at in teams],
+            }
+            return _beside(reach.select([*group, "k", "largest"]), found, parts)
+
+        wide = T.DataType.fromDDL("k long, largest double, team long, source long, own boolean, knots binary")
+        parts = T.StructType([*fields, *wide.fields])
+        between = blocks.select(*group, "block", "line").groupBy(*group).cogroup(self.reach.groupBy(*group)).applyInArrow(join, parts)
+        near = self.reach.select(*group, "k", "largest", F.inline("sources")).alias("r").join(
+            blocks.select(*group, F.col("block").alias("source"), "knots").alias("p"), _same([*group, "source"], "r", "p")
         )
 
-        def fit(part: pd.DataFrame) -> pd.DataFrame:
-            block = part["block"].iloc[0]
-            raw = {s: np.frombuffer(k, KNOT) for s, k in zip(part["source"], part["knots"])}
-            others = {}
-            for line in part.loc[part["source"] == block, "lines"].iloc[0]:
-                if line["block"] not in raw:
-                    values = np.frombuffer(line["moments"], float)
-                    others[line["block"]] = values[0], Stretches(values[1:2], values[2:3], values[3:].reshape(2, 1, POWERS))
-            found = pd.DataFrame({"x": raw[block]["x"], "fit": _block_fits(raw[block], raw, others, int(part["k"].iloc[0]))})
-            for place, f in enumerate(fields):
-                found.insert(place, f.name, [part[f.name].iloc[0]] * len(found))
-            return found.assign(block=block, largest=part["largest"].iloc[0])[schema.names]
-
-        numbers = [T.StructField(c, T.DoubleType()) for c in ("x", "fit", "largest")]
-        schema = T.StructType([*fields, T.StructField("block", T.LongType()), *numbers])
-        fitted = dealt(near.select("n.*", "l.lines"), *group, "block").groupBy(*group, "block").applyInPandas(fit, schema)
+        def fit(part: pa.Table) -> pa.Table:
+            raw, others, own = {}, {}, []
+            for source, is_own, cell in zip(*[part.column(c).to_pylist() for c in ("source", "own", "knots")]):
+                if source < 0:
+                    for line in np.frombuffer(cell).reshape(-1, 4 + 2 * POWERS):
+                        others[int(line[0])] = line[1], Stretches(line[2:3], line[3:4], line[4:].reshape(2, 1, POWERS))
+                else:
+                    raw[source] = np.frombuffer(cell, KNOT)
+                    own += [source] * is_own
+            own.sort()
+            knots = np.concatenate([raw[b] for b in own])
+            found = _block_fits(knots, raw, others, part.column("k")[0].as_py())
+            block = np.repeat(own, [len(raw[b]) for b in own])
+            return _beside(part.select([*group, "largest"]), {"block": block, "x": knots["x"], "fit": found}, schema)
+
+        wide = T.DataType.fromDDL("block long, x double, fit double, largest double")
+        schema = T.StructType([*fields, *wide.fields])
+        # a row for each block that a team looks into, and one with the runs between these
+        needed = near.select("r.*", "p.knots").unionByName(between)
+        fitted = dealt(needed, *group, "team").groupBy(*group, "team").applyInArrow(fit, schema)
         return fitted.withColumn("fit", F.nanvl("fit", F.lit(None).cast("double")))
 
     def scored(self, fits: DataFrame) -> DataFrame:
