@@ -16,7 +16,7 @@ sparse x whose neighbourhoods end all over a dense stretch reads that stretch.
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Iterator, Sequence
 from dataclasses import dataclass
 from math import comb
 
@@ -33,6 +33,7 @@ from tickloom.session import stage, stage_instead
 BLOCK_KNOTS = 1024  # least knots of a block
 TEAM_BLOCKS, TEAMS = 8, 16  # most blocks fitted in one task, where a group has this many teams
 HOT_ROWS = 10_000  # a knot of more rows is not joined in one task
+PIECE_ROWS = 65_536
 LEAF_KNOTS = 32
 RAGGED = 12  # leaves at both ends of the neighbourhoods of a leaf that are added knot by knot
 AT_ONCE = 8  # leaves; their weights stay in the cache
@@ -48,6 +49,7 @@ for _p in range(3):
         for _r in range(_q + 1):
             _TURNED[_q - _r, _p, _r] += _sign * comb(_q, _r)
 _TURNED = _TURNED.reshape(POWERS, 3 * POWERS)
+_LINE = [T.StructField("block", T.LongType()), T.StructField("knots", T.BinaryType()), T.StructField("line", T.BinaryType())]
 KNOT = np.dtype([("x", float), ("n", float), ("s", float), ("t", float)])
 
 
@@ -429,6 +431,13 @@ def _beside(part: pa.Table, columns: dict[str, Sequence], schema: T.StructType)
     return pa.table([some[c] if c in some else first.column(c).cast(arrow.field(c).type) for c in arrow.names], schema=arrow)
 
 
+def _line(own: np.ndarray) -> dict[str, list[bytes]]:
+    """A block's knots, and their rows, ends and moments."""
+    stretch = Stretches.of_knots(own, np.zeros(1, np.int64))
+    line = np.concatenate([[own["n"].sum()], stretch.low, stretch.high, stretch.moments.ravel()])
+    return {"knots": [own.tobytes()], "line": [line.tobytes()]}
+
+
 class _Smoother:
     """The knots of all groups in blocks, and the jobs that fit them."""
 
@@ -448,9 +457,8 @@ class _Smoother:
             cold = attach(known.filter("hot is null").drop("block", "hot"), place, on, salts=1)
             placed = known.filter("hot").unionByName(cold)
         self.rows, self.old, self.packed = stage(placed, "lowess-rows"), None, None
-        layout = knots.groupBy(*keys, "block").agg(
-            F.min("x").alias("low"), F.max("x").alias("high"), F.sum("n").alias("rows"), F.max("largest").alias("largest")
-        )
+        ranges = [F.min("x").alias("low"), F.max("x").alias("high"), F.sum("n").alias("rows"), F.max("largest").alias("largest")]
+        layout = stage(knots.groupBy(*keys, "block").agg(*ranges), "lowess-layout")
         fields = [f for f in rows.schema.fields if f.name in keys]
         text = "frac double, k long, largest double, sources array<struct<team: long, source: long, own: boolean>>"
         wide = T.DataType.fromDDL(f"{text}, runs array<struct<team: long, first: long, past: long>>").fields
@@ -468,14 +476,59 @@ class _Smoother:
         self.reach = stage(layout.groupBy(*keys).applyInArrow(plan, schema), "lowess-reach")
         self.fields = [*fields, wide[0]]
         self.spans = F.explode(F.array(*[F.lit(s) for s in spans])).alias("frac")
+        self.parts = layout.selectExpr(*keys, "block", f"cast(ceil(rows / {PIECE_ROWS}) as long) as parts")
+        # fits take about what the knots take; where they cannot be broadcast, no pass moves single rows
+        self.pieces = self._pieces() if planned_bytes(knots) * len(spans) > broadcast_limit(rows) else None
+
+    def _pieces(self) -> DataFrame:
+        """The rows of every block in pieces of some ``PIECE_ROWS``, each one line: the distinct ``x``, their rows ``n``, and ``y`` in the order of x."""
+        keys = self.keys
+        # numbered as they were written, so that a row stays in its piece if a task is run again
+        rows = self.rows.select(*keys, "block", "x", "y").withColumn("__id", F.monotonically_increasing_id())
+        rows = attach(rows, self.parts, [*keys, "block"]).withColumn("piece", F.expr("pmod(__id, parts)"))
+
+        def pack(part: pa.Table) -> pa.Table:
+            x, y = part.column("x").to_numpy(), part.column("y").to_numpy()
+            order = np.argsort(x, kind="stable")
+            knots, n = np.unique(x, return_counts=True)
+            line = {"x": knots, "n": n.astype(float), "y": y[order]}
+            return _beside(part.select([*keys, "block", "piece"]), {c: [v.tobytes()] for c, v in line.items()}, schema)
+
+        schema = T.StructType([*self.fields[:-1], *T.DataType.fromDDL("block long, piece long, x binary, n binary, y binary").fields])
+        packed = rows.select(*keys, "block", "piece", "x", "y").groupBy(*keys, "block", "piece").applyInArrow(pack, schema)
+        return stage(packed, "lowess-pieces")
+
+    def start(self) -> DataFrame:
+        """Fits without robust weights."""
+        if self.pieces is None:
+            return stage(self._fit_sums(self._sums(self.spread(), F.lit(1.0))), "lowess-fit")
+        whole = self.pieces.select("*", self.spans, F.lit(None).cast("binary").alias("error"), F.lit(1.0).alias("scale"))
+        return stage(self._fit_sums(self._piece_sums(whole)), "lowess-fit")
+
+    def next(self, fits: DataFrame) -> DataFrame:
+        """Fits with the robust weights of the errors of ``fits``."""
+        errors = self.errors(fits)
+        scale = exact_median(self.loose(errors), self.group, "error")
+        scale = scale.selectExpr(*self.group, f"case when median > {ROUNDING!r}D then 6 * median end as scale")
+        # both uses below would rank all errors anew
+        scale = stage(scale, "lowess-scale")
+        weighted = attach(errors, scale.filter("scale is not null"), self.group)
+        settled = attach(fits, scale.filter("scale is null"), self.group, salts=1).drop("scale")
+        if self.pieces is None:
+            u = F.col("error") / F.col("scale")
+            weight = F.when(u > OUTER, 0.0).when(u < INNER, 1.0).otherwise((1 - u * u) * (1 - u * u))
+            sums = self._sums(weighted.withColumn("robust", weight), F.col("robust"))
+        else:
+            sums = self._piece_sums(weighted)
+        return stage(self._fit_sums(sums).unionByName(settled), "lowess-fit")
 
     def spread(self) -> DataFrame:
         """All rows once for each span; multiplied only while they are read."""
         return self.rows.select("*", self.spans)
 
-    def fit(self, rows: DataFrame, weight: Column) -> DataFrame:
-        """``fit`` per knot from the weighted rows, null where no weight is left around it, and the ``largest`` |y| of its group."""
-        group, fields = self.group, self.fields
+    def _sums(self, rows: DataFrame, weight: Column) -> DataFrame:
+        """Every block's knots in one line, with the sums of the weighted rows."""
+        group = self.group
         sums = rows.groupBy(*group, "block", "x").agg(
             F.count("*").cast("double").alias("n"), F.sum(weight).alias("s"), F.sum(weight * F.col("y")).alias("t")
         )
@@ -484,13 +537,47 @@ class _Smoother:
             own = np.empty(part.num_rows, KNOT)
             for c in KNOT.names:
                 own[c] = part.column(c).to_numpy()
-            own = own[np.argsort(own["x"], kind="stable")]
-            stretch = Stretches.of_knots(own, np.zeros(1, np.int64))
-            line = np.concatenate([[own["n"].sum()], stretch.low, stretch.high, stretch.moments.ravel()])
-            return _beside(part.select([*group, "block"]), {"knots": [own.tobytes()], "line": [line.tobytes()]}, packed)
+            return _beside(part.select([*group, "block"]), _line(own[np.argsort(own["x"], kind="stable")]), schema)
+
+        schema = T.StructType([*self.fields, *_LINE])
+        return sums.groupBy(*group, "block").applyInArrow(pack, schema)
+
+    def _piece_sums(self, pieces: DataFrame) -> DataFrame:
+        """As ``_sums``, of pieces weighted by their errors in shares of ``scale``."""
+        group = self.group
+
+        def weigh(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+            for batch in batches:
+                tables = []
+                for x, n, y, error, scale in zip(*[batch.column(c).to_pylist() for c in ("x", "n", "y", "error", "scale")]):
+                    x, n, y = np.frombuffer(x), np.frombuffer(n), np.frombuffer(y)
+                    u = np.frombuffer(error) / scale if error is not None else np.zeros(len(y))
+                    weight = np.where(u > OUTER, 0.0, np.where(u < INNER, 1.0, (1 - u * u) * (1 - u * u)))
+                    starts = (np.cumsum(n) - n).astype(np.int64)
+                    own = np.empty(len(x), KNOT)
+                    own["x"], own["n"], own["s"], own["t"] = x, n, np.add.reduceat(weight, starts), np.add.reduceat(weight * y, starts)
+                    tables.append(own.tobytes())
+                yield pa.record_batch([*[batch.column(c) for c in (*group, "block")], pa.array(tables, pa.binary())], [*group, "block", "knots"])
 
-        packed = T.StructType([*fields, *T.DataType.fromDDL("block long, knots binary, line binary").fields])
-        blocks, self.packed = stage_instead(sums.groupBy(*group, "block").applyInArrow(pack, packed), "lowess-packed", self.packed)
+        def pack(part: pa.Table) -> pa.Table:
+            own = np.frombuffer(b"".join(part.column("knots").to_pylist()), KNOT)
+            if part.num_rows > 1:
+                x, at = np.unique(own["x"], return_inverse=True)
+                whole = np.empty(len(x), KNOT)
+                whole["x"] = x
+                for c in ("n", "s", "t"):
+                    whole[c] = np.bincount(at, own[c], len(x))
+                own = whole
+            return _beside(part.select([*group, "block"]), _line(own), schema)
+
+        schema = T.StructType([*self.fields, *_LINE])
+        tables = pieces.select(*group, "block", "x", "n", "y", "error", "scale").mapInArrow(weigh, T.StructType([*schema.fields[:-1]]))
+        return tables.groupBy(*group, "block").applyInArrow(pack, schema)
+
+    def _fit_sums(self, sums: DataFrame) -> DataFrame:
+        """``fit`` per knot, null where no weight is left around it, and the ``largest`` |y| of its group; a line for each block if rows are in pieces."""
+        group, fields, in_lines = self.group, self.fields, self.pieces is not None
+        blocks, self.packed = stage_instead(sums, "lowess-packed", self.packed)
 
         def join(lines: pa.Table, reach: pa.Table) -> pa.Table:
             runs = pd.DataFrame([run for cell in reach.column("runs").to_pylist() for run in cell], columns=["team", "first", "past"])
@@ -529,19 +616,25 @@ class _Smoother:
             own.sort()
             knots = np.concatenate([raw[b] for b in own])
             found = _block_fits(knots, raw, others, part.column("k")[0].as_py())
-            block = np.repeat(own, [len(raw[b]) for b in own])
-            return _beside(part.select([*group, "largest"]), {"block": block, "x": knots["x"], "fit": found}, schema)
-
-        wide = T.DataType.fromDDL("block long, x double, fit double, largest double")
-        schema = T.StructType([*fields, *wide.fields])
+            ends = np.cumsum([len(raw[b]) for b in own])
+            if in_lines:
+                found = {"x": [raw[b]["x"].tobytes() for b in own], "fit": [v.tobytes() for v in np.split(found, ends[:-1])], "block": own}
+            else:
+                found = {"x": knots["x"], "fit": found, "block": np.repeat(own, np.diff(ends, prepend=0))}
+            return _beside(part.select([*group, "largest"]), found, schema)
+
+        kind = "binary" if in_lines else "double"
+        schema = T.StructType([*fields, *T.DataType.fromDDL(f"block long, x {kind}, fit {kind}, largest double").fields])
         # a row for each block that a team looks into, and one with the runs between these
         needed = near.select("r.*", "p.knots").unionByName(between)
         fitted = dealt(needed, *group, "team").groupBy(*group, "team").applyInArrow(fit, schema)
-        return fitted.withColumn("fit", F.nanvl("fit", F.lit(None).cast("double")))
+        return fitted if in_lines else fitted.withColumn("fit", F.nanvl("fit", F.lit(None).cast("double")))
 
     def scored(self, fits: DataFrame) -> DataFrame:
         """All rows with the fit of their knot: the rows of a hot knot are spread over tasks, the others joined plainly."""
         on = [*self.group, "block", "x"]
+        if self.pieces is not None:
+            fits = stage(self._single(fits), "lowess-fit")
         if planned_bytes(fits) <= broadcast_limit(fits):
             joined = attach(self.spread(), fits, on)
         else:
@@ -551,14 +644,67 @@ class _Smoother:
             joined = attach(self.spread().filter("hot"), few, on).unionByName(attach(self.spread().filter("not hot"), fits, on, salts=1))
         return joined.withColumn("fitted", F.coalesce("fit", "y"))
 
+    def _single(self, fits: DataFrame) -> DataFrame:
+        """Lines of blocks as a row for each knot."""
+        kept = [*self.group, "block"]
+
+        def spread(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+            for batch in batches:
+                x, fit = [[np.frombuffer(v) for v in batch.column(c).to_pylist()] for c in ("x", "fit")]
+                at = pa.array(np.repeat(np.arange(len(x)), [len(v) for v in x]))
+                values = [pa.array(np.concatenate([np.empty(0), *v])) for v in (x, fit)]
+                yield pa.record_batch([*[batch.column(c).take(at) for c in kept], *values], [*kept, "x", "fit"])
+
+        schema = T.StructType([*self.fields, *T.DataType.fromDDL("block long, x double, fit double").fields])
+        return fits.select(*kept, "x", "fit").mapInArrow(spread, schema).withColumn("fit", F.nanvl("fit", F.lit(None).cast("double")))
+
     def errors(self, fits: DataFrame) -> DataFrame:
-        """All rows with their ``error`` in shares of the largest |y|; written once where the fits took a join of all rows."""
-        share = F.abs(F.col("y") - F.col("fitted")) / F.col("largest")
-        found = self.scored(fits).withColumn("error", F.when(F.col("largest") > 0, share).otherwise(0.0))
-        if planned_bytes(fits) > broadcast_limit(fits):
-            found, self.old = stage_instead(found.select(*self.group, "block", "x", "y", "error"), "lowess-errors", self.old)
+        """All rows, or their pieces, with their ``error`` in shares of the largest |y|; written once where the fits took a join of all rows."""
+        keys, group = self.keys, self.group
+        if self.pieces is None:
+            share = F.abs(F.col("y") - F.col("fitted")) / F.col("largest")
+            found = self.scored(fits).withColumn("error", F.when(F.col("largest") > 0, share).otherwise(0.0))
+            if planned_bytes(fits) > broadcast_limit(fits):
+                found, self.old = stage_instead(found.select(*group, "block", "x", "y", "error"), "lowess-errors", self.old)
+            return found
+        # the line of a block goes to each of its pieces
+        lines = attach(fits, self.parts, [*keys, "block"]).selectExpr(
+            *[f"`{c}`" for c in group], "block", "largest", "x as at", "fit", "explode(sequence(0L, parts - 1)) as piece"
+        )
+        joined = attach(self.pieces, lines, [*keys, "block", "piece"], salts=1)
+        kept = [*group, "block", "x", "n", "y"]
+
+        def error(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+            for batch in batches:
+                found = []
+                for x, n, y, at, fit, largest in zip(*[batch.column(c).to_pylist() for c in ("x", "n", "y", "at", "fit", "largest")]):
+                    x, y = np.frombuffer(x), np.frombuffer(y)
+                    fitted = np.frombuffer(fit)[np.searchsorted(np.frombuffer(at), x)]
+                    away = np.abs(y - np.repeat(fitted, np.frombuffer(n).astype(np.int64)))
+                    # without a fit a row keeps its value
+                    found.append((np.where(np.isnan(away), 0.0, away) / largest if largest > 0 else np.zeros(len(y))).tobytes())
+                yield pa.record_batch([*[batch.column(c) for c in kept], pa.array(found, pa.binary())], [*kept, "error"])
+
+        binary = T.DataType.fromDDL("block long, x binary, n binary, y binary, error binary").fields
+        found = joined.select(*kept, "at", "fit", "largest").mapInArrow(error, T.StructType([*self.fields, *binary]))
+        found, self.old = stage_instead(found, "lowess-errors", self.old)
         return found
 
+    def loose(self, errors: DataFrame) -> DataFrame:
+        """A row for each ``error``."""
+        if self.pieces is None:
+            return errors
+        group = self.group
+
+        def spread(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+            for batch in batches:
+                error = [np.frombuffer(v) for v in batch.column("error").to_pylist()]
+                at = pa.array(np.repeat(np.arange(len(error)), [len(v) for v in error]))
+                yield pa.record_batch([*[batch.column(c).take(at) for c in group], pa.array(np.concatenate([np.empty(0), *error]))], [*group, "error"])
+
+        schema = T.StructType([*self.fields, T.StructField("error", T.DoubleType())])
+        return errors.select(*group, "error").mapInArrow(spread, schema)
+
 
 def lowess_smooth(
     rows: DataFrame,
@@ -575,16 +721,7 @@ def lowess_smooth(
         {"x": F.col("x").cast("double"), "y": F.col("y").cast("double")}
     )
     smoother = _Smoother(known, keys, spans)
-    group = smoother.group
-    fits = stage(smoother.fit(smoother.spread(), F.lit(1.0)), "lowess-fit")
+    fits = smoother.start()
     for _ in range(iterations):
-        errors = smoother.errors(fits)
-        scale = exact_median(errors, group, "error").selectExpr(*group, f"case when median > {ROUNDING!r}D then 6 * median end as scale")
-        # both uses below would rank all errors anew
-        scale = stage(scale, "lowess-scale")
-        u = F.col("error") / F.col("scale")
-        weight = F.when(u > OUTER, 0.0).when(u < INNER, 1.0).otherwise((1 - u * u) * (1 - u * u))
-        weighted = attach(errors, scale.filter("scale is not null"), group).withColumn("robust", weight)
-        settled = attach(fits, scale.filter("scale is null"), group, salts=1).drop("scale")
-        fits = stage(smoother.fit(weighted, F.col("robust")).unionByName(settled), "lowess-fit")
+        fits = smoother.next(fits)
     return smoother.scored(fits).select(*rows.columns, "frac", "fitted")
