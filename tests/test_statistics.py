@@ -302,3 +302,27 @@ def test_far_off_fit_keeps_its_spread():
         value = (1 - (away / 45_000) ** 3) ** 3 * Fraction(t)
         a0, a1, a2, b0, b1 = a0 + weight, a1 + weight * away, a2 + weight * away**2, b0 + value, b1 + value * away
     assert abs(got / float((a2 * b0 - a1 * b1) / (a0 * a2 - a1 * a1)) - 1) < 1e-9
+
+
+def test_lowess_in_pieces_is_the_same(spark, monkeypatch):
+    """Beyond the broadcast limit a pass moves pieces of blocks, here of some 16 rows: ties, twice the same row, a line, rows without weight."""
+    rng = np.random.default_rng(4)
+    alone = pd.DataFrame({"g": "alone", "id": np.arange(60), "x": np.arange(60.0), "y": rng.normal(size=60) * 0.01})
+    alone.loc[20:39, "y"] = np.where(np.arange(20) % 2 == 0, 100.0, -100.0)
+    line = pd.DataFrame({"g": "line", "id": np.arange(50), "x": np.arange(50.0), "y": 3.0 * np.arange(50)})
+    data = pd.concat([_wave(300, seed=10, ties=True).assign(g=None), _wave(200, seed=11), _wave(200, seed=11), alone, line])
+    rows = spark.createDataFrame(data, "g string, id long, x double, y double")
+    order = ["frac", "g", "id", "fitted"]
+    whole = lowess.lowess_smooth(rows, ["g"], [1 / 5, 1 / 2]).toPandas().sort_values(order)
+    before = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    monkeypatch.setattr(lowess, "BLOCK_KNOTS", 20)
+    monkeypatch.setattr(lowess, "PIECE_ROWS", 16)
+    packed, pieces = [], lowess._Smoother._pieces
+    monkeypatch.setattr(lowess._Smoother, "_pieces", lambda self: (packed.append(pieces(self)), packed[-1])[1])
+    try:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "1")
+        cut = lowess.lowess_smooth(rows, ["g"], [1 / 5, 1 / 2]).toPandas().sort_values(order)
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", before)
+    assert len(whole) == len(cut) == 2 * len(data) and np.allclose(whole["fitted"], cut["fitted"], atol=1e-9)
+    assert packed[0].agg({"piece": "max"}).first()[0] > 5

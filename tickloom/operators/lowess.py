@@ -36,7 +36,7 @@ HOT_ROWS = 10_000  # a knot of more rows is not joined in one task
 PIECE_ROWS = 65_536
 LEAF_KNOTS = 32
 RAGGED = 12  # leaves at both ends of the neighbourhoods of a leaf that are added knot by knot
-AT_ONCE = 8  # leaves; their weights stay in the cache
+AT_ONCE = 16  # leaves; their weights stay in the cache
 POOR = 1e-4  # spread of the places in shares of its largest value, below which sums are taken about the mean
 ROUNDING = 1e-12  # of the largest |y|: errors below it are rounding, not scatter
 INNER, OUTER = 0.001, 0.999  # parts of the radius with full weight and without weight
@@ -235,12 +235,14 @@ def _add_leaves(sums: np.ndarray, leaves: np.ndarray, items: np.ndarray, x: np.n
 
 def _add_joined(sums: np.ndarray, stretch: Stretches, x: np.ndarray, h: np.ndarray, side: int) -> None:
     """Adds to ``sums`` (leaves, fits, 5) the one stretch of every leaf, on one side of all its fits."""
-    scale = side / h
-    turned = _powers((stretch.middle[:, None] - x) * scale) @ _TURNED
-    turned = turned.reshape(*x.shape, 3, POWERS) * _powers(stretch.half[:, None] * scale)[:, :, None, :]
-    found = turned.reshape(len(x), -1, POWERS) @ stretch.moments.transpose(1, 2, 0)
-    found = found.reshape(*x.shape, 6)
-    sums += found[:, :, :5] * np.array([1.0, 1.0, side, side, 1.0])
+    middle, half, moments = stretch.middle[:, None], stretch.half[:, None], stretch.moments.transpose(1, 2, 0)
+    for i in range(0, len(x), AT_ONCE):
+        part = slice(i, i + AT_ONCE)
+        scale = side / h[part]
+        turned = (_powers((middle[part] - x[part]) * scale) @ _TURNED).reshape(*scale.shape, 3, POWERS)
+        turned *= _powers(half[part] * scale)[:, :, None, :]
+        found = turned.reshape(len(scale), -1, POWERS) @ moments[part]
+        sums[part] += found.reshape(*scale.shape, 6)[:, :, :5] * np.array([1.0, 1.0, side, side, 1.0])
 
 
 def _block_fits(own: np.ndarray, raw: dict[int, np.ndarray], others: dict[int, tuple[float, Stretches]], k: int) -> np.ndarray:
@@ -308,8 +310,9 @@ def _block_fits(own: np.ndarray, raw: dict[int, np.ndarray], others: dict[int, t
             centre, radius = table[0, at[chosen]], np.repeat(np.maximum.reduceat(h, of)[chosen], LEAF_KNOTS).reshape(-1, LEAF_KNOTS)
             radius[spot] = h[fit]
             found = np.zeros((len(chosen), LEAF_KNOTS, 5))
-            _add_joined(found, items.joined(inside[0][chosen], at[chosen]), centre, radius, -1)
-            _add_joined(found, items.joined(at[chosen] + 1, inside[1][chosen]), centre, radius, 1)
+            both = items.joined(np.append(inside[0][chosen], at[chosen] + 1), np.append(at[chosen], inside[1][chosen]))
+            for side, some in ((-1, slice(len(chosen))), (1, slice(len(chosen), None))):
+                _add_joined(found, Stretches(both.low[some], both.high[some], both.moments[:, some]), centre, radius, side)
             for many in np.unique(ragged[chosen]):
                 same = np.flatnonzero(ragged[chosen] == many)
                 which, step = chosen[same], np.arange(many)
@@ -431,6 +434,13 @@ def _beside(part: pa.Table, columns: dict[str, Sequence], schema: T.StructType)
     return pa.table([some[c] if c in some else first.column(c).cast(arrow.field(c).type) for c in arrow.names], schema=arrow)
 
 
+def _few(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """The lines of blocks or pieces in small batches, as each of them holds many rows."""
+    for batch in batches:
+        for i in range(0, batch.num_rows, 64):
+            yield batch.slice(i, 64)
+
+
 def _line(own: np.ndarray) -> dict[str, list[bytes]]:
     """A block's knots, and their rows, ends and moments."""
     stretch = Stretches.of_knots(own, np.zeros(1, np.int64))
@@ -446,6 +456,8 @@ class _Smoother:
         counted = rows.groupBy(*keys, "x").agg(F.count("*").alias("n"), F.max(F.abs("y")).alias("largest"))
         numbered = with_row_index(counted, ["x"], keys, "__place")
         sizes = numbered.groupBy(*keys).agg(F.greatest(F.ceil(F.sqrt(F.count("*"))), F.lit(BLOCK_KNOTS)).alias("__size"))
+        # staged, so that the planner sees that there is one row for each group
+        sizes = stage(sizes, "lowess-sizes")
         knots = stage(attach(numbered, sizes, keys).withColumn("block", F.expr("__place div __size")), "lowess-knots")
         # the number of a row's block goes with it through all passes, and whether its knot is hot
         place = knots.select(*keys, "x", "block", (knots["n"] > HOT_ROWS).alias("hot"))
@@ -456,7 +468,8 @@ class _Smoother:
             known = attach(rows, stage(place.filter("hot"), "lowess-hot"), on, "left")
             cold = attach(known.filter("hot is null").drop("block", "hot"), place, on, salts=1)
             placed = known.filter("hot").unionByName(cold)
-        self.rows, self.old, self.packed = stage(placed, "lowess-rows"), None, None
+        self.rows, self.hot = stage(placed, "lowess-rows"), place.filter("hot").select(*keys, "block", "x")
+        self.old = self.packed = None
         ranges = [F.min("x").alias("low"), F.max("x").alias("high"), F.sum("n").alias("rows"), F.max("largest").alias("largest")]
         layout = stage(knots.groupBy(*keys, "block").agg(*ranges), "lowess-layout")
         fields = [f for f in rows.schema.fields if f.name in keys]
@@ -547,7 +560,7 @@ class _Smoother:
         group = self.group
 
         def weigh(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-            for batch in batches:
+            for batch in _few(batches):
                 tables = []
                 for x, n, y, error, scale in zip(*[batch.column(c).to_pylist() for c in ("x", "n", "y", "error", "scale")]):
                     x, n, y = np.frombuffer(x), np.frombuffer(n), np.frombuffer(y)
@@ -639,8 +652,7 @@ class _Smoother:
             joined = attach(self.spread(), fits, on)
         else:
             # only fits of hot knots are repeated, so few; all of them are joined to the other rows
-            hot = self.rows.filter("hot").select(*self.keys, "block", "x").distinct()
-            few = stage(attach(hot.select("*", self.spans), fits, on, salts=1), "lowess-hot-fits")
+            few = stage(attach(self.hot.select("*", self.spans), fits, on, salts=1), "lowess-hot-fits")
             joined = attach(self.spread().filter("hot"), few, on).unionByName(attach(self.spread().filter("not hot"), fits, on, salts=1))
         return joined.withColumn("fitted", F.coalesce("fit", "y"))
 
@@ -649,7 +661,7 @@ class _Smoother:
         kept = [*self.group, "block"]
 
         def spread(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-            for batch in batches:
+            for batch in _few(batches):
                 x, fit = [[np.frombuffer(v) for v in batch.column(c).to_pylist()] for c in ("x", "fit")]
                 at = pa.array(np.repeat(np.arange(len(x)), [len(v) for v in x]))
                 values = [pa.array(np.concatenate([np.empty(0), *v])) for v in (x, fit)]
@@ -675,7 +687,7 @@ class _Smoother:
         kept = [*group, "block", "x", "n", "y"]
 
         def error(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-            for batch in batches:
+            for batch in _few(batches):
                 found = []
                 for x, n, y, at, fit, largest in zip(*[batch.column(c).to_pylist() for c in ("x", "n", "y", "at", "fit", "largest")]):
                     x, y = np.frombuffer(x), np.frombuffer(y)
@@ -697,7 +709,7 @@ class _Smoother:
         group = self.group
 
         def spread(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-            for batch in batches:
+            for batch in _few(batches):
                 error = [np.frombuffer(v) for v in batch.column("error").to_pylist()]
                 at = pa.array(np.repeat(np.arange(len(error)), [len(v) for v in error]))
                 yield pa.record_batch([*[batch.column(c).take(at) for c in group], pa.array(np.concatenate([np.empty(0), *error]))], [*group, "error"])

@@ -86,7 +86,8 @@ def with_row_index(
         .withColumn("__at", F.monotonically_increasing_id()),
         "row-index",
     ).selectExpr("*", f"shiftright(__at, {_POSITION_BITS}) as __part")
-    runs = placed.groupBy(*keys, "__part").agg(F.min("__at").alias("__first"), F.count("*").alias("__n"))
+    # staged, so that the planner sees that it is small
+    runs = stage(placed.groupBy(*keys, "__part").agg(F.min("__at").alias("__first"), F.count("*").alias("__n")), "row-runs")
     # at most one row per key and partition, so the running total is over a bounded group
     grouping = ", ".join(f"`{k}`" for k in keys) or "0"
     starts = runs.selectExpr(
