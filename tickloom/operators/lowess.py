@@ -4,14 +4,16 @@ Rows with the same x share one local fit, so each group is first reduced to *kno
 x with the sums of its rows, numbered by x and cut into blocks of about the square root of their
 number. On either side of a knot the tricube weight is a polynomial of degree 9 in the distance, so
 all a fit needs of a stretch of knots are its power sums. Each block is summed up once about its own
-middle; a fit adds up the stretches wholly inside its neighbourhood, paired up in a tree of moments, and
-looks at single knots only where the neighbourhood ends and around the knot itself. Moments are always
-moved between middles inside the neighbourhood, so no large sums are ever subtracted.
-
-A block's fits are one task: its own knots, the blocks where its neighbourhoods can end (found from the
-blocks' ranges and row counts, a few for each block on average), and one line of moments for each
-other block of the group. The work grows with distinct x times a logarithm, whatever the span. A block of
-sparse x whose neighbourhoods end all over a dense stretch reads that stretch.
+middle; the fits of a leaf of knots add up the stretches wholly inside their neighbourhoods, paired up in a
+tree of moments, and look at single knots only where the neighbourhoods end and around the knots themselves. Moments
+are always moved between middles inside the neighbourhood, so no large sums are ever subtracted.
+
+A team of neighbouring blocks is one task: its own knots, the blocks where its neighbourhoods can end (found from the
+blocks' ranges and row counts), and one line of moments for each run of blocks between these. The work grows
+with distinct x times a logarithm, whatever the span. A block of sparse x whose neighbourhoods end all over a
+dense stretch reads that stretch.
+
+With many knots the rows of a block are packed into pieces, lines that the robust passes move as a whole.
 """
 
 from __future__ import annotations
@@ -470,8 +472,9 @@ class _Smoother:
             placed = known.filter("hot").unionByName(cold)
         self.rows, self.hot = stage(placed, "lowess-rows"), place.filter("hot").select(*keys, "block", "x")
         self.old = self.packed = None
-        ranges = [F.min("x").alias("low"), F.max("x").alias("high"), F.sum("n").alias("rows"), F.max("largest").alias("largest")]
-        layout = stage(knots.groupBy(*keys, "block").agg(*ranges), "lowess-layout")
+        layout = knots.groupBy(*keys, "block").agg(
+            F.min("x").alias("low"), F.max("x").alias("high"), F.sum("n").alias("rows"), F.max("largest").alias("largest")
+        )
         fields = [f for f in rows.schema.fields if f.name in keys]
         text = "frac double, k long, largest double, sources array<struct<team: long, source: long, own: boolean>>"
         wide = T.DataType.fromDDL(f"{text}, runs array<struct<team: long, first: long, past: long>>").fields
@@ -489,9 +492,11 @@ class _Smoother:
         self.reach = stage(layout.groupBy(*keys).applyInArrow(plan, schema), "lowess-reach")
         self.fields = [*fields, wide[0]]
         self.spans = F.explode(F.array(*[F.lit(s) for s in spans])).alias("frac")
-        self.parts = layout.selectExpr(*keys, "block", f"cast(ceil(rows / {PIECE_ROWS}) as long) as parts")
         # fits take about what the knots take; where they cannot be broadcast, no pass moves single rows
-        self.pieces = self._pieces() if planned_bytes(knots) * len(spans) > broadcast_limit(rows) else None
+        self.parts = self.pieces = None
+        if planned_bytes(knots) * len(spans) > broadcast_limit(rows):
+            self.parts = stage(layout.selectExpr(*keys, "block", f"cast(ceil(rows / {PIECE_ROWS}) as long) as parts"), "lowess-parts")
+            self.pieces = self._pieces()
 
     def _pieces(self) -> DataFrame:
         """The rows of every block in pieces of some ``PIECE_ROWS``, each one line: the distinct ``x``, their rows ``n``, and ``y`` in the order of x."""
@@ -590,7 +595,9 @@ class _Smoother:
     def _fit_sums(self, sums: DataFrame) -> DataFrame:
         """``fit`` per knot, null where no weight is left around it, and the ``largest`` |y| of its group; a line for each block if rows are in pieces."""
         group, fields, in_lines = self.group, self.fields, self.pieces is not None
-        blocks, self.packed = stage_instead(sums, "lowess-packed", self.packed)
+        blocks = sums
+        if in_lines:
+            blocks, self.packed = stage_instead(sums, "lowess-packed", self.packed)
 
         def join(lines: pa.Table, reach: pa.Table) -> pa.Table:
             runs = pd.DataFrame([run for cell in reach.column("runs").to_pylist() for run in cell], columns=["team", "first", "past"])
