@@ -490,6 +490,7 @@ class _Smoother:
             return _beside(part.select(keys), dict(zip([f.name for f in wide], zip(*found))), schema)
 
         self.reach = stage(layout.groupBy(*keys).applyInArrow(plan, schema), "lowess-reach")
+        self.has_runs = not self.reach.filter("size(runs) > 0").isEmpty()
         self.fields = [*fields, wide[0]]
         self.spans = F.explode(F.array(*[F.lit(s) for s in spans])).alias("frac")
         # fits take about what the knots take; where they cannot be broadcast, no pass moves single rows
@@ -619,7 +620,6 @@ class _Smoother:
 
         wide = T.DataType.fromDDL("k long, largest double, team long, source long, own boolean, knots binary")
         parts = T.StructType([*fields, *wide.fields])
-        between = blocks.select(*group, "block", "line").groupBy(*group).cogroup(self.reach.groupBy(*group)).applyInArrow(join, parts)
         near = self.reach.select(*group, "k", "largest", F.inline("sources")).alias("r").join(
             blocks.select(*group, F.col("block").alias("source"), "knots").alias("p"), _same([*group, "source"], "r", "p")
         )
@@ -646,7 +646,10 @@ class _Smoother:
         kind = "binary" if in_lines else "double"
         schema = T.StructType([*fields, *T.DataType.fromDDL(f"block long, x {kind}, fit {kind}, largest double").fields])
         # a row for each block that a team looks into, and one with the runs between these
-        needed = near.select("r.*", "p.knots").unionByName(between)
+        needed = near.select("r.*", "p.knots")
+        if self.has_runs:
+            lines = blocks.select(*group, "block", "line").groupBy(*group)
+            needed = needed.unionByName(lines.cogroup(self.reach.groupBy(*group)).applyInArrow(join, parts))
         fitted = dealt(needed, *group, "team").groupBy(*group, "team").applyInArrow(fit, schema)
         return fitted if in_lines else fitted.withColumn("fit", F.nanvl("fit", F.lit(None).cast("double")))
 
